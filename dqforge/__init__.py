@@ -1,0 +1 @@
+"""dqforge: data-quality checks, audits and publishing on Spark DataFrames."""

@@ -1,0 +1,241 @@
+"""DuckDB SQL equal in meaning to each driver query in ``plans/queries.py`` (same key).
+
+Written by hand from the rule semantics; ``_row`` only lays a verdict out in the result-table
+shape (names, types, rounding), the check expressions themselves are spelled out per query.
+"""
+
+from __future__ import annotations
+
+
+def _s(v) -> str:
+    return "NULL" if v is None else "'" + str(v).replace("'", "''") + "'"
+
+
+def _row(suite, check_name, level, column_name, metric, comparator, expected, observed, n_rows, n_failed, passed, src):
+    return (
+        f"SELECT {_s(suite)} AS suite, {_s(check_name)} AS check_name, {_s(level)} AS level, "
+        f"CAST({_s(column_name)} AS VARCHAR) AS column_name, CAST({_s(metric)} AS VARCHAR) AS metric, "
+        f"CAST({_s(comparator)} AS VARCHAR) AS comparator, CAST({_s(expected)} AS VARCHAR) AS expected, "
+        f"ROUND(CAST({observed} AS DOUBLE), 6) AS observed, CAST({n_rows} AS BIGINT) AS n_rows, "
+        f"CAST({n_failed} AS BIGINT) AS n_failed, COALESCE({passed}, FALSE) AS passed FROM {src}"
+    )
+
+
+def _union(*parts):
+    return "\nUNION ALL\n".join(parts)
+
+
+# ----------------------------------------------------------------------------- checks family
+
+_COL_AGG = """a AS (SELECT COUNT(*) AS n,
+  COUNT_IF(l_orderkey IS NULL) AS ok_nulls,
+  MIN(l_quantity) AS q_min, MAX(l_quantity) AS q_max,
+  MIN(l_discount) AS d_min, MAX(l_discount) AS d_max,
+  COUNT_IF(l_returnflag IS NULL) AS rf_nulls,
+  MIN(l_extendedprice) AS p_min, MAX(l_tax) AS t_max
+  FROM lineitem),
+d1 AS (SELECT COUNT(*) AS n, COUNT(DISTINCT l_orderkey) AS v FROM lineitem),
+d2 AS (SELECT COUNT(*) AS n, COUNT(DISTINCT l_returnflag) AS v FROM lineitem)"""
+
+
+def _column_rows(suite):
+    return [
+        _row(suite, "l_orderkey_null_check", "column", "l_orderkey", "null_check", "equal_to", "0",
+             "ok_nulls", "n", "ok_nulls", "ok_nulls = 0", "a"),
+        _row(suite, "l_orderkey_distinct_check", "column", "l_orderkey", "distinct_check", "geq_to", "1",
+             "v", "n", "NULL", "v >= 1", "d1"),
+        _row(suite, "l_quantity_min", "column", "l_quantity", "min", "geq_to", "1", "q_min", "n", "NULL", "q_min >= 1", "a"),
+        _row(suite, "l_quantity_max", "column", "l_quantity", "max", "leq_to", "50", "q_max", "n", "NULL", "q_max <= 50", "a"),
+        _row(suite, "l_discount_min", "column", "l_discount", "min", "geq_to", "0", "d_min", "n", "NULL", "d_min >= 0", "a"),
+        _row(suite, "l_discount_max", "column", "l_discount", "max", "less_than", "0.1", "d_max", "n", "NULL",
+             "d_max < 0.1", "a"),
+        _row(suite, "l_returnflag_null_check", "column", "l_returnflag", "null_check", "equal_to", "0",
+             "rf_nulls", "n", "rf_nulls", "rf_nulls = 0", "a"),
+        _row(suite, "l_returnflag_distinct_check", "column", "l_returnflag", "distinct_check", "equal_to", "3",
+             "v", "n", "NULL", "v = 3", "d2"),
+        _row(suite, "l_extendedprice_min", "column", "l_extendedprice", "min", "greater_than", "1000", "p_min", "n",
+             "NULL", "p_min > 1000", "a"),
+        _row(suite, "l_tax_max", "column", "l_tax", "max", "leq_to", "0.075 ~0.1", "t_max", "n", "NULL",
+             "t_max <= 0.075::DOUBLE * (1 + 0.1::DOUBLE)", "a"),
+    ]
+
+
+_TBL_AGG = """t AS (SELECT COUNT(*) AS n,
+  COUNT(*) > 0 AS r0,
+  MIN(CASE WHEN l_extendedprice >= l_quantity THEN 1 ELSE 0 END) AS r1,
+  COUNT_IF(NOT COALESCE(l_extendedprice >= l_quantity, FALSE)) AS f1,
+  MAX(l_tax) < 1 AS r2,
+  MIN(CASE WHEN l_discount <= l_tax THEN 1 ELSE 0 END) AS r3,
+  COUNT_IF(NOT COALESCE(l_discount <= l_tax, FALSE)) AS f3
+  FROM lineitem)"""
+
+
+def _table_rows(suite):
+    return [
+        _row(suite, "row_count_check", "table", None, "aggregate_rule", None, "COUNT(*) > 0",
+             "CAST(r0 AS INT)", "n", "NULL", "r0", "t"),
+        _row(suite, "price_ge_quantity", "table", None, "row_rule", None, "l_extendedprice >= l_quantity",
+             "r1", "n", "f1", "r1 = 1", "t"),
+        _row(suite, "max_tax_check", "table", None, "aggregate_rule", None, "MAX(l_tax) < 1",
+             "CAST(r2 AS INT)", "n", "NULL", "r2", "t"),
+        _row(suite, "discount_le_tax", "table", None, "row_rule", None, "l_discount <= l_tax",
+             "r3", "n", "f3", "r3 = 1", "t"),
+    ]
+
+
+COLUMN_CHECKS = f"WITH {_COL_AGG}\n" + _union(*_column_rows("lineitem_columns"))
+TABLE_CHECKS = f"WITH {_TBL_AGG}\n" + _union(*_table_rows("lineitem_table"))
+RUN_CHECKS = f"WITH {_COL_AGG}, {_TBL_AGG}\n" + _union(*_column_rows("lineitem_all"), *_table_rows("lineitem_all"))
+
+_SHIP = [
+    ("ship_after_order", "l_shipdate > o_orderdate"),
+    ("quantity_range", "l_quantity >= 1 AND l_quantity <= 50"),
+    ("discount_range", "l_discount BETWEEN 0 AND 0.1"),
+    ("tax_le_discount_plus", "l_tax <= l_discount + 0.05"),
+]
+ROW_RULES = (
+    "WITH j AS (SELECT * FROM lineitem JOIN orders ON l_orderkey = o_orderkey), r AS (SELECT COUNT(*) AS n, "
+    + ", ".join(
+        f"MIN(CASE WHEN {r} THEN 1 ELSE 0 END) AS v{i}, COUNT_IF(NOT COALESCE({r}, FALSE)) AS f{i}"
+        for i, (_, r) in enumerate(_SHIP)
+    )
+    + " FROM j)\n"
+    + _union(*[_row("shipping", n, "row", None, "row_rule", None, r, f"v{i}", "n", f"f{i}", f"v{i} = 1", "r")
+               for i, (n, r) in enumerate(_SHIP)])
+)
+
+_ORD = [
+    ("status_known", "o_orderstatus IN ('F', 'O')"),
+    ("price_positive", "o_totalprice > 0"),
+    ("recent_order", "o_orderdate >= DATE '1996-01-01'"),
+]
+ROW_FLAGS = "SELECT o_orderkey, " + ", ".join(f"CASE WHEN {r} THEN 1 ELSE 0 END AS {n}" for n, r in _ORD) + " FROM orders"
+FAILING_ROWS = "SELECT * FROM orders WHERE NOT (" + " AND ".join(f"COALESCE({r}, FALSE)" for _, r in _ORD) + ")"
+
+_P = "CAST(l_extendedprice AS DECIMAL(12,2))"
+_D = "CAST(l_discount AS DECIMAL(12,2))"
+_X = "CAST(l_tax AS DECIMAL(12,2))"
+_NET = f"ROUND({_P} * (1 - {_D}), 2)"
+_TAX = f"ROUND({_P} * (1 - {_D}) * {_X}, 2)"
+_TOT = f"{_P} * (1 - {_D}) * (1 + {_X})"
+_PRICE_RULE = (
+    f"(CASE WHEN ROUND({_NET} + COALESCE({_TAX}, 0), 1) = ROUND({_TOT}, 1) THEN 1 "
+    f"WHEN ROUND({_NET}, 1) = ROUND({_TOT}, 1) THEN 1 ELSE 0 END) = 1"
+)
+PRICE_ROUND_CHECK = (
+    f"WITH r AS (SELECT COUNT(*) AS n, MIN(CASE WHEN {_PRICE_RULE} THEN 1 ELSE 0 END) AS v, "
+    f"COUNT_IF(NOT COALESCE({_PRICE_RULE}, FALSE)) AS f FROM lineitem)\n"
+    + _row("money", "price_round_check", "row", None, "row_rule", None, None, "v", "n", "f", "v = 1", "r")
+)
+
+CHECK_FIRST_ROW = (
+    "WITH s AS (SELECT COUNT(*) AS n_orders, MIN(o_totalprice) > 0 AS positive_prices, "
+    "COUNT(DISTINCT o_orderstatus) AS n_status, COUNT_IF(o_totalprice < 0) AS n_negative FROM orders), "
+    "f AS (SELECT COUNT(*) AS n, SUM(CAST(COALESCE(n_orders <> 0, FALSE) AS INT) + CAST(COALESCE(positive_prices, FALSE) AS INT)"
+    " + CAST(COALESCE(n_status <> 0, FALSE) AS INT) + CAST(COALESCE(n_negative <> 0, FALSE) AS INT)) AS ok FROM (SELECT * FROM s LIMIT 1))\n"
+    + _row("orders_first_row", "orders_summary_row", "row", None, "first_row_truthy", None, "4", "ok", "n", "4 - ok",
+           "n = 1 AND ok = 4", "f")
+)
+
+VALUE_CHECK = (
+    "WITH v AS (SELECT COUNT(*) AS n, COUNT(DISTINCT o_orderstatus) AS v0, AVG(o_totalprice) AS v1, "
+    "MAX(o_orderpriority) AS v2, COUNT(*) AS v3 FROM orders)\n"
+    + _union(
+        _row("orders_values", "status_count", "table", None, "COUNT(DISTINCT o_orderstatus)", "equal_to", "3",
+             "v0", "n", "NULL", "v0 = 3", "v"),
+        _row("orders_values", "avg_price", "table", None, "AVG(o_totalprice)", "equal_to", "250000 ~0.1",
+             "v1", "n", "NULL", "v1 BETWEEN 250000 * 0.9 AND 250000 * 1.1", "v"),
+        _row("orders_values", "max_priority", "table", None, "MAX(o_orderpriority)", "equal_to", "5-LOW",
+             "TRY_CAST(v2 AS DOUBLE)", "n", "NULL", "CAST(v2 AS VARCHAR) = '5-LOW'", "v"),
+        _row("orders_values", "order_count", "table", None, "COUNT(*)", "equal_to", "15000",
+             "v3", "n", "NULL", "v3 = 15000", "v"),
+    )
+)
+
+THRESHOLD_CHECK = (
+    "WITH v AS (SELECT COUNT(*) AS n, AVG(c_acctbal) AS v0, MIN(c_acctbal) AS v1, COUNT(DISTINCT c_mktsegment) AS v2 "
+    "FROM customer)\n"
+    + _union(
+        _row("customer_thresholds", "avg_balance", "table", None, "AVG(c_acctbal)", "between", "[0, 10000]",
+             "v0", "n", "NULL", "v0 BETWEEN 0 AND 10000", "v"),
+        _row("customer_thresholds", "min_balance", "table", None, "MIN(c_acctbal)", "between", "[-1000, 0]",
+             "v1", "n", "NULL", "v1 BETWEEN -1000 AND 0", "v"),
+        _row("customer_thresholds", "segments", "table", None, "COUNT(DISTINCT c_mktsegment)", "between", "[5, 5]",
+             "v2", "n", "NULL", "v2 BETWEEN 5 AND 5", "v"),
+    )
+)
+
+THRESHOLD_SQL_BOUNDS = (
+    "WITH v AS (SELECT COUNT(*) AS n, MAX(o_custkey) AS v0 FROM orders)\n"
+    + _row("orders_bounds", "custkey_in_customer_range", "table", None, "MAX(o_custkey)", "between",
+           "[<query>, <query>]", "v0", "n", "NULL",
+           "v0 BETWEEN (SELECT MIN(c_custkey) FROM customer) AND (SELECT MAX(c_custkey) FROM customer)", "v")
+)
+
+_IV = [("AVG(value)", "1.5"), ("COUNT(*)", "1.5"), ("SUM(value)", "1.1")]
+INTERVAL_CHECK = (
+    "WITH d AS (SELECT CAST(ts AS DATE) AS day, "
+    + ", ".join(f"CAST({m} AS DOUBLE) AS m{i}" for i, (m, _) in enumerate(_IV))
+    + " FROM events WHERE ts >= TIMESTAMP '2024-01-29 00:00:00' AND ts < TIMESTAMP '2024-01-31 00:00:00' GROUP BY 1), "
+    "f AS (SELECT "
+    + ", ".join(
+        f"MAX(CASE WHEN day = DATE '2024-01-30' THEN m{i} END) AS t{i}, MAX(CASE WHEN day = DATE '2024-01-29' THEN m{i} END) AS r{i}"
+        for i in range(len(_IV))
+    )
+    + " FROM d)\n"
+    + _union(*[
+        _row("events_interval", "interval_check", "table", "ts", m, "ratio_leq", f"{ratio} vs 2024-01-29",
+             f"CASE WHEN t{i} = 0 AND r{i} = 0 THEN 1.0 ELSE GREATEST(t{i}, r{i}) / NULLIF(LEAST(t{i}, r{i}), 0) END",
+             "NULL", "NULL",
+             f"CASE WHEN t{i} IS NULL OR r{i} IS NULL THEN FALSE ELSE "
+             f"(CASE WHEN t{i} = 0 AND r{i} = 0 THEN 1.0 ELSE GREATEST(t{i}, r{i}) / NULLIF(LEAST(t{i}, r{i}), 0) END) <= {ratio} END",
+             "f")
+        for i, (m, ratio) in enumerate(_IV)
+    ])
+)
+
+GROUND_TRUTH_CHECK = """
+WITH e(n_nationkey, n_name, n_regionkey) AS (
+  VALUES (0, 'NATION_0', 0), (1, 'NATION_1', 2), (7, 'NATION_7', 2), (99, 'NATION_99', 4)),
+j AS (
+  SELECT e.n_nationkey AS n_nationkey, a.n_nationkey IS NOT NULL AS found,
+         CASE WHEN a.n_name = e.n_name THEN 1 ELSE 0 END AS n_name_check,
+         CASE WHEN a.n_regionkey = e.n_regionkey THEN 1 ELSE 0 END AS n_regionkey_check
+  FROM e LEFT JOIN nation a ON a.n_nationkey = e.n_nationkey)
+SELECT CAST(n_nationkey AS INTEGER) AS n_nationkey, found, n_name_check, n_regionkey_check,
+       CAST((1 - n_name_check) + (1 - n_regionkey_check) AS INTEGER) AS n_mismatch,
+       found AND (1 - n_name_check) + (1 - n_regionkey_check) = 0 AS passed
+FROM j
+"""
+
+SPOT_CHECK = """
+WITH k AS (
+  SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem
+  ORDER BY md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey)), l_orderkey, l_linenumber, l_partkey
+  LIMIT 10)
+SELECT l_orderkey, l_linenumber, l_partkey,
+       CASE WHEN l_quantity BETWEEN 1 AND 50 THEN 1 ELSE 0 END AS quantity_range,
+       CASE WHEN l_extendedprice > 1000 THEN 1 ELSE 0 END AS price_over_1000,
+       CASE WHEN l_discount <= l_tax THEN 1 ELSE 0 END AS discount_le_tax
+FROM lineitem l
+WHERE EXISTS (SELECT 1 FROM k WHERE k.l_orderkey = l.l_orderkey AND k.l_linenumber = l.l_linenumber
+              AND k.l_partkey = l.l_partkey)
+"""
+
+
+ORACLE = {
+    "column_checks": COLUMN_CHECKS,
+    "table_checks": TABLE_CHECKS,
+    "run_checks": RUN_CHECKS,
+    "row_rules": ROW_RULES,
+    "row_flags": ROW_FLAGS,
+    "failing_rows": FAILING_ROWS,
+    "price_round_check": PRICE_ROUND_CHECK,
+    "check_first_row": CHECK_FIRST_ROW,
+    "value_check": VALUE_CHECK,
+    "threshold_check": THRESHOLD_CHECK,
+    "threshold_sql_bounds": THRESHOLD_SQL_BOUNDS,
+    "interval_check": INTERVAL_CHECK,
+    "ground_truth_check": GROUND_TRUTH_CHECK,
+    "spot_check": SPOT_CHECK,
+}

@@ -1,0 +1,193 @@
+"""Driver queries over the test tables: each takes ``(spark, sf_dir)`` and returns a DataFrame.
+
+Every query reads whole tables from ``sf_dir``; rule sets below are the query parameters.
+The equivalent DuckDB SQL lives in ``plans/oracle.py`` under the same key.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from ..functions.rules import first_true_flag
+from ..operators import checks as C
+from ..sources.tables import read_table
+
+
+def T(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return read_table(spark, sf_dir, name)
+
+
+# ----------------------------------------------------------------------------- rule sets
+
+LINEITEM_COLUMN_CHECKS = {
+    "l_orderkey": {"null_check": {"equal_to": 0}, "distinct_check": {"geq_to": 1}},
+    "l_quantity": {"min": {"geq_to": 1}, "max": {"leq_to": 50}},
+    "l_discount": {"min": {"geq_to": 0}, "max": {"less_than": 0.1}},
+    "l_returnflag": {"null_check": {"equal_to": 0}, "distinct_check": {"equal_to": 3}},
+    "l_extendedprice": {"min": {"greater_than": 1000}},
+    "l_tax": {"max": {"leq_to": 0.075, "tolerance": 0.1}},
+}
+
+LINEITEM_TABLE_CHECKS = [
+    {"row_count_check": {"check_statement": "COUNT(*) > 0"}},
+    {"price_ge_quantity": {"check_statement": "l_extendedprice >= l_quantity"}},
+    {"max_tax_check": {"check_statement": "MAX(l_tax) < 1"}},
+    {"discount_le_tax": {"check_statement": "l_discount <= l_tax"}},
+]
+
+SHIPPING_RULES = {
+    "ship_after_order": "l_shipdate > o_orderdate",
+    "quantity_range": "l_quantity >= 1 AND l_quantity <= 50",
+    "discount_range": "l_discount BETWEEN 0 AND 0.1",
+    "tax_le_discount_plus": "l_tax <= l_discount + 0.05",
+}
+
+ORDER_RULES = {
+    "status_known": "o_orderstatus IN ('F', 'O')",
+    "price_positive": "o_totalprice > 0",
+    "recent_order": "o_orderdate >= DATE '1996-01-01'",
+}
+
+LINEITEM_ROW_RULES = {
+    "quantity_range": "l_quantity BETWEEN 1 AND 50",
+    "price_over_1000": "l_extendedprice > 1000",
+    "discount_le_tax": "l_discount <= l_tax",
+}
+SPOT_KEY = ["l_orderkey", "l_linenumber", "l_partkey"]
+
+# Two-branch money rule over decimals: the rounded sum of parts equals the rounded total, or
+# (second branch) the net amount alone does, as when the tax part is missing.
+_P = "CAST(l_extendedprice AS DECIMAL(12,2))"
+_D = "CAST(l_discount AS DECIMAL(12,2))"
+_X = "CAST(l_tax AS DECIMAL(12,2))"
+PRICE_NET = f"ROUND({_P} * (1 - {_D}), 2)"
+PRICE_TAX = f"ROUND({_P} * (1 - {_D}) * {_X}, 2)"
+PRICE_TOTAL = f"{_P} * (1 - {_D}) * (1 + {_X})"
+PRICE_BRANCH_1 = f"ROUND({PRICE_NET} + COALESCE({PRICE_TAX}, 0), 1) = ROUND({PRICE_TOTAL}, 1)"
+PRICE_BRANCH_2 = f"ROUND({PRICE_NET}, 1) = ROUND({PRICE_TOTAL}, 1)"
+
+
+# ----------------------------------------------------------------------------- checks family
+
+
+def q_column_checks(spark, sf_dir):
+    return C.column_checks(T(spark, sf_dir, "lineitem"), LINEITEM_COLUMN_CHECKS, suite="lineitem_columns")
+
+
+def q_table_checks(spark, sf_dir):
+    return C.table_checks(T(spark, sf_dir, "lineitem"), LINEITEM_TABLE_CHECKS, suite="lineitem_table")
+
+
+def q_run_checks(spark, sf_dir):
+    return C.run_checks(
+        T(spark, sf_dir, "lineitem"), column=LINEITEM_COLUMN_CHECKS, table=LINEITEM_TABLE_CHECKS, suite="lineitem_all"
+    )
+
+
+def q_row_rules(spark, sf_dir):
+    li = T(spark, sf_dir, "lineitem")
+    o = T(spark, sf_dir, "orders")
+    joined = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
+    return C.row_rules(joined, SHIPPING_RULES, suite="shipping")
+
+
+def q_row_flags(spark, sf_dir):
+    return C.row_flags(T(spark, sf_dir, "orders"), ORDER_RULES, ["o_orderkey"])
+
+
+def q_failing_rows(spark, sf_dir):
+    return C.failing_rows(T(spark, sf_dir, "orders"), ORDER_RULES)
+
+
+def q_price_round_check(spark, sf_dir):
+    rule = first_true_flag(PRICE_BRANCH_1, PRICE_BRANCH_2) == 1
+    return C.row_rules(T(spark, sf_dir, "lineitem"), {"price_round_check": rule}, suite="money")
+
+
+def q_check_first_row(spark, sf_dir):
+    o = T(spark, sf_dir, "orders")
+    summary = o.agg(
+        F.count(F.lit(1)).alias("n_orders"),
+        (F.min("o_totalprice") > 0).alias("positive_prices"),
+        F.count_distinct("o_orderstatus").alias("n_status"),
+        F.count_if(F.col("o_totalprice") < 0).alias("n_negative"),
+    )
+    return C.check_row(summary, name="orders_summary_row", suite="orders_first_row")
+
+
+VALUE_CHECKS = [
+    ("status_count", "COUNT(DISTINCT o_orderstatus)", 3, None),
+    ("avg_price", "AVG(o_totalprice)", 250000, 0.1),
+    ("max_priority", "MAX(o_orderpriority)", "5-LOW", None),
+    ("order_count", "COUNT(*)", 15000, None),
+]
+
+
+def q_value_check(spark, sf_dir):
+    o = T(spark, sf_dir, "orders")
+    return C.evaluate(o, [C.compile_value_check(n, m, v, t) for n, m, v, t in VALUE_CHECKS], suite="orders_values")
+
+
+THRESHOLD_CHECKS = [
+    ("avg_balance", "AVG(c_acctbal)", 0, 10000),
+    ("min_balance", "MIN(c_acctbal)", -1000, 0),
+    ("segments", "COUNT(DISTINCT c_mktsegment)", 5, 5),
+]
+
+
+def q_threshold_check(spark, sf_dir):
+    c = T(spark, sf_dir, "customer")
+    return C.evaluate(
+        c, [C.compile_threshold_check(spark, n, m, lo, hi) for n, m, lo, hi in THRESHOLD_CHECKS], suite="customer_thresholds"
+    )
+
+
+def q_threshold_sql_bounds(spark, sf_dir):
+    o = T(spark, sf_dir, "orders")
+    c = T(spark, sf_dir, "customer")
+    lo = c.agg(F.min("c_custkey"))
+    hi = c.agg(F.max("c_custkey"))
+    return C.threshold_check(o, "MAX(o_custkey)", lo, hi, name="custkey_in_customer_range", suite="orders_bounds")
+
+
+INTERVAL_METRICS = {"AVG(value)": 1.5, "COUNT(*)": 1.5, "SUM(value)": 1.1}
+
+
+def q_interval_check(spark, sf_dir):
+    ev = T(spark, sf_dir, "events")
+    return C.interval_check(ev, INTERVAL_METRICS, "2024-01-30", date_filter_column="ts", days_back=-1, suite="events_interval")
+
+
+# Ground truth for nation: key 1 carries a wrong region, key 99 does not exist.
+NATION_TRUTH = {
+    0: {"n_name": "NATION_0", "n_regionkey": "0"},
+    1: {"n_name": "NATION_1", "n_regionkey": "2"},
+    7: {"n_name": "NATION_7", "n_regionkey": "2"},
+    99: {"n_name": "NATION_99", "n_regionkey": "4"},
+}
+
+
+def q_ground_truth_check(spark, sf_dir):
+    return C.ground_truth_check(T(spark, sf_dir, "nation"), NATION_TRUTH, key="n_nationkey")
+
+
+def q_spot_check(spark, sf_dir):
+    return C.spot_check(T(spark, sf_dir, "lineitem"), LINEITEM_ROW_RULES, SPOT_KEY, n=10)
+
+
+QUERIES = {
+    "column_checks": q_column_checks,
+    "table_checks": q_table_checks,
+    "run_checks": q_run_checks,
+    "row_rules": q_row_rules,
+    "row_flags": q_row_flags,
+    "failing_rows": q_failing_rows,
+    "price_round_check": q_price_round_check,
+    "check_first_row": q_check_first_row,
+    "value_check": q_value_check,
+    "threshold_check": q_threshold_check,
+    "threshold_sql_bounds": q_threshold_sql_bounds,
+    "interval_check": q_interval_check,
+    "ground_truth_check": q_ground_truth_check,
+    "spot_check": q_spot_check,
+}
