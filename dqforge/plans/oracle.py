@@ -239,3 +239,154 @@ ORACLE = {
     "ground_truth_check": GROUND_TRUTH_CHECK,
     "spot_check": SPOT_CHECK,
 }
+
+
+# ----------------------------------------------------------------------------- expectations family
+import json as _json  # noqa: E402
+
+
+def _kw(**kw):
+    return _json.dumps(kw, sort_keys=True, separators=(",", ":"))
+
+
+_PRIOS = "('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW')"
+_PRIO_LIST = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+_ORDERS_PASS_AGG = f"""o AS (SELECT COUNT(*) AS n,
+  COUNT(o_orderkey) AS k_nn,
+  COUNT_IF(o_orderstatus IS NOT NULL AND o_orderstatus NOT IN ('F', 'O', 'P')) AS s_bad, COUNT(o_orderstatus) AS s_nn,
+  COUNT_IF(o_totalprice IS NOT NULL AND NOT (o_totalprice >= 0 AND o_totalprice <= 600000)) AS p_bad, COUNT(o_totalprice) AS p_nn,
+  COUNT_IF(o_orderpriority IS NOT NULL AND o_orderpriority NOT IN {_PRIOS}) AS r_bad, COUNT(o_orderpriority) AS r_nn
+  FROM orders)"""
+
+
+def _share(good, nn):
+    return f"CASE WHEN {nn} = 0 THEN NULL ELSE ({good}) / CAST({nn} AS DOUBLE) END"
+
+
+def _mostly(good, nn, mostly):
+    return f"COALESCE(({_share(good, nn)}) >= {mostly}, TRUE)"
+
+
+def _orders_pass_rows(suite="orders.pass"):
+    return [
+        _row(suite, "expect_table_row_count_to_be_between", "table", None, "row_count", "between",
+             _kw(min_value=1000, max_value=100000000), "n", "n", "NULL", "n >= 1000 AND n <= 100000000", "o"),
+        _row(suite, "expect_column_values_to_not_be_null", "column", "o_orderkey", "not_null", "mostly",
+             _kw(column="o_orderkey"), _share("k_nn", "n"), "n", "n - k_nn", "(n - k_nn) = 0", "o"),
+        _row(suite, "expect_column_distinct_values_to_be_in_set", "column", "o_orderstatus", "in_set", "mostly",
+             _kw(column="o_orderstatus", value_set=["F", "O", "P"]), _share("s_nn - s_bad", "s_nn"), "n", "s_bad",
+             "s_bad = 0", "o"),
+        _row(suite, "expect_column_values_to_be_between", "column", "o_totalprice", "between", "mostly",
+             _kw(column="o_totalprice", min_value=0, max_value=600000), _share("p_nn - p_bad", "p_nn"), "n", "p_bad",
+             "p_bad = 0", "o"),
+        _row(suite, "expect_column_values_to_be_in_set", "column", "o_orderpriority", "in_set", "mostly",
+             _kw(column="o_orderpriority", value_set=_PRIO_LIST, mostly=0.95), _share("r_nn - r_bad", "r_nn"), "n",
+             "r_bad", _mostly("r_nn - r_bad", "r_nn", 0.95), "o"),
+    ]
+
+
+SUITE_VALIDATE = f"WITH {_ORDERS_PASS_AGG}\n" + _union(*_orders_pass_rows())
+
+SUITE_FAIL = """WITH c AS (SELECT COUNT(*) AS n,
+  COUNT_IF(c_mktsegment IS NOT NULL AND c_mktsegment NOT IN ('AUTOMOBILE', 'BUILDING')) AS m_bad, COUNT(c_mktsegment) AS m_nn,
+  COUNT_IF(c_acctbal IS NOT NULL AND NOT (c_acctbal >= 0 AND c_acctbal <= 10000)) AS a_bad, COUNT(c_acctbal) AS a_nn,
+  COUNT_IF(c_nationkey IS NOT NULL AND c_nationkey NOT IN (0, 1, 2, 3, 4, 5, 6, 7, 8, 9)) AS k_bad, COUNT(c_nationkey) AS k_nn,
+  COUNT(c_name) AS nm_nn
+  FROM customer)
+""" + _union(
+    _row("customer.fail", "expect_table_row_count_to_be_between", "table", None, "row_count", "between",
+         _kw(min_value=9000, max_value=11000), "n", "n", "NULL", "n >= 9000 AND n <= 11000", "c"),
+    _row("customer.fail", "expect_column_distinct_values_to_be_in_set", "column", "c_mktsegment", "in_set", "mostly",
+         _kw(column="c_mktsegment", value_set=["AUTOMOBILE", "BUILDING"]), _share("m_nn - m_bad", "m_nn"), "n",
+         "m_bad", "m_bad = 0", "c"),
+    _row("customer.fail", "expect_column_values_to_be_between", "column", "c_acctbal", "between", "mostly",
+         _kw(column="c_acctbal", min_value=0, max_value=10000, mostly=0.8), _share("a_nn - a_bad", "a_nn"), "n",
+         "a_bad", _mostly("a_nn - a_bad", "a_nn", 0.8), "c"),
+    _row("customer.fail", "expect_column_values_to_be_in_set", "column", "c_nationkey", "in_set", "mostly",
+         _kw(column="c_nationkey", value_set=list(range(10)), mostly=0.5), _share("k_nn - k_bad", "k_nn"), "n",
+         "k_bad", _mostly("k_nn - k_bad", "k_nn", 0.5), "c"),
+    _row("customer.fail", "expect_column_values_to_not_be_null", "column", "c_name", "not_null", "mostly",
+         _kw(column="c_name", mostly=0.99), _share("nm_nn", "n"), "n", "n - nm_nn", _mostly("nm_nn", "n", 0.99), "c"),
+)
+
+_PART_COLS = ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
+SCHEMA_EXPECTATIONS = "WITH p AS (SELECT COUNT(*) AS n FROM part), one AS (SELECT 1 AS x)\n" + _union(
+    _row("part.schema", "expect_table_row_count_to_be_between", "table", None, "row_count", "between",
+         _kw(min_value=1, max_value=1000000000), "n", "n", "NULL", "n >= 1 AND n <= 1000000000", "p"),
+    _row("part.schema", "expect_table_columns_to_match_ordered_list", "schema", None, "columns_ordered", "equal_to",
+         _kw(column_list=_PART_COLS), "6", "NULL", "0", "TRUE", "one"),
+    _row("part.schema", "expect_column_values_to_be_of_type", "schema", "p_size", "type", "equal_to",
+         _kw(column="p_size", type_="int"), "NULL", "NULL", "0", "TRUE", "one"),
+    _row("part.schema", "expect_column_values_to_be_of_type", "schema", "p_retailprice", "type", "equal_to",
+         _kw(column="p_retailprice", type_="int"), "NULL", "NULL", "1", "FALSE", "one"),
+    _row("part.schema", "expect_column_values_to_be_of_type", "schema", "p_name", "type", "equal_to",
+         _kw(column="p_name", type_="str"), "NULL", "NULL", "0", "TRUE", "one"),
+    _row("part.schema", "expect_column_values_to_be_of_type", "schema", "p_partkey", "type", "equal_to",
+         _kw(column="p_partkey", type_="int"), "NULL", "NULL", "0", "TRUE", "one"),
+)
+
+
+def _with_batch(sql_select: str) -> str:
+    """Prefix a result-row SELECT with the batch key and the checkpoint name."""
+    return sql_select.replace("SELECT ", "SELECT batch_date, ", 1) + ""
+
+
+_EV_AGG = """e AS (SELECT strftime(ts, '%Y-%m-%d') AS batch_date, COUNT(*) AS n,
+  COUNT(user_id) AS u_nn,
+  COUNT_IF(value IS NOT NULL AND NOT (value >= 0 AND value <= 500)) AS v_bad, COUNT(value) AS v_nn,
+  COUNT_IF(event_type IS NOT NULL AND event_type NOT IN ('click', 'view', 'purchase', 'signup')) AS t_bad,
+  COUNT(event_type) AS t_nn
+  FROM events GROUP BY 1)"""
+BATCH_VALIDATE = f"WITH {_EV_AGG}\nSELECT *, 'events.daily.chk' AS checkpoint FROM (\n" + _union(
+    _with_batch(_row("events.daily", "expect_table_row_count_to_be_between", "table", None, "row_count", "between",
+                     _kw(min_value=300, max_value=400), "n", "n", "NULL", "n >= 300 AND n <= 400", "e")),
+    _with_batch(_row("events.daily", "expect_column_values_to_not_be_null", "column", "user_id", "not_null", "mostly",
+                     _kw(column="user_id"), _share("u_nn", "n"), "n", "n - u_nn", "(n - u_nn) = 0", "e")),
+    _with_batch(_row("events.daily", "expect_column_values_to_be_between", "column", "value", "between", "mostly",
+                     _kw(column="value", min_value=0, max_value=500), _share("v_nn - v_bad", "v_nn"), "n", "v_bad",
+                     "v_bad = 0", "e")),
+    _with_batch(_row("events.daily", "expect_column_values_to_be_in_set", "column", "event_type", "in_set", "mostly",
+                     _kw(column="event_type", value_set=["click", "view", "purchase", "signup"], mostly=0.75),
+                     _share("t_nn - t_bad", "t_nn"), "n", "t_bad", _mostly("t_nn - t_bad", "t_nn", 0.75), "e")),
+) + "\n)"
+
+LATEST_BATCH = """
+SELECT event_id, user_id, event_type, value, strftime(ts, '%Y-%m-%d') AS batch_date FROM events
+WHERE strftime(ts, '%Y-%m-%d') = (SELECT MAX(strftime(ts, '%Y-%m-%d')) FROM events)
+"""
+
+_WARN_AGG = """w AS (SELECT COUNT(*) AS n,
+  COUNT_IF(o_totalprice IS NOT NULL AND NOT (o_totalprice >= 1000 AND o_totalprice <= 400000)) AS p_bad, COUNT(o_totalprice) AS p_nn,
+  COUNT_IF(o_orderstatus IS NOT NULL AND o_orderstatus NOT IN ('F', 'O')) AS s_bad, COUNT(o_orderstatus) AS s_nn
+  FROM orders)"""
+_WARN_PASSED = [
+    "n >= 20000 AND n <= 30000",
+    _mostly("p_nn - p_bad", "p_nn", 0.99),
+    _mostly("s_nn - s_bad", "s_nn", 0.9),
+]
+_PASS_PASSED = [
+    "n >= 1000 AND n <= 100000000",
+    "(n - k_nn) = 0",
+    "s_bad = 0",
+    "p_bad = 0",
+    _mostly("r_nn - r_bad", "r_nn", 0.95),
+]
+CHECKPOINT_SUMMARY = (
+    f"WITH {_ORDERS_PASS_AGG}, {_WARN_AGG}, r AS (\n"
+    + _union(
+        *[f"SELECT 'warning' AS tier, 'orders.warn' AS suite, COALESCE({p}, FALSE) AS passed FROM w" for p in _WARN_PASSED],
+        *[f"SELECT 'failure' AS tier, 'orders.pass' AS suite, COALESCE({p}, FALSE) AS passed FROM o" for p in _PASS_PASSED],
+    )
+    + ")\nSELECT tier, suite, COUNT(*) AS n_checks, COUNT_IF(passed) AS n_passed, "
+    "ROUND(COUNT_IF(passed) / CAST(COUNT(*) AS DOUBLE), 6) AS pass_rate FROM r GROUP BY tier, suite"
+)
+
+ORACLE.update({
+    "suite_validate": SUITE_VALIDATE,
+    "suite_fail": SUITE_FAIL,
+    "schema_expectations": SCHEMA_EXPECTATIONS,
+    "batch_validate": BATCH_VALIDATE,
+    "latest_batch": LATEST_BATCH,
+    "checkpoint_summary": CHECKPOINT_SUMMARY,
+})

@@ -191,3 +191,106 @@ QUERIES = {
     "ground_truth_check": q_ground_truth_check,
     "spot_check": q_spot_check,
 }
+
+
+# ----------------------------------------------------------------------------- expectations family
+
+from ..operators import expectations as E  # noqa: E402
+from ..sources import batches as B  # noqa: E402
+
+
+def _exp(t, **kw):
+    return {"expectation_type": t, "kwargs": kw}
+
+
+ORDER_PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+ORDERS_SUITE = {
+    "expectation_suite_name": "orders.pass",
+    "expectations": [
+        _exp(E.ROW_COUNT_BETWEEN, min_value=1000, max_value=100000000),
+        _exp(E.NOT_NULL, column="o_orderkey"),
+        _exp(E.DISTINCT_IN_SET, column="o_orderstatus", value_set=["F", "O", "P"]),
+        _exp(E.VALUES_BETWEEN, column="o_totalprice", min_value=0, max_value=600000),
+        _exp(E.IN_SET, column="o_orderpriority", value_set=ORDER_PRIORITIES, mostly=0.95),
+    ],
+}
+
+CUSTOMER_FAIL_SUITE = {
+    "expectation_suite_name": "customer.fail",
+    "expectations": [
+        _exp(E.ROW_COUNT_BETWEEN, min_value=9000, max_value=11000),
+        _exp(E.DISTINCT_IN_SET, column="c_mktsegment", value_set=["AUTOMOBILE", "BUILDING"]),
+        _exp(E.VALUES_BETWEEN, column="c_acctbal", min_value=0, max_value=10000, mostly=0.8),
+        _exp(E.IN_SET, column="c_nationkey", value_set=list(range(10)), mostly=0.5),
+        _exp(E.NOT_NULL, column="c_name", mostly=0.99),
+    ],
+}
+
+PART_SCHEMA_SUITE = {
+    "expectation_suite_name": "part.schema",
+    "expectations": [
+        _exp(E.COLUMNS_MATCH, column_list=["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]),
+        _exp(E.OF_TYPE, column="p_size", type_="int"),
+        _exp(E.OF_TYPE, column="p_retailprice", type_="int"),
+        _exp(E.OF_TYPE, column="p_name", type_="str"),
+        _exp(E.OF_TYPE, column="p_partkey", type_="int"),
+        _exp(E.ROW_COUNT_BETWEEN, min_value=1, max_value=1000000000),
+    ],
+}
+
+EVENTS_DAY_SUITE = {
+    "expectation_suite_name": "events.daily",
+    "expectations": [
+        _exp(E.ROW_COUNT_BETWEEN, min_value=300, max_value=400),
+        _exp(E.NOT_NULL, column="user_id"),
+        _exp(E.VALUES_BETWEEN, column="value", min_value=0, max_value=500),
+        _exp(E.IN_SET, column="event_type", value_set=["click", "view", "purchase", "signup"], mostly=0.75),
+    ],
+}
+
+ORDERS_WARN_SUITE = {
+    "expectation_suite_name": "orders.warn",
+    "expectations": [
+        _exp(E.ROW_COUNT_BETWEEN, min_value=20000, max_value=30000),
+        _exp(E.VALUES_BETWEEN, column="o_totalprice", min_value=1000, max_value=400000, mostly=0.99),
+        _exp(E.IN_SET, column="o_orderstatus", value_set=["F", "O"], mostly=0.9),
+    ],
+}
+
+
+def q_suite_validate(spark, sf_dir):
+    return E.validate(T(spark, sf_dir, "orders"), ORDERS_SUITE)
+
+
+def q_suite_fail(spark, sf_dir):
+    return E.validate(T(spark, sf_dir, "customer"), CUSTOMER_FAIL_SUITE)
+
+
+def q_schema_expectations(spark, sf_dir):
+    return E.validate(T(spark, sf_dir, "part"), PART_SCHEMA_SUITE)
+
+
+def q_batch_validate(spark, sf_dir):
+    ev = B.with_batch_day(T(spark, sf_dir, "events"), "ts")
+    return E.run_checkpoint(ev, EVENTS_DAY_SUITE, ["batch_date"], name="events.daily.chk")
+
+
+def q_latest_batch(spark, sf_dir):
+    ev = B.with_batch_day(T(spark, sf_dir, "events"), "ts")
+    return B.latest_batch(ev, "batch_date").select("event_id", "user_id", "event_type", "value", "batch_date")
+
+
+def q_checkpoint_summary(spark, sf_dir):
+    res = E.validate_tiers(T(spark, sf_dir, "orders"), {"warning": ORDERS_WARN_SUITE, "failure": ORDERS_SUITE})
+    return E.summary(res, keys=("tier", "suite"))
+
+
+QUERIES.update({
+    "suite_validate": q_suite_validate,
+    "suite_fail": q_suite_fail,
+    "schema_expectations": q_schema_expectations,
+    "batch_validate": q_batch_validate,
+    "latest_batch": q_latest_batch,
+    "checkpoint_summary": q_checkpoint_summary,
+})
