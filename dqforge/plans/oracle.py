@@ -390,3 +390,62 @@ ORACLE.update({
     "latest_batch": LATEST_BATCH,
     "checkpoint_summary": CHECKPOINT_SUMMARY,
 })
+
+
+# ----------------------------------------------------------------------------- integrity family
+
+LOAD_ERRORS = """
+WITH g AS (SELECT l_returnflag AS file_group,
+  CAST(0 AS BIGINT) AS l_orderkey, CAST(0 AS BIGINT) AS l_linenumber,
+  COUNT_IF(l_linenumber = 7) AS l_quantity,
+  COUNT_IF(l_linenumber = 3 AND l_returnflag = 'A') AS l_extendedprice,
+  COUNT_IF(l_linenumber = 2 AND l_returnflag = 'N') AS l_shipdate,
+  COUNT_IF(l_linenumber = 6 AND l_returnflag = 'R') AS too_many_fields,
+  COUNT_IF(l_linenumber = 5 AND l_returnflag = 'A') AS short_rows
+  FROM lineitem GROUP BY 1)
+SELECT file_group, column_name, CAST(n_errors AS BIGINT) AS n_errors FROM g
+UNPIVOT (n_errors FOR column_name IN (l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_shipdate,
+                                      too_many_fields, short_rows))
+"""
+
+
+def _fp(cols):
+    return f"SUM(CAST(('0x' || substr(md5(concat_ws('|', {', '.join(cols)})), 1, 8))::BIGINT AS DECIMAL(38,0)))"
+
+
+TABLE_FINGERPRINT = f"""
+SELECT 'lineitem' AS table_name, COUNT(*) AS n_rows,
+       CAST(COALESCE({_fp(['l_orderkey', 'l_partkey', 'l_suppkey', 'l_linenumber', 'l_returnflag'])}, 0) AS DECIMAL(38,0)) AS fingerprint
+FROM lineitem
+UNION ALL
+SELECT 'orders', COUNT(*), CAST(COALESCE({_fp(['o_orderkey', 'o_custkey', 'o_orderstatus'])}, 0) AS DECIMAL(38,0))
+FROM orders
+"""
+
+DIFF_TABLES = """
+WITH src AS (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, l_returnflag FROM lineitem),
+tgt AS (
+  SELECT l_orderkey, l_linenumber, l_partkey,
+         CASE WHEN l_linenumber = 1 AND l_returnflag = 'R' THEN l_quantity + 1 ELSE l_quantity END AS l_quantity,
+         l_extendedprice, l_returnflag
+  FROM lineitem WHERE l_linenumber <> 7
+  UNION ALL
+  SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, l_returnflag
+  FROM lineitem WHERE l_linenumber = 6 AND l_returnflag = 'A'),
+u AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, md5(concat_ws('|', l_quantity, l_extendedprice, l_returnflag)) AS h,
+         1 AS s, 0 AS t FROM src
+  UNION ALL
+  SELECT l_orderkey, l_linenumber, l_partkey, md5(concat_ws('|', l_quantity, l_extendedprice, l_returnflag)), 0, 1 FROM tgt),
+g AS (SELECT l_orderkey, l_linenumber, l_partkey, h, SUM(s) AS n_source, SUM(t) AS n_target FROM u GROUP BY ALL)
+SELECT l_orderkey, l_linenumber, l_partkey, CAST(n_source AS BIGINT) AS n_source, CAST(n_target AS BIGINT) AS n_target,
+       CASE WHEN n_target = 0 THEN 'missing_in_target' WHEN n_source = 0 THEN 'missing_in_source'
+            ELSE 'count_differs' END AS status
+FROM g WHERE n_source <> n_target
+"""
+
+ORACLE.update({
+    "load_errors": LOAD_ERRORS,
+    "table_fingerprint": TABLE_FINGERPRINT,
+    "diff_tables": DIFF_TABLES,
+})

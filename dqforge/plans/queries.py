@@ -294,3 +294,79 @@ QUERIES.update({
     "latest_batch": q_latest_batch,
     "checkpoint_summary": q_checkpoint_summary,
 })
+
+
+# ----------------------------------------------------------------------------- integrity family
+
+from ..operators import integrity as I  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources.files import load_csv_checked  # noqa: E402
+
+LOAD_SCHEMA = "l_orderkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_shipdate date"
+
+
+def _lineitem_as_text(li: DataFrame) -> DataFrame:
+    """lineitem columns as CSV lines with bad tokens injected by a key rule:
+    quantity 'n/a' on line 7; price 'abc' on line 3 of flag A; an impossible date on line 2 of
+    flag N; an extra field on line 6 of flag R; the last field missing on line 5 of flag A."""
+    ln, rf = F.col("l_linenumber"), F.col("l_returnflag")
+    fields = [
+        F.col("l_orderkey").cast("string"),
+        ln.cast("string"),
+        F.when(ln == 7, F.lit("n/a")).otherwise(F.col("l_quantity").cast("string")),
+        F.when((ln == 3) & (rf == "A"), F.lit("abc")).otherwise(F.col("l_extendedprice").cast("string")),
+        F.when((ln == 2) & (rf == "N"), F.lit("2024-13-45")).otherwise(F.date_format("l_shipdate", "yyyy-MM-dd")),
+    ]
+    line = (
+        F.when((ln == 6) & (rf == "R"), F.concat_ws(",", *fields, F.lit("extra")))
+        .when((ln == 5) & (rf == "A"), F.concat_ws(",", *fields[:-1]))
+        .otherwise(F.concat_ws(",", *fields))
+    )
+    return li.select(line.alias("value"), rf)
+
+
+def q_load_errors(spark, sf_dir):
+    out = scratch_path(spark, "load-errors")
+    _lineitem_as_text(T(spark, sf_dir, "lineitem")).write.partitionBy("l_returnflag").text(out)
+    checked = load_csv_checked(spark, out, LOAD_SCHEMA, allow_jagged=True)
+    return I.load_errors(checked, group_col="l_returnflag")
+
+
+LI_FP_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag"]
+O_FP_COLS = ["o_orderkey", "o_custkey", "o_orderstatus"]
+
+
+def q_table_fingerprint(spark, sf_dir):
+    a = I.table_fingerprint(T(spark, sf_dir, "lineitem"), LI_FP_COLS).select(F.lit("lineitem").alias("table_name"), "*")
+    b = I.table_fingerprint(T(spark, sf_dir, "orders"), O_FP_COLS).select(F.lit("orders").alias("table_name"), "*")
+    return a.unionByName(b)
+
+
+DIFF_KEY = ["l_orderkey", "l_linenumber", "l_partkey"]
+DIFF_COLS = ["l_quantity", "l_extendedprice", "l_returnflag"]
+
+
+def _lineitem_target(li: DataFrame) -> DataFrame:
+    """A drifted copy: line 7 dropped, quantity +1 on line 1 of flag R, line 6 of flag A doubled."""
+    ln, rf = F.col("l_linenumber"), F.col("l_returnflag")
+    kept = li.filter(ln != 7).withColumn(
+        "l_quantity", F.when((ln == 1) & (rf == "R"), F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
+    )
+    return kept.unionByName(li.filter((ln == 6) & (rf == "A")))
+
+
+def q_diff_tables(spark, sf_dir):
+    li = T(spark, sf_dir, "lineitem")
+    return I.diff_tables(li, _lineitem_target(li), DIFF_KEY, DIFF_COLS)
+
+
+def q_file_checksums(spark, sf_dir):
+    return I.file_checksums(spark, sf_dir, glob="*.parquet").select("file_name", "length", "md5")
+
+
+QUERIES.update({
+    "load_errors": q_load_errors,
+    "table_fingerprint": q_table_fingerprint,
+    "diff_tables": q_diff_tables,
+    "file_checksums": q_file_checksums,
+})
