@@ -449,3 +449,102 @@ ORACLE.update({
     "table_fingerprint": TABLE_FINGERPRINT,
     "diff_tables": DIFF_TABLES,
 })
+
+
+# ----------------------------------------------------------------------------- publish / registry / prep
+
+PUBLISH_NEW = """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+       COALESCE(o_orderpriority, '3-MEDIUM') AS o_orderpriority
+FROM orders s
+WHERE s.o_orderdate >= DATE '1997-01-01'
+  AND NOT EXISTS (SELECT 1 FROM orders d WHERE d.o_orderdate < DATE '1998-01-01' AND d.o_orderkey = s.o_orderkey)
+"""
+
+PUBLISH_NEW_COMPOSITE = """
+SELECT * FROM lineitem s
+WHERE s.l_shipdate >= DATE '1998-01-01'
+  AND NOT EXISTS (SELECT 1 FROM lineitem d WHERE d.l_shipdate < DATE '1999-01-01'
+                  AND d.l_orderkey = s.l_orderkey AND d.l_linenumber = s.l_linenumber)
+"""
+
+_DEST0 = "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderdate < DATE '1997-01-01'"
+WAP_PUBLISH = f"""
+WITH d AS ({_DEST0}),
+n AS (SELECT o_orderkey, o_orderstatus FROM orders s WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.o_orderkey = s.o_orderkey)),
+f AS (SELECT * FROM d UNION ALL SELECT * FROM n)
+SELECT o_orderstatus, COUNT(*) AS n_rows FROM f GROUP BY o_orderstatus
+"""
+WAP_GATE_FAIL = f"SELECT o_orderstatus, COUNT(*) AS n_rows FROM ({_DEST0}) GROUP BY o_orderstatus"
+
+ARCHIVE_FAILURES = (
+    "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE NOT ("
+    + " AND ".join(f"COALESCE({r}, FALSE)" for _, r in _ORD) + ")"
+)
+
+ENRICH_COSTS = """
+SELECT o_orderkey, o_custkey, c_name, c_acctbal, o_totalprice, o_totalprice + COALESCE(c_acctbal, 0.0) AS total_value
+FROM orders LEFT JOIN customer ON c_custkey = o_custkey
+"""
+COST_RATIO = """
+SELECT o_orderkey, o_totalprice / NULLIF(c_acctbal, 0) AS price_per_balance
+FROM orders LEFT JOIN customer ON c_custkey = o_custkey
+"""
+
+RESOLVE_SCHEMA = """
+SELECT c_custkey, c_name AS customer_name, c_nationkey, c_acctbal, CAST('bronze' AS VARCHAR) AS loyalty_tier,
+       FALSE AS is_active, CAST(NULL AS DECIMAL(38,0)) AS credit_score
+FROM customer
+"""
+SELECT_BY_POSITION = "SELECT CAST(c_custkey AS INTEGER) AS id, c_nationkey AS nation, c_acctbal AS balance FROM customer"
+
+CLEAN_ROWS = r"""
+WITH d AS (SELECT DISTINCT * FROM part
+           WHERE p_partkey IS NOT NULL AND p_name IS NOT NULL AND p_brand IS NOT NULL AND p_type IS NOT NULL
+             AND p_size IS NOT NULL AND p_retailprice IS NOT NULL),
+t AS (SELECT regexp_replace(regexp_replace(p_name, '^\s+', ''), '\s+$', '') AS p_name,
+             regexp_replace(regexp_replace(p_brand, '^\s+', ''), '\s+$', '') AS p_brand,
+             regexp_replace(regexp_replace(p_type, '^\s+', ''), '\s+$', '') AS p_type, p_size FROM d)
+SELECT p_name, p_brand, CASE WHEN p_type = 'ECONOMY' THEN 'Unknown' ELSE p_type END AS p_type, p_size FROM t
+"""
+
+ONE_HOT = """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal,
+  CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 1 ELSE 0 END AS c_mktsegment_AUTOMOBILE,
+  CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END AS c_mktsegment_BUILDING,
+  CASE WHEN c_mktsegment = 'FURNITURE' THEN 1 ELSE 0 END AS c_mktsegment_FURNITURE,
+  CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 1 ELSE 0 END AS c_mktsegment_HOUSEHOLD,
+  CASE WHEN c_mktsegment = 'MACHINERY' THEN 1 ELSE 0 END AS c_mktsegment_MACHINERY
+FROM customer
+"""
+
+BIN_COLUMN = """
+SELECT c_custkey, c_acctbal,
+  CASE WHEN c_acctbal > -1000 AND c_acctbal <= 0 THEN 1
+       WHEN c_acctbal > 0 AND c_acctbal <= 2500 THEN 2
+       WHEN c_acctbal > 2500 AND c_acctbal <= 5000 THEN 3
+       WHEN c_acctbal > 5000 AND c_acctbal <= 7500 THEN 4
+       WHEN c_acctbal > 7500 AND c_acctbal <= 10000 THEN 5 END AS acctbal_bin
+FROM customer
+"""
+
+FLAG_EQUALS = "SELECT p_partkey, p_type, CASE WHEN p_type = 'STANDARD' THEN 1 ELSE 0 END AS is_standard FROM part"
+
+WITH_LOAD_DATE = "SELECT event_id, event_type, '2024-01-31' AS upload_date FROM events"
+
+ORACLE.update({
+    "publish_new": PUBLISH_NEW,
+    "publish_new_composite": PUBLISH_NEW_COMPOSITE,
+    "wap_publish": WAP_PUBLISH,
+    "wap_gate_fail": WAP_GATE_FAIL,
+    "archive_failures": ARCHIVE_FAILURES,
+    "enrich_costs": ENRICH_COSTS,
+    "cost_ratio": COST_RATIO,
+    "resolve_schema": RESOLVE_SCHEMA,
+    "select_by_position": SELECT_BY_POSITION,
+    "clean_rows": CLEAN_ROWS,
+    "one_hot": ONE_HOT,
+    "bin_column": BIN_COLUMN,
+    "flag_equals": FLAG_EQUALS,
+    "with_load_date": WITH_LOAD_DATE,
+})

@@ -370,3 +370,164 @@ QUERIES.update({
     "diff_tables": q_diff_tables,
     "file_checksums": q_file_checksums,
 })
+
+
+# ----------------------------------------------------------------------------- publish / registry / prep
+
+import datetime as _dt  # noqa: E402
+
+from ..operators import prep as PR  # noqa: E402
+from ..operators import publish as P  # noqa: E402
+from ..operators import registry as RG  # noqa: E402
+from ..sources.tables import archive_failures  # noqa: E402
+
+D1997 = _dt.date(1997, 1, 1)
+D1998 = _dt.date(1998, 1, 1)
+D1999 = _dt.date(1999, 1, 1)
+
+
+def q_publish_new(spark, sf_dir):
+    o = T(spark, sf_dir, "orders")
+    dest = o.filter(F.col("o_orderdate") < F.lit(D1998))
+    staged = o.filter(F.col("o_orderdate") >= F.lit(D1997))
+    return P.publish_new(staged, dest, ["o_orderkey"], defaults={"o_orderpriority": "3-MEDIUM"})
+
+
+def q_publish_new_composite(spark, sf_dir):
+    li = T(spark, sf_dir, "lineitem")
+    dest = li.filter(F.col("l_shipdate") < F.lit(D1999))
+    staged = li.filter(F.col("l_shipdate") >= F.lit(D1998))
+    return P.publish_new(staged, dest, ["l_orderkey", "l_linenumber"])
+
+
+WAP_COLUMN_CHECKS = {"o_orderkey": {"null_check": {"equal_to": 0}}, "o_totalprice": {"min": {"geq_to": 0}}}
+WAP_TABLE_PASS = {"row_count_check": "COUNT(*) > 0"}
+WAP_TABLE_FAIL = {"row_count_check": "COUNT(*) > 1000000000"}
+
+
+def _wap(spark, sf_dir, table_checks):
+    o = T(spark, sf_dir, "orders")
+    dest_path = scratch_path(spark, "wap-dest")
+    o.filter(F.col("o_orderdate") < F.lit(D1997)).write.parquet(dest_path)
+    P.write_audit_publish(o, dest_path, ["o_orderkey"], column=WAP_COLUMN_CHECKS, table=table_checks, on_fail="warn")
+    return spark.read.parquet(dest_path).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def q_wap_publish(spark, sf_dir):
+    return _wap(spark, sf_dir, WAP_TABLE_PASS)
+
+
+def q_wap_gate_fail(spark, sf_dir):
+    return _wap(spark, sf_dir, WAP_TABLE_FAIL)
+
+
+def q_archive_failures(spark, sf_dir):
+    path = scratch_path(spark, "archive")
+    archive_failures(C.failing_rows(T(spark, sf_dir, "orders"), ORDER_RULES), path,
+                     ["o_orderkey", "o_orderstatus", "o_totalprice"])
+    return spark.read.parquet(path)
+
+
+def _orders_customers(spark, sf_dir):
+    o = T(spark, sf_dir, "orders")
+    c = T(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "o_custkey")
+    return P.enrich(o, c, ["o_custkey"], "left")
+
+
+def q_enrich_costs(spark, sf_dir):
+    j = _orders_customers(spark, sf_dir)
+    return j.select(
+        "o_orderkey", "o_custkey", "c_name", "c_acctbal", "o_totalprice",
+        (F.col("o_totalprice") + F.coalesce(F.col("c_acctbal"), F.lit(0.0))).alias("total_value"),
+    )
+
+
+def q_cost_ratio(spark, sf_dir):
+    j = _orders_customers(spark, sf_dir)
+    return j.select("o_orderkey", F.try_divide(F.col("o_totalprice"), F.col("c_acctbal")).alias("price_per_balance"))
+
+
+CUSTOMER_REGISTRY = {
+    "customer": {
+        "properties": {
+            "C_CUSTKEY": {"type": "int", "description": "source_order=1"},
+            "CUSTOMER_NAME": {"type": "varchar(25)", "description": "source_order=2", "default_source": "source=C_NAME"},
+            "C_NATIONKEY": {"type": "int", "description": "source_order=3"},
+            "C_ACCTBAL": {"type": "float", "description": "source_order=4"},
+            "LOYALTY_TIER": {"type": "varchar(10)", "description": "source_order=5", "default": "bronze"},
+            "IS_ACTIVE": {"type": "bool", "description": "source_order=6"},
+            "CREDIT_SCORE": {"type": "number", "description": "source_order=7"},
+        },
+        "dimensions": ["c_custkey"],
+        "metrics": ["c_acctbal"],
+        "cluster_keys": {"columns": ["C_CUSTKEY"]},
+    }
+}
+
+POSITION_REGISTRY = {
+    "customer_pos": {
+        "properties": {
+            "ID": {"type": "int", "description": "source_order=1"},
+            "NATION": {"type": "int", "description": "source_order=3"},
+            "BALANCE": {"type": "float", "description": "source_order=4"},
+            "HASH_DIFF": {"type": "varchar(64)", "description": "source_order=5"},
+        }
+    }
+}
+
+
+def q_resolve_schema(spark, sf_dir):
+    return RG.resolve_schema(T(spark, sf_dir, "customer"), RG.load_registry(CUSTOMER_REGISTRY, "customer"))
+
+
+def q_select_by_position(spark, sf_dir):
+    path = scratch_path(spark, "customer-csv")
+    T(spark, sf_dir, "customer").write.option("header", False).csv(path)
+    raw = spark.read.option("header", False).csv(path)
+    return RG.select_by_position(raw, RG.load_registry(POSITION_REGISTRY, "customer_pos"))
+
+
+def q_clean_rows(spark, sf_dir):
+    return PR.clean(T(spark, sf_dir, "part"), sentinel_cols=["p_type"], sentinel="ECONOMY", replacement="Unknown",
+                    drop=["p_partkey", "p_retailprice"])
+
+
+def q_one_hot(spark, sf_dir):
+    return PR.one_hot(T(spark, sf_dir, "customer"), ["c_mktsegment"])
+
+
+BALANCE_EDGES = [-1000, 0, 2500, 5000, 7500, 10000]
+
+
+def q_bin_column(spark, sf_dir):
+    c = T(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    return PR.bin_column(c, "c_acctbal", BALANCE_EDGES, [1, 2, 3, 4, 5], name="acctbal_bin")
+
+
+def q_flag_equals(spark, sf_dir):
+    p = T(spark, sf_dir, "part").select("p_partkey", "p_type")
+    return PR.flag_equals(p, "p_type", "STANDARD", name="is_standard")
+
+
+def q_with_load_date(spark, sf_dir):
+    ev = T(spark, sf_dir, "events").select("event_id", "event_type")
+    out = PR.with_load_date(ev, "2024-02-01", offset=1)
+    return out.withColumn("upload_date", F.date_format("upload_date", "yyyy-MM-dd"))
+
+
+QUERIES.update({
+    "publish_new": q_publish_new,
+    "publish_new_composite": q_publish_new_composite,
+    "wap_publish": q_wap_publish,
+    "wap_gate_fail": q_wap_gate_fail,
+    "archive_failures": q_archive_failures,
+    "enrich_costs": q_enrich_costs,
+    "cost_ratio": q_cost_ratio,
+    "resolve_schema": q_resolve_schema,
+    "select_by_position": q_select_by_position,
+    "clean_rows": q_clean_rows,
+    "one_hot": q_one_hot,
+    "bin_column": q_bin_column,
+    "flag_equals": q_flag_equals,
+    "with_load_date": q_with_load_date,
+})
