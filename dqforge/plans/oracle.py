@@ -548,3 +548,74 @@ ORACLE.update({
     "flag_equals": FLAG_EQUALS,
     "with_load_date": WITH_LOAD_DATE,
 })
+
+
+# ----------------------------------------------------------------------------- model evaluation
+
+STRATIFIED_SPLIT = """
+WITH h AS (SELECT *, md5(concat_ws('|', doc_id, '55')) AS h FROM labels),
+n AS (SELECT quality, COUNT(*) AS n FROM labels GROUP BY quality),
+r AS (SELECT h.*, row_number() OVER (PARTITION BY quality ORDER BY h, doc_id) AS rn FROM h)
+SELECT r.doc_id, r.quality, r.toxic, CASE WHEN rn <= CEIL(n.n * 0.2) THEN 'test' ELSE 'train' END AS split
+FROM r JOIN n ON r.quality = n.quality
+"""
+
+_SCORED = """x AS (SELECT l.quality AS y, d.lang AS lang, CAST(d.n_chars AS DOUBLE) / (d.n_chars + 5000.0) AS score,
+  CASE WHEN CAST(d.n_chars AS DOUBLE) / (d.n_chars + 5000.0) > 0.5 THEN 1 ELSE 0 END AS yhat
+  FROM labels l JOIN documents d ON l.doc_id = d.doc_id)"""
+
+CONFUSION = f"""WITH {_SCORED}
+SELECT COUNT_IF(y = 1 AND yhat = 1) AS tp, COUNT_IF(y = 0 AND yhat = 1) AS fp,
+       COUNT_IF(y = 0 AND yhat = 0) AS tn, COUNT_IF(y = 1 AND yhat = 0) AS fn FROM x"""
+
+CLASSIFICATION_REPORT = f"""WITH {_SCORED},
+c AS (SELECT CAST(COUNT_IF(y = 1 AND yhat = 1) AS DOUBLE) AS tp, CAST(COUNT_IF(y = 0 AND yhat = 1) AS DOUBLE) AS fp,
+             CAST(COUNT_IF(y = 0 AND yhat = 0) AS DOUBLE) AS tn, CAST(COUNT_IF(y = 1 AND yhat = 0) AS DOUBLE) AS fn FROM x),
+m AS (SELECT *,
+  CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END AS p1, CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END AS r1,
+  CASE WHEN tn + fn = 0 THEN 0.0 ELSE tn / (tn + fn) END AS p0, CASE WHEN tn + fp = 0 THEN 0.0 ELSE tn / (tn + fp) END AS r0,
+  tp + fn AS s1, tn + fp AS s0, tp + fn + tn + fp AS n FROM c),
+f AS (SELECT *, CASE WHEN p1 + r1 = 0 THEN 0.0 ELSE 2.0 * p1 * r1 / (p1 + r1) END AS f1,
+               CASE WHEN p0 + r0 = 0 THEN 0.0 ELSE 2.0 * p0 * r0 / (p0 + r0) END AS f0 FROM m)
+SELECT '0' AS class, ROUND(p0, 6) AS precision, ROUND(r0, 6) AS recall, ROUND(f0, 6) AS f1_score, CAST(s0 AS BIGINT) AS support FROM f
+UNION ALL SELECT '1', ROUND(p1, 6), ROUND(r1, 6), ROUND(f1, 6), CAST(s1 AS BIGINT) FROM f
+UNION ALL SELECT 'accuracy', NULL, NULL, ROUND(CASE WHEN n = 0 THEN 0.0 ELSE (tp + tn) / n END, 6), CAST(n AS BIGINT) FROM f
+UNION ALL SELECT 'macro avg', ROUND((p0 + p1) / 2, 6), ROUND((r0 + r1) / 2, 6), ROUND((f0 + f1) / 2, 6), CAST(n AS BIGINT) FROM f
+UNION ALL SELECT 'weighted avg', ROUND(CASE WHEN n = 0 THEN 0.0 ELSE (p0 * s0 + p1 * s1) / n END, 6),
+  ROUND(CASE WHEN n = 0 THEN 0.0 ELSE (r0 * s0 + r1 * s1) / n END, 6),
+  ROUND(CASE WHEN n = 0 THEN 0.0 ELSE (f0 * s0 + f1 * s1) / n END, 6), CAST(n AS BIGINT) FROM f
+"""
+
+_ROC_CUM = f"""WITH {_SCORED},
+g AS (SELECT score AS threshold, COUNT_IF(y = 1) AS pos, COUNT_IF(y <> 1) AS neg FROM x GROUP BY score),
+c AS (SELECT threshold, pos, neg,
+        SUM(pos) OVER (ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_pos,
+        SUM(neg) OVER (ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_neg,
+        SUM(pos) OVER () AS p_all, SUM(neg) OVER () AS n_all FROM g)"""
+
+ROC_POINTS = _ROC_CUM + """
+SELECT threshold, ROUND(CASE WHEN p_all = 0 THEN NULL ELSE cum_pos / CAST(p_all AS DOUBLE) END, 6) AS tpr,
+       ROUND(CASE WHEN n_all = 0 THEN NULL ELSE cum_neg / CAST(n_all AS DOUBLE) END, 6) AS fpr FROM c
+"""
+
+AUC = _ROC_CUM + """
+SELECT ROUND(SUM(CAST(neg AS DOUBLE) * (2.0 * cum_pos - pos)) / NULLIF(2.0 * SUM(pos) * SUM(neg), 0), 6) AS auc FROM c
+"""
+
+BEST_RUN = f"""WITH {_SCORED},
+g AS (SELECT lang AS run_id, COUNT_IF(y = 1 AND yhat = 1) AS tp, COUNT_IF(y = 1) AS p,
+             COUNT_IF(y = 0 AND yhat = 0) AS tn, COUNT_IF(y = 0) AS n FROM x GROUP BY lang),
+r AS (SELECT run_id,
+        ROUND((CAST(tp AS DOUBLE) / NULLIF(p, 0) + CAST(tn AS DOUBLE) / NULLIF(n, 0)) / 2, 6) AS auc,
+        ROUND(CAST(tp + tn AS DOUBLE) / NULLIF(p + n, 0), 6) AS accuracy FROM g)
+SELECT run_id, auc, accuracy FROM r ORDER BY auc DESC NULLS LAST, accuracy DESC NULLS LAST, run_id ASC LIMIT 1
+"""
+
+ORACLE.update({
+    "stratified_split": STRATIFIED_SPLIT,
+    "confusion": CONFUSION,
+    "classification_report": CLASSIFICATION_REPORT,
+    "roc_points": ROC_POINTS,
+    "auc": AUC,
+    "best_run": BEST_RUN,
+})

@@ -531,3 +531,64 @@ QUERIES.update({
     "flag_equals": q_flag_equals,
     "with_load_date": q_with_load_date,
 })
+
+
+# ----------------------------------------------------------------------------- model evaluation
+
+from ..operators import evaluate as EV  # noqa: E402
+
+
+def q_stratified_split(spark, sf_dir):
+    return EV.stratified_split(T(spark, sf_dir, "labels"), "quality", "doc_id", test_fraction=0.2, seed=55)
+
+
+def _scored(spark, sf_dir) -> DataFrame:
+    """labels ⋈ documents; score from document length, hard label at 0.5 (length > 5000)."""
+    lab = T(spark, sf_dir, "labels")
+    docs = T(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang")
+    j = lab.join(docs, "doc_id", "inner")
+    score = F.col("n_chars") / (F.col("n_chars") + F.lit(5000.0))
+    return j.withColumn("score", score).withColumn("yhat", EV.predict_class("score"))
+
+
+def q_confusion(spark, sf_dir):
+    return EV.confusion(_scored(spark, sf_dir), "quality", "yhat")
+
+
+def q_classification_report(spark, sf_dir):
+    return EV.classification_report(_scored(spark, sf_dir), "quality", "yhat")
+
+
+def q_roc_points(spark, sf_dir):
+    return EV.roc_points(_scored(spark, sf_dir), "quality", "score")
+
+
+def q_auc(spark, sf_dir):
+    return EV.auc(_scored(spark, sf_dir), "quality", "score")
+
+
+def q_best_run(spark, sf_dir):
+    runs = EV.hard_label_metrics(_scored(spark, sf_dir), "quality", "yhat", by=["lang"]).withColumnRenamed("lang", "run_id")
+    return EV.best_run(runs)
+
+
+GRID_FEATURES = ["n_chars", "is_en"]
+
+
+def q_grid_search(spark, sf_dir):
+    s = _scored(spark, sf_dir).withColumn("is_en", (F.col("lang") == "en").cast("double")).withColumn(
+        "n_chars", F.col("n_chars").cast("double"))
+    _, res = EV.grid_search(s, GRID_FEATURES, "quality", "log_reg",
+                            grid={"regParam": [0.01, 0.1], "elasticNetParam": [0.0]}, folds=3, parallelism=2)
+    return res
+
+
+QUERIES.update({
+    "stratified_split": q_stratified_split,
+    "confusion": q_confusion,
+    "classification_report": q_classification_report,
+    "roc_points": q_roc_points,
+    "auc": q_auc,
+    "best_run": q_best_run,
+    "grid_search": q_grid_search,
+})
