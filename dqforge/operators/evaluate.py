@@ -15,6 +15,7 @@ from typing import Any, Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.running import running_sums
+from ..session import ensure_checkpoint_dir
 
 # Hash buckets for the split histogram: 16^5 ≈ 1M buckets per label bound the boundary bucket
 # (the only rows ranked individually) to about n / 1M rows.
@@ -48,6 +49,9 @@ def stratified_split(df: DataFrame, label: str, key_cols: Sequence[str] | str, t
     boundary = cum.filter((F.col("_cum") - F.col("_c") < F.col("_target")) & (F.col("_target") <= F.col("_cum"))).select(
         F.col(label), F.col("_b").alias("_bb"), (F.col("_target") - (F.col("_cum") - F.col("_c"))).alias("_need")
     )
+    # computed once (checkpointed to the shared folder): counted here, joined below
+    ensure_checkpoint_dir(df.sparkSession)
+    boundary = boundary.checkpoint(eager=True)
     n_labels = boundary.count()  # one row per label that has test rows
     if n_labels <= MAX_LABELS_BROADCAST:
         boundary = F.broadcast(boundary)
@@ -118,10 +122,16 @@ def classification_report(df: DataFrame, y: str, yhat: str) -> DataFrame:
 
 
 def _score_counts(df: DataFrame, y: str, score: str) -> DataFrame:
-    """Positives and negatives per distinct score (hot scores collapse in the partial aggregate)."""
-    return df.groupBy(F.col(score).cast("double").alias("threshold")).agg(
+    """Positives and negatives per distinct score (hot scores collapse in the partial aggregate).
+
+    Checkpointed to the shared folder: the quantile sketch, the range totals and the running
+    sums all read it, so the source is scanned once and lineage is cut.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    g = df.groupBy(F.col(score).cast("double").alias("threshold")).agg(
         F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg")
     )
+    return g.checkpoint(eager=True)
 
 
 def roc_points(df: DataFrame, y: str, score: str, n_buckets: int = 64) -> DataFrame:
@@ -241,7 +251,7 @@ def refit(df: DataFrame, feature_cols: Sequence[str], label: str, model: str, pa
 
     est = _estimator(model, "_features", label, seed)
     for k, v in params.items():
-        est = est.set(est.getParam(k), v)
+        est.set(est.getParam(k), v)
     pipe = Pipeline(stages=[VectorAssembler(inputCols=list(feature_cols), outputCol="_features"), est])
     return pipe.fit(df.withColumn(label, F.col(label).cast("double")))
 
