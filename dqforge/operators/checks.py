@@ -441,17 +441,9 @@ def interval_check(
     today = _as_date(run_date)
     ref = today + _dt.timedelta(days=-abs(int(days_back)))
     dcol = F.col(date_filter_column)
-    dtype = df.schema[date_filter_column].dataType.typeName()
-
-    def day_range(d: _dt.date) -> Column:
-        if dtype == "date":
-            return dcol == F.lit(d)
-        start = _dt.datetime.combine(d, _dt.time())
-        end = start + _dt.timedelta(days=1)
-        return (dcol >= F.lit(start)) & (dcol < F.lit(end))
 
     names = list(metrics_thresholds)
-    scoped = df.filter(day_range(today) | day_range(ref)).withColumn("_day", F.to_date(dcol))
+    scoped = on_dates(df, date_filter_column, [today, ref]).withColumn("_day", F.to_date(dcol))
     per_day = scoped.groupBy("_day").agg(*[F.expr(m).cast("double").alias(f"_m{i}") for i, m in enumerate(names)])
     folded = per_day.agg(
         *[F.max(F.when(F.col("_day") == F.lit(today), F.col(f"_m{i}"))).alias(f"_t{i}") for i in range(len(names))],
@@ -484,17 +476,35 @@ def interval_check(
     return folded.select(F.inline(F.array(*structs)))
 
 
+def on_dates(df: DataFrame, date_col: str, dates: Iterable) -> DataFrame:
+    """Rows on the given days: a range predicate per day on the raw column, so the filter is
+    pushed to the file scan (row groups / partitions of other days are skipped)."""
+    c = F.col(date_col)
+    dtype = df.schema[date_col].dataType.typeName()
+    conds = []
+    for d in (_as_date(x) for x in dates):
+        if dtype == "date":
+            conds.append(c == F.lit(d))
+        else:
+            start = _dt.datetime.combine(d, _dt.time())
+            conds.append((c >= F.lit(start)) & (c < F.lit(start + _dt.timedelta(days=1))))
+    return df.filter(reduce(lambda a, b: a | b, conds))
+
+
 def metric_by_date(df: DataFrame, metrics: Mapping[str, str], date_col: str, dates: Iterable) -> DataFrame:
-    """Metrics on several dates side by side: one scan, grouped by day."""
-    days = [_as_date(d) for d in dates]
+    """Metrics on several dates side by side: one scan (days pushed down), grouped by day."""
     return (
-        df.withColumn("_day", F.to_date(F.col(date_col)))
-        .filter(F.col("_day").isin(days))
-        .groupBy(F.col("_day").alias(date_col))
+        on_dates(df, date_col, dates)
+        .groupBy(F.to_date(F.col(date_col)).alias(date_col))
         .agg(*[F.expr(expr).alias(alias) for alias, expr in metrics.items()])
     )
 
 
+def value_set(df: DataFrame, column: str) -> DataFrame:
+    """Distinct values of a column with their row counts (partial-aggregated groupBy)."""
+    return df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+
+
 # --------------------------------------------------------------------------- spot and ground-truth checks
 
 
@@ -607,6 +617,8 @@ __all__ = [
     "interval_check",
     "keep_matching",
     "metric_by_date",
+    "on_dates",
+    "value_set",
     "row_flags",
     "row_rules",
     "run_checks",

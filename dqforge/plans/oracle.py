@@ -619,3 +619,122 @@ ORACLE.update({
     "auc": AUC,
     "best_run": BEST_RUN,
 })
+
+
+# ----------------------------------------------------------------------------- more operators of the inventory
+
+METRIC_BY_DATE = """
+SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day, COUNT(*) AS n_events, ROUND(AVG(value), 6) AS avg_value
+FROM events
+WHERE (ts >= TIMESTAMP '2024-01-10 00:00:00' AND ts < TIMESTAMP '2024-01-11 00:00:00')
+   OR (ts >= TIMESTAMP '2024-01-20 00:00:00' AND ts < TIMESTAMP '2024-01-21 00:00:00')
+GROUP BY CAST(ts AS DATE)
+"""
+
+VALUE_SET = "SELECT o_orderpriority AS value, COUNT(*) AS n FROM orders GROUP BY o_orderpriority"
+
+UNEXPECTED_VALUES = """
+SELECT c_nationkey AS value, COUNT(*) AS n FROM customer
+WHERE c_nationkey IS NOT NULL AND c_nationkey NOT IN (0, 1, 2, 3, 4, 5, 6, 7, 8, 9)
+GROUP BY c_nationkey ORDER BY n DESC, value ASC LIMIT 5
+"""
+
+_BATCH_AGG = """b AS (SELECT l_returnflag, COUNT(*) AS n,
+  MIN(l_quantity) AS q_min, MAX(l_quantity) AS q_max, MAX(l_discount) AS d_max,
+  MIN(CASE WHEN l_tax <= 0.08 THEN 1 ELSE 0 END) AS t_v, COUNT_IF(NOT COALESCE(l_tax <= 0.08, FALSE)) AS t_f,
+  COUNT(*) > 15000 AS big
+  FROM lineitem GROUP BY l_returnflag),
+bd AS (SELECT l_returnflag, COUNT(*) AS n, COUNT(DISTINCT l_orderkey) AS v FROM lineitem GROUP BY l_returnflag)"""
+
+
+def _by_flag(sql_select):
+    return sql_select.replace("SELECT ", "SELECT l_returnflag, ", 1)
+
+
+RUN_CHECKS_BY_BATCH = f"WITH {_BATCH_AGG}\n" + _union(
+    _by_flag(_row("lineitem_by_flag", "l_quantity_min", "column", "l_quantity", "min", "geq_to", "1", "q_min", "n",
+                  "NULL", "q_min >= 1", "b")),
+    _by_flag(_row("lineitem_by_flag", "l_quantity_max", "column", "l_quantity", "max", "leq_to", "50", "q_max", "n",
+                  "NULL", "q_max <= 50", "b")),
+    _by_flag(_row("lineitem_by_flag", "l_discount_max", "column", "l_discount", "max", "leq_to", "0.1", "d_max", "n",
+                  "NULL", "d_max <= 0.1", "b")),
+    _by_flag(_row("lineitem_by_flag", "l_orderkey_distinct_check", "column", "l_orderkey", "distinct_check", "geq_to",
+                  "1000", "v", "n", "NULL", "v >= 1000", "bd")),
+    _by_flag(_row("lineitem_by_flag", "tax_cap", "table", None, "row_rule", None, "l_tax <= 0.08", "t_v", "n", "t_f",
+                  "t_v = 1", "b")),
+    _by_flag(_row("lineitem_by_flag", "many_rows", "table", None, "aggregate_rule", None, "COUNT(*) > 15000",
+                  "CAST(big AS INT)", "n", "NULL", "big", "b")),
+)
+
+
+def _tier(tier, sql_select):
+    return f"SELECT *, '{tier}' AS tier FROM ({sql_select})"
+
+
+def _warn_rows(suite="orders.warn"):
+    return [
+        _row(suite, "expect_table_row_count_to_be_between", "table", None, "row_count", "between",
+             _kw(min_value=20000, max_value=30000), "n", "n", "NULL", "n >= 20000 AND n <= 30000", "w"),
+        _row(suite, "expect_column_values_to_be_between", "column", "o_totalprice", "between", "mostly",
+             _kw(column="o_totalprice", min_value=1000, max_value=400000, mostly=0.99), _share("p_nn - p_bad", "p_nn"),
+             "n", "p_bad", _mostly("p_nn - p_bad", "p_nn", 0.99), "w"),
+        _row(suite, "expect_column_values_to_be_in_set", "column", "o_orderstatus", "in_set", "mostly",
+             _kw(column="o_orderstatus", value_set=["F", "O"], mostly=0.9), _share("s_nn - s_bad", "s_nn"), "n",
+             "s_bad", _mostly("s_nn - s_bad", "s_nn", 0.9), "w"),
+    ]
+
+
+VALIDATE_TIERS = f"WITH {_ORDERS_PASS_AGG}, {_WARN_AGG}\n" + _union(
+    *[_tier("warning", r) for r in _warn_rows()], *[_tier("failure", r) for r in _orders_pass_rows()]
+)
+
+_FP_COLS = "l_orderkey, l_linenumber, l_partkey, l_returnflag"
+COMPARE_FINGERPRINTS = f"""
+WITH src AS (SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag FROM lineitem),
+tgt AS (SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag FROM lineitem WHERE l_linenumber <> 7
+        UNION ALL
+        SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag FROM lineitem
+        WHERE l_linenumber = 6 AND l_returnflag = 'A'),
+fa AS (SELECT COUNT(*) AS na, SUM(CAST(('0x' || substr(md5(concat_ws('|', {_FP_COLS})), 1, 8))::BIGINT AS DECIMAL(38,0))) AS fa FROM src),
+fb AS (SELECT COUNT(*) AS nb, SUM(CAST(('0x' || substr(md5(concat_ws('|', {_FP_COLS})), 1, 8))::BIGINT AS DECIMAL(38,0))) AS fb FROM tgt),
+x AS (SELECT * FROM fa, fb)
+""" + _row(None, "lineitem_vs_copy", "integrity", None, "fingerprint", "equal_to", None, "nb", "na", "ABS(na - nb)",
+           "na = nb AND fa = fb", "x")
+
+CSV_HEADER_TS = "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts_text, event_type FROM events"
+
+LIST_BATCHES = f"""
+WITH e AS (SELECT event_type AS batch_type, COUNT(*) AS n,
+  COUNT_IF(value IS NOT NULL AND NOT (value >= 0 AND value <= 400)) AS v_bad, COUNT(value) AS v_nn
+  FROM events GROUP BY event_type)
+""" + _union(
+    _row("events.by_type", "expect_table_row_count_to_be_between", "table", None, "row_count", "between",
+         _kw(min_value=100, max_value=100000000), "n", "n", "NULL", "n >= 100 AND n <= 100000000", "e"
+         ).replace("SELECT ", "SELECT batch_type, ", 1),
+    _row("events.by_type", "expect_column_values_to_be_between", "column", "value", "between", "mostly",
+         _kw(column="value", min_value=0, max_value=400, mostly=0.9), _share("v_nn - v_bad", "v_nn"), "n", "v_bad",
+         _mostly("v_nn - v_bad", "v_nn", 0.9), "e").replace("SELECT ", "SELECT batch_type, ", 1),
+)
+
+UNION_NEW = """
+WITH d AS (SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderdate < DATE '1998-01-01'),
+n AS (SELECT o_orderkey, o_orderstatus FROM orders s WHERE s.o_orderdate >= DATE '1997-01-01'
+      AND NOT EXISTS (SELECT 1 FROM d WHERE d.o_orderkey = s.o_orderkey)),
+f AS (SELECT * FROM d UNION ALL SELECT * FROM n)
+SELECT o_orderstatus, COUNT(*) AS n_rows FROM f GROUP BY o_orderstatus
+"""
+
+DEDUPE = "SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag FROM lineitem"
+
+ORACLE.update({
+    "metric_by_date": METRIC_BY_DATE,
+    "value_set": VALUE_SET,
+    "unexpected_values": UNEXPECTED_VALUES,
+    "run_checks_by_batch": RUN_CHECKS_BY_BATCH,
+    "validate_tiers": VALIDATE_TIERS,
+    "compare_fingerprints": COMPARE_FINGERPRINTS,
+    "csv_header_ts": CSV_HEADER_TS,
+    "list_batches": LIST_BATCHES,
+    "union_new": UNION_NEW,
+    "dedupe": DEDUPE,
+})

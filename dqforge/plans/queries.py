@@ -592,3 +592,107 @@ QUERIES.update({
     "best_run": q_best_run,
     "grid_search": q_grid_search,
 })
+
+
+# ----------------------------------------------------------------------------- more operators of the inventory
+
+from ..sources.files import read_csv  # noqa: E402
+
+
+def q_metric_by_date(spark, sf_dir):
+    ev = T(spark, sf_dir, "events")
+    out = C.metric_by_date(ev, {"n_events": "COUNT(*)", "avg_value": "ROUND(AVG(value), 6)"}, "ts",
+                           ["2024-01-10", "2024-01-20"])
+    return out.select(F.date_format("ts", "yyyy-MM-dd").alias("day"), "n_events", "avg_value")
+
+
+def q_value_set(spark, sf_dir):
+    return C.value_set(T(spark, sf_dir, "orders"), "o_orderpriority")
+
+
+def q_unexpected_values(spark, sf_dir):
+    return E.unexpected_values(T(spark, sf_dir, "customer"), "c_nationkey", list(range(10)), limit=5)
+
+
+BATCH_COLUMN_CHECKS = {
+    "l_quantity": {"min": {"geq_to": 1}, "max": {"leq_to": 50}},
+    "l_discount": {"max": {"leq_to": 0.1}},
+    "l_orderkey": {"distinct_check": {"geq_to": 1000}},
+}
+BATCH_TABLE_CHECKS = {"tax_cap": "l_tax <= 0.08", "many_rows": "COUNT(*) > 15000"}
+
+
+def q_run_checks_by_batch(spark, sf_dir):
+    return C.run_checks(T(spark, sf_dir, "lineitem"), column=BATCH_COLUMN_CHECKS, table=BATCH_TABLE_CHECKS,
+                        suite="lineitem_by_flag", by=["l_returnflag"])
+
+
+def q_validate_tiers(spark, sf_dir):
+    return E.validate_tiers(T(spark, sf_dir, "orders"), {"warning": ORDERS_WARN_SUITE, "failure": ORDERS_SUITE})
+
+
+def q_compare_fingerprints(spark, sf_dir):
+    li = T(spark, sf_dir, "lineitem")
+    return I.compare_fingerprints(li, _lineitem_target(li), DIFF_KEY + ["l_returnflag"], name="lineitem_vs_copy")
+
+
+CSV_TS_FORMAT = "dd/MM/yyyy HH:mm:ss"
+
+
+def q_csv_header_ts(spark, sf_dir):
+    path = scratch_path(spark, "events-csv")
+    ev = T(spark, sf_dir, "events").select("event_id", "ts", "event_type")
+    ev.write.option("header", True).option("timestampNTZFormat", CSV_TS_FORMAT).csv(path)
+    back = read_csv(spark, path, "event_id bigint, ts timestamp_ntz, event_type string", header=True,
+                    ts_format=CSV_TS_FORMAT)
+    return back.select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts_text"), "event_type")
+
+
+EVENT_FILE_PATTERN = r".*/event_type=([a-z]+)/part-[^/]*\.csv"
+
+
+def q_list_batches(spark, sf_dir):
+    path = scratch_path(spark, "events-by-type")
+    T(spark, sf_dir, "events").select("event_id", "user_id", "value", "event_type").write.partitionBy(
+        "event_type").csv(path)
+    df = B.list_batches(spark, path, EVENT_FILE_PATTERN, ["batch_type"],
+                        schema="event_id bigint, user_id bigint, value double", on="file_path")
+    suite = {"expectation_suite_name": "events.by_type", "expectations": [
+        _exp(E.ROW_COUNT_BETWEEN, min_value=100, max_value=100000000),
+        _exp(E.VALUES_BETWEEN, column="value", min_value=0, max_value=400, mostly=0.9),
+    ]}
+    return E.validate(df, suite, by=["batch_type"])
+
+
+def q_union_new(spark, sf_dir):
+    o = T(spark, sf_dir, "orders")
+    dest = o.filter(F.col("o_orderdate") < F.lit(D1998))
+    new = P.publish_new(o.filter(F.col("o_orderdate") >= F.lit(D1997)), dest, ["o_orderkey"])
+    return P.union_new(dest, new).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def q_dedupe(spark, sf_dir):
+    return PR.dedupe(T(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag"))
+
+
+def q_refit_predict(spark, sf_dir):
+    s = _scored(spark, sf_dir).withColumn("is_en", (F.col("lang") == "en").cast("double")).withColumn(
+        "n_chars", F.col("n_chars").cast("double"))
+    model = EV.refit(s, GRID_FEATURES, "quality", "log_reg", {"regParam": 0.01, "elasticNetParam": 0.0})
+    pred = EV.positive_probability(model.transform(s))
+    return pred.select("doc_id", "quality", EV.predict_class("score").alias("predicted"))
+
+
+QUERIES.update({
+    "metric_by_date": q_metric_by_date,
+    "value_set": q_value_set,
+    "unexpected_values": q_unexpected_values,
+    "run_checks_by_batch": q_run_checks_by_batch,
+    "validate_tiers": q_validate_tiers,
+    "compare_fingerprints": q_compare_fingerprints,
+    "csv_header_ts": q_csv_header_ts,
+    "list_batches": q_list_batches,
+    "union_new": q_union_new,
+    "dedupe": q_dedupe,
+    "refit_predict": q_refit_predict,
+})

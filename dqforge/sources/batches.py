@@ -36,16 +36,18 @@ class Batch:
 
 
 def list_batches(spark: SparkSession, directory: str, pattern: str, group_names: Iterable[str],
-                 fmt: str = "csv", schema=None, options: dict | None = None) -> DataFrame:
+                 fmt: str = "csv", schema=None, options: dict | None = None, on: str = "file_name") -> DataFrame:
     """All files of a directory whose name matches ``pattern``; capture groups become batch columns.
 
     One read of every matching file (the scan stays parallel per file split); the batch key of
-    a row comes from the file it was read from (``_metadata.file_name``).
+    a row comes from the file it was read from (``_metadata.file_name`` or ``file_path``).
     """
     reader = spark.read.format(fmt).options(**(options or {}))
     if schema is not None:
         reader = reader.schema(schema)
-    df = reader.load(directory).withColumn("_file_name", F.col("_metadata.file_name"))
+    if on not in ("file_name", "file_path"):
+        raise ValueError("on must be 'file_name' or 'file_path'")
+    df = reader.load(directory).withColumn("_file_name", F.col(f"_metadata.{on}"))
     df = df.filter(F.col("_file_name").rlike(f"^{pattern}$"))
     for i, g in enumerate(group_names, start=1):
         df = df.withColumn(g, F.regexp_extract(F.col("_file_name"), pattern, i))
