@@ -534,9 +534,11 @@ def ground_truth_check(df: DataFrame, expected: Mapping[Any, Mapping[str, Any]]
     """Expected rows (values may be text) vs. actual rows, one flag per column per key.
 
     Output: key, ``found``, ``<col>_check`` 0/1 per expected column (a NULL on either side is 0),
-    ``n_mismatch`` and ``passed``.  A missing key fails.  The expected side is a small literal
-    frame (its size is checked); the actual side is filtered by the key list (pushed to the
-    scan) before one join.
+    ``n_mismatch`` and ``passed``; one row per matching actual row, one failed row per missing
+    key.  The expected side is a literal frame of checked size, so it is broadcast into an inner
+    join (the data side is never shuffled, however many rows one key holds); missing keys come
+    from an anti join against the distinct matching keys (collapsed before any shuffle).  The
+    key list is also pushed to the scan as an ``IN`` filter.
     """
     if isinstance(expected, Mapping):
         rows = [{key: k, **v} for k, v in expected.items()]
@@ -544,7 +546,8 @@ def ground_truth_check(df: DataFrame, expected: Mapping[Any, Mapping[str, Any]]
         rows = [dict(r) for r in expected]
     if len(rows) > max_rows:
         raise ValueError(f"{len(rows)} expected rows exceed the literal-table bound {max_rows}")
-    cols = sorted({c for r in rows for c in r if c != key}, key=lambda c: [c.lower() for c in df.columns].index(c.lower()))
+    lower_cols = [c.lower() for c in df.columns]
+    cols = sorted({c for r in rows for c in r if c != key}, key=lambda c: lower_cols.index(c.lower()))
     spark = df.sparkSession
     ddl = ", ".join(f"`{c}` string" for c in [key] + cols)
     exp = spark.createDataFrame([[None if r.get(c) is None else str(r.get(c)) for c in [key] + cols] for r in rows], ddl)
@@ -553,15 +556,16 @@ def ground_truth_check(df: DataFrame, expected: Mapping[Any, Mapping[str, Any]]
     keys = [r[key] for r in rows if r.get(key) is not None]
     key_type = types[key.lower()]
     actual = df.filter(F.col(key).isin([F.lit(k).cast(key_type) for k in keys])).select(
-        F.col(key).alias("_a_key"), *[F.col(c).alias(f"_a_{c}") for c in cols], F.lit(True).alias("_found")
+        F.col(key).alias("_a_key"), *[F.col(c).alias(f"_a_{c}") for c in cols]
     )
-    joined = exp.join(actual, F.col(f"_e_{key}") == F.col("_a_key"), "left")
+    matched = actual.join(F.broadcast(exp), F.col("_a_key") == F.col(f"_e_{key}"), "inner")
     flags = [F.when(F.col(f"_a_{c}") == F.col(f"_e_{c}"), F.lit(1)).otherwise(F.lit(0)).alias(f"{c}_check") for c in cols]
-    out = joined.select(
-        F.col(f"_e_{key}").alias(key),
-        F.coalesce(F.col("_found"), F.lit(False)).alias("found"),
-        *flags,
+    found = matched.select(F.col(f"_e_{key}").alias(key), F.lit(True).alias("found"), *flags)
+    present = actual.select(F.col("_a_key")).distinct()
+    missing = exp.join(present, F.col(f"_e_{key}") == F.col("_a_key"), "left_anti").select(
+        F.col(f"_e_{key}").alias(key), F.lit(False).alias("found"), *[F.lit(0).alias(f"{c}_check") for c in cols]
     )
+    out = found.unionByName(missing)
     mismatch = reduce(lambda a, b: a + b, [F.lit(1) - F.col(f"{c}_check") for c in cols]) if cols else F.lit(0)
     return out.withColumn("n_mismatch", mismatch.cast("int")).withColumn(
         "passed", F.col("found") & (F.col("n_mismatch") == 0)

@@ -56,14 +56,29 @@ def stratified_split(df: DataFrame, label: str, key_cols: Sequence[str] | str, t
     if n_labels <= MAX_LABELS_BROADCAST:
         boundary = F.broadcast(boundary)
     j = h.join(boundary, label, "left")
-    rank_w = Window.partitionBy(label, "_b").orderBy("_h", *keys)
-    at = j.filter(F.col("_b") == F.col("_bb")).withColumn("_r", F.row_number().over(rank_w))
-    at = at.withColumn(split_col, F.when(F.col("_r") <= F.col("_need"), F.lit("test")).otherwise(F.lit("train")))
     rest = j.filter(F.col("_bb").isNull() | (F.col("_b") != F.col("_bb"))).withColumn(
         split_col, F.when(F.col("_b") < F.col("_bb"), F.lit("test")).otherwise(F.lit("train"))
     )
+    # Boundary bucket (~n/16^5 rows per label): rows with equal (hash, key) are collapsed first so
+    # a duplicated key is one entry; entries are ranked by (hash, key) within the label.
+    at = j.filter(F.col("_b") == F.col("_bb"))
+    groups = at.groupBy(label, "_h", *keys).agg(F.count(F.lit(1)).alias("_k"), F.first("_need").alias("_need"))
+    gw = Window.partitionBy(label).orderBy("_h", *keys).rowsBetween(Window.unboundedPreceding, 0)
+    groups = groups.withColumn("_before", F.sum("_k").over(gw) - F.col("_k")).withColumn(
+        "_take", F.greatest(F.lit(0), F.least(F.col("_k"), F.col("_need") - F.col("_before")))
+    ).select(label, "_h", *keys, "_k", "_take")
+    at = at.join(groups, [label, "_h", *keys], "inner")
+    whole = at.filter((F.col("_take") == 0) | (F.col("_take") == F.col("_k"))).withColumn(
+        split_col, F.when(F.col("_take") == F.col("_k"), F.lit("test")).otherwise(F.lit("train"))
+    )
+    # at most one group per label straddles the quota: only its rows are numbered
+    row_order = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    sw = Window.partitionBy(label, "_h", *keys).orderBy(row_order)
+    straddle = at.filter((F.col("_take") > 0) & (F.col("_take") < F.col("_k"))).withColumn(
+        split_col, F.when(F.row_number().over(sw) <= F.col("_take"), F.lit("test")).otherwise(F.lit("train"))
+    )
     cols = [F.col(f"`{c}`") for c in df.columns] + [F.col(split_col)]
-    return at.select(*cols).unionByName(rest.select(*cols))
+    return rest.select(*cols).unionByName(whole.select(*cols)).unionByName(straddle.select(*cols))
 
 
 # --------------------------------------------------------------------------- labels and counts

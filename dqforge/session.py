@@ -24,6 +24,29 @@ SCALE_CONF = {
 }
 
 
+# Starting points for a large cluster (hundreds of executors, ~100 TB inputs).  AQE coalesces
+# the many initial shuffle partitions down to ~advisory size and splits skewed join partitions;
+# broadcasts stay small and explicit broadcasts in this library are always size-checked.
+CLUSTER_CONF = {
+    **SCALE_CONF,
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+}
+
+
+def cluster_builder(app: str = "dqforge") -> SparkSession.Builder:
+    """A builder with ``CLUSTER_CONF``; the master and resources come from the platform."""
+    b = SparkSession.builder.appName(app)
+    for k, v in CLUSTER_CONF.items():
+        b = b.config(k, v)
+    return b
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "dqforge") -> SparkSession:
     """A ``local[N]`` session for tests and the bench (never used on a cluster)."""
     b = (

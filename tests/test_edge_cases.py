@@ -228,3 +228,27 @@ def test_skewed_key_publish(spark):
     new = P.publish_new(staged, dest.withColumn("v", F.lit(0)), ["k"])
     assert new.filter("k = 0").count() == 300
     assert new.count() == 300 + 499
+
+
+def test_ground_truth_hot_key(spark):
+    """One key holds a third of the rows: every actual row of it is compared, missing keys fail."""
+    rows = [(1, "a")] * 300 + [(i, "b") for i in range(2, 602)]
+    df = spark.createDataFrame(rows, "id int, v string")
+    out = C.ground_truth_check(df, {1: {"v": "a"}, 2: {"v": "x"}, 999: {"v": "z"}}, "id")
+    got = out.groupBy("id", "found", "passed").count().collect()
+    assert {(r["id"], r["found"], r["passed"]): r["count"] for r in got} == {
+        (1, True, True): 300, (2, True, False): 1, (999, False, False): 1}
+
+
+def test_stratified_split_duplicated_hot_key(spark):
+    """A key repeated for a third of the rows still gives exact per-label test counts."""
+    import math
+
+    rows = [(0, 1, j) for j in range(400)] + [(i, 1, 0) for i in range(1, 801)] + [(i, 0, 0) for i in range(801, 1001)]
+    df = spark.createDataFrame(rows, "k int, label int, extra int")
+    for frac in (0.2, 0.5, 0.9):
+        out = EV.stratified_split(df, "label", "k", frac, seed=3)
+        got = {(r["label"], r["split"]): r["n"] for r in out.groupBy("label", "split").agg(F.count("*").alias("n")).collect()}
+        assert got[(1, "test")] == math.ceil(1200 * frac)
+        assert got[(0, "test")] == math.ceil(200 * frac)
+        assert out.count() == len(rows)
