@@ -68,11 +68,13 @@ def union_new(dest: DataFrame, new: DataFrame) -> DataFrame:
     return dest.unionByName(new)
 
 
-def publish(staged: DataFrame, dest_path: str, keys: list[str], defaults: Mapping[str, Any] | None = None) -> int:
+def publish(staged: DataFrame, dest_path: str, keys: list[str], defaults: Mapping[str, Any] | None = None,
+            staged_rows: int | None = None) -> int:
     """Append the new rows of ``staged`` to the parquet table at ``dest_path``; returns rows added.
 
     The new rows are first written to the shared folder (they depend on the destination they
-    are appended to), then appended — one commit of the destination per call.
+    are appended to), then appended — one commit of the destination per call.  ``staged_rows``
+    (e.g. ``n_rows`` of the audit checks) saves a counting pass over the staged keys.
     """
     spark = staged.sparkSession
     try:
@@ -80,7 +82,7 @@ def publish(staged: DataFrame, dest_path: str, keys: list[str], defaults: Mappin
     except Exception:  # noqa: BLE001 — no destination yet: every staged row is new
         staged.write.mode("append").parquet(dest_path)
         return spark.read.parquet(dest_path).count()
-    n_keys = staged.select(*keys).count()
+    n_keys = staged_rows if staged_rows is not None else staged.select(*keys).count()
     new = materialize(publish_new(staged, dest, keys, defaults, staged_key_bound=n_keys), name="publish-new")
     n = new.count()
     if n:
@@ -115,7 +117,8 @@ def write_audit_publish(df: DataFrame, dest_path: str, keys: list[str], column:
         results = run_checks(audit, column=column, table=table, suite="audit")
     results = materialize(results, name="audit-results")
     ok = gate(results, on_fail=on_fail)
-    published = publish(audit, dest_path, keys, defaults) if ok else 0
+    n_rows = results.agg(F.max("n_rows")).first()[0]  # the audit row count, from the fused pass
+    published = publish(audit, dest_path, keys, defaults, staged_rows=n_rows) if ok else 0
     return WapResult(results, ok, published, audit_path)
 
 

@@ -7,8 +7,12 @@ import datetime
 import decimal
 import math
 
+import os
+
 import duckdb
 
+STRICT = os.environ.get("ORACLE_STRICT") == "1"
+
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
 
@@ -24,9 +28,9 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 9)
+        return v if STRICT else round(v, 9)
     if isinstance(v, decimal.Decimal):
-        return round(float(v), 9)
+        return v if STRICT else round(float(v), 9)
     if isinstance(v, datetime.datetime):
         return v.replace(tzinfo=None).isoformat()
     if isinstance(v, (list, tuple)):
