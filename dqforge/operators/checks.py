@@ -21,7 +21,6 @@ from ..functions.rules import (
     COMPARATORS,
     RuleError,
     all_true,
-    as_col,
     coerce_number,
     compare,
     count_failed,
