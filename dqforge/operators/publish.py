@@ -23,8 +23,8 @@ from ..session import scratch_path
 from ..sources.tables import materialize
 from .checks import gate, run_checks
 
-# Above this many staged keys the destination is not pre-filtered through a broadcast.
-BROADCAST_KEY_LIMIT = 2_000_000
+# The staged keys are broadcast (to pre-filter the destination keys) only below this estimated size.
+BROADCAST_KEY_BYTES = 256 * 1024 * 1024
 
 
 def enrich(left: DataFrame, right: DataFrame, keys: list[str] | str, how: str = "left") -> DataFrame:
@@ -48,12 +48,14 @@ def publish_new(staged: DataFrame, dest: DataFrame, keys: list[str], defaults: M
                 staged_key_bound: int | None = None) -> DataFrame:
     """Staged rows whose key is not in the destination (insert-only merge), in destination order.
 
-    When the number of distinct staged keys is known to be small (``staged_key_bound``, e.g. a
-    counted audit table), the destination key scan is first semi-joined with the broadcast
-    staged keys, so only matching destination keys are shuffled into the anti join.
+    When the number of staged rows is known (``staged_key_bound``, e.g. a counted audit table)
+    and their keys are estimated under ``BROADCAST_KEY_BYTES``, the destination key scan is first
+    semi-joined with the broadcast staged keys, so only matching destination keys are shuffled
+    into the anti join; otherwise both sides are shuffled on the key (AQE splits skewed parts).
     """
     dest_keys = dest.select(*keys)
-    if staged_key_bound is not None and staged_key_bound <= BROADCAST_KEY_LIMIT:
+    width = sum(staged.schema[k].dataType.defaultSize() + 8 for k in keys)  # per-row estimate incl. overhead
+    if staged_key_bound is not None and staged_key_bound * width <= BROADCAST_KEY_BYTES:
         dest_keys = dest_keys.join(F.broadcast(staged.select(*keys).dropna()), keys, "left_semi")
     new = staged.join(dest_keys.distinct(), keys, "left_anti")
     new = with_defaults(new, defaults)
