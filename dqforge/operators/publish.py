@@ -27,6 +27,12 @@ from .checks import gate, run_checks
 BROADCAST_KEY_BYTES = 256 * 1024 * 1024
 
 
+def _key_width(type_name: str) -> int:
+    """Estimated bytes of one key value in a broadcast hash relation (text keys assumed short)."""
+    fixed = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "date": 4, "float": 4}
+    return fixed.get(type_name, 8 if type_name in ("long", "double", "timestamp", "timestamp_ntz") else 32) + 8
+
+
 def enrich(left: DataFrame, right: DataFrame, keys: list[str] | str, how: str = "left") -> DataFrame:
     """Equi join (default left outer) on shared key names; strategy left to AQE."""
     return left.join(right, keys, how)
@@ -54,7 +60,7 @@ def publish_new(staged: DataFrame, dest: DataFrame, keys: list[str], defaults: M
     into the anti join; otherwise both sides are shuffled on the key (AQE splits skewed parts).
     """
     dest_keys = dest.select(*keys)
-    width = sum(staged.schema[k].dataType.defaultSize() + 8 for k in keys)  # per-row estimate incl. overhead
+    width = sum(_key_width(staged.schema[k].dataType.typeName()) for k in keys)
     if staged_key_bound is not None and staged_key_bound * width <= BROADCAST_KEY_BYTES:
         dest_keys = dest_keys.join(F.broadcast(staged.select(*keys).dropna()), keys, "left_semi")
     new = staged.join(dest_keys.distinct(), keys, "left_anti")
