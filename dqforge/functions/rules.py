@@ -6,6 +6,7 @@ and stay inside whole-stage codegen; nothing here runs a job.
 
 from __future__ import annotations
 
+import re
 import warnings
 from typing import Any
 
@@ -115,6 +116,46 @@ def rule_kind(df: DataFrame, rule: str) -> str:
         raise RuleError(f"rule {rule!r} mixes per-row and aggregate terms: {e.getCondition()}") from e
 
 
+_AGG_NAMES: dict[int, frozenset] = {}
+_LITERALS = re.compile(r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"")
+_CALL = re.compile(r"([A-Za-z_][A-Za-z0-9_]*)\s*\(")
+_IDENT = re.compile(r"`([^`]+)`|([A-Za-z_][A-Za-z0-9_]*)")
+
+
+def aggregate_function_names(spark) -> frozenset:
+    """Names of the session's aggregate functions (from the function catalog; cached per session)."""
+    key = id(spark)
+    if key not in _AGG_NAMES:
+        _AGG_NAMES[key] = frozenset(
+            f.name.lower() for f in spark.catalog.listFunctions() if f.className and ".aggregate." in f.className
+        )
+    return _AGG_NAMES[key]
+
+
+def _strip_literals(rule: str) -> str:
+    return _LITERALS.sub(" ", rule)
+
+
+def guess_rule_kind(df: DataFrame, rule: str) -> str:
+    """``'aggregate'`` when the rule calls an aggregate function, else ``'row'`` — no round trip.
+
+    A guess: the fused aggregation built from it is analysed anyway, and callers fall back to
+    ``rule_kind`` when that analysis fails.
+    """
+    calls = {m.group(1).lower() for m in _CALL.finditer(_strip_literals(rule))}
+    return "aggregate" if calls & aggregate_function_names(df.sparkSession) else "row"
+
+
+def names_a_column(df: DataFrame, rule: str) -> bool:
+    """True when the rule text (string literals removed) names a column of ``df``."""
+    cols = {c.lower() for c in df.columns}
+    for m in _IDENT.finditer(_strip_literals(rule)):
+        name = (m.group(1) or m.group(2)).lower()
+        if name in cols or name.split(".")[0] in cols:
+            return True
+    return False
+
+
 def is_constant_rule(df: DataFrame, rule: str) -> bool:
     """True when the rule references no column of ``df`` (e.g. ``'id' IS NOT NULL`` tests a literal).
 
@@ -134,7 +175,8 @@ def lint_rules(df: DataFrame, rules: dict[str, str]) -> list[str]:
     """Names of rules that test only literals (constant-literal trap); a warning per rule."""
     out = []
     for name, rule in rules.items():
-        if isinstance(rule, str) and is_constant_rule(df, rule):
+        if (isinstance(rule, str) and not names_a_column(df, rule) and guess_rule_kind(df, rule) == "row"
+                and is_constant_rule(df, rule)):
             warnings.warn(f"rule {name!r} ({rule}) references no column and is constant", stacklevel=2)
             out.append(name)
     return out

@@ -25,6 +25,7 @@ from ..functions.rules import (
     compare,
     count_failed,
     holds,
+    guess_rule_kind,
     lint_rules,
     rule_flag,
     rule_kind,
@@ -192,7 +193,7 @@ def _rule_items(checks) -> Iterable[tuple[str, str]]:
         yield name, spec["check_statement"] if isinstance(spec, Mapping) else spec
 
 
-def compile_table_checks(df: DataFrame, checks, level: str = "table") -> list[Check]:
+def compile_table_checks(df: DataFrame, checks, level: str = "table", exact: bool = False) -> list[Check]:
     """``{name: {check_statement: sql}}`` (or ``{name: sql}``) → compiled checks.
 
     An aggregate statement (``COUNT(*) = 9``) is evaluated once; a per-row statement
@@ -200,12 +201,11 @@ def compile_table_checks(df: DataFrame, checks, level: str = "table") -> list[Ch
     and also reports its failing-row count.  The kind is decided at analysis time.
     """
     items = list(_rule_items(checks))
+    lint_rules(df, dict(items))  # constant-literal trap (``'id' IS NOT NULL``): a warning per rule
     out = []
     for name, stmt in items:
-        kind = rule_kind(df, stmt)
+        kind = rule_kind(df, stmt) if exact else guess_rule_kind(df, stmt)
         if kind == "aggregate":
-            # a constant (``'id' IS NOT NULL``) analyses as an aggregate: warn about the literal trap
-            lint_rules(df, {name: stmt})
             out.append(
                 Check(
                     name=name,
@@ -237,9 +237,20 @@ def compile_table_checks(df: DataFrame, checks, level: str = "table") -> list[Ch
     return out
 
 
+def _with_exact_fallback(build):
+    """Build from guessed rule kinds; if Catalyst rejects the fused aggregate, classify each rule
+    exactly (one analysis per rule) and build again — user errors then surface per rule."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        return build(False)
+    except AnalysisException:
+        return build(True)
+
+
 def table_checks(df: DataFrame, checks, suite: str | None = None) -> DataFrame:
     """Table-level checks; aggregate and per-row statements fused into one aggregation."""
-    return evaluate(df, compile_table_checks(df, checks), suite)
+    return _with_exact_fallback(lambda exact: evaluate(df, compile_table_checks(df, checks, exact=exact), suite))
 
 
 def row_rules(df: DataFrame, rules: Mapping[str, str | Column], suite: str | None = None) -> DataFrame:
@@ -272,12 +283,15 @@ def run_checks(
     approx_distinct: bool = False,
 ) -> DataFrame:
     """Mapped suite (C13): all column and table rules of a config fused into one pass."""
-    compiled = []
-    if column:
-        compiled += compile_column_checks(df, column, approx_distinct)
-    if table:
-        compiled += compile_table_checks(df, table)
-    return evaluate(df, compiled, suite, by)
+    def build(exact: bool) -> DataFrame:
+        compiled = []
+        if column:
+            compiled += compile_column_checks(df, column, approx_distinct)
+        if table:
+            compiled += compile_table_checks(df, table, exact=exact)
+        return evaluate(df, compiled, suite, by)
+
+    return _with_exact_fallback(build)
 
 
 # --------------------------------------------------------------------------- row flags

@@ -56,7 +56,9 @@ def result_struct(
     """
 
     def s(v):
-        return v.cast("string") if isinstance(v, Column) else F.lit(v).cast("string")
+        if isinstance(v, Column):
+            return v.cast("string")
+        return F.lit(v) if isinstance(v, str) else F.lit(None).cast("string")
 
     return F.struct(
         s(suite).alias("suite"),
