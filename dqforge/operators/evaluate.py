@@ -214,7 +214,7 @@ DEFAULT_GRIDS = {
 }
 
 
-def sklearn_logreg_grid(penalties: Sequence[str], Cs: Sequence[float], n_train: int) -> dict:
+def penalty_c_grid(penalties: Sequence[str], Cs: Sequence[float], n_train: int) -> dict:
     """Map a penalty/C grid to Spark: l2 → elasticNet 0, l1 → 1, elasticnet → 0.5; regParam = 1/(C·n)."""
     en = {"l2": 0.0, "l1": 1.0, "elasticnet": 0.5}
     return {"regParam": sorted({1.0 / (c * n_train) for c in Cs}), "elasticNetParam": sorted({en[p] for p in penalties})}

@@ -59,8 +59,8 @@ def test_classification_report_values(spark):
     assert conf == {"tp": 5, "fp": 2, "tn": 6, "fn": 3}
 
 
-def test_sklearn_grid_mapping():
-    g = EV.sklearn_logreg_grid(["l1", "l2"], [0.1, 1.0], n_train=100)
+def test_penalty_c_grid_mapping():
+    g = EV.penalty_c_grid(["l1", "l2"], [0.1, 1.0], n_train=100)
     assert g["elasticNetParam"] == [0.0, 1.0]
     assert g["regParam"] == sorted([1 / (0.1 * 100), 1 / (1.0 * 100)])
 
