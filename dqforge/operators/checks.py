@@ -441,14 +441,19 @@ def interval_check(
     days_back: int = -7,
     suite: str | None = None,
     name: str = "interval_check",
+    ratio_formula: str = "max_over_min",
+    ignore_zero: bool = False,
 ) -> DataFrame:
-    """Each metric on ``run_date`` vs. ``run_date + days_back``: pass when ``max/min <= ratio``.
+    """Each metric on ``run_date`` vs. ``run_date + days_back``: pass when the ratio ``<= limit``.
 
-    Both days are read in one scan with a range predicate on the raw column (pushed to the
-    file scan, so row groups of other days are skipped); metrics are grouped by day and the two
-    rows are folded into one.  A metric NULL on either day, or zero on one day only, fails;
-    zero on both days passes.
+    ``ratio_formula``: ``max_over_min`` (``max(a, b) / min(a, b)``) or ``relative_diff``
+    (``|today - ref| / ref``).  Both days are read in one scan with a range predicate on the raw
+    column (pushed to the file scan, so row groups of other days are skipped); metrics are
+    grouped by day and the two rows are folded into one.  A metric NULL on either day fails;
+    zero on one day only fails (passes with ``ignore_zero``); zero on both days passes.
     """
+    if ratio_formula not in ("max_over_min", "relative_diff"):
+        raise ValueError("ratio_formula must be 'max_over_min' or 'relative_diff'")
     if date_filter_column not in df.columns:
         raise ValueError(f"interval check needs date column {date_filter_column!r}; frame has {df.columns}")
     today = _as_date(run_date)
@@ -467,9 +472,14 @@ def interval_check(
         t, r = F.col(f"_t{i}"), F.col(f"_r{i}")
         ratio = metrics_thresholds[m]
         hi, lo = F.greatest(t, r), F.least(t, r)
-        observed = F.when((t == 0) & (r == 0), F.lit(1.0)).otherwise(F.try_divide(hi, lo))
-        passed = F.when(t.isNull() | r.isNull(), F.lit(False)).otherwise(
-            F.coalesce(observed <= F.lit(float(ratio)), F.lit(False))
+        raw = F.try_divide(hi, lo) if ratio_formula == "max_over_min" else F.try_divide(F.abs(t - r), r)
+        neutral = F.lit(1.0) if ratio_formula == "max_over_min" else F.lit(0.0)
+        observed = F.when((t == 0) & (r == 0), neutral).otherwise(raw)
+        one_zero = ((t == 0) | (r == 0)) & ~((t == 0) & (r == 0))
+        passed = (
+            F.when(t.isNull() | r.isNull(), F.lit(False))
+            .when(one_zero, F.lit(bool(ignore_zero)))
+            .otherwise(F.coalesce(observed <= F.lit(float(ratio)), F.lit(False)))
         )
         structs.append(
             result_struct(

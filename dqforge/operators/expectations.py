@@ -325,3 +325,65 @@ __all__ = [
     "validate",
     "validate_tiers",
 ]
+
+
+# --------------------------------------------------------------------------- checkpoint configs
+
+STORE_ACTION = "StoreValidationResultAction"
+
+
+def _load_config(config) -> dict:
+    if isinstance(config, Mapping):
+        return dict(config)
+    import yaml
+
+    with open(config) as f:
+        return yaml.safe_load(f)
+
+
+def resolve_suite(name: str, suites) -> Suite:
+    """Suite by name from a dict ``{name: suite}`` or a directory where ``a.b`` is ``a/b.json``."""
+    if isinstance(suites, Mapping):
+        s = suites[name]
+        return s if isinstance(s, Suite) else load_suite(s, name=name)
+    path = Path(suites).joinpath(*name.split(".")).with_suffix(".json")
+    return load_suite(path, name=name)
+
+
+def run_checkpoint_config(config, assets: Mapping[str, DataFrame], suites, batch_key: str | None = None,
+                          store_path: str | None = None) -> DataFrame:
+    """Run a checkpoint described like a checkpoint config file (YAML path or dict).
+
+    Uses ``name``, ``expectation_suite_name`` and each validation's
+    ``batch_request.data_asset_name`` (looked up in ``assets``); ``data_connector_query.index:
+    -1`` selects the latest batch by ``batch_key``; a ``StoreValidationResultAction`` in
+    ``action_list`` appends the results to ``store_path``.  Returns the results (``batch_id`` =
+    asset name, ``checkpoint`` = name).
+    """
+    cfg = _load_config(config)
+    name = cfg.get("name", "checkpoint")
+    default_suite = cfg.get("expectation_suite_name")
+    parts = []
+    for v in cfg.get("validations") or []:
+        br = v.get("batch_request") or {}
+        asset = br["data_asset_name"]
+        df = assets[asset]
+        query = br.get("data_connector_query") or {}
+        if query.get("index") == -1:
+            if not batch_key:
+                raise ValueError("index -1 (latest batch) needs batch_key")
+            from ..sources.batches import latest_batch
+
+            df = latest_batch(df, batch_key)
+        suite = resolve_suite(v.get("expectation_suite_name") or default_suite, suites)
+        parts.append(validate(df, suite).withColumn("batch_id", F.lit(asset)))
+    if not parts:
+        raise ValueError(f"checkpoint {name!r} has no validations")
+    res = reduce(lambda a, b: a.unionByName(b), parts).withColumn("checkpoint", F.lit(name))
+    actions = [(a.get("action") or {}).get("class_name") for a in cfg.get("action_list") or []]
+    if STORE_ACTION in actions and store_path:
+        from ..sources.tables import materialize, store_results
+
+        res = materialize(res, name=f"checkpoint-{name}")
+        store_results(res, store_path, partition_by=("checkpoint",))
+    return res

@@ -738,3 +738,31 @@ ORACLE.update({
     "union_new": UNION_NEW,
     "dedupe": DEDUPE,
 })
+
+
+# ----------------------------------------------------------------------------- streaming
+
+_STREAM_AGG = """s AS (SELECT 'events.parquet' AS _file, COUNT(*) AS n, COUNT(user_id) AS u_nn,
+  COUNT_IF(value IS NOT NULL AND NOT (value >= 0 AND value <= 500)) AS v_bad, COUNT(value) AS v_nn,
+  COUNT_IF(event_type IS NOT NULL AND event_type NOT IN ('click', 'view', 'purchase', 'signup')) AS t_bad,
+  COUNT(event_type) AS t_nn FROM events)"""
+
+
+def _stream(sql_select):
+    return sql_select.replace("SELECT ", "SELECT _file, ", 1)
+
+
+STREAM_VALIDATE = f"WITH {_STREAM_AGG}\nSELECT *, CAST(0 AS BIGINT) AS batch_id FROM (\n" + _union(
+    _stream(_row("events.stream", "expect_table_row_count_to_be_between", "table", None, "row_count", "between",
+                 _kw(min_value=1, max_value=1000000000), "n", "n", "NULL", "n >= 1 AND n <= 1000000000", "s")),
+    _stream(_row("events.stream", "expect_column_values_to_not_be_null", "column", "user_id", "not_null", "mostly",
+                 _kw(column="user_id"), _share("u_nn", "n"), "n", "n - u_nn", "(n - u_nn) = 0", "s")),
+    _stream(_row("events.stream", "expect_column_values_to_be_between", "column", "value", "between", "mostly",
+                 _kw(column="value", min_value=0, max_value=500), _share("v_nn - v_bad", "v_nn"), "n", "v_bad",
+                 "v_bad = 0", "s")),
+    _stream(_row("events.stream", "expect_column_values_to_be_in_set", "column", "event_type", "in_set", "mostly",
+                 _kw(column="event_type", value_set=["click", "view", "purchase", "signup"], mostly=0.75),
+                 _share("t_nn - t_bad", "t_nn"), "n", "t_bad", _mostly("t_nn - t_bad", "t_nn", 0.75), "s")),
+) + "\n)"
+
+ORACLE["stream_validate"] = STREAM_VALIDATE

@@ -696,3 +696,31 @@ QUERIES.update({
     "dedupe": q_dedupe,
     "refit_predict": q_refit_predict,
 })
+
+
+# ----------------------------------------------------------------------------- streaming
+
+STREAM_SUITE = {
+    "expectation_suite_name": "events.stream",
+    "expectations": [
+        _exp(E.ROW_COUNT_BETWEEN, min_value=1, max_value=1000000000),
+        _exp(E.NOT_NULL, column="user_id"),
+        _exp(E.VALUES_BETWEEN, column="value", min_value=0, max_value=500),
+        _exp(E.IN_SET, column="event_type", value_set=["click", "view", "purchase", "signup"], mostly=0.75),
+    ],
+}
+
+
+def q_stream_validate(spark, sf_dir):
+    """The events file read as a stream (file source, availableNow) and validated per file."""
+    from ..streaming.validate_stream import file_stream, validate_stream
+
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    stream = file_stream(spark, sf_dir, schema, fmt="parquet", pathGlobFilter="events.parquet")
+    out = scratch_path(spark, "stream-results")
+    q = validate_stream(stream, out, suite=STREAM_SUITE, checkpoint_location=scratch_path(spark, "stream-ckpt"))
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+QUERIES["stream_validate"] = q_stream_validate

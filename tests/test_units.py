@@ -155,3 +155,46 @@ def test_partition_clause_and_tolerance(spark):
         "v": {"null_check": {"equal_to": 0, "partition_clause": "k <> 2"},
               "max": {"equal_to": 7.5, "tolerance": 0.1}}}).collect()}
     assert r == {"v_null_check": True, "v_max": True}
+
+
+def test_interval_formula_options(spark):
+    import datetime as dt
+
+    df = spark.createDataFrame([(dt.date(2024, 1, 1), 4.0), (dt.date(2024, 1, 2), 5.0), (dt.date(2024, 1, 3), 0.0)],
+                               "ds date, v double")
+    r = C.interval_check(df, {"SUM(v)": 0.25}, "2024-01-02", days_back=-1, ratio_formula="relative_diff").collect()[0]
+    assert r["observed"] == 0.25 and r["passed"]
+    r = C.interval_check(df, {"SUM(v)": 1.5}, "2024-01-03", days_back=-1).collect()[0]
+    assert not r["passed"]
+    r = C.interval_check(df, {"SUM(v)": 1.5}, "2024-01-03", days_back=-1, ignore_zero=True).collect()[0]
+    assert r["passed"]
+
+
+def test_checkpoint_config_yaml(spark, tmp_path):
+    d = tmp_path / "suites" / "taxi"
+    d.mkdir(parents=True)
+    (d / "demo.json").write_text(json.dumps({"expectation_suite_name": "taxi.demo", "expectations": [
+        {"expectation_type": E.ROW_COUNT_BETWEEN, "kwargs": {"min_value": 1, "max_value": 2}},
+        {"expectation_type": E.DISTINCT_IN_SET, "kwargs": {"column": "vendor_id", "value_set": [1, 2]}}]}))
+    cfg = tmp_path / "chk.yml"
+    cfg.write_text("""name: taxi.pass.chk
+expectation_suite_name: taxi.demo
+action_list:
+  - name: store_validation_result
+    action:
+      class_name: StoreValidationResultAction
+validations:
+  - batch_request:
+      datasource_name: my_datasource
+      data_asset_name: trips
+      data_connector_query:
+        index: -1
+""")
+    trips = spark.createDataFrame([(1, "2019-01"), (4, "2019-01"), (2, "2019-02"), (1, "2019-02")],
+                                  "vendor_id int, month string")
+    store = str(tmp_path / "store")
+    res = E.run_checkpoint_config(str(cfg), {"trips": trips}, str(tmp_path / "suites"), batch_key="month",
+                                  store_path=store)
+    got = {r["check_name"]: (r["passed"], r["n_rows"]) for r in res.collect()}
+    assert got == {E.ROW_COUNT_BETWEEN: (True, 2), E.DISTINCT_IN_SET: (True, 2)}
+    assert spark.read.parquet(store).count() == 2
