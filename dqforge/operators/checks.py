@@ -503,14 +503,16 @@ def on_dates(df: DataFrame, date_col: str, dates: Iterable) -> DataFrame:
     """Rows on the given days: a range predicate per day on the raw column, so the filter is
     pushed to the file scan (row groups / partitions of other days are skipped)."""
     c = F.col(date_col)
-    dtype = df.schema[date_col].dataType.typeName()
+    dtype = df.schema[date_col].dataType
     conds = []
     for d in (_as_date(x) for x in dates):
-        if dtype == "date":
+        if dtype.typeName() == "date":
             conds.append(c == F.lit(d))
         else:
-            start = _dt.datetime.combine(d, _dt.time())
-            conds.append((c >= F.lit(start)) & (c < F.lit(start + _dt.timedelta(days=1))))
+            # text literals cast to the column's own type: a timestamp_ntz bound never meets a zone
+            lo = F.lit(f"{d.isoformat()} 00:00:00").cast(dtype)
+            hi = F.lit(f"{(d + _dt.timedelta(days=1)).isoformat()} 00:00:00").cast(dtype)
+            conds.append((c >= lo) & (c < hi))
     return df.filter(reduce(lambda a, b: a | b, conds))
 
 
