@@ -215,8 +215,9 @@ def compile_table_checks(df: DataFrame, checks, level: str = "table", exact: boo
                     comparator=None,
                     expected=stmt,
                     value=F.expr(stmt),
-                    observed=lambda raw: raw.cast("int").cast("double"),
-                    verdict=lambda raw, failed, n: raw,
+                    # a non-boolean result counts by truthiness (non-zero passes)
+                    observed=lambda raw: raw.try_cast("boolean").cast("int").cast("double"),
+                    verdict=lambda raw, failed, n: raw.try_cast("boolean"),
                 )
             )
         else:

@@ -252,3 +252,9 @@ def test_stratified_split_duplicated_hot_key(spark):
         assert got[(1, "test")] == math.ceil(1200 * frac)
         assert got[(0, "test")] == math.ceil(200 * frac)
         assert out.count() == len(rows)
+
+
+def test_numeric_aggregate_statement_is_truthy(spark):
+    df = spark.createDataFrame([(1,), (2,)], "x int")
+    got = {r["check_name"]: r["passed"] for r in C.table_checks(df, {"n": "COUNT(*)", "z": "SUM(x) - 3"}).collect()}
+    assert got == {"n": True, "z": False}
