@@ -57,6 +57,8 @@ class Check:
     observed: Callable[[Column], Column] = field(default=lambda raw: try_float(raw))
     distinct_of: str | None = None
     distinct_mode: str = "distinct_check"
+    suite: str | None = None  # overrides the suite of the evaluate() call (several suites, one pass)
+    extra: dict | None = None  # extra text columns of the result row (same keys for all checks of a call)
 
 
 # --------------------------------------------------------------------------- fused evaluation
@@ -70,7 +72,8 @@ def _branch_rows(row: DataFrame, checks: list[Check], suite: str | None, by: lis
         n = F.col("_n")
         structs.append(
             result_struct(
-                suite=suite,
+                suite=c.suite if c.suite is not None else suite,
+                extra=c.extra,
                 check_name=c.name,
                 level=c.level,
                 column_name=c.column,
@@ -93,6 +96,8 @@ def evaluate(df: DataFrame, checks: list[Check], suite: str | None = None, by: I
     Returns the result frame (``by`` columns first, then ``RESULT_COLUMNS``); lazy.
     """
     by = list(by or [])
+    if len({tuple(sorted((c.extra or {}).keys())) for c in checks}) > 1:
+        raise ValueError("all checks of one evaluation need the same extra columns")
     fused = [(i, c) for i, c in enumerate(checks) if c.distinct_of is None]
     distinct = [(i, c) for i, c in enumerate(checks) if c.distinct_of is not None]
     parts = []

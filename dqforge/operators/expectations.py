@@ -196,53 +196,72 @@ def schema_rows(df: DataFrame, suite: Suite) -> list[tuple]:
     return rows
 
 
-def validate(df: DataFrame, suite: Suite | Mapping | str, by: Iterable[str] | None = None) -> DataFrame:
-    """Run a suite over a batch (or over each batch of ``by``) → result rows; lazy.
+def _compile(df: DataFrame, suite: Suite, extra: dict | None):
+    checks = []
+    for e in suite.expectations:
+        c = compile_expectation(df, e)
+        if c is not None:
+            c.suite, c.extra = suite.name, extra
+            checks.append(c)
+    srows = [(*r, *[v for _, v in sorted((extra or {}).items())]) for r in schema_rows(df, suite)]
+    return checks, srows
 
-    All data expectations share one aggregation; schema expectations are literal rows (repeated
-    for every batch when grouped, taken from the batch keys of the data pass).
-    """
-    suite = suite if isinstance(suite, Suite) else load_suite(suite)
-    by = list(by or [])
+
+def _validate_many(df: DataFrame, suites: list[tuple[Suite, dict | None]], by: list[str]) -> DataFrame:
+    """Every data expectation of every suite in ONE aggregation; schema rows added as literals."""
     spark = df.sparkSession
-    checks = [c for c in (compile_expectation(df, e) for e in suite.expectations) if c is not None]
-    srows = schema_rows(df, suite)
+    extra_keys = sorted((suites[0][1] or {}).keys())
+    checks, srows = [], []
+    for suite, extra in suites:
+        c, r = _compile(df, suite, extra)
+        checks += c
+        srows += r
+        if not c and not r:  # an empty suite passes: one summary row
+            srows.append((suite.name, "empty_suite", "table", None, None, None, None, None, None, 0, True,
+                          *[v for _, v in sorted((extra or {}).items())]))
+    ddl = RESULT_DDL + "".join(f", {k} string" for k in extra_keys)
     parts = []
     if checks:
-        parts.append(evaluate(df, checks, suite.name, by))
+        parts.append(evaluate(df, checks, None, by))
     if srows:
         if by:
-            parts.append(_attach_keys(df.select(*by).distinct(), srows, by))
+            parts.append(_attach_keys(df.select(*by).distinct(), srows, by, extra_keys))
         else:
-            parts.append(spark.createDataFrame(srows, RESULT_DDL))
-    if not parts:
-        # an empty suite passes: one summary row
-        return spark.createDataFrame([(suite.name, "empty_suite", "table", None, None, None, None, None, None, 0, True)],
-                                     RESULT_DDL)
+            parts.append(spark.createDataFrame(srows, ddl))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def _attach_keys(keys: DataFrame, rows: list[tuple], by: list[str]) -> DataFrame:
+def validate(df: DataFrame, suite: Suite | Mapping | str, by: Iterable[str] | None = None) -> DataFrame:
+    """Run a suite over a batch (or over each batch of ``by``) → result rows; lazy.
+
+    All data expectations share one aggregation; schema expectations are literal rows (repeated
+    for every batch when grouped).  An empty suite passes with one summary row.
+    """
+    suite = suite if isinstance(suite, Suite) else load_suite(suite)
+    return _validate_many(df, [(suite, None)], list(by or []))
+
+
+def _attach_keys(keys: DataFrame, rows: list[tuple], by: list[str], extra_keys: list[str] = ()) -> DataFrame:
     """Repeat the few fixed schema rows for every batch key without a cross join: the rows are
     an array literal exploded next to each key."""
     structs = []
     for r in rows:
-        d = dict(zip(RESULT_COLUMNS, r))
+        d = dict(zip(RESULT_COLUMNS + list(extra_keys), r))
         structs.append(
             result_struct(
                 suite=d["suite"], check_name=d["check_name"], level=d["level"], column_name=d["column_name"],
                 metric=d["metric"], comparator=d["comparator"], expected=d["expected"],
                 observed=F.lit(d["observed"]), n_rows=F.lit(d["n_rows"]), n_failed=F.lit(d["n_failed"]),
-                passed=F.lit(d["passed"]),
+                passed=F.lit(d["passed"]), extra={k: d[k] for k in extra_keys},
             )
         )
     return keys.select(*[F.col(b) for b in by], F.inline(F.array(*structs)))
 
 
 def validate_tiers(df: DataFrame, tiers: Mapping[str, Suite | Mapping | str], by: Iterable[str] | None = None) -> DataFrame:
-    """Several suites by tier (e.g. ``warning``, ``failure``): results with a ``tier`` column."""
-    parts = [validate(df, s, by).withColumn("tier", F.lit(t)) for t, s in tiers.items()]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    """Several suites by tier (e.g. ``warning``, ``failure``) in one pass; results carry ``tier``."""
+    suites = [(s if isinstance(s, Suite) else load_suite(s), {"tier": t}) for t, s in tiers.items()]
+    return _validate_many(df, suites, list(by or []))
 
 
 def summary(results: DataFrame, keys: Iterable[str] = ("suite",)) -> DataFrame:

@@ -49,6 +49,7 @@ def result_struct(
     n_rows: Column,
     n_failed: Column | None,
     passed: Column,
+    extra: dict | None = None,
 ) -> Column:
     """One result row as a struct with the fixed field types (so many can share one array).
 
@@ -72,6 +73,7 @@ def result_struct(
         n_rows.cast("bigint").alias("n_rows"),
         (n_failed if n_failed is not None else F.lit(None)).cast("bigint").alias("n_failed"),
         F.coalesce(passed, F.lit(False)).alias("passed"),
+        *[s(v).alias(k) for k, v in sorted((extra or {}).items())],
     )
 
 
