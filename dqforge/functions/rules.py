@@ -116,20 +116,27 @@ def rule_kind(df: DataFrame, rule: str) -> str:
         raise RuleError(f"rule {rule!r} mixes per-row and aggregate terms: {e.getCondition()}") from e
 
 
-_AGG_NAMES: dict[int, frozenset] = {}
+_FN_IS_AGG: dict[tuple[int, str], bool] = {}
 _LITERALS = re.compile(r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"")
 _CALL = re.compile(r"([A-Za-z_][A-Za-z0-9_]*)\s*\(")
 _IDENT = re.compile(r"`([^`]+)`|([A-Za-z_][A-Za-z0-9_]*)")
+# words followed by "(" in SQL that are never aggregate functions
+_NOT_CALLS = frozenset("and or not in when then else case as over filter exists between is like decimal varchar "
+                       "char cast try_cast interval array map struct".split())
 
 
-def aggregate_function_names(spark) -> frozenset:
-    """Names of the session's aggregate functions (from the function catalog; cached per session)."""
-    key = id(spark)
-    if key not in _AGG_NAMES:
-        _AGG_NAMES[key] = frozenset(
-            f.name.lower() for f in spark.catalog.listFunctions() if f.className and ".aggregate." in f.className
-        )
-    return _AGG_NAMES[key]
+def is_aggregate_function(spark, name: str) -> bool:
+    """Whether ``name`` is an aggregate function of the session (``DESCRIBE FUNCTION``, a
+    driver-side command; cached per session and name, so a suite looks up each name once)."""
+    key = (id(spark), name.lower())
+    if key not in _FN_IS_AGG:
+        try:
+            rows = spark.sql(f"DESCRIBE FUNCTION `{name}`").collect()
+            cls = next((r[0] for r in rows if str(r[0]).startswith("Class:")), "")
+            _FN_IS_AGG[key] = ".aggregate." in cls
+        except AnalysisException:  # unknown name: Catalyst reports it when the rule is analysed
+            _FN_IS_AGG[key] = False
+    return _FN_IS_AGG[key]
 
 
 def _strip_literals(rule: str) -> str:
@@ -139,11 +146,13 @@ def _strip_literals(rule: str) -> str:
 def guess_rule_kind(df: DataFrame, rule: str) -> str:
     """``'aggregate'`` when the rule calls an aggregate function, else ``'row'`` — no round trip.
 
-    A guess: the fused aggregation built from it is analysed anyway, and callers fall back to
+    Function kinds come from the session's registry (user-registered aggregates included); the
+    fused aggregation built from the guess is analysed anyway, and callers fall back to
     ``rule_kind`` when that analysis fails.
     """
-    calls = {m.group(1).lower() for m in _CALL.finditer(_strip_literals(rule))}
-    return "aggregate" if calls & aggregate_function_names(df.sparkSession) else "row"
+    calls = {m.group(1).lower() for m in _CALL.finditer(_strip_literals(rule))} - _NOT_CALLS
+    spark = df.sparkSession
+    return "aggregate" if any(is_aggregate_function(spark, c) for c in sorted(calls)) else "row"
 
 
 def names_a_column(df: DataFrame, rule: str) -> bool:
