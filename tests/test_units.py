@@ -198,3 +198,20 @@ validations:
     got = {r["check_name"]: (r["passed"], r["n_rows"]) for r in res.collect()}
     assert got == {E.ROW_COUNT_BETWEEN: (True, 2), E.DISTINCT_IN_SET: (True, 2)}
     assert spark.read.parquet(store).count() == 2
+
+
+def test_cli(spark, tmp_path, capsys):
+    from dqforge.__main__ import main
+
+    data = str(tmp_path / "t")
+    spark.createDataFrame([(1, 5.0), (2, 7.0)], "id int, v double").write.parquet(data)
+    cfg = tmp_path / "rules.json"
+    cfg.write_text(json.dumps({"column": {"id": {"null_check": {"equal_to": 0}}}, "table": {"pos": "v > 0"}}))
+    assert main(["checks", "--table", data, "--config", str(cfg)]) == 0
+    out = [json.loads(x) for x in capsys.readouterr().out.splitlines()]
+    assert {r["check_name"] for r in out} == {"id_null_check", "pos"}
+    suite = tmp_path / "s.json"
+    suite.write_text(json.dumps({"expectations": [{"expectation_type": E.ROW_COUNT_BETWEEN,
+                                                   "kwargs": {"min_value": 5, "max_value": 9}}]}))
+    assert main(["validate", "--table", data, "--suite", str(suite)]) == 1
+    assert main(["validate", "--table", data, "--suite", str(suite), "--warn"]) == 0
