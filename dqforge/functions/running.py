@@ -1,38 +1,54 @@
 """Distributed running sums over an ordered column, without a single-partition window.
 
 ``Window.orderBy(...)`` with no partition moves every row into one task.  Instead rows are
-cut into ``n_buckets`` contiguous ranges of the order column (boundaries from
-``approxQuantile``, collected once as a short literal list so both uses agree), each range is
-summed in parallel, range offsets come from a window over the tiny per-range totals, and the
+cut into contiguous ranges of the order column (boundaries from ``approxQuantile``, collected
+once as a literal list so every use agrees; their number grows with the data), each range is
+summed in parallel, range offsets come from a window over the small per-range totals, and the
 in-range running sum is a window partitioned by range.
 """
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-def _bucket_expr(c: Column, bounds: Sequence[float], descending: bool) -> Column:
-    """Index of the range a value falls in, ranges numbered in the running direction."""
-    xs = sorted(set(bounds))
+# Rows per range bucket the running sum aims for (one window task sorts about this many rows).
+ROWS_PER_BUCKET = 2_000_000
+MAX_BUCKETS = 100_000
+
+
+def _with_range_bucket(df: DataFrame, order_col: str, bounds: Sequence[float], descending: bool) -> DataFrame:
+    """Add ``_rb``: the index of the contiguous value range of ``order_col``, numbered in the
+    running direction.  Spark ML's ``Bucketizer`` finds the range by binary search (JVM side),
+    so thousands of bounds cost O(log n) per row."""
+    from pyspark.ml.feature import Bucketizer
+
+    xs = sorted({float(x) for x in bounds})
     if not xs:
-        return F.lit(0)
-    below = reduce(lambda a, b: a + b, [F.when(c > F.lit(x), F.lit(1)).otherwise(F.lit(0)) for x in xs])
-    return (F.lit(len(xs)) - below) if descending else below
+        return df.withColumn("_rb", F.lit(0))
+    splits = [float("-inf")] + xs + [float("inf")]
+    b = Bucketizer(splits=splits, inputCol="_rb_in", outputCol="_rb_raw", handleInvalid="keep")
+    out = b.transform(df.withColumn("_rb_in", F.col(order_col).cast("double")))
+    idx = F.col("_rb_raw").cast("int")
+    if descending:
+        idx = F.lit(len(xs)) - idx
+    return out.withColumn("_rb", idx).drop("_rb_in", "_rb_raw")
 
 
 def running_sums(df: DataFrame, order_col: str, value_cols: Sequence[str], descending: bool = False,
-                 n_buckets: int = 64, rel_error: float = 0.001) -> DataFrame:
+                 n_buckets: int | None = None, rel_error: float = 0.001) -> DataFrame:
     """Add ``cum_<v>`` = sum of ``v`` over all rows up to and including this one in order.
 
     ``order_col`` must be unique per row (group by it first); ties would make the order partial.
+    ``n_buckets`` defaults to one range per ``ROWS_PER_BUCKET`` rows (at least 64).
     """
+    if n_buckets is None:
+        n_buckets = min(MAX_BUCKETS, max(64, -(-df.count() // ROWS_PER_BUCKET)))
     bounds = df.stat.approxQuantile(order_col, [i / n_buckets for i in range(1, n_buckets)], rel_error) if n_buckets > 1 else []
     c = F.col(order_col)
-    r = df.withColumn("_rb", _bucket_expr(c, bounds, descending))
+    r = _with_range_bucket(df, order_col, bounds, descending)
     tot = r.groupBy("_rb").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
     w_off = Window.orderBy("_rb").rowsBetween(Window.unboundedPreceding, -1)
     offs = tot.select("_rb", *[F.coalesce(F.sum(f"_t_{v}").over(w_off), F.lit(0)).alias(f"_o_{v}") for v in value_cols])

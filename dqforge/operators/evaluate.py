@@ -149,7 +149,7 @@ def _score_counts(df: DataFrame, y: str, score: str) -> DataFrame:
     return g.checkpoint(eager=True)
 
 
-def roc_points(df: DataFrame, y: str, score: str, n_buckets: int = 64) -> DataFrame:
+def roc_points(df: DataFrame, y: str, score: str, n_buckets: int | None = None) -> DataFrame:
     """ROC curve: ``threshold, tpr, fpr`` per distinct score, thresholds descending.
 
     Totals are scalar subqueries; cumulative counts use the distributed running sum.
@@ -166,7 +166,7 @@ def roc_points(df: DataFrame, y: str, score: str, n_buckets: int = 64) -> DataFr
     )
 
 
-def auc(df: DataFrame, y: str, score: str, n_buckets: int = 64) -> DataFrame:
+def auc(df: DataFrame, y: str, score: str, n_buckets: int | None = None) -> DataFrame:
     """Area under the ROC curve (trapezoids between consecutive thresholds), one row ``auc``.
 
     ``sum(neg_s * (2 * cum_pos_s - pos_s)) / (2 * P * N)``; on hard 0/1 scores this is

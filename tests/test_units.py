@@ -215,3 +215,13 @@ def test_cli(spark, tmp_path, capsys):
                                                    "kwargs": {"min_value": 5, "max_value": 9}}]}))
     assert main(["validate", "--table", data, "--suite", str(suite)]) == 1
     assert main(["validate", "--table", data, "--suite", str(suite), "--warn"]) == 0
+
+
+def test_running_sums_many_ranges(spark):
+    rows = [(float(i) * 0.5, i % 7) for i in range(3000)]
+    df = spark.createDataFrame(rows, "x double, w int")
+    out = {r["x"]: r["cum_w"] for r in running_sums(df, "x", ["w"], descending=True, n_buckets=700).collect()}
+    acc = 0
+    for x, w in sorted(rows, reverse=True):
+        acc += w
+        assert out[x] == acc
