@@ -35,6 +35,9 @@ from ..results import RESULT_COLUMNS, fmt_value, result_struct
 
 Verdict = Callable[[Column, Column, Column], Column]
 
+# Ground-truth key lists up to this length are also pushed to the scan as an IN filter.
+PUSHDOWN_KEYS = 1000
+
 
 @dataclass
 class Check:
@@ -586,9 +589,10 @@ def ground_truth_check(df: DataFrame, expected: Mapping[Any, Mapping[str, Any]]
     exp = exp.select(*[F.col(c).try_cast(types[c.lower()]).alias(f"_e_{c}") for c in [key] + cols])
     keys = [r[key] for r in rows if r.get(key) is not None]
     key_type = types[key.lower()]
-    actual = df.filter(F.col(key).isin([F.lit(k).cast(key_type) for k in keys])).select(
-        F.col(key).alias("_a_key"), *[F.col(c).alias(f"_a_{c}") for c in cols]
-    )
+    scoped = df
+    if len(keys) <= PUSHDOWN_KEYS:  # short key lists also go to the scan as an IN filter
+        scoped = df.filter(F.col(key).isin([F.lit(k).cast(key_type) for k in keys]))
+    actual = scoped.select(F.col(key).alias("_a_key"), *[F.col(c).alias(f"_a_{c}") for c in cols])
     matched = actual.join(F.broadcast(exp), F.col("_a_key") == F.col(f"_e_{key}"), "inner")
     flags = [F.when(F.col(f"_a_{c}") == F.col(f"_e_{c}"), F.lit(1)).otherwise(F.lit(0)).alias(f"{c}_check") for c in cols]
     found = matched.select(F.col(f"_e_{key}").alias(key), F.lit(True).alias("found"), *flags)
