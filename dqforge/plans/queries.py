@@ -711,6 +711,9 @@ STREAM_SUITE = {
 }
 
 
+STREAM_TIMEOUT_SEC = 1800
+
+
 def q_stream_validate(spark, sf_dir):
     """The events file read as a stream (file source, availableNow) and validated per file."""
     from ..streaming.validate_stream import file_stream, validate_stream
@@ -719,7 +722,9 @@ def q_stream_validate(spark, sf_dir):
     stream = file_stream(spark, sf_dir, schema, fmt="parquet", pathGlobFilter="events.parquet")
     out = scratch_path(spark, "stream-results")
     q = validate_stream(stream, out, suite=STREAM_SUITE, checkpoint_location=scratch_path(spark, "stream-ckpt"))
-    q.awaitTermination()
+    if not q.awaitTermination(STREAM_TIMEOUT_SEC):
+        q.stop()
+        raise TimeoutError(f"streaming validation did not finish within {STREAM_TIMEOUT_SEC} s")
     return spark.read.parquet(out)
 
 
