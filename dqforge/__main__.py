@@ -30,9 +30,8 @@ def _emit(results, store: str | None, warn: bool) -> int:
 
     if store:
         store_results(results, store)
-    rows = results.collect()  # verdict rows only: one per check (per batch)
     failed = 0
-    for r in rows:
+    for r in results.toLocalIterator():  # verdict rows (one per check per batch), streamed
         d = r.asDict()
         failed += not d.get("passed", True)
         print(json.dumps(d, default=str))
@@ -88,7 +87,7 @@ def main(argv: list[str] | None = None) -> int:
             assets[name] = _frame(spark, src, a.format)
         res = E.run_checkpoint_config(a.config, assets, a.suites, batch_key=a.batch_key)
         return _emit(res, a.store, a.warn)
-    for r in I.file_checksums(spark, a.path, glob=a.glob).select("file_name", "length", "md5").collect():
+    for r in I.file_checksums(spark, a.path, glob=a.glob).select("file_name", "length", "md5").toLocalIterator():
         print(json.dumps(r.asDict()))
     return 0
 
