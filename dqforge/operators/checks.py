@@ -141,8 +141,10 @@ def _iter_mapping(spec) -> Iterable[tuple[str, Any]]:
 def compile_column_checks(df: DataFrame, mapping, approx_distinct: bool = False) -> list[Check]:
     """``{column: {metric: {comparator: value[, tolerance: t]}}}`` → compiled checks."""
     out: list[Check] = []
+    known = {c.lower() for c in df.columns}
     for column, metrics in _iter_mapping(mapping):
-        df.select(F.col(column))  # analysis-time check that the column exists
+        if column.lower() not in known:
+            df.select(F.col(column))  # nested or unknown name: let analysis resolve it or raise
         c = F.col(column)
         for metric, cond in metrics.items():
             if metric not in _COLUMN_METRICS:
