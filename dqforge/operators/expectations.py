@@ -406,3 +406,48 @@ def run_checkpoint_config(config, assets: Mapping[str, DataFrame], suites, batch
         res = materialize(res, name=f"checkpoint-{name}")
         store_results(res, store_path, partition_by=("checkpoint",))
     return res
+
+
+# --------------------------------------------------------------------------- failure details
+
+def _unexpected_condition(e: Expectation):
+    c = F.col(e.kwargs["column"])
+    t = e.expectation_type
+    if t in (IN_SET, DISTINCT_IN_SET):
+        return c.isNotNull() & ~c.isin(list(e.kwargs["value_set"]))
+    if t == VALUES_BETWEEN:
+        lo, hi = e.kwargs.get("min_value"), e.kwargs.get("max_value")
+        inside = F.lit(True)
+        if lo is not None:
+            inside = inside & ((c > F.lit(lo)) if e.kwargs.get("strict_min") else (c >= F.lit(lo)))
+        if hi is not None:
+            inside = inside & ((c < F.lit(hi)) if e.kwargs.get("strict_max") else (c <= F.lit(hi)))
+        return c.isNotNull() & ~inside
+    if t == NOT_NULL:
+        return c.isNull()
+    return None
+
+
+def failure_details(df: DataFrame, suite: Suite | Mapping | str, results: DataFrame, limit: int = 20) -> DataFrame:
+    """The most frequent unexpected values of each failed value-level expectation.
+
+    Only failed checks are looked at (the verdict rows are few); each becomes one grouped,
+    top-``limit`` query over the batch.  Columns: ``check_name, column_name, value (text), n``.
+    """
+    suite = suite if isinstance(suite, Suite) else load_suite(suite)
+    failed = {(r["check_name"], r["column_name"]) for r in
+              results.filter(~F.col("passed")).select("check_name", "column_name").limit(100_000).collect()}
+    parts = []
+    for e in suite.expectations:
+        cond = _unexpected_condition(e)
+        if cond is None or (e.expectation_type, e.kwargs.get("column")) not in failed:
+            continue
+        col = e.kwargs["column"]
+        parts.append(
+            df.filter(cond).groupBy(F.col(col).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+            .orderBy(F.desc("n"), F.col("value").asc_nulls_first()).limit(limit)
+            .select(F.lit(e.expectation_type).alias("check_name"), F.lit(col).alias("column_name"), "value", "n")
+        )
+    if not parts:
+        return df.sparkSession.createDataFrame([], "check_name string, column_name string, value string, n bigint")
+    return reduce(lambda a, b: a.unionByName(b), parts)

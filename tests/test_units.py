@@ -225,3 +225,14 @@ def test_running_sums_many_ranges(spark):
     for x, w in sorted(rows, reverse=True):
         acc += w
         assert out[x] == acc
+
+
+def test_failure_details(spark):
+    df = spark.createDataFrame([(1, 3), (4, 9), (4, 2), (None, 1), (2, 8)], "vendor int, p int")
+    suite = {"expectations": [
+        {"expectation_type": E.DISTINCT_IN_SET, "kwargs": {"column": "vendor", "value_set": [1, 2]}},
+        {"expectation_type": E.VALUES_BETWEEN, "kwargs": {"column": "p", "min_value": 1, "max_value": 6}},
+        {"expectation_type": E.NOT_NULL, "kwargs": {"column": "p"}}]}
+    res = E.validate(df, suite)
+    det = {(r["check_name"], r["value"]): r["n"] for r in E.failure_details(df, suite, res).collect()}
+    assert det == {(E.DISTINCT_IN_SET, "4"): 2, (E.VALUES_BETWEEN, "9"): 1, (E.VALUES_BETWEEN, "8"): 1}
