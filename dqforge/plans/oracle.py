@@ -766,3 +766,36 @@ STREAM_VALIDATE = f"WITH {_STREAM_AGG}\nSELECT *, CAST(0 AS BIGINT) AS batch_id
 ) + "\n)"
 
 ORACLE["stream_validate"] = STREAM_VALIDATE
+
+
+# ----------------------------------------------------------------------------- more pipelines and integrity
+
+_INV = [("value_is_price_plus_balance", "total_value = o_totalprice + COALESCE(c_acctbal, 0.0)"),
+        ("price_positive", "o_totalprice > 0")]
+INVARIANT_CHECK = (
+    "WITH e AS (SELECT o_totalprice, c_acctbal, o_totalprice + COALESCE(c_acctbal, 0.0) AS total_value "
+    "FROM orders LEFT JOIN customer ON c_custkey = o_custkey), r AS (SELECT COUNT(*) AS n, "
+    + ", ".join(f"MIN(CASE WHEN {r} THEN 1 ELSE 0 END) AS v{i}, COUNT_IF(NOT COALESCE({r}, FALSE)) AS f{i}"
+                for i, (_, r) in enumerate(_INV))
+    + " FROM e)\n"
+    + _union(*[_row("orders_invariants", n, "table", None, "row_rule", None, r, f"v{i}", "n", f"f{i}", f"v{i} = 1", "r")
+               for i, (n, r) in enumerate(_INV)])
+)
+
+NO_LOAD_ERRORS = """
+WITH g AS (SELECT COUNT(*) AS n,
+  COUNT_IF(l_linenumber = 7 OR (l_linenumber = 3 AND l_returnflag = 'A') OR (l_linenumber = 2 AND l_returnflag = 'N')
+           OR (l_linenumber = 6 AND l_returnflag = 'R')) AS e
+  FROM lineitem WHERE l_returnflag = 'R')
+""" + _row(None, "group_R_loaded_cleanly", "integrity", None, "load_errors", "equal_to", "0", "e", "n", "e", "e = 0", "g")
+
+MULTI_TABLE_TRANSFORM = """
+SELECT o_custkey, o_orderkey, o_totalprice, c_acctbal, o_totalprice / NULLIF(c_acctbal, 0) AS price_per_balance
+FROM orders LEFT JOIN customer ON c_custkey = o_custkey
+"""
+
+ORACLE.update({
+    "invariant_check": INVARIANT_CHECK,
+    "no_load_errors": NO_LOAD_ERRORS,
+    "multi_table_transform": MULTI_TABLE_TRANSFORM,
+})

@@ -729,3 +729,47 @@ def q_stream_validate(spark, sf_dir):
 
 
 QUERIES["stream_validate"] = q_stream_validate
+
+
+# ----------------------------------------------------------------------------- more pipelines and integrity
+
+INVARIANT_RULES = {
+    "value_is_price_plus_balance": "total_value = o_totalprice + COALESCE(c_acctbal, 0.0)",
+    "price_positive": "o_totalprice > 0",
+}
+
+
+def q_invariant_check(spark, sf_dir):
+    """Cross-column invariant on the enriched orders: the parts sum to the stored total (C11)."""
+    return C.table_checks(q_enrich_costs(spark, sf_dir), INVARIANT_RULES, suite="orders_invariants")
+
+
+def q_no_load_errors(spark, sf_dir):
+    """Load verdict per file group of the lineitem text (I2): no rejected row in group R."""
+    out = scratch_path(spark, "load-verdict")
+    _lineitem_as_text(T(spark, sf_dir, "lineitem")).write.partitionBy("l_returnflag").text(out)
+    checked = load_csv_checked(spark, out, LOAD_SCHEMA, allow_jagged=True).withColumn(
+        "_file", F.concat(F.lit("l_returnflag="), F.col("l_returnflag"), F.lit("/"), F.col("_file")))
+    return I.no_load_errors(checked, "l_returnflag=R/", name="group_R_loaded_cleanly")
+
+
+def q_multi_table_transform(spark, sf_dir):
+    """L4: check orders and customer, left join, check the joined table, then the ratio."""
+    from .pipelines import multi_table_transform
+
+    o = T(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    c = T(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_acctbal")
+    r = multi_table_transform(
+        o, c, "o_custkey",
+        {"column": {"o_orderkey": {"null_check": {"equal_to": 0}}}},
+        {"table": {"has_rows": "COUNT(*) > 0"}},
+        {"table": {"price_positive": "o_totalprice > 0"}},
+        "o_totalprice", ("o_totalprice", "c_acctbal"), "price_per_balance", on_fail="warn")
+    return r.output
+
+
+QUERIES.update({
+    "invariant_check": q_invariant_check,
+    "no_load_errors": q_no_load_errors,
+    "multi_table_transform": q_multi_table_transform,
+})
