@@ -236,3 +236,30 @@ def test_failure_details(spark):
     res = E.validate(df, suite)
     det = {(r["check_name"], r["value"]): r["n"] for r in E.failure_details(df, suite, res).collect()}
     assert det == {(E.DISTINCT_IN_SET, "4"): 2, (E.VALUES_BETWEEN, "9"): 1, (E.VALUES_BETWEEN, "8"): 1}
+
+
+def test_tiers_by_batch_with_schema_rows(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 7), ("b", 2)], "batch string, v int")
+    warn = {"expectation_suite_name": "w", "expectations": [
+        {"expectation_type": E.VALUES_BETWEEN, "kwargs": {"column": "v", "min_value": 0, "max_value": 5}},
+        {"expectation_type": E.OF_TYPE, "kwargs": {"column": "v", "type_": "int"}}]}
+    fail = {"expectation_suite_name": "f", "expectations": [
+        {"expectation_type": E.ROW_COUNT_BETWEEN, "kwargs": {"min_value": 1, "max_value": 5}}]}
+    res = E.validate_tiers(df, {"warning": warn, "failure": fail}, by=["batch"])
+    got = {(r["batch"], r["tier"], r["metric"]): r["passed"] for r in res.collect()}
+    assert got == {("a", "warning", "between"): False, ("b", "warning", "between"): True,
+                   ("a", "warning", "type"): True, ("b", "warning", "type"): True,
+                   ("a", "failure", "row_count"): True, ("b", "failure", "row_count"): True}
+    with pytest.raises(C.CheckFailed):
+        E.gate_tiers(res, fail_tier="warning")
+
+
+def test_archive_failures_to_table(spark, tmp_path):
+    from dqforge.sources.tables import archive_failures
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS dq_arch LOCATION '{tmp_path}/db'")
+    df = spark.createDataFrame([(1, -5.0), (2, 3.0)], "id int, v double")
+    archive_failures(C.failing_rows(df, {"pos": "v > 0"}), "dq_arch.failures", ["id", "v"])
+    archive_failures(C.failing_rows(df, {"pos": "v > 0"}), "dq_arch.failures", ["id", "v"])
+    assert spark.table("dq_arch.failures").count() == 2
+    spark.sql("DROP DATABASE dq_arch CASCADE")
