@@ -167,7 +167,8 @@ def feature_pipeline(raw: DataFrame, preprocess_suite: Any, feature_suite: Any,
 def train_and_select(features: DataFrame, feature_cols: Sequence[str], label: str, key: str,
                      models: Mapping[str, Mapping[str, Sequence]], folds: int = 5, seed: int = 55) -> PipelineResult:
     """L8 model path: stratified split → grid search per model → test metrics → best run → refit."""
-    split = EV.stratified_split(features, label, key, 0.2, seed)
+    # written once to the shared folder: every fold of every grid point reads it
+    split = TB.materialize(EV.stratified_split(features, label, key, 0.2, seed), name="split")
     train = split.filter(F.col("split") == "train").drop("split")
     test = split.filter(F.col("split") == "test").drop("split")
     runs = []
