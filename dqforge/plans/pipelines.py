@@ -37,9 +37,11 @@ class PipelineResult:
 
 def write_audit_publish(df: DataFrame, dest_path: str, keys: Sequence[str], column: Any = None, table: Any = None,
                         registry: RG.Registry | None = None, on_fail: str = "raise") -> PipelineResult:
-    """L1: stage → fused column + table checks → gate → insert-only merge → drop the audit copy.
+    """L1: stage → fused column + table checks → gate → insert-only merge.
 
-    With a registry, the staged frame is first resolved to it and its defaults fill NULLs.
+    With a registry, the staged frame is first resolved to it and its defaults fill NULLs.  The
+    audit copy is a run folder under the shared checkpoint folder (``details["audit_path"]``),
+    kept for inspection; retention of that folder belongs to the platform's cleanup.
     """
     if registry is not None:
         df = RG.resolve_schema(df, registry)
