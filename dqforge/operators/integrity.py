@@ -13,6 +13,7 @@ from typing import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..results import result_struct
+from ..session import ensure_checkpoint_dir
 
 
 # --------------------------------------------------------------------------- file checksums
@@ -119,12 +120,49 @@ def table_fingerprint(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     )
 
 
-def diff_tables(source: DataFrame, target: DataFrame, key_cols: list[str], compare_cols: list[str]) -> DataFrame:
+# Buckets whose ids are broadcast to prefilter a diff are at most this many.
+MAX_PREFILTER_BUCKETS = 4_000_000
+
+
+def _bucket(key_cols: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(k) for k in key_cols]), F.lit(buckets))
+
+
+def bucket_fingerprints(df: DataFrame, key_cols: list[str], compare_cols: list[str], buckets: int) -> DataFrame:
+    """Per hash-of-key bucket: row count and two independent order-free content-hash sums."""
+    content = [F.col(c) for c in key_cols + compare_cols]
+    return df.groupBy(_bucket(key_cols, buckets).alias("_bkt")).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.sum(F.xxhash64(*content).cast("decimal(38,0)")).alias("_h1"),
+        F.sum(hash_prefix_value(key_cols + compare_cols)).alias("_h2"),
+    )
+
+
+def diff_tables(source: DataFrame, target: DataFrame, key_cols: list[str], compare_cols: list[str],
+                prefilter_buckets: int | None = None) -> DataFrame:
     """Rows that differ between two tables, as a multiset per key and content hash.
 
     Output: key columns, ``n_source``, ``n_target``, ``status`` (``missing_in_target``,
     ``missing_in_source`` or ``count_differs``) — only for groups whose counts differ.
+
+    ``prefilter_buckets`` (for large, nearly equal tables): both sides are first summarised per
+    hash-of-key bucket (map-side aggregated, one row per bucket); only rows of buckets whose
+    summaries differ enter the grouped diff, through a broadcast semi join of the bad bucket
+    ids.  The result is the same; the full shuffle is skipped when few buckets differ.
     """
+    if prefilter_buckets:
+        sf = bucket_fingerprints(source, key_cols, compare_cols, prefilter_buckets)
+        tf = bucket_fingerprints(target, key_cols, compare_cols, prefilter_buckets).select(
+            "_bkt", F.col("_n").alias("_tn"), F.col("_h1").alias("_t1"), F.col("_h2").alias("_t2"))
+        same = (F.col("_n") == F.col("_tn")) & (F.col("_h1") == F.col("_t1")) & (F.col("_h2") == F.col("_t2"))
+        bad = sf.join(tf, "_bkt", "full_outer").filter(~F.coalesce(same, F.lit(False))).select("_bkt")
+        ensure_checkpoint_dir(source.sparkSession)
+        bad = bad.checkpoint(eager=True)  # computed once: counted here, joined below
+        n_bad = bad.count()
+        if n_bad <= MAX_PREFILTER_BUCKETS and n_bad < prefilter_buckets // 2:
+            keep = F.broadcast(bad)
+            source = source.withColumn("_bkt", _bucket(key_cols, prefilter_buckets)).join(keep, "_bkt", "left_semi")
+            target = target.withColumn("_bkt", _bucket(key_cols, prefilter_buckets)).join(keep, "_bkt", "left_semi")
     h = row_hash(compare_cols).alias("_h")
     s = source.select(*key_cols, h, F.lit(1).alias("_s"), F.lit(0).alias("_t"))
     t = target.select(*key_cols, row_hash(compare_cols).alias("_h"), F.lit(0).alias("_s"), F.lit(1).alias("_t"))
@@ -166,6 +204,7 @@ def compare_fingerprints(a: DataFrame, b: DataFrame, cols: Iterable[str], name:
 
 __all__ = [
     "compare_fingerprints",
+    "bucket_fingerprints",
     "diff_tables",
     "file_checksums",
     "hash_prefix_value",

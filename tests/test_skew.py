@@ -90,3 +90,13 @@ def test_stratified_split_hot_label(skewed):
     sizes = {r["batch"]: r["n"] for r in skewed.groupBy("batch").agg(F.count("*").alias("n")).collect()}
     for b, n in sizes.items():
         assert got[(b, "test")] == math.ceil(n * 0.25)
+
+
+def test_diff_prefilter_same_result(skewed):
+    target = skewed.withColumn("v", F.when(F.col("k") == 45_678, F.lit(42)).otherwise(F.col("v"))).unionByName(
+        skewed.filter(F.col("k") == 70_001))
+    plain = sorted(tuple(r) for r in I.diff_tables(skewed, target, ["k"], ["v"]).collect())
+    pre = sorted(tuple(r) for r in I.diff_tables(skewed, target, ["k"], ["v"], prefilter_buckets=4096).collect())
+    assert plain == pre and len(plain) == 3
+    same = I.diff_tables(skewed, skewed, ["k"], ["v"], prefilter_buckets=4096)
+    assert same.count() == 0
