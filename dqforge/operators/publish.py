@@ -98,6 +98,45 @@ def publish(staged: DataFrame, dest_path: str, keys: list[str], defaults: Mappin
     return n
 
 
+def table_buckets(spark, table: str) -> tuple[int, list[str], list[str]] | None:
+    """``(num_buckets, bucket_columns, sort_columns)`` of a catalog table, or None."""
+    info = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    if not info.get("Num Buckets"):
+        return None
+
+    def cols(v):
+        return [c.strip().strip("`") for c in (v or "").strip("[]").split(",") if c.strip()]
+
+    return int(info["Num Buckets"]), cols(info.get("Bucket Columns")), cols(info.get("Sort Columns"))
+
+
+def publish_to_table(staged: DataFrame, table: str, keys: list[str], defaults: Mapping[str, Any] | None = None,
+                     buckets: int = 256) -> int:
+    """Insert-only merge into a catalog table bucketed (and sorted) by the merge key.
+
+    A new table is created with ``bucketBy(buckets, *keys)``; later merges read its key column
+    per bucket, so the anti join shuffles only the staged rows into the table's buckets (the
+    destination is never exchanged), and appends keep the bucket layout.  Returns rows added.
+    """
+    spark = staged.sparkSession
+    if not spark.catalog.tableExists(table):
+        out = with_defaults(staged, defaults)
+        out.write.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+        return spark.table(table).count()
+    spec = table_buckets(spark, table)
+    new = materialize(publish_new(staged, spark.table(table), keys, defaults), name="publish-new")
+    n = new.count()
+    if n:
+        w = new.write.mode("append")
+        if spec:
+            n_b, b_cols, s_cols = spec
+            w = w.bucketBy(n_b, *b_cols)
+            if s_cols:
+                w = w.sortBy(*s_cols)
+        w.saveAsTable(table)
+    return n
+
+
 @dataclass
 class WapResult:
     results: DataFrame
@@ -130,4 +169,5 @@ def write_audit_publish(df: DataFrame, dest_path: str, keys: list[str], column:
     return WapResult(results, ok, published, audit_path)
 
 
-__all__ = ["WapResult", "enrich", "publish", "publish_new", "union_new", "with_defaults", "write_audit_publish"]
+__all__ = ["WapResult", "enrich", "publish", "publish_new", "publish_to_table", "table_buckets", "union_new",
+           "with_defaults", "write_audit_publish"]

@@ -263,3 +263,28 @@ def test_archive_failures_to_table(spark, tmp_path):
     archive_failures(C.failing_rows(df, {"pos": "v > 0"}), "dq_arch.failures", ["id", "v"])
     assert spark.table("dq_arch.failures").count() == 2
     spark.sql("DROP DATABASE dq_arch CASCADE")
+
+
+def test_publish_to_bucketed_table(spark, tmp_path):
+    import contextlib
+    import io
+
+    from dqforge.operators import publish as P
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS dq_pub LOCATION '{tmp_path}/db'")
+    o = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    first = o.filter("o_orderdate < DATE '1998-01-01'")
+    n0 = P.publish_to_table(first, "dq_pub.orders", ["o_orderkey"], buckets=8)
+    assert n0 == first.count()
+    assert P.table_buckets(spark, "dq_pub.orders") == (8, ["o_orderkey"], ["o_orderkey"])
+    staged = o.filter("o_orderdate >= DATE '1997-01-01'")
+    expected = P.publish_new(staged, first, ["o_orderkey"]).count()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        P.publish_new(staged, spark.table("dq_pub.orders"), ["o_orderkey"]).explain()
+    plan = buf.getvalue()
+    assert "Bucketed: true" in plan
+    assert P.publish_to_table(staged, "dq_pub.orders", ["o_orderkey"]) == expected
+    assert P.publish_to_table(staged, "dq_pub.orders", ["o_orderkey"]) == 0
+    assert P.table_buckets(spark, "dq_pub.orders")[0] == 8
+    spark.sql("DROP DATABASE dq_pub CASCADE")
