@@ -67,16 +67,22 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only when none is configured."""
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if current:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(current)
-        return current
-    local = tempfile.mkdtemp(prefix="dqforge-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    """Return the shared checkpoint folder, setting a local one only when none is configured.
+
+    The folder is read from the session (``spark.checkpoint.dir``, or a directory already set on
+    the context).  Only when neither exists — local tests — a temporary folder is set on the
+    context (the config itself cannot change at runtime).
+    """
+    conf = spark.conf.get("spark.checkpoint.dir", None)
+    ctx = spark.sparkContext.getCheckpointDir()
+    if conf:
+        if not ctx:
+            spark.sparkContext.setCheckpointDir(conf)
+        return conf
+    if ctx:
+        return ctx
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="dqforge-ckpt-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
