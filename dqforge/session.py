@@ -74,7 +74,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     context (the config itself cannot change at runtime).
     """
     conf = spark.conf.get("spark.checkpoint.dir", None)
-    ctx = spark.sparkContext.getCheckpointDir()
+    try:
+        ctx = spark.sparkContext.getCheckpointDir()
+    except Exception:  # noqa: BLE001 — Spark Connect has no context; the server's setting applies
+        if conf:
+            return conf
+        raise RuntimeError("no spark.checkpoint.dir configured for this (remote) session")
     if conf:
         if not ctx:
             spark.sparkContext.setCheckpointDir(conf)
