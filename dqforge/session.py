@@ -70,8 +70,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only when none is configured.
 
     The folder is read from the session (``spark.checkpoint.dir``, or a directory already set on
-    the context).  Only when neither exists — local tests — a temporary folder is set on the
-    context (the config itself cannot change at runtime).
+    the context).  Only when neither exists and the master is local (tests) a temporary folder
+    is set on the context; a cluster session without a shared folder is an error.
     """
     conf = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -86,6 +86,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return conf
     if ctx:
         return ctx
+    if not spark.sparkContext.master.startswith("local"):
+        # a driver-local folder is invisible to executors: a cluster must name a shared one
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store) for this cluster")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="dqforge-ckpt-"))
     return spark.sparkContext.getCheckpointDir()
 
