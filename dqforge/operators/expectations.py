@@ -315,8 +315,17 @@ class Checkpoint:
     store_path: str | None = None
 
     def run(self) -> DataFrame:
-        parts = [validate(b.df, self.suite).withColumn("batch_id", F.lit(b.batch_id)) for b in self.batches]
-        res = reduce(lambda a, b: a.unionByName(b), parts).withColumn("checkpoint", F.lit(self.name))
+        schemas = {b.df.schema.simpleString() for b in self.batches}
+        if len(schemas) == 1 and "batch_id" not in self.batches[0].df.columns:
+            # same schema: one union tagged by batch, validated in ONE grouped aggregation
+            tagged = reduce(lambda a, b: a.unionByName(b),
+                            [b.df.withColumn("batch_id", F.lit(b.batch_id)) for b in self.batches])
+            res = validate(tagged, self.suite, by=["batch_id"])
+            res = res.select(*[c for c in res.columns if c != "batch_id"], "batch_id")
+        else:
+            parts = [validate(b.df, self.suite).withColumn("batch_id", F.lit(b.batch_id)) for b in self.batches]
+            res = reduce(lambda a, b: a.unionByName(b), parts)
+        res = res.withColumn("checkpoint", F.lit(self.name))
         if self.store_path:
             from ..sources.tables import materialize, store_results
 

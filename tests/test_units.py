@@ -288,3 +288,18 @@ def test_publish_to_bucketed_table(spark, tmp_path):
     assert P.publish_to_table(staged, "dq_pub.orders", ["o_orderkey"]) == 0
     assert P.table_buckets(spark, "dq_pub.orders")[0] == 8
     spark.sql("DROP DATABASE dq_pub CASCADE")
+
+
+def test_checkpoint_batches_fused(spark):
+    from dqforge.sources.batches import Batch
+
+    a = spark.createDataFrame([(1,), (2,)], "v int")
+    b = spark.createDataFrame([(9,)], "v int")
+    suite = E.load_suite({"expectation_suite_name": "s", "expectations": [
+        {"expectation_type": E.VALUES_BETWEEN, "kwargs": {"column": "v", "min_value": 0, "max_value": 5}},
+        {"expectation_type": E.COLUMNS_MATCH, "kwargs": {"column_list": ["v"]}}]})
+    res = E.Checkpoint("c", suite, [Batch.from_df(a, "jan"), Batch.from_df(b, "feb")]).run()
+    got = {(r["batch_id"], r["check_name"]): r["passed"] for r in res.collect()}
+    assert got == {("jan", E.VALUES_BETWEEN): True, ("feb", E.VALUES_BETWEEN): False,
+                   ("jan", E.COLUMNS_MATCH): True, ("feb", E.COLUMNS_MATCH): True}
+    assert res.columns[-2:] == ["batch_id", "checkpoint"]
