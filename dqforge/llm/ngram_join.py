@@ -11,9 +11,10 @@ some rounds; sets linked to a pivot take over its answers: they are in its compo
 a component is looked at again.  For the pairs that are left, the overlaps with a common pivot bound the
 overlap of the pair; only pairs that the bounds leave open are compared.
 
-Index-level skipping.  The lists are cut into blocks by component and position; a block pair is skipped
-when its components are equal or when its size and position ranges rule out a link.  Pairs are then
-counted over all their common prefix shingles, and too small a count rules them out.
+Index-level skipping.  The lists are cut into blocks by component, with the ranges of their sizes and
+positions; a block pair is skipped when its components are equal or when the ranges rule out a link.
+Inside, pairs are ruled out by sizes, positions, 256-bit parity bitmaps (differing bits bound differing
+shingles from below) and the count of common prefix shingles.
 
 All skipping is lossless: links inside a component don't change it, and every pair across components
 that isn't ruled out exactly is compared by its whole sets.
@@ -40,8 +41,10 @@ from .components import components
 WORDS, PERCENT = 5, 75
 #: Shingles counted as frequent, at least this often; the most frequent ones are sent to all tasks (8 MB).
 FREQUENT, MOST_FREQUENT = 64, 1 << 20
-#: Lists of more sets than this go through pivots; rounds of pivots; lists and pivots of a set in a round.
-LONG_LIST, ROUNDS, LISTS, PIVOTS = 12, 3, 6, 2
+#: Lists of more sets than this go through pivots; rounds of pivots; lists and pivots of a set in a
+#: round; pairs of a set that are compared before the others, and how often.
+LONG_LIST, ROUNDS, LISTS, PIVOTS, LIKELY, LIKELY_ROUNDS = 12, 4, 24, 4, 4, 2
+BITS = ["b0", "b1", "b2", "b3"]
 _SPACE = re.compile(rb"[\x20\x09-\x0d]")
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -99,24 +102,32 @@ def need(percent: int, n) -> int:
     return -(-percent * n // 100)
 
 
+def parity(toks: np.ndarray) -> list[int]:
+    """256 bits, each the parity of how many shingles fall on it: two sets differ in at least as many
+    shingles as these differ in bits."""
+    odd = np.bincount((toks >> 20) & 255, minlength=256) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """A row per document (row, doc_id, n, set) and per shingle that this task saw several times (null, null, count, shingle)."""
     shingler, seen, held, size = Shingler(), set(), [], 0
 
     def frequent():
         token, count = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        many = count >= 3
-        return pd.DataFrame({"row": pd.array([None] * int(many.sum()), "Int64"), "doc_id": pd.array([None] * int(many.sum()), "Int64"),
-                             "n": count[many], "key": token[many]})
+        many = count > 1
+        none = pd.array([None] * int(many.sum()), "Int64")
+        return pd.DataFrame({"row": none, "doc_id": none, "n": count[many], "key": token[many], **dict.fromkeys(BITS, none)})
 
     for pdf in batches:
-        ns, keys, at = [], [], 0
+        ns, keys, bits = [], [], []
         for part in slices(pdf["text"]):
             for text in part:
                 toks = shingler.hashes(text)
                 key = int.from_bytes(hashlib.md5(toks.tobytes()).digest()[:8], "little", signed=True)
                 ns.append(len(toks))
                 keys.append(key)
+                bits.append(parity(toks))
                 if key not in seen:
                     seen.add(key)
                     held.append(toks)
@@ -124,7 +135,8 @@ def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if size > 4_000_000:
                 yield frequent()
                 held, size = [], 0
-        yield pd.DataFrame({"row": pdf["row"].astype("Int64"), "doc_id": pdf["doc_id"].astype("Int64"), "n": np.array(ns, np.int64), "key": np.array(keys, np.int64)})
+        out = pd.DataFrame({"row": pdf["row"].astype("Int64"), "doc_id": pdf["doc_id"].astype("Int64"), "n": np.array(ns, np.int64), "key": np.array(keys, np.int64)})
+        yield out.assign(**dict(zip(BITS, np.array(bits, np.int64).reshape(-1, 4).T)))
     yield frequent()
 
 
@@ -179,13 +191,15 @@ class _Join:
         self.percent = percent
         text = F.coalesce("text", F.lit(""))
         self.docs = docs.select(row_key("doc_id", text).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-        scan = stored(self.docs.mapInPandas(_scan, "row long, doc_id long, n long, key long"), "ngram-sets")
+        scan = stored(self.docs.mapInPandas(_scan, "row long, doc_id long, n long, key long, b0 long, b1 long, b2 long, b3 long"), "ngram-sets")
         self.info = scan.where("row IS NOT NULL").select("row", "doc_id", "n", F.col("key").alias("id"))
         often = (scan.where("row IS NULL").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT)
                  .orderBy(F.desc("n"), "key").limit(MOST_FREQUENT).toPandas())  # at most MOST_FREQUENT rows
         often = often.sort_values("key")
         self.often = often["key"].to_numpy(np.int64), often["n"].to_numpy(np.int64)
-        self.rows = self.info.groupBy("id").agg(F.min("row").alias("row"), F.max("n").alias("n"))  # a row to read a set from
+        sets = scan.where("row IS NOT NULL").groupBy(F.col("key").alias("id"))
+        self.rows = sets.agg(F.min("row").alias("row"))  # a row to read a set from
+        self.bits = sets.agg(*[F.max(b).alias(b) for b in BITS])
 
     def linked(self, o, n, m):
         return 100 * o >= self.percent * (n + m - o)
@@ -202,28 +216,59 @@ class _Join:
 
     def overlaps(self, pairs: DataFrame) -> DataFrame:
         """a, b, o, na, nb: overlap and sizes of each pair of sets, from their whole texts."""
-        pairs = stored(pairs.select("a", "b").distinct(), "ngram-pairs")
-        ids = stored(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct().join(self.rows, "id").select("id", "row"), "ngram-ids")
-        texts = matching(self.docs, ids.select("row").distinct(), "row").select("row", "text").join(ids, "row")
-        texts = texts.dropDuplicates(["id"])
+        pairs = stored(pairs.select("a", "b"), "ngram-pairs")
+        ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+        ids = stored(ids.join(self.rows, "id").select("id", "row"), "ngram-ids")
+        texts = matching(self.docs.select("row", "text"), ids.select("row").distinct(), "row").join(ids, "row")
+        texts = stored(texts.dropDuplicates(["id"]).select("id", "text"), "ngram-texts")
         got = (pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
                .join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a"))
         return stored(got.select("a", "b", "ta", "tb").mapInPandas(_overlaps, "a long, b long, o long, na long, nb long"), "ngram-overlaps")
 
+    def linking(self, overlaps: DataFrame) -> DataFrame:
+        return overlaps.where(self.linked(F.col("o"), F.col("na"), F.col("nb"))).select("a", "b")
+
     def links(self) -> DataFrame:
         """Edges (a, b) between sets that give the components of all links."""
         index = self.index()
-        edges, tested, comp = [], [], None
-        # lists that are long, a few of them for each set
-        lists = index.groupBy("token").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > LONG_LIST)
+        edges, tested = self.pivots(index)
+        comp = components(self.union(edges)) if edges else None
+        pairs = stored(self.candidates(index, comp), "ngram-candidates")
+        if tested:
+            pairs, sure = self.derived(pairs, self.union(tested))
+            edges.append(sure)
+        # the likeliest pairs of each set first: a link makes other pairs of its components needless
+        for _ in range(LIKELY_ROUNDS):
+            first = pairs.select(F.col("a").alias("x"), "c", "a", "b").unionByName(pairs.select(F.col("b").alias("x"), "c", "a", "b"))
+            first = first.withColumn("nth", F.row_number().over(Window.partitionBy("x").orderBy(F.desc("c"), "a", "b")))
+            first = self.overlaps(first.where(F.col("nth") <= LIKELY).select("a", "b").distinct())
+            edges.append(self.linking(first))
+            comp = components(self.union(edges))
+            rest = pairs.select("a", "b", "c").join(first.select("a", "b"), ["a", "b"], "left_anti")
+            for end in ("a", "b"):
+                rest = rest.join(comp.select(F.col("id").alias(end), F.col("comp").alias(f"c{end}")), end, "left").withColumn(f"c{end}", F.coalesce(f"c{end}", end))
+            pairs = stored(rest.where("ca <> cb").select("a", "b", "c"), "ngram-rest")
+        if pairs.take(1):
+            edges.append(self.linking(self.overlaps(pairs)))
+        return self.union(edges)
+
+    def pivots(self, index: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
+        """Links with pivots, round by round, and all overlaps with pivots."""
+        size = index.groupBy("token").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > LONG_LIST)
+        long = stored(index.join(size, "token").select("token", "id", "n", F.xxhash64("token").alias("h")), "ngram-long")
+        # of two linked sets of one size, the larger part of each prefix is in common: sets with less in
+        # long lists are left to the comparison of lists
+        strong = long.groupBy("id", "n").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") * 1000 >= F.col("n") * (100 - self.percent) * 4).select("id")
         few = Window.partitionBy("id").orderBy("h", "token")
-        long = (index.join(lists, "token").withColumn("h", F.xxhash64("token")).withColumn("nth", F.row_number().over(few))
-                .where(F.col("nth") <= LISTS).select("token", "id"))
+        long = (long.join(strong, "id", "left_semi").withColumn("nth", F.row_number().over(few)).where(F.col("nth") <= LISTS).select("token", "id"))
         long = stored(long, "ngram-long")
+        edges, tested, comp = [], [], None
         for turn in range(ROUNDS):
             now = self.placed(long, comp)
-            # one pivot a list, another one in each round; lists within one component are done
-            pick = now.groupBy("token").agg(F.min_by(F.struct("id", "comp"), F.xxhash64("id", F.lit(turn))).alias("p"), F.min("comp").alias("c1"), F.max("comp").alias("c2"))
+            # one pivot a list, another one in each round, from the component with the most sets in it;
+            # lists within one component are done
+            part = now.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("k"), F.min_by("id", F.xxhash64("id", F.lit(turn))).alias("id"))
+            pick = part.groupBy("token").agg(F.max_by(F.struct("id", "comp"), F.struct("k", F.xxhash64("id", F.lit(turn)))).alias("p"), F.min("comp").alias("c1"), F.max("comp").alias("c2"))
             pick = stored(pick.where("c1 < c2").select("token", F.col("p.id").alias("pivot"), F.col("p.comp").alias("pivot_comp")), "ngram-pivots")
             pairs = now.join(pick, "token").where("comp <> pivot_comp").groupBy("id", "pivot").agg(F.count(F.lit(1)).alias("lists"))
             best = Window.partitionBy("id").orderBy(F.desc("lists"), "pivot")
@@ -234,14 +279,9 @@ class _Join:
             if not pairs.take(1):
                 break
             tested.append(self.overlaps(pairs))
-            edges.append(tested[-1].where(self.linked(F.col("o"), F.col("na"), F.col("nb"))).select("a", "b"))
-            comp = components(self.union(edges))
-        pairs = stored(self.candidates(index, comp), "ngram-candidates")
-        if tested:
-            pairs, sure = self.derived(pairs, self.union(tested))
-            edges.append(sure)
-        edges.append(self.overlaps(pairs).where(self.linked(F.col("o"), F.col("na"), F.col("nb"))).select("a", "b"))
-        return self.union(edges)
+            edges.append(self.linking(tested[-1]))
+            comp = stored(components(self.union(edges)), "ngram-components")
+        return edges, tested
 
     @staticmethod
     def union(parts: list[DataFrame]) -> DataFrame:
@@ -257,46 +297,58 @@ class _Join:
         return postings.join(comp.withColumnRenamed("comp", "known"), "id", "left").withColumn("comp", F.coalesce("known", "id")).drop("known")
 
     def candidates(self, index: DataFrame, comp: DataFrame | None) -> DataFrame:
-        """Pairs across components (a, b, na, nb) that sizes, positions and counts don't rule out."""
-        now = self.placed(index, comp)
-        half = F.pmod(F.xxhash64("id"), F.lit(16))
-        entry = F.struct("id", "n", "pos")
-        blocks = stored(now.groupBy("token", "comp", half.alias("part")).agg(
-            F.collect_list(entry).alias("sets"), F.min("n").alias("n1"), F.max("n").alias("n2"), F.min("pos").alias("p1"), F.max("pos").alias("p2"),
-        ).drop("part"), "ngram-blocks")
-        several = blocks.groupBy("token").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 < c2").select("token")
-        blocks = stored(blocks.join(several, "token", "left_semi"), "ngram-open-blocks")
-        x, y = blocks.alias("x"), blocks.alias("y")
+        """Pairs across components (a, b, na, nb, common prefix shingles c) that sizes, positions, counts
+        and bitmaps don't rule out.
+
+        A linked pair has a shingle in common that is in the first ``index`` places of the smaller set and
+        in the prefix of the larger one, so blocks of all postings meet blocks of those few."""
         p = self.percent
-        # apart: positions differ by more than a linked pair's sets can
+        least = lambda n, m: F.floor((p * (n + m) + 99 + p) / (100 + p)).cast("int")  # noqa: E731  smallest overlap of linked sets
+        first = lambda n: n - least(n, n) + 1
+        prefix = lambda n: n - F.floor((p * n + 99) / 100) + 1
+        now = self.placed(index, comp).join(self.bits, "id")
+        part = F.pmod(F.xxhash64("id"), F.lit(16)).alias("part")
+        blocks = stored(now.groupBy("token", "comp", part).agg(
+            F.collect_list(F.struct("id", "n", "pos", *BITS)).alias("sets"), F.min("n").alias("n1"), F.max("n").alias("n2"),
+            F.min("pos").alias("p1"), F.max("pos").alias("p2")), "ngram-blocks")
+        several = blocks.groupBy("token").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 < c2").select("token")
+        blocks = blocks.join(several, "token", "left_semi")
+        early = F.filter("sets", lambda t: t["pos"] < first(t["n"]))
+        few = blocks.withColumn("sets", early).where(F.size("sets") > 0)
+        x, y = blocks.alias("x"), few.alias("y")
+        # blocks apart in component, size or position can't hold a linked pair
         apart = F.greatest(F.col("x.p1") - F.col("y.p2"), F.col("y.p1") - F.col("x.p2"))
-        can = ((F.col("x.comp") < F.col("y.comp")) & (100 * F.col("x.n2") >= p * F.col("y.n1")) & (100 * F.col("y.n2") >= p * F.col("x.n1"))
-               & (apart * (100 + p) <= (100 - p) * (F.col("x.n2") + F.col("y.n2"))))
+        can = (F.col("x.comp") != F.col("y.comp")) & (F.col("x.n2") >= F.col("y.n1")) & (100 * F.col("y.n2") >= p * F.col("x.n1")) & (
+            apart * (100 + p) <= (100 - p) * (F.col("x.n2") + F.col("y.n2")))
         both = x.join(y, (F.col("x.token") == F.col("y.token")) & can).select(F.explode("x.sets").alias("s"), F.col("y.sets").alias("others"))
-        both = both.select("s", F.explode("others").alias("t"))
-        n, m, i, j = F.col("s.n"), F.col("t.n"), F.col("s.pos"), F.col("t.pos")
-        least = lambda n, m: F.floor((p * (n + m) + 99 + p) / (100 + p)).cast("int")  # noqa: E731  ceil(p (n + m) / (100 + p))
-        both = both.where(F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1) >= least(n, m))
-        swap = F.col("s.id") > F.col("t.id")
-        pick = lambda f, g: F.when(swap, F.col(g)).otherwise(F.col(f))
-        pairs = (both.select(pick("s.id", "t.id").alias("a"), pick("t.id", "s.id").alias("b"), pick("s.n", "t.n").alias("na"), pick("t.n", "s.n").alias("nb"))
+
+        def open_pair(t):
+            n, m, i, j = F.col("s.n"), t["n"], F.col("s.pos"), t["pos"]
+            differ = sum((F.bit_count(F.col(f"s.{b}").bitwiseXOR(t[b])) for b in BITS), F.lit(0))
+            larger = (n > m) | ((n == m) & (F.col("s.id") > t["id"]))
+            return (larger & (100 * m >= p * n) & (F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1) >= least(n, m))
+                    & (differ <= n + m - 2 * least(n, m)))
+
+        both = both.select("s", F.explode(F.filter("others", open_pair)).alias("t"))
+        pairs = (both.select(F.col("s.id").alias("a"), F.col("t.id").alias("b"), F.col("s.n").alias("na"), F.col("t.n").alias("nb"))
                  .groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("c")))
-        prefix = lambda n: n - F.floor((p * n + 99) / 100) + 1
         n, m = F.col("na"), F.col("nb")
-        return pairs.where(F.col("c") >= F.least(prefix(n) - (n - least(n, m)), prefix(m) - (m - least(n, m)))).drop("c")
+        return pairs.where(F.col("c") >= F.least(first(m) - (m - least(n, m)), prefix(n) - (n - least(n, m))))
 
     def derived(self, pairs: DataFrame, tested: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Pairs that the overlaps with common pivots leave open, and pairs that they prove linked."""
-        of = stored(tested.select(F.col("b").alias("id"), F.col("a").alias("pivot"), "o", F.col("na").alias("np")), "ngram-pivot-overlaps")
-        ends = pairs.join(of.select(F.col("id").alias("a"), "pivot", F.col("o").alias("oa"), "np"), "a")
-        ends = ends.join(of.select(F.col("id").alias("b"), "pivot", F.col("o").alias("ob")), ["b", "pivot"])
+        # each set's most similar pivot; of the other set any overlap with that pivot
+        of = stored(tested.select(F.col("b").alias("id"), F.col("a").alias("pivot"), "o", F.col("na").alias("np"), F.col("nb").alias("n")), "ngram-pivot-overlaps")
+        near = of.groupBy("id").agg(F.max_by(F.struct("pivot", "o", "np"), F.struct(F.col("o") / (F.col("n") + F.col("np") - F.col("o")), "pivot")).alias("p"))
+        ends = pairs.join(near.select(F.col("id").alias("a"), "p.pivot", F.col("p.o").alias("oa"), F.col("p.np").alias("np")), "a")
+        ends = ends.join(of.select(F.col("id").alias("b"), "pivot", F.col("o").alias("ob")).dropDuplicates(["b", "pivot"]), ["b", "pivot"])
         most = F.least(F.col("ob") + F.col("na") - F.col("oa"), F.col("oa") + F.col("nb") - F.col("ob"))
         known = ends.groupBy("a", "b").agg(F.min(most).alias("most"), F.max(F.col("oa") + F.col("ob") - F.col("np")).alias("least"))
         rows = stored(pairs.join(known, ["a", "b"], "left"), "ngram-derived")
         n, m = F.col("na"), F.col("nb")
         sure = F.col("least").isNotNull() & self.linked(F.col("least"), n, m)
         never = F.col("most").isNotNull() & ~self.linked(F.col("most"), n, m)
-        return rows.where(~sure & ~never).select("a", "b"), rows.where(sure).select("a", "b")
+        return rows.where(~sure & ~never).drop("most", "least"), rows.where(sure).select("a", "b")
 
     def classes(self) -> DataFrame:
         """doc_id, n_shingles, component_id, row of every document row."""

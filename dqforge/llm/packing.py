@@ -29,10 +29,22 @@ from pyspark.sql import DataFrame, functions as F
 from .common import Memo, slices, stored, vocabulary
 
 WINDOW, OPEN, FAN_IN = 2048, 64, 512
+#: Plain runs whose ids a task remembers.
+MARKED = 400_000
 COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "task", "ids"]
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, task long, ids binary"
 
 
+def plain(run: str) -> tuple[str, str]:
+    """A run without its case and without one full stop or comma behind a letter, where that can't
+    change the tokens; and that mark."""
+    if "<|" in run:  # control strings count as written
+        return run, ""
+    mark = run[-1:] if len(run) > 1 and run[-1] in ".," and run[-2].isalpha() and run[-2] != "\u0130" else ""
+    core = run[:-1] if mark else run
+    return (core.lower() if core.isascii() or (max(core) < "\u0250" and "\u0130" not in core) else core), mark
+
+
 class Encoder:
     """Token ids of texts, as little-endian unsigned 32-bit bytes."""
 
@@ -42,9 +54,34 @@ class Encoder:
     def _load(self) -> Memo:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.normalizers import Sequence
+        from tokenizers.pre_tokenizers import ByteLevel
 
         tokenizer = Tokenizer.from_file(vocabulary(self.vocab))
-        return Memo(lambda runs: [np.array(x.ids, "<u4").tobytes() for x in tokenizer.encode_batch_fast(runs, add_special_tokens=False)])
+        # of letters in lower case below U+0250 normalizing and cutting change nothing: bytes to merges at once
+        letters = Tokenizer.from_file(vocabulary(self.vocab))
+        letters.normalizer = Sequence([])
+        letters.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
+        values: dict[str, bytes] = {}
+
+        def encode(by: Tokenizer, cores: list[str]) -> None:
+            values.update(zip(cores, (np.array(x.ids, "<u4").tobytes() for x in by.encode_batch_fast(cores, add_special_tokens=False))))
+
+        marks = {m: np.array(tokenizer.encode(m, add_special_tokens=False).ids, "<u4").tobytes() for m in (".", ",", "")}
+
+        def ids(runs: list[str]) -> list[bytes]:
+            """Ids of runs.  The vocabulary is lower case and cuts between a letter and a mark, so case and
+            one mark at the end are taken off first: such runs share one call."""
+            parts = [plain(w) for w in runs]
+            if len(values) > MARKED:
+                values.clear()
+            new = {c for c, _ in parts}.difference(values)
+            simple = [c for c in new if c.isalpha() and c.islower() and (c.isascii() or max(c) < "\u0250")]
+            encode(letters, simple)
+            encode(tokenizer, list(new.difference(simple)))
+            return [values[c] + marks[m] for c, m in parts]
+
+        return Memo(ids)
 
     def encode(self, texts) -> Iterator[bytes]:
         if self.memo is None:
