@@ -43,7 +43,7 @@ WORDS, PERCENT = 5, 75
 FREQUENT, MOST_FREQUENT = 64, 1 << 20
 #: Lists of more sets than this go through pivots; rounds of pivots; lists and pivots of a set in a
 #: round; pairs of a set that are compared before the others, and how often.
-LONG_LIST, ROUNDS, LISTS, PIVOTS, LIKELY, LIKELY_ROUNDS = 12, 4, 24, 4, 4, 2
+LONG_LIST, ROUNDS, LISTS, PIVOTS, LIKELY, LIKELY_ROUNDS = 12, 2, 24, 4, 4, 1
 BITS = ["b0", "b1", "b2", "b3"]
 _SPACE = re.compile(rb"[\x20\x09-\x0d]")
 _IS_SPACE = np.zeros(256, bool)
