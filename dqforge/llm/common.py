@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import sys
+import types
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -88,6 +90,14 @@ def slices(texts, chars: int = 1 << 21):
         yield part
 
 
+def per_process(key: tuple, make):
+    """A value that a reused Python worker keeps from task to task."""
+    kept = sys.modules.setdefault("_worker_values", types.ModuleType("_worker_values")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 class Memo:
     """Values of words, computed once while they are in use: two generations of at most ``limit``
     words each, so common words stay and the memory of a task is bounded."""

@@ -18,6 +18,7 @@ other columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -26,7 +27,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Memo, slices, stored, vocabulary
+from .common import Memo, per_process, slices, stored, vocabulary
 
 WINDOW, OPEN, FAN_IN = 2048, 64, 512
 #: Plain runs whose ids a task remembers.
@@ -35,9 +36,14 @@ COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id"
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, task long, ids binary"
 
 
+_SIMPLE = re.compile(r"([a-z]+)([.,]?)").fullmatch
+
+
 def plain(run: str) -> tuple[str, str]:
     """A run without its case and without one full stop or comma behind a letter, where that can't
     change the tokens; and that mark."""
+    if m := _SIMPLE(run):
+        return m[1], m[2]
     if "<|" in run:  # control strings count as written
         return run, ""
     mark = run[-1:] if len(run) > 1 and run[-1] in ".," and run[-2].isalpha() and run[-2] != "\u0130" else ""
@@ -53,19 +59,29 @@ class Encoder:
 
     def _load(self) -> Memo:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-        from tokenizers.normalizers import Sequence
-        from tokenizers.pre_tokenizers import ByteLevel
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         tokenizer = Tokenizer.from_file(vocabulary(self.vocab))
-        # of letters in lower case below U+0250 normalizing and cutting change nothing: bytes to merges at once
+        # of letters in lower case below U+0250 normalizing changes nothing and a run is one word, which
+        # ends at a token with the end mark: many runs go through one call
         letters = Tokenizer.from_file(vocabulary(self.vocab))
-        letters.normalizer = Sequence([])
-        letters.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
+        letters.normalizer = normalizers.Sequence([])
+        letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        names = tokenizer.get_vocab()
+        closes = np.zeros(max(names.values()) + 1, bool)
+        closes[[i for t, i in names.items() if t.endswith("</w>")]] = True
         values: dict[str, bytes] = {}
 
-        def encode(by: Tokenizer, cores: list[str]) -> None:
-            values.update(zip(cores, (np.array(x.ids, "<u4").tobytes() for x in by.encode_batch_fast(cores, add_special_tokens=False))))
+        def words(cores: list[str]) -> None:
+            for k in range(0, len(cores), 4096):
+                part = cores[k:k + 4096]
+                ids = np.array(letters.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+                ends = ((np.flatnonzero(closes[ids]) + 1) * 4).tolist()
+                raw = ids.tobytes()
+                values.update(zip(part, [raw[a:b] for a, b in zip([0, *ends], ends)], strict=True))
+
+        def others(cores: list[str]) -> None:
+            values.update(zip(cores, (np.array(x.ids, "<u4").tobytes() for x in tokenizer.encode_batch_fast(cores, add_special_tokens=False))))
 
         marks = {m: np.array(tokenizer.encode(m, add_special_tokens=False).ids, "<u4").tobytes() for m in (".", ",", "")}
 
@@ -77,16 +93,16 @@ class Encoder:
                 values.clear()
             new = {c for c, _ in parts}.difference(values)
             simple = [c for c in new if c.isalpha() and c.islower() and (c.isascii() or max(c) < "\u0250")]
-            encode(letters, simple)
-            encode(tokenizer, list(new.difference(simple)))
+            words(simple)
+            others(list(new.difference(simple)))
             return [values[c] + marks[m] for c, m in parts]
 
-        return Memo(ids)
+        return Memo(ids, 350_000)
 
     def encode(self, texts) -> Iterator[bytes]:
         if self.memo is None:
-            self.memo = self._load()
-        for part in slices(texts):
+            self.memo = per_process(("ids", self.vocab), self._load)
+        for part in slices(texts, 1 << 22):
             # only these three: other white space stays inside a run, where the tokenizer deals with it
             lists = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in part]
             ids = self.memo.lookup(lists)
