@@ -132,7 +132,7 @@ def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     seen.add(key)
                     held.append(toks)
                     size += len(toks)
-            if size > 4_000_000:
+            if size > 1_000_000:
                 yield frequent()
                 held, size = [], 0
         out = pd.DataFrame({"row": pdf["row"].astype("Int64"), "doc_id": pdf["doc_id"].astype("Int64"), "n": np.array(ns, np.int64), "key": np.array(keys, np.int64)})

@@ -31,7 +31,7 @@ from .common import Memo, per_process, slices, stored, vocabulary
 
 WINDOW, OPEN, FAN_IN = 2048, 64, 512
 #: Plain runs whose ids a task remembers.
-MARKED = 400_000
+MARKED = 200_000
 COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "task", "ids"]
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, task long, ids binary"
 
@@ -97,7 +97,7 @@ class Encoder:
             others(list(new.difference(simple)))
             return [values[c] + marks[m] for c, m in parts]
 
-        return Memo(ids, 350_000)
+        return Memo(ids, 200_000)
 
     def encode(self, texts) -> Iterator[bytes]:
         if self.memo is None:

@@ -30,7 +30,7 @@ BUCKETS = 1 << 18
 SIZES = (3, 4, 5)
 WINDOW = 4
 #: Documents that a bucket is taken to have been seen in beforehand; the first step size of the embeddings.
-SMOOTH, RATE = 1.0, 50.0
+SMOOTH, RATE = 1.0, 10.0
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 
 
@@ -186,6 +186,7 @@ def calibrate(z: np.ndarray, y: np.ndarray, positives: float) -> tuple[float, fl
         hess = (x * (w * p * (1 - p))[:, None]).T @ x + np.diag([1e-4, 1e-6])
         step = np.linalg.solve(hess, grad)
         beta = beta - np.clip(step, -1, 1)
+    beta[0] = max(beta[0], 0.05)  # a higher logit never means a lower score
     return float(beta[0] / sd), float(beta[1] - beta[0] * z.mean() / sd)
 
 
