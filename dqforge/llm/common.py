@@ -14,6 +14,10 @@ from ..session import scratch_path
 BROADCAST_IDS = 1_000_000
 
 
+#: Rows that a Python worker gets at once while an intermediate is written.
+BATCH_ROWS = 1000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -23,7 +27,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     lost executor costs a re-read and never the work before it."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    size, old = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    spark.conf.set(size, str(BATCH_ROWS))  # rows carry whole texts: few of them at once in a Python worker
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(size, old)
     return spark.read.schema(df.schema).parquet(path)
 
 
