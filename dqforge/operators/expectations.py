@@ -177,10 +177,13 @@ def _type_ok(dtype, word: str) -> bool:
     return isinstance(dtype, accepted)
 
 
-def schema_rows(df: DataFrame, suite: Suite) -> list[tuple]:
-    """Schema expectations answered from ``df.schema`` on the driver (no job)."""
+def schema_rows(df: DataFrame, suite: Suite, by: Iterable[str] = ()) -> list[tuple]:
+    """Schema expectations answered from ``df.schema`` on the driver (no job).
+
+    Columns that only tell batches apart (``by``, and those that ``list_batches`` adds) aren't part
+    of the data's schema."""
     rows = []
-    names = df.columns
+    names = [f.name for f in df.schema.fields if f.name not in set(by) and not f.metadata.get("batch_column")]
     types = {f.name: f.dataType for f in df.schema.fields}
     for e in suite.expectations:
         if e.expectation_type == COLUMNS_MATCH:
@@ -196,14 +199,14 @@ def schema_rows(df: DataFrame, suite: Suite) -> list[tuple]:
     return rows
 
 
-def _compile(df: DataFrame, suite: Suite, extra: dict | None):
+def _compile(df: DataFrame, suite: Suite, extra: dict | None, by: Iterable[str] = ()):
     checks = []
     for e in suite.expectations:
         c = compile_expectation(df, e)
         if c is not None:
             c.suite, c.extra = suite.name, extra
             checks.append(c)
-    srows = [(*r, *[v for _, v in sorted((extra or {}).items())]) for r in schema_rows(df, suite)]
+    srows = [(*r, *[v for _, v in sorted((extra or {}).items())]) for r in schema_rows(df, suite, by)]
     return checks, srows
 
 
@@ -213,7 +216,7 @@ def _validate_many(df: DataFrame, suites: list[tuple[Suite, dict | None]], by: l
     extra_keys = sorted((suites[0][1] or {}).keys())
     checks, srows = [], []
     for suite, extra in suites:
-        c, r = _compile(df, suite, extra)
+        c, r = _compile(df, suite, extra, by)
         checks += c
         srows += r
         if not c and not r:  # an empty suite passes: one summary row
@@ -322,6 +325,10 @@ class Checkpoint:
                             [b.df.withColumn("batch_id", F.lit(b.batch_id)) for b in self.batches])
             res = validate(tagged, self.suite, by=["batch_id"])
             res = res.select(*[c for c in res.columns if c != "batch_id"], "batch_id")
+            # a batch without rows has no group: its verdicts come from a run of its own
+            for b in self.batches:
+                if b.df.isEmpty():
+                    res = res.unionByName(validate(b.df, self.suite).withColumn("batch_id", F.lit(b.batch_id)))
         else:
             parts = [validate(b.df, self.suite).withColumn("batch_id", F.lit(b.batch_id)) for b in self.batches]
             res = reduce(lambda a, b: a.unionByName(b), parts)

@@ -47,10 +47,10 @@ def list_batches(spark: SparkSession, directory: str, pattern: str, group_names:
         reader = reader.schema(schema)
     if on not in ("file_name", "file_path"):
         raise ValueError("on must be 'file_name' or 'file_path'")
-    df = reader.load(directory).withColumn("_file_name", F.col(f"_metadata.{on}"))
+    df = reader.load(directory).withColumn("_file_name", F.col(f"_metadata.{on}").alias("_file_name", metadata={"batch_column": True}))
     df = df.filter(F.col("_file_name").rlike(f"^{pattern}$"))
     for i, g in enumerate(group_names, start=1):
-        df = df.withColumn(g, F.regexp_extract(F.col("_file_name"), pattern, i))
+        df = df.withColumn(g, F.regexp_extract(F.col("_file_name"), pattern, i).alias(g, metadata={"batch_column": True}))
     return df
 
 
