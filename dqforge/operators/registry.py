@@ -172,9 +172,3 @@ def resolve_schema(df: DataFrame, reg: Registry) -> DataFrame:
         else:
             out.append(_fill(p).alias(name))
     return df.select(*out)
-
-
-def positional_column_string(reg: Registry) -> str:
-    """The positional column list of a COPY (``$1,$3,...``), for reference and logs."""
-    return ",".join(f"${source_order(p)}" for k, p in reg.properties.items()
-                    if k.lower() not in SKIP_ON_LOAD and source_order(p) != -1)

@@ -258,3 +258,16 @@ def test_numeric_aggregate_statement_is_truthy(spark):
     df = spark.createDataFrame([(1,), (2,)], "x int")
     got = {r["check_name"]: r["passed"] for r in C.table_checks(df, {"n": "COUNT(*)", "z": "SUM(x) - 3"}).collect()}
     assert got == {"n": True, "z": False}
+
+
+def test_gate_tiers_many_warnings(spark):
+    """One hard failure among 150,000 failed warnings still raises."""
+    from pyspark.sql import functions as F
+
+    from dqforge.operators import checks as C, expectations as E
+    from dqforge.results import RESULT_COLUMNS, RESULT_DDL
+
+    one = spark.createDataFrame([tuple([None] * len(RESULT_COLUMNS))], RESULT_DDL).withColumn("passed", F.lit(False))
+    many = spark.range(150_000).select("id").join(one).withColumn("tier", F.when(F.col("id") == 149_999, "failure").otherwise("warning"))
+    with pytest.raises(C.CheckFailed), pytest.warns(UserWarning):
+        E.gate_tiers(many.drop("id"))

@@ -100,7 +100,6 @@ def test_registry_helpers(tmp_path):
     sch = RG.registry_schema(reg)
     assert [f.name for f in sch.fields] == ["id", "hash_diff", "month"]
     assert sch["id"].metadata["source_order"] == 1 and reg.cluster_keys == ["ID"]
-    assert RG.positional_column_string(reg) == "$1,$3"
 
 
 def test_select_by_position_skips_audit_columns(spark):
