@@ -37,6 +37,10 @@ Verdict = Callable[[Column, Column, Column], Column]
 
 # Ground-truth key lists up to this length are also pushed to the scan as an IN filter.
 PUSHDOWN_KEYS = 1000
+# Literal ground-truth rows up to this number are broadcast.
+BROADCAST_ROWS = 100_000
+#: Failed checks that a gate's message lists.
+SHOWN = 100
 
 
 @dataclass
@@ -265,7 +269,9 @@ def table_checks(df: DataFrame, checks, suite: str | None = None) -> DataFrame:
 
 
 def row_rules(df: DataFrame, rules: Mapping[str, str | Column], suite: str | None = None) -> DataFrame:
-    """One verdict per per-row rule over all rows (template form ``MIN(CASE WHEN rule ...)``)."""
+    """One verdict per per-row rule over all rows (template form ``MIN(CASE WHEN rule ...)``).
+    A rule that tests only literals gets a warning."""
+    lint_rules(df, dict(rules))
     compiled = []
     for name, rule in rules.items():
         compiled.append(
@@ -371,8 +377,13 @@ def check_row(df: DataFrame, name: str = "first_row_check", suite: str | None =
 
 
 def compile_value_check(name: str, metric: str, pass_value: Any, tolerance: float | None = None) -> Check:
-    pv = coerce_number(pass_value)
-    if isinstance(pv, float):
+    pv = pass_value if isinstance(pass_value, bool) else coerce_number(pass_value)
+    if isinstance(pv, bool):
+        def verdict(raw, failed, n):
+            return raw.try_cast("boolean") == F.lit(pv)
+
+        expected = "true" if pv else "false"
+    elif isinstance(pv, float):
         def verdict(raw, failed, n):
             r = try_float(raw)
             if tolerance is None:
@@ -512,13 +523,16 @@ def interval_check(
 
 def on_dates(df: DataFrame, date_col: str, dates: Iterable) -> DataFrame:
     """Rows on the given days: a range predicate per day on the raw column, so the filter is
-    pushed to the file scan (row groups / partitions of other days are skipped)."""
+    pushed to the file scan (row groups / partitions of other days are skipped).  Text dates must
+    begin with ``yyyy-MM-dd``; a time may follow."""
     c = F.col(date_col)
     dtype = df.schema[date_col].dataType
     conds = []
     for d in (_as_date(x) for x in dates):
         if dtype.typeName() == "date":
             conds.append(c == F.lit(d))
+        elif dtype.typeName() in ("string", "varchar", "char"):  # ISO text sorts as its dates do
+            conds.append((c >= F.lit(d.isoformat())) & (c < F.lit((d + _dt.timedelta(days=1)).isoformat())))
         else:
             # text literals cast to the column's own type: a timestamp_ntz bound never meets a zone
             lo = F.lit(f"{d.isoformat()} 00:00:00").cast(dtype)
@@ -565,37 +579,37 @@ def spot_check(df: DataFrame, rules: Mapping[str, str | Column], key_cols: list[
     return row_flags(spot, rules, list(id_cols) if id_cols is not None else key_cols)
 
 
-def ground_truth_check(df: DataFrame, expected: Mapping[Any, Mapping[str, Any]] | list[Mapping[str, Any]],
-                       key: str, max_rows: int = 100_000) -> DataFrame:
+def ground_truth_check(df: DataFrame, expected: Mapping[Any, Mapping[str, Any]] | list[Mapping[str, Any]] | DataFrame,
+                       key: str) -> DataFrame:
     """Expected rows (values may be text) vs. actual rows, one flag per column per key.
 
     Output: key, ``found``, ``<col>_check`` 0/1 per expected column (a NULL on either side is 0),
     ``n_mismatch`` and ``passed``; one row per matching actual row, one failed row per missing
-    key.  The expected side is a literal frame of checked size, so it is broadcast into an inner
-    join (the data side is never shuffled, however many rows one key holds); missing keys come
-    from an anti join against the distinct matching keys (collapsed before any shuffle).  The
-    key list is also pushed to the scan as an ``IN`` filter.
+    key (a value or key that doesn't cast to the column's type is NULL).  Literal rows of at most
+    ``BROADCAST_ROWS`` are broadcast into an inner join (the data side is never shuffled, however
+    many rows one key holds) and their keys, when few, are also pushed to the scan as an ``IN``
+    filter.  More rows, or a DataFrame, are joined as Spark sees fit.  Missing keys come from an
+    anti join against the distinct matching keys (collapsed before any shuffle).
     """
-    if isinstance(expected, Mapping):
-        rows = [{key: k, **v} for k, v in expected.items()]
-    else:
-        rows = [dict(r) for r in expected]
-    if len(rows) > max_rows:
-        raise ValueError(f"{len(rows)} expected rows exceed the literal-table bound {max_rows}")
-    lower_cols = [c.lower() for c in df.columns]
-    cols = sorted({c for r in rows for c in r if c != key}, key=lambda c: lower_cols.index(c.lower()))
     spark = df.sparkSession
-    ddl = ", ".join(f"`{c}` string" for c in [key] + cols)
-    exp = spark.createDataFrame([[None if r.get(c) is None else str(r.get(c)) for c in [key] + cols] for r in rows], ddl)
+    lower_cols = [c.lower() for c in df.columns]
     types = {f.name.lower(): f.dataType for f in df.schema.fields}
+    scoped, small = df, False
+    if isinstance(expected, DataFrame):
+        cols = sorted((c for c in expected.columns if c.lower() != key.lower()), key=lambda c: lower_cols.index(c.lower()))
+        exp = expected.select(F.col(key).cast("string"), *[F.col(c).cast("string") for c in cols])
+    else:
+        rows = [{key: k, **v} for k, v in expected.items()] if isinstance(expected, Mapping) else [dict(r) for r in expected]
+        cols = sorted({c for r in rows for c in r if c != key}, key=lambda c: lower_cols.index(c.lower()))
+        ddl = ", ".join(f"`{c}` string" for c in [key] + cols)
+        exp = spark.createDataFrame([[None if r.get(c) is None else str(r.get(c)) for c in [key] + cols] for r in rows], ddl)
+        small = len(rows) <= BROADCAST_ROWS
+        keys = [r[key] for r in rows if r.get(key) is not None]
+        if len(keys) <= PUSHDOWN_KEYS:
+            scoped = df.filter(F.col(key).isin([F.lit(str(k)).try_cast(types[key.lower()]) for k in keys]))
     exp = exp.select(*[F.col(c).try_cast(types[c.lower()]).alias(f"_e_{c}") for c in [key] + cols])
-    keys = [r[key] for r in rows if r.get(key) is not None]
-    key_type = types[key.lower()]
-    scoped = df
-    if len(keys) <= PUSHDOWN_KEYS:  # short key lists also go to the scan as an IN filter
-        scoped = df.filter(F.col(key).isin([F.lit(k).cast(key_type) for k in keys]))
     actual = scoped.select(F.col(key).alias("_a_key"), *[F.col(c).alias(f"_a_{c}") for c in cols])
-    matched = actual.join(F.broadcast(exp), F.col("_a_key") == F.col(f"_e_{key}"), "inner")
+    matched = actual.join(F.broadcast(exp) if small else exp, F.col("_a_key") == F.col(f"_e_{key}"), "inner")
     flags = [F.when(F.col(f"_a_{c}") == F.col(f"_e_{c}"), F.lit(1)).otherwise(F.lit(0)).alias(f"{c}_check") for c in cols]
     found = matched.select(F.col(f"_e_{key}").alias(key), F.lit(True).alias("found"), *flags)
     present = actual.select(F.col("_a_key")).distinct()
@@ -613,32 +627,47 @@ def ground_truth_check(df: DataFrame, expected: Mapping[Any, Mapping[str, Any]]
 
 
 class CheckFailed(RuntimeError):
-    def __init__(self, failed_rows):
+    """Failed checks: how many (``n_failed``), and the first ``SHOWN`` of them (``failed_rows``)."""
+
+    def __init__(self, failed_rows, n_failed: int | None = None):
         self.failed_rows = failed_rows
+        self.n_failed = len(failed_rows) if n_failed is None else n_failed
         names = ", ".join(str(r["check_name"]) for r in failed_rows)
-        super().__init__(f"{len(failed_rows)} check(s) failed: {names}")
+        more = ", ..." if self.n_failed > len(failed_rows) else ""
+        super().__init__(f"{self.n_failed} check(s) failed: {names}{more}" if failed_rows else "no verdicts: nothing was checked")
+
+
+def not_passed() -> Column:
+    """A verdict that isn't true: false, or NULL."""
+    return ~F.coalesce(F.col("passed"), F.lit(False))
+
+
+def failed_checks(results: DataFrame, columns: Iterable[str] = RESULT_COLUMNS) -> tuple[int, int, list[dict]]:
+    """Number of verdicts, number of failed ones, and up to ``SHOWN`` of these.  However many there
+    are, they are counted in Spark and only the shown ones are collected."""
+    n, n_failed = results.agg(F.count(F.lit(1)), F.count_if(not_passed())).first()
+    rows = [r.asDict() for r in results.filter(not_passed()).select(*columns).limit(SHOWN).collect()] if n_failed else []
+    return n, n_failed, rows
 
 
-def gate(results: DataFrame, on_fail: str = "raise", max_results: int = 100_000) -> bool:
-    """Stop (``raise``) or go on (``warn``) when any check failed.  Collects the small result frame.
+def gate(results: DataFrame, on_fail: str = "raise") -> bool:
+    """Stop (``raise``) or go on (``warn``) when any check failed.
 
-    The result frame has one row per check (per batch), so its size is bounded by the rule
-    count; ``max_results`` guards against passing a data frame by mistake.
+    Verdicts are counted in Spark, so there may be any number of them.  A NULL verdict counts as
+    failed, and so does a result frame without any verdict (nothing was checked).
     """
     import warnings
 
     if on_fail not in ("raise", "warn"):
         raise ValueError("on_fail must be 'raise' or 'warn'")
-    rows = results.select(*RESULT_COLUMNS).limit(max_results + 1).collect()
-    if len(rows) > max_results:
-        raise ValueError("gate expects a result frame, not a data frame")
-    failed = [r.asDict() for r in rows if not r["passed"]]
-    if failed:
-        if on_fail == "raise":
-            raise CheckFailed(failed)
-        warnings.warn(str(CheckFailed(failed)), stacklevel=2)
-        return False
-    return True
+    n, n_failed, rows = failed_checks(results)
+    if n and not n_failed:
+        return True
+    failure = CheckFailed(rows, n_failed)
+    if on_fail == "raise":
+        raise failure
+    warnings.warn(str(failure), stacklevel=2)
+    return False
 
 
 __all__ = [
@@ -652,12 +681,14 @@ __all__ = [
     "compile_threshold_check",
     "compile_value_check",
     "evaluate",
+    "failed_checks",
     "failing_rows",
     "gate",
     "ground_truth_check",
     "interval_check",
     "keep_matching",
     "metric_by_date",
+    "not_passed",
     "on_dates",
     "value_set",
     "row_flags",

@@ -10,6 +10,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Any, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -30,7 +31,8 @@ def _key_hash(key_cols: Sequence[str], seed: Any) -> Column:
 def stratified_split(df: DataFrame, label: str, key_cols: Sequence[str] | str, test_fraction: float = 0.2,
                      seed: Any = 55, split_col: str = "split") -> DataFrame:
     """Per label, the ``ceil(test_fraction * n_label)`` rows first in ``md5(key|seed)`` order are
-    ``test``, the rest ``train``.  Exact and repeatable for a unique key.
+    ``test``, the rest ``train``.  Exact and repeatable for a unique key.  Rows with a NULL label
+    are a stratum of their own; a NULL key counts as a key.
 
     Plan: a histogram of rows per (label, hash-prefix bucket) — a partial-aggregated groupBy —
     gives, per label, the bucket where the test quota ends; rows before it are test, after it
@@ -55,7 +57,8 @@ def stratified_split(df: DataFrame, label: str, key_cols: Sequence[str] | str, t
     n_labels = boundary.count()  # one row per label that has test rows
     if n_labels <= MAX_LABELS_BROADCAST:
         boundary = F.broadcast(boundary)
-    j = h.join(boundary, label, "left")
+    boundary = boundary.withColumnRenamed(label, "_label")
+    j = h.join(boundary, F.col(label).eqNullSafe(F.col("_label")), "left").drop("_label")
     rest = j.filter(F.col("_bb").isNull() | (F.col("_b") != F.col("_bb"))).withColumn(
         split_col, F.when(F.col("_b") < F.col("_bb"), F.lit("test")).otherwise(F.lit("train"))
     )
@@ -66,8 +69,10 @@ def stratified_split(df: DataFrame, label: str, key_cols: Sequence[str] | str, t
     gw = Window.partitionBy(label).orderBy("_h", *keys).rowsBetween(Window.unboundedPreceding, 0)
     groups = groups.withColumn("_before", F.sum("_k").over(gw) - F.col("_k")).withColumn(
         "_take", F.greatest(F.lit(0), F.least(F.col("_k"), F.col("_need") - F.col("_before")))
-    ).select(label, "_h", *keys, "_k", "_take")
-    at = at.join(groups, [label, "_h", *keys], "inner")
+    )
+    of = {c: f"_g{i}" for i, c in enumerate(dict.fromkeys([label, "_h", *keys]))}
+    groups = groups.select(*[F.col(c).alias(g) for c, g in of.items()], F.col("_k"), F.col("_take"))
+    at = at.join(groups, reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(g)) for c, g in of.items()]), "inner")
     whole = at.filter((F.col("_take") == 0) | (F.col("_take") == F.col("_k"))).withColumn(
         split_col, F.when(F.col("_take") == F.col("_k"), F.lit("test")).otherwise(F.lit("train"))
     )
@@ -138,11 +143,13 @@ def classification_report(df: DataFrame, y: str, yhat: str) -> DataFrame:
 
 def _score_counts(df: DataFrame, y: str, score: str) -> DataFrame:
     """Positives and negatives per distinct score (hot scores collapse in the partial aggregate).
+    Rows without a score or a label can't be placed on the curve and are left out.
 
     Checkpointed to the shared folder: the quantile sketch, the range totals and the running
     sums all read it, so the source is scanned once and lineage is cut.
     """
     ensure_checkpoint_dir(df.sparkSession)
+    df = df.filter(F.col(score).isNotNull() & F.col(y).isNotNull())
     g = df.groupBy(F.col(score).cast("double").alias("threshold")).agg(
         F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg")
     )

@@ -30,7 +30,7 @@ from pyspark.sql.types import (
 )
 
 from ..results import RESULT_COLUMNS, RESULT_DDL, result_struct
-from .checks import Check, evaluate
+from .checks import Check, evaluate, not_passed
 
 # Expectation types of the suite format that we evaluate (fixed vocabulary).
 ROW_COUNT_BETWEEN = "expect_table_row_count_to_be_between"
@@ -277,38 +277,30 @@ def summary(results: DataFrame, keys: Iterable[str] = ("suite",)) -> DataFrame:
     )
 
 
-#: Failed checks that a gate's message lists.
-SHOWN = 100
-
-
 def gate_tiers(results: DataFrame, fail_tier: str = "failure") -> bool:
-    """Raise when a check of ``fail_tier`` failed; warn for other tiers; True when all passed."""
+    """Raise when a check of ``fail_tier`` failed; warn for other tiers; True when all passed.  A
+    NULL verdict counts as failed."""
     import warnings
 
-    from .checks import CheckFailed
+    from .checks import CheckFailed, failed_checks
 
-    failed = results.filter(~F.col("passed")).select("tier", *RESULT_COLUMNS)
-    # each tier is asked for on its own: however many warnings there are, no hard failure is lost;
-    # the messages show some of the failed checks
-    hard = [r.asDict() for r in failed.filter(F.col("tier") == fail_tier).limit(SHOWN).collect()]
-    soft = [r.asDict() for r in failed.filter(~F.col("tier").eqNullSafe(fail_tier)).limit(SHOWN).collect()]
-    if soft:
-        warnings.warn(str(CheckFailed(soft)), stacklevel=2)
-    if hard:
-        raise CheckFailed(hard)
-    return not soft
+    # each tier is asked for on its own: however many warnings there are, no hard failure is lost
+    columns = ["tier", *RESULT_COLUMNS]
+    _, n_hard, hard = failed_checks(results.filter(F.col("tier") == fail_tier), columns)
+    _, n_soft, soft = failed_checks(results.filter(~F.col("tier").eqNullSafe(fail_tier)), columns)
+    if n_soft:
+        warnings.warn(str(CheckFailed(soft, n_soft)), stacklevel=2)
+    if n_hard:
+        raise CheckFailed(hard, n_hard)
+    return not n_soft
 
 
-def unexpected_values(df: DataFrame, column: str, value_set: Iterable, limit: int = 20) -> DataFrame:
-    """The most frequent values outside a set (asked only after a failure): grouped, top-k."""
+def unexpected_values(df: DataFrame, column: str, value_set: Iterable, limit: int | None = None) -> DataFrame:
+    """All values outside a set with their row counts (asked only after a failure); with ``limit``
+    the most frequent ones."""
     c = F.col(column)
-    return (
-        df.filter(c.isNotNull() & ~c.isin(list(value_set)))
-        .groupBy(c.alias("value"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n"), F.col("value"))
-        .limit(limit)
-    )
+    found = df.filter(c.isNotNull() & ~c.isin(list(value_set))).groupBy(c.alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    return found if limit is None else found.orderBy(F.desc("n"), F.col("value")).limit(limit)
 
 
 # --------------------------------------------------------------------------- checkpoints
@@ -422,7 +414,9 @@ def run_checkpoint_config(config, assets: Mapping[str, DataFrame], suites, batch
         raise ValueError(f"checkpoint {name!r} has no validations")
     res = reduce(lambda a, b: a.unionByName(b), parts).withColumn("checkpoint", F.lit(name))
     actions = [(a.get("action") or {}).get("class_name") for a in cfg.get("action_list") or []]
-    if STORE_ACTION in actions and store_path:
+    if STORE_ACTION in actions:
+        if not store_path:
+            raise ValueError(f"checkpoint {name!r} stores its results: store_path is needed")
         from ..sources.tables import materialize, store_results
 
         res = materialize(res, name=f"checkpoint-{name}")
@@ -450,26 +444,26 @@ def _unexpected_condition(e: Expectation):
     return None
 
 
-def failure_details(df: DataFrame, suite: Suite | Mapping | str, results: DataFrame, limit: int = 20) -> DataFrame:
-    """The most frequent unexpected values of each failed value-level expectation.
+def failure_details(df: DataFrame, suite: Suite | Mapping | str, results: DataFrame, limit: int | None = None) -> DataFrame:
+    """The unexpected values of each failed value-level expectation; with ``limit`` the most frequent ones.
 
-    Only failed checks are looked at (the verdict rows are few); each becomes one grouped,
-    top-``limit`` query over the batch.  Columns: ``check_name, column_name, value (text), n``.
+    Only failed checks are looked at (at most as many as the suite has, however many batches
+    failed them); each becomes one grouped query over the batch.  Columns: ``check_name,
+    column_name, value (text), n``.
     """
     suite = suite if isinstance(suite, Suite) else load_suite(suite)
     failed = {(r["check_name"], r["column_name"]) for r in
-              results.filter(~F.col("passed")).select("check_name", "column_name").limit(100_000).collect()}
+              results.filter(not_passed()).select("check_name", "column_name").distinct().collect()}
     parts = []
     for e in suite.expectations:
         cond = _unexpected_condition(e)
         if cond is None or (e.expectation_type, e.kwargs.get("column")) not in failed:
             continue
         col = e.kwargs["column"]
-        parts.append(
-            df.filter(cond).groupBy(F.col(col).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("n"))
-            .orderBy(F.desc("n"), F.col("value").asc_nulls_first()).limit(limit)
-            .select(F.lit(e.expectation_type).alias("check_name"), F.lit(col).alias("column_name"), "value", "n")
-        )
+        found = df.filter(cond).groupBy(F.col(col).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+        if limit is not None:
+            found = found.orderBy(F.desc("n"), F.col("value").asc_nulls_first()).limit(limit)
+        parts.append(found.select(F.lit(e.expectation_type).alias("check_name"), F.lit(col).alias("column_name"), "value", "n"))
     if not parts:
         return df.sparkSession.createDataFrame([], "check_name string, column_name string, value string, n bigint")
     return reduce(lambda a, b: a.unionByName(b), parts)

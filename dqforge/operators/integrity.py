@@ -1,7 +1,7 @@
 """Integrity checks: file checksums vs. a manifest, load errors, and table fingerprints / diffs.
 
-Fingerprints are order-free (count + sum of a 32-bit md5 prefix as DECIMAL(38,0)), so two
-copies of a table compare with one aggregation each — no sort, no join.  A diff is a grouped
+Fingerprints are order-free (count + sums of both 64-bit halves of a row md5 as DECIMAL(38,0)),
+so two copies of a table compare with one aggregation each — no sort, no join.  A diff is a grouped
 count per (key, row hash) over the union of both sides: it is partial-aggregated before its
 shuffle, handles duplicate rows as a multiset and spreads a hot key over many hash groups.
 """
@@ -19,10 +19,20 @@ from ..session import ensure_checkpoint_dir
 # --------------------------------------------------------------------------- file checksums
 
 
-def file_checksums(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = False) -> DataFrame:
+def multipart_etag(content: Column, part_bytes: int) -> Column:
+    """``<md5>-<parts>``: the md5 of the joined binary md5s of the parts of a binary column."""
+    parts = F.greatest(F.lit(1), F.ceil(F.octet_length(content) / F.lit(part_bytes))).cast("int")
+    sums = F.transform(F.sequence(F.lit(1), parts),
+                       lambda i: F.md5(F.substr(content, (i - 1) * part_bytes + 1, F.lit(part_bytes))))
+    return F.concat(F.md5(F.unhex(F.array_join(sums, ""))), F.lit("-"), parts.cast("string"))
+
+
+def file_checksums(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = False,
+                   part_bytes: int | None = None) -> DataFrame:
     """``file_name, path, length, md5`` of every file under ``path``; one task reads one file.
 
-    Byte-exact (the content is hashed as bytes, never decoded as text).
+    Byte-exact (the content is hashed as bytes, never decoded as text).  ``part_bytes`` adds
+    ``etag``, the multipart ETag of an upload in parts of that size.
     """
     r = spark.read.format("binaryFile")
     if glob:
@@ -35,6 +45,7 @@ def file_checksums(spark: SparkSession, path: str, glob: str | None = None, recu
         F.col("path"),
         F.col("length"),
         F.md5(F.col("content")).alias("md5"),
+        *([multipart_etag(F.col("content"), part_bytes).alias("etag")] if part_bytes else []),
     )
 
 
@@ -42,15 +53,20 @@ def verify_manifest(files: DataFrame, manifest: DataFrame, key: str = "file_name
     """Compare computed checksums with a manifest (stored ETags): one row per file of either side.
 
     ``status`` is ``ok``, ``mismatch``, ``missing_file`` or ``not_in_manifest``.  A multipart
-    ETag (``<md5>-<parts>``) is not an MD5 of the content and is reported as ``mismatch``.
+    ETag (``<md5>-<parts>``) is no MD5 of the content: it is compared with the ``etag`` of the
+    files (``file_checksums(part_bytes=...)``) and is ``unverified`` where they have none.
     """
-    a = files.select(F.col(key).alias("_k"), F.col(hash_col).alias("computed"))
+    etag = F.col("etag") if "etag" in files.columns else F.lit(None).cast("string")
+    a = files.select(F.col(key).alias("_k"), F.col(hash_col).alias("_md5"), etag.alias("_etag"))
     b = manifest.select(F.col(key).alias("_k2"), F.lower(F.regexp_replace(F.col(hash_col), '"', "")).alias("expected"))
     j = a.join(b, a["_k"] == b["_k2"], "full_outer")
+    multipart = F.coalesce(F.col("expected").contains("-"), F.lit(False))
+    j = j.withColumn("computed", F.when(multipart, F.col("_etag")).otherwise(F.col("_md5")))
     status = (
         F.when(F.col("_k").isNull(), F.lit("missing_file"))
         .when(F.col("_k2").isNull(), F.lit("not_in_manifest"))
         .when(F.col("computed") == F.col("expected"), F.lit("ok"))
+        .when(multipart & F.col("_etag").isNull(), F.lit("unverified"))
         .otherwise(F.lit("mismatch"))
     )
     return j.select(F.coalesce(F.col("_k"), F.col("_k2")).alias(key), "computed", "expected", status.alias("status"))
@@ -98,26 +114,34 @@ def _text(c: Column) -> Column:
 
 
 def row_hash(cols: Iterable[str]) -> Column:
-    """md5 of the ``|``-joined text of the columns (NULLs skipped, as ``concat_ws`` does)."""
-    return F.md5(F.concat_ws("|", *[_text(F.col(c)) for c in cols]))
+    """md5 of the columns as text, each ``<length>:<text>`` or ``N`` for NULL: neither a shifted NULL
+    nor a separator inside a text makes different rows look equal."""
+    parts = []
+    for c in cols:
+        t = _text(F.col(c))
+        parts.append(F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("N")))
+    return F.md5(F.concat(*parts))
+
 
+def hash_halves(cols: Iterable[str]) -> tuple[Column, Column]:
+    """Both 64-bit halves of the row md5 as exact DECIMAL(38,0) (sums of 10^18 rows don't overflow)."""
+    h = row_hash(list(cols))
+    return tuple(F.conv(F.substring(h, at, 16), 16, 10).cast("decimal(38,0)") for at in (1, 17))
 
-def hash_prefix_value(cols: Iterable[str]) -> Column:
-    """First 32 bits of the row md5 as an exact DECIMAL(38,0) (sums never overflow)."""
-    return F.conv(F.substring(row_hash(cols), 1, 8), 16, 10).cast("decimal(38,0)")
+
+def _hash_sum(value: Column) -> Column:
+    return F.coalesce(F.sum(value), F.lit(0).cast("decimal(38,0)")).cast("decimal(38,0)")
 
 
 def table_fingerprint(df: DataFrame, cols: Iterable[str]) -> DataFrame:
-    """``n_rows, fingerprint``: order-free, one aggregation (equal tables ⇒ equal fingerprints).
+    """``n_rows, fingerprint, fingerprint_low``: order-free, one aggregation (equal tables ⇒ equal
+    fingerprints); the sums cover all 128 bits of the row hashes.
 
-    Leave doubles and timestamps out, or cast them to a fixed text/decimal form first, when the
-    fingerprint is compared across engines.
+    Cast doubles and timestamps to a fixed text/decimal form first when the fingerprint is
+    compared across engines.
     """
-    cols = list(cols)
-    return df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.coalesce(F.sum(hash_prefix_value(cols)), F.lit(0).cast("decimal(38,0)")).cast("decimal(38,0)").alias("fingerprint"),
-    )
+    high, low = hash_halves(cols)
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), _hash_sum(high).alias("fingerprint"), _hash_sum(low).alias("fingerprint_low"))
 
 
 # Buckets whose ids are broadcast to prefilter a diff are at most this many.
@@ -129,12 +153,12 @@ def _bucket(key_cols: list[str], buckets: int) -> Column:
 
 
 def bucket_fingerprints(df: DataFrame, key_cols: list[str], compare_cols: list[str], buckets: int) -> DataFrame:
-    """Per hash-of-key bucket: row count and two independent order-free content-hash sums."""
-    content = [F.col(c) for c in key_cols + compare_cols]
+    """Per hash-of-key bucket: row count and order-free sums of both halves of the content hash."""
+    high, low = hash_halves(key_cols + compare_cols)
     return df.groupBy(_bucket(key_cols, buckets).alias("_bkt")).agg(
         F.count(F.lit(1)).alias("_n"),
-        F.sum(F.xxhash64(*content).cast("decimal(38,0)")).alias("_h1"),
-        F.sum(hash_prefix_value(key_cols + compare_cols)).alias("_h2"),
+        F.sum(high).alias("_h1"),
+        F.sum(low).alias("_h2"),
     )
 
 
@@ -181,8 +205,8 @@ def diff_tables(source: DataFrame, target: DataFrame, key_cols: list[str], compa
 def compare_fingerprints(a: DataFrame, b: DataFrame, cols: Iterable[str], name: str = "source_vs_target") -> DataFrame:
     """Verdict row: the two tables have equal row counts and fingerprints (two aggregations)."""
     cols = list(cols)
-    fa = table_fingerprint(a, cols).select(F.col("n_rows").alias("_na"), F.col("fingerprint").alias("_fa"))
-    fb = table_fingerprint(b, cols).select(F.col("n_rows").alias("_nb"), F.col("fingerprint").alias("_fb"))
+    fa = table_fingerprint(a, cols).select(F.col("n_rows").alias("_na"), F.struct("fingerprint", "fingerprint_low").alias("_fa"))
+    fb = table_fingerprint(b, cols).select(F.col("n_rows").alias("_nb"), F.struct("fingerprint", "fingerprint_low").alias("_fb"))
     # both sides are single-row aggregates: a scalar subquery each, no join
     one = a.sparkSession.range(1)
     row = one.select(
@@ -207,8 +231,9 @@ __all__ = [
     "bucket_fingerprints",
     "diff_tables",
     "file_checksums",
-    "hash_prefix_value",
+    "hash_halves",
     "load_errors",
+    "multipart_etag",
     "no_load_errors",
     "row_hash",
     "table_fingerprint",

@@ -11,9 +11,6 @@ from typing import Any, Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
-# One-hot encoding refuses columns with more categories than this (the wide select would explode).
-MAX_CATEGORIES = 10_000
-
 
 def drop_null_rows(df: DataFrame, subset: Iterable[str] | None = None) -> DataFrame:
     """Rows with no NULL (in ``subset`` when given)."""
@@ -91,11 +88,11 @@ def flag_equals(df: DataFrame, col: str, value: Any, name: str | None = None) ->
     return df.withColumn(name or f"{col}_flag", F.when(F.col(col) == F.lit(value), F.lit(1)).otherwise(F.lit(0)))
 
 
-def categories(df: DataFrame, cols: Sequence[str], max_categories: int = MAX_CATEGORIES) -> dict[str, list]:
+def categories(df: DataFrame, cols: Sequence[str]) -> dict[str, list]:
     """Sorted distinct non-NULL values per column, from one aggregation job.
 
     Each branch is a ``groupBy(col)`` (partial-aggregated, so hot values collapse map-side);
-    only the distinct values reach the driver, and their number is checked.
+    only the distinct values reach the driver: each is to be the name of an output column.
     """
     from functools import reduce
 
@@ -104,15 +101,10 @@ def categories(df: DataFrame, cols: Sequence[str], max_categories: int = MAX_CAT
         for c in cols
     ]
     both = reduce(lambda a, b: a.unionByName(b), parts)
-    rows = both.limit(max_categories * len(cols) + 1).collect()
-    if len(rows) > max_categories * len(cols):
-        raise ValueError(f"more than {max_categories} categories per column on average; not one-hot encodable")
     out: dict[str, list] = {c: [] for c in cols}
-    for r in rows:
+    for r in both.collect():
         out[r["_col"]].append(r["_val"])
     for c in cols:
-        if len(out[c]) > max_categories:
-            raise ValueError(f"column {c!r} has {len(out[c])} categories (> {max_categories})")
         out[c].sort()
     return out
 

@@ -15,22 +15,24 @@ A re-run inserts nothing for non-NULL keys (the anti join sees the rows of the f
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from typing import Any, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import scratch_path
 from ..sources.tables import materialize
 from .checks import gate, run_checks
 
-# The staged keys are broadcast (to pre-filter the destination keys) only below this estimated size.
+# The staged keys are broadcast (to pre-filter the destination keys) only below this measured size.
 BROADCAST_KEY_BYTES = 256 * 1024 * 1024
 
 
-def _key_width(type_name: str) -> int:
-    """Estimated bytes of one key value in a broadcast hash relation (text keys assumed short)."""
-    fixed = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "date": 4, "float": 4}
-    return fixed.get(type_name, 8 if type_name in ("long", "double", "timestamp", "timestamp_ntz") else 32) + 8
+def key_bytes(df: DataFrame, keys: list[str]) -> int:
+    """Measured bytes of the key columns as text plus 16 a value and row (one aggregation)."""
+    width = sum((F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) + 16 for k in keys), F.lit(16))
+    return df.agg(F.coalesce(F.sum(width.cast("long")), F.lit(0)).alias("b")).first()["b"]
 
 
 def enrich(left: DataFrame, right: DataFrame, keys: list[str] | str, how: str = "left") -> DataFrame:
@@ -51,20 +53,22 @@ def with_defaults(df: DataFrame, defaults: Mapping[str, Any] | None) -> DataFram
 
 
 def publish_new(staged: DataFrame, dest: DataFrame, keys: list[str], defaults: Mapping[str, Any] | None = None,
-                staged_key_bound: int | None = None) -> DataFrame:
+                staged_key_bytes: int | None = None) -> DataFrame:
     """Staged rows whose key is not in the destination (insert-only merge), in destination order.
 
-    When the number of staged rows is known (``staged_key_bound``, e.g. a counted audit table)
-    and their keys are estimated under ``BROADCAST_KEY_BYTES``, the destination key scan is first
-    semi-joined with the broadcast staged keys, so only matching destination keys are shuffled
-    into the anti join; otherwise both sides are shuffled on the key (AQE splits skewed parts).
+    When the staged keys are measured (``staged_key_bytes``, see ``key_bytes``) at no more than
+    ``BROADCAST_KEY_BYTES``, the destination key scan is first semi-joined with the broadcast
+    staged keys, so only matching destination keys are shuffled into the anti join; otherwise both
+    sides are shuffled on the key (AQE splits skewed parts).  Rows with a NULL key match nothing:
+    they skip the join, so many of them don't meet in one task.
     """
-    dest_keys = dest.select(*keys)
-    width = sum(_key_width(staged.schema[k].dataType.typeName()) for k in keys)
-    if staged_key_bound is not None and staged_key_bound * width <= BROADCAST_KEY_BYTES:
-        dest_keys = dest_keys.join(F.broadcast(staged.select(*keys).dropna()), keys, "left_semi")
-    new = staged.join(dest_keys.distinct(), keys, "left_anti")
-    new = with_defaults(new, defaults)
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    known = staged.filter(~no_key)
+    dest_keys = dest.select(*keys).filter(~no_key)
+    if staged_key_bytes is not None and staged_key_bytes <= BROADCAST_KEY_BYTES:
+        dest_keys = dest_keys.join(F.broadcast(known.select(*keys)), keys, "left_semi")
+    new = known.join(dest_keys.distinct(), keys, "left_anti").select(*staged.columns)
+    new = with_defaults(new.unionByName(staged.filter(no_key)), defaults)
     dest_cols = [c for c in dest.columns]
     missing = [c for c in dest_cols if c not in new.columns]
     types = {f.name: f.dataType for f in dest.schema.fields}
@@ -76,22 +80,26 @@ def union_new(dest: DataFrame, new: DataFrame) -> DataFrame:
     return dest.unionByName(new)
 
 
-def publish(staged: DataFrame, dest_path: str, keys: list[str], defaults: Mapping[str, Any] | None = None,
-            staged_rows: int | None = None) -> int:
+#: What a read of a folder without data says.
+NO_TABLE = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
+
+
+def publish(staged: DataFrame, dest_path: str, keys: list[str], defaults: Mapping[str, Any] | None = None) -> int:
     """Append the new rows of ``staged`` to the parquet table at ``dest_path``; returns rows added.
 
     The new rows are first written to the shared folder (they depend on the destination they
-    are appended to), then appended — one commit of the destination per call.  ``staged_rows``
-    (e.g. ``n_rows`` of the audit checks) saves a counting pass over the staged keys.
+    are appended to), then appended — one commit of the destination per call.  A destination that
+    doesn't exist yet gets every staged row, with defaults; any other failure to read it is raised.
     """
     spark = staged.sparkSession
     try:
         dest = spark.read.parquet(dest_path)
-    except Exception:  # noqa: BLE001 — no destination yet: every staged row is new
-        staged.write.mode("append").parquet(dest_path)
+    except AnalysisException as e:
+        if e.getCondition() not in NO_TABLE:
+            raise
+        with_defaults(staged, defaults).write.mode("append").parquet(dest_path)
         return spark.read.parquet(dest_path).count()
-    n_keys = staged_rows if staged_rows is not None else staged.select(*keys).count()
-    new = materialize(publish_new(staged, dest, keys, defaults, staged_key_bound=n_keys), name="publish-new")
+    new = materialize(publish_new(staged, dest, keys, defaults, staged_key_bytes=key_bytes(staged, keys)), name="publish-new")
     n = new.count()
     if n:
         new.write.mode("append").parquet(dest_path)
@@ -164,10 +172,9 @@ def write_audit_publish(df: DataFrame, dest_path: str, keys: list[str], column:
         results = run_checks(audit, column=column, table=table, suite="audit")
     results = materialize(results, name="audit-results")
     ok = gate(results, on_fail=on_fail)
-    n_rows = results.agg(F.max("n_rows")).first()[0]  # the audit row count, from the fused pass
-    published = publish(audit, dest_path, keys, defaults, staged_rows=n_rows) if ok else 0
+    published = publish(audit, dest_path, keys, defaults) if ok else 0
     return WapResult(results, ok, published, audit_path)
 
 
-__all__ = ["WapResult", "enrich", "publish", "publish_new", "publish_to_table", "table_buckets", "union_new",
+__all__ = ["WapResult", "enrich", "key_bytes", "publish", "publish_new", "publish_to_table", "table_buckets", "union_new",
            "with_defaults", "write_audit_publish"]

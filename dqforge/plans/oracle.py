@@ -409,35 +409,42 @@ UNPIVOT (n_errors FOR column_name IN (l_orderkey, l_linenumber, l_quantity, l_ex
 """
 
 
-def _fp(cols):
-    return f"SUM(CAST(('0x' || substr(md5(concat_ws('|', {', '.join(cols)})), 1, 8))::BIGINT AS DECIMAL(38,0)))"
+def _fp(*cols):
+    """Sums of both halves of the md5 of all columns; doubles (marked *) as decimals."""
+    text = [f"CAST(CAST({c[1:]} AS DECIMAL(20,4)) AS VARCHAR)" if c[0] == "*" else f"CAST({c} AS VARCHAR)" for c in cols]
+    h = "md5(" + " || ".join(f"COALESCE(length({t}) || ':' || {t}, 'N')" for t in text) + ")"
+    half = lambda at: f"SUM(CAST(('0x' || substr({h}, {at}, 16))::UBIGINT AS DECIMAL(38,0)))"
+    return f"CAST(COALESCE({half(1)}, 0) AS DECIMAL(38,0)) AS fingerprint, CAST(COALESCE({half(17)}, 0) AS DECIMAL(38,0)) AS fingerprint_low"
 
 
 TABLE_FINGERPRINT = f"""
 SELECT 'lineitem' AS table_name, COUNT(*) AS n_rows,
-       CAST(COALESCE({_fp(['l_orderkey', 'l_partkey', 'l_suppkey', 'l_linenumber', 'l_returnflag'])}, 0) AS DECIMAL(38,0)) AS fingerprint
+       {_fp('l_orderkey', 'l_partkey', 'l_suppkey', 'l_linenumber', '*l_quantity', '*l_extendedprice', '*l_discount', '*l_tax',
+            'l_returnflag', 'l_linestatus', 'l_shipdate')}
 FROM lineitem
 UNION ALL
-SELECT 'orders', COUNT(*), CAST(COALESCE({_fp(['o_orderkey', 'o_custkey', 'o_orderstatus'])}, 0) AS DECIMAL(38,0))
+SELECT 'orders', COUNT(*), {_fp('o_orderkey', 'o_custkey', 'o_orderstatus', '*o_totalprice', 'o_orderdate', 'o_orderpriority')}
 FROM orders
 """
 
-DIFF_TABLES = """
-WITH src AS (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, l_returnflag FROM lineitem),
+_DRIFT = """src AS (
+  SELECT *, CASE l_linenumber WHEN 2 THEN 'a' WHEN 3 THEN 'a|b' END AS note_a, CASE l_linenumber WHEN 3 THEN 'c' END AS note_b
+  FROM lineitem),
+shifted AS (
+  SELECT * EXCLUDE (note_a, note_b),
+         CASE WHEN l_returnflag = 'N' AND l_linenumber = 2 THEN NULL WHEN l_returnflag = 'N' AND l_linenumber = 3 THEN 'a' ELSE note_a END AS note_a,
+         CASE WHEN l_returnflag = 'N' AND l_linenumber = 2 THEN 'a' WHEN l_returnflag = 'N' AND l_linenumber = 3 THEN 'b|c' ELSE note_b END AS note_b
+  FROM src),
 tgt AS (
-  SELECT l_orderkey, l_linenumber, l_partkey,
-         CASE WHEN l_linenumber = 1 AND l_returnflag = 'R' THEN l_quantity + 1 ELSE l_quantity END AS l_quantity,
-         l_extendedprice, l_returnflag
-  FROM lineitem WHERE l_linenumber <> 7
-  UNION ALL
-  SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, l_returnflag
-  FROM lineitem WHERE l_linenumber = 6 AND l_returnflag = 'A'),
-u AS (
-  SELECT l_orderkey, l_linenumber, l_partkey, md5(concat_ws('|', l_quantity, l_extendedprice, l_returnflag)) AS h,
-         1 AS s, 0 AS t FROM src
+  SELECT * REPLACE (CASE WHEN l_linenumber = 1 AND l_returnflag = 'R' THEN l_quantity + 1 ELSE l_quantity END AS l_quantity)
+  FROM shifted WHERE l_linenumber <> 7
   UNION ALL
-  SELECT l_orderkey, l_linenumber, l_partkey, md5(concat_ws('|', l_quantity, l_extendedprice, l_returnflag)), 0, 1 FROM tgt),
-g AS (SELECT l_orderkey, l_linenumber, l_partkey, h, SUM(s) AS n_source, SUM(t) AS n_target FROM u GROUP BY ALL)
+  SELECT * FROM shifted WHERE l_linenumber = 6 AND l_returnflag = 'A')"""
+
+DIFF_TABLES = f"""
+WITH {_DRIFT},
+u AS (SELECT *, 1 AS s, 0 AS t FROM src UNION ALL SELECT *, 0, 1 FROM tgt),
+g AS (SELECT * EXCLUDE (s, t), SUM(s) AS n_source, SUM(t) AS n_target FROM u GROUP BY ALL)
 SELECT l_orderkey, l_linenumber, l_partkey, CAST(n_source AS BIGINT) AS n_source, CAST(n_target AS BIGINT) AS n_target,
        CASE WHEN n_target = 0 THEN 'missing_in_target' WHEN n_source = 0 THEN 'missing_in_source'
             ELSE 'count_differs' END AS status
@@ -461,6 +468,11 @@ WHERE s.o_orderdate >= DATE '1997-01-01'
   AND NOT EXISTS (SELECT 1 FROM orders d WHERE d.o_orderdate < DATE '1998-01-01' AND d.o_orderkey = s.o_orderkey)
 """
 
+PUBLISH_FIRST = """
+SELECT * REPLACE (CASE WHEN o_orderkey % 10 = 0 THEN '3-MEDIUM' ELSE COALESCE(o_orderpriority, '3-MEDIUM') END AS o_orderpriority)
+FROM orders
+"""
+
 PUBLISH_NEW_COMPOSITE = """
 SELECT * FROM lineitem s
 WHERE s.l_shipdate >= DATE '1998-01-01'
@@ -534,6 +546,7 @@ WITH_LOAD_DATE = "SELECT event_id, event_type, '2024-01-31' AS upload_date FROM
 
 ORACLE.update({
     "publish_new": PUBLISH_NEW,
+    "publish_first": PUBLISH_FIRST,
     "publish_new_composite": PUBLISH_NEW_COMPOSITE,
     "wap_publish": WAP_PUBLISH,
     "wap_gate_fail": WAP_GATE_FAIL,
@@ -636,7 +649,7 @@ VALUE_SET = "SELECT o_orderpriority AS value, COUNT(*) AS n FROM orders GROUP BY
 UNEXPECTED_VALUES = """
 SELECT c_nationkey AS value, COUNT(*) AS n FROM customer
 WHERE c_nationkey IS NOT NULL AND c_nationkey NOT IN (0, 1, 2, 3, 4, 5, 6, 7, 8, 9)
-GROUP BY c_nationkey ORDER BY n DESC, value ASC LIMIT 5
+GROUP BY c_nationkey
 """
 
 _BATCH_AGG = """b AS (SELECT l_returnflag, COUNT(*) AS n,
@@ -688,18 +701,13 @@ VALIDATE_TIERS = f"WITH {_ORDERS_PASS_AGG}, {_WARN_AGG}\n" + _union(
     *[_tier("warning", r) for r in _warn_rows()], *[_tier("failure", r) for r in _orders_pass_rows()]
 )
 
-_FP_COLS = "l_orderkey, l_linenumber, l_partkey, l_returnflag"
-COMPARE_FINGERPRINTS = f"""
-WITH src AS (SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag FROM lineitem),
-tgt AS (SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag FROM lineitem WHERE l_linenumber <> 7
-        UNION ALL
-        SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag FROM lineitem
-        WHERE l_linenumber = 6 AND l_returnflag = 'A'),
-fa AS (SELECT COUNT(*) AS na, SUM(CAST(('0x' || substr(md5(concat_ws('|', {_FP_COLS})), 1, 8))::BIGINT AS DECIMAL(38,0))) AS fa FROM src),
-fb AS (SELECT COUNT(*) AS nb, SUM(CAST(('0x' || substr(md5(concat_ws('|', {_FP_COLS})), 1, 8))::BIGINT AS DECIMAL(38,0))) AS fb FROM tgt),
-x AS (SELECT * FROM fa, fb)
-""" + _row(None, "lineitem_vs_copy", "integrity", None, "fingerprint", "equal_to", None, "nb", "na", "ABS(na - nb)",
-           "na = nb AND fa = fb", "x")
+_COPIES = {"lineitem_vs_copy": "tgt", "lineitem_vs_shifted": "shifted", "lineitem_vs_itself": "src"}
+COMPARE_FINGERPRINTS = f"WITH {_DRIFT},\n" + ",\n".join(
+    f"x{i} AS (SELECT (SELECT COUNT(*) FROM src) AS na, (SELECT COUNT(*) FROM {t}) AS nb, "
+    f"NOT EXISTS (SELECT * FROM (SELECT * FROM src EXCEPT ALL SELECT * FROM {t})) AS same)"
+    for i, t in enumerate(_COPIES.values())) + "\n" + _union(*[
+        _row(None, name, "integrity", None, "fingerprint", "equal_to", None, "nb", "na", "ABS(na - nb)", "na = nb AND same", f"x{i}")
+        for i, name in enumerate(_COPIES)])
 
 CSV_HEADER_TS = "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts_text, event_type FROM events"
 
@@ -790,7 +798,8 @@ WITH g AS (SELECT COUNT(*) AS n,
 """ + _row(None, "group_R_loaded_cleanly", "integrity", None, "load_errors", "equal_to", "0", "e", "n", "e", "e = 0", "g")
 
 MULTI_TABLE_TRANSFORM = """
-SELECT o_custkey, o_orderkey, o_totalprice, c_acctbal, o_totalprice / NULLIF(c_acctbal, 0) AS price_per_balance
+SELECT o_custkey, o_orderkey, o_totalprice, c_acctbal, o_totalprice + COALESCE(c_acctbal, 0.0) AS total_cost,
+       o_totalprice / NULLIF(c_acctbal, 0) AS price_per_balance
 FROM orders LEFT JOIN customer ON c_custkey = o_custkey
 """
 

@@ -22,6 +22,7 @@ from ..operators import publish as P
 from ..operators import registry as RG
 from ..sources import files as FS
 from ..sources import tables as TB
+from ..sources.tables import materialize
 
 
 @dataclass
@@ -70,24 +71,28 @@ def suite_write_audit_publish(df: DataFrame, dest_path: str, keys: Sequence[str]
 
 def multi_table_transform(left: DataFrame, right: DataFrame, key: str, left_checks: Mapping[str, Any],
                           right_checks: Mapping[str, Any], joined_checks: Mapping[str, Any], total_col: str,
-                          ratio_of: tuple[str, str], ratio_name: str, on_fail: str = "raise") -> PipelineResult:
-    """L4: check both inputs → left join → check the joined table (incl. invariants) → ratio.
-
-    ``*_checks`` are ``{"column": ..., "table": ...}`` configs.  The ratio uses ``try_divide``
-    (NULL on a zero denominator).
+                          ratio_of: tuple[str, str], ratio_name: str, on_fail: str = "raise",
+                          total_of: Sequence[str] = (), target: str | None = None) -> PipelineResult:
+    """L4: check both inputs → left join → total → check the joined table (incl. invariants) → ratio.
+
+    ``*_checks`` are ``{"column": ..., "table": ...}`` configs.  ``total_col`` is the sum of
+    ``total_of`` (a NULL part counts as 0); the joined table is written once (to ``target`` when
+    given) and read by the checks and the output.  The ratio uses ``try_divide`` (NULL on a zero
+    denominator).
     """
-    results = [
-        C.run_checks(left, suite="left", **left_checks),
-        C.run_checks(right, suite="right", **right_checks),
-    ]
-    ok = C.gate(reduce(lambda a, b: a.unionByName(b), results), on_fail=on_fail)
+    both = C.run_checks(left, suite="left", **left_checks).unionByName(C.run_checks(right, suite="right", **right_checks))
+    both = materialize(both, name="input-results")
+    ok = C.gate(both, on_fail=on_fail)
     joined = P.enrich(left, right, key, "left")
-    jr = C.run_checks(joined, suite="joined", **joined_checks)
+    if total_of:
+        parts = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in total_of]
+        joined = joined.withColumn(total_col, reduce(lambda a, b: a + b, parts))
+    joined = materialize(joined, target, name="joined")
+    jr = materialize(C.run_checks(joined, suite="joined", **joined_checks), name="joined-results")
     ok = C.gate(jr, on_fail=on_fail) and ok
     num, den = ratio_of
     out = joined.withColumn(ratio_name, F.try_divide(F.col(num), F.col(den)))
-    return PipelineResult(ok, reduce(lambda a, b: a.unionByName(b), results + [jr]), out,
-                          {"total_col": total_col})
+    return PipelineResult(ok, both.unionByName(jr), out, {"total_col": total_col})
 
 
 # --------------------------------------------------------------------------- L5: dated files
@@ -136,11 +141,14 @@ def load_with_integrity(spark: SparkSession, path: str, manifest: DataFrame, sch
 
 def load_and_validate(spark: SparkSession, path: str, schema: Any, suite: Any, target: str | None = None,
                       required: Sequence[str] = (), allow_jagged: bool = True) -> PipelineResult:
-    """Lenient load (jagged rows allowed) → optional table write → suite → warn on failure."""
+    """Lenient load (jagged rows allowed) → required columns → optional table write → suite →
+    warn on failure.  A NULL in a required column fails the load: ``CheckFailed``, nothing is written."""
     checked = FS.load_csv_checked(spark, path, schema, allow_jagged=allow_jagged)
     data = FS.clean_rows(checked)
+    if required:
+        C.gate(C.column_checks(data, {c: {"null_check": {"equal_to": 0}} for c in required}, suite="required"))
     if target:
-        FS.load(data, target, required=required)
+        FS.load(data, target)
         data = spark.read.parquet(target) if "/" in target else spark.table(target)
     results = E.validate(data, suite)
     return PipelineResult(C.gate(results, on_fail="warn"), results, data)

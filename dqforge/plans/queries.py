@@ -332,22 +332,39 @@ def q_load_errors(spark, sf_dir):
     return I.load_errors(checked, group_col="l_returnflag")
 
 
-LI_FP_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag"]
-O_FP_COLS = ["o_orderkey", "o_custkey", "o_orderstatus"]
+def _fixed(df: DataFrame) -> DataFrame:
+    """Doubles as decimals: a text form that every engine writes alike."""
+    return df.select(*[F.col(f.name).cast("decimal(20,4)").alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name)
+                       for f in df.schema.fields])
 
 
 def q_table_fingerprint(spark, sf_dir):
-    a = I.table_fingerprint(T(spark, sf_dir, "lineitem"), LI_FP_COLS).select(F.lit("lineitem").alias("table_name"), "*")
-    b = I.table_fingerprint(T(spark, sf_dir, "orders"), O_FP_COLS).select(F.lit("orders").alias("table_name"), "*")
-    return a.unionByName(b)
+    parts = [I.table_fingerprint(_fixed(T(spark, sf_dir, t)), T(spark, sf_dir, t).columns).select(F.lit(t).alias("table_name"), "*")
+             for t in ("lineitem", "orders")]
+    return parts[0].unionByName(parts[1])
 
 
 DIFF_KEY = ["l_orderkey", "l_linenumber", "l_partkey"]
-DIFF_COLS = ["l_quantity", "l_extendedprice", "l_returnflag"]
+
+
+def _with_notes(li: DataFrame) -> DataFrame:
+    """Two text columns with NULLs (line 2) and a separator inside a text (line 3)."""
+    ln = F.col("l_linenumber")
+    return li.withColumn("note_a", F.when(ln == 2, "a").when(ln == 3, "a|b")).withColumn("note_b", F.when(ln == 3, "c"))
+
+
+def _lineitem_shifted(li: DataFrame) -> DataFrame:
+    """A copy of the same size whose notes of flag N moved: a NULL to the other column, a separator
+    to the other text."""
+    ln, n = F.col("l_linenumber"), F.col("l_returnflag") == "N"
+    return (li.withColumn("note_b", F.when(n & (ln == 2), F.lit("a")).when(n & (ln == 3), F.lit("b|c")).otherwise(F.col("note_b")))
+            .withColumn("note_a", F.when(n & (ln == 2), F.lit(None)).when(n & (ln == 3), F.lit("a")).otherwise(F.col("note_a"))))
 
 
 def _lineitem_target(li: DataFrame) -> DataFrame:
-    """A drifted copy: line 7 dropped, quantity +1 on line 1 of flag R, line 6 of flag A doubled."""
+    """A drifted copy: line 7 dropped, quantity +1 on line 1 of flag R, line 6 of flag A doubled,
+    notes of flag N shifted."""
+    li = _lineitem_shifted(li)
     ln, rf = F.col("l_linenumber"), F.col("l_returnflag")
     kept = li.filter(ln != 7).withColumn(
         "l_quantity", F.when((ln == 1) & (rf == "R"), F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
@@ -356,8 +373,8 @@ def _lineitem_target(li: DataFrame) -> DataFrame:
 
 
 def q_diff_tables(spark, sf_dir):
-    li = T(spark, sf_dir, "lineitem")
-    return I.diff_tables(li, _lineitem_target(li), DIFF_KEY, DIFF_COLS)
+    li = _with_notes(T(spark, sf_dir, "lineitem"))
+    return I.diff_tables(li, _lineitem_target(li), DIFF_KEY, [c for c in li.columns if c not in DIFF_KEY])
 
 
 def q_file_checksums(spark, sf_dir):
@@ -393,6 +410,16 @@ def q_publish_new(spark, sf_dir):
     return P.publish_new(staged, dest, ["o_orderkey"], defaults={"o_orderpriority": "3-MEDIUM"})
 
 
+def q_publish_first(spark, sf_dir):
+    """First publish into a folder that doesn't exist: NULL priorities get the default, twice published rows stay single."""
+    o = T(spark, sf_dir, "orders")
+    staged = o.withColumn("o_orderpriority", F.when(F.col("o_orderkey") % 10 != 0, F.col("o_orderpriority")))
+    path = scratch_path(spark, "publish-first")
+    for _ in range(2):
+        P.publish(staged, path, ["o_orderkey"], defaults={"o_orderpriority": "3-MEDIUM"})
+    return spark.read.parquet(path)
+
+
 def q_publish_new_composite(spark, sf_dir):
     li = T(spark, sf_dir, "lineitem")
     dest = li.filter(F.col("l_shipdate") < F.lit(D1999))
@@ -517,6 +544,7 @@ def q_with_load_date(spark, sf_dir):
 
 QUERIES.update({
     "publish_new": q_publish_new,
+    "publish_first": q_publish_first,
     "publish_new_composite": q_publish_new_composite,
     "wap_publish": q_wap_publish,
     "wap_gate_fail": q_wap_gate_fail,
@@ -611,7 +639,7 @@ def q_value_set(spark, sf_dir):
 
 
 def q_unexpected_values(spark, sf_dir):
-    return E.unexpected_values(T(spark, sf_dir, "customer"), "c_nationkey", list(range(10)), limit=5)
+    return E.unexpected_values(T(spark, sf_dir, "customer"), "c_nationkey", list(range(10)))
 
 
 BATCH_COLUMN_CHECKS = {
@@ -632,8 +660,11 @@ def q_validate_tiers(spark, sf_dir):
 
 
 def q_compare_fingerprints(spark, sf_dir):
-    li = T(spark, sf_dir, "lineitem")
-    return I.compare_fingerprints(li, _lineitem_target(li), DIFF_KEY + ["l_returnflag"], name="lineitem_vs_copy")
+    """All columns against a drifted copy, a copy of the same size with moved texts, and itself in another order."""
+    li = _with_notes(T(spark, sf_dir, "lineitem"))
+    copies = {"lineitem_vs_copy": _lineitem_target(li), "lineitem_vs_shifted": _lineitem_shifted(li), "lineitem_vs_itself": li.repartition("l_partkey")}
+    parts = [I.compare_fingerprints(li, copy, li.columns, name=name) for name, copy in copies.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 CSV_TS_FORMAT = "dd/MM/yyyy HH:mm:ss"
@@ -711,9 +742,6 @@ STREAM_SUITE = {
 }
 
 
-STREAM_TIMEOUT_SEC = 1800
-
-
 def q_stream_validate(spark, sf_dir):
     """The events file read as a stream (file source, availableNow) and validated per file."""
     from ..streaming.validate_stream import file_stream, validate_stream
@@ -722,10 +750,8 @@ def q_stream_validate(spark, sf_dir):
     stream = file_stream(spark, sf_dir, schema, fmt="parquet", pathGlobFilter="events.parquet")
     out = scratch_path(spark, "stream-results")
     q = validate_stream(stream, out, suite=STREAM_SUITE, checkpoint_location=scratch_path(spark, "stream-ckpt"))
-    if not q.awaitTermination(STREAM_TIMEOUT_SEC):
-        q.stop()
-        raise TimeoutError(f"streaming validation did not finish within {STREAM_TIMEOUT_SEC} s")
-    return spark.read.parquet(out)
+    q.awaitTermination()
+    return spark.read.parquet(out).withColumn("batch_id", F.col("batch_id").cast("long"))
 
 
 QUERIES["stream_validate"] = q_stream_validate
@@ -763,8 +789,8 @@ def q_multi_table_transform(spark, sf_dir):
         o, c, "o_custkey",
         {"column": {"o_orderkey": {"null_check": {"equal_to": 0}}}},
         {"table": {"has_rows": "COUNT(*) > 0"}},
-        {"table": {"price_positive": "o_totalprice > 0"}},
-        "o_totalprice", ("o_totalprice", "c_acctbal"), "price_per_balance", on_fail="warn")
+        {"table": {"price_positive": "o_totalprice > 0", "total": "total_cost = o_totalprice + COALESCE(c_acctbal, 0)"}},
+        "total_cost", ("o_totalprice", "c_acctbal"), "price_per_balance", on_fail="warn", total_of=("o_totalprice", "c_acctbal"))
     return r.output
 
 

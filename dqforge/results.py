@@ -75,12 +75,3 @@ def result_struct(
         F.coalesce(passed, F.lit(False)).alias("passed"),
         *[s(v).alias(k) for k, v in sorted((extra or {}).items())],
     )
-
-
-def empty_results(spark) -> DataFrame:
-    return spark.createDataFrame([], RESULT_DDL)
-
-
-def failures(results: DataFrame) -> DataFrame:
-    """The failed rows of a result frame (lazy)."""
-    return results.filter(~F.col("passed"))

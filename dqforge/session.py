@@ -7,7 +7,6 @@ a folder of our own is set only when that setting is missing (local tests).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -97,11 +96,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder (visible to every executor)."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/dqforge/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def strip_scheme(path: str) -> str:
-    return path[5:] if path.startswith("file:") else path
-
-
-def local_dir_exists(path: str) -> bool:
-    return os.path.exists(strip_scheme(path))

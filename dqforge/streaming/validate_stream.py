@@ -1,5 +1,5 @@
 """Validate batches as they arrive: a Structured Streaming file source, one suite run per
-micro-batch, verdicts appended to a results store.
+micro-batch, verdicts in a results store with a folder per micro-batch.
 
 This is the checkpoint-over-batches model (a new file is a new batch) driven by Spark's file
 source instead of a scheduler: the stream's checkpoint location records which files were
@@ -30,7 +30,7 @@ def file_stream(spark: SparkSession, path: str, schema: Any, fmt: str = "csv", m
 def validate_stream(stream: DataFrame, results_path: str, suite: Any = None, column: Any = None, table: Any = None,
                     by: Iterable[str] = ("_file",), checkpoint_location: str | None = None,
                     available_now: bool = True) -> StreamingQuery:
-    """Start a query that validates every micro-batch and appends its verdicts.
+    """Start a query that validates every micro-batch and stores its verdicts by ``batch_id``.
 
     Each micro-batch is validated per ``by`` group (by default per source file) in one fused
     aggregation; result rows carry the batch id.  ``available_now`` processes what is there and
@@ -45,7 +45,9 @@ def validate_stream(stream: DataFrame, results_path: str, suite: Any = None, col
             res = validate(batch, suite, by=by)
         else:
             res = run_checks(batch, column=column, table=table, by=by)
-        res.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(results_path)
+        # a batch that is tried again replaces its own folder: its verdicts are there once
+        (res.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(results_path))
 
     w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", ckpt)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
