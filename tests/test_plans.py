@@ -12,7 +12,7 @@ from dqforge.plans.queries import QUERIES
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
 # queries that write files or fit models at build time are planned like the others; the training-data
-# operators may run Arrow batches, their plans are tested in tests/llm
+# operators may run Arrow batches; tests/llm looks at the plans of the native ones
 NAMES = sorted(QUERIES)
 
 
