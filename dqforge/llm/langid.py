@@ -4,8 +4,9 @@ fewest phrases wins.
 For each language a suffix automaton of labelled text gives the longest match at any place.  A word
 (with a space on either side, lower case) is parsed greedily: the longest string that occurs in the
 language's text is one phrase, then the parse goes on behind it.  A document's phrases are the sum
-over its words, so a task memoises them per word.  Phrases are normalised by the length parsed, and
-all languages learn from equally many characters.
+over its words, so a task memoises them per word.  Phrases are normalised by the length parsed, and by
+the logarithm of the length learned (a match grows with it), so a language with little text neither
+cuts what the others learn nor loses to them for its shortness; see ``FLOOR_CHARS``.
 
 Defined results: ``und`` with score 0 for a null text, a text without a letter, or when no labelled
 text exists; ties go to the language first in alphabetical order; one row in, one row out; texts are
@@ -25,6 +26,11 @@ from .common import Memo, id_bucket, slices
 
 #: Characters per language that the automata are built from.
 LEARN_CHARS = 60_000
+#: Long documents are learned in pieces of this many characters, the first pieces of all before the second ones.
+PIECE_CHARS = 6_000
+#: The length of learned text below which the phrase rate isn't corrected further: so little text says
+#: nothing of other words, and a full correction would give every document to its language.
+FLOOR_CHARS = 1_000
 _OUTER = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -83,6 +89,8 @@ class CrossParser:
 
     def __init__(self, texts: dict[str, str]):
         self.texts, self.langs, self.memo = texts, sorted(texts), None
+        known = np.log([max(len(texts[k]), FLOOR_CHARS) for k in self.langs])
+        self.weight = known / known.max(initial=1)
 
     def __getstate__(self):
         return {**self.__dict__, "memo": None}
@@ -120,26 +128,28 @@ class CrossParser:
             if not length or not _LETTER.search(text):
                 yield "und", 0.0
                 continue
-            rate = np.array([total >> (32 * k) & 0xFFFFFFFF for k in range(1, len(self.langs) + 1)]) / length  # phrases a character
+            rate = np.array([total >> (32 * k) & 0xFFFFFFFF for k in range(1, len(self.langs) + 1)]) / length * self.weight  # phrases a character
             best = int(np.argmin(rate))
             yield self.langs[best], float(1 / np.exp(-np.minimum((rate - rate[best]) * 40, 50)).sum())
 
 
 def fit(docs: DataFrame, mod: int = 4, held: int = 2, per_lang: int = 120) -> CrossParser:
-    """Learn from whole documents of at most ``LEARN_CHARS`` characters, some ``2 * per_lang`` a language
-    by the hash of their ids, in that order up to ``LEARN_CHARS`` characters (documented bounds)."""
-    rows = (docs.select("doc_id", "lang", "text").where(f"lang IS NOT NULL AND length(text) BETWEEN 1 AND {LEARN_CHARS} AND doc_id IS NOT NULL")
+    """Learn from some ``2 * per_lang`` documents a language by the hash of their ids, in pieces (of a document
+    longer than ``LEARN_CHARS`` a slice of that many characters), up to ``LEARN_CHARS`` characters a
+    language (documented bounds)."""
+    rows = (docs.select("doc_id", "lang", "text").where("lang IS NOT NULL AND length(text) > 0 AND doc_id IS NOT NULL")
             .where(id_bucket("doc_id", mod) != held))
     share = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))  # a row per language
     mine = rows.join(F.broadcast(share), "lang").where(F.pmod(F.xxhash64("doc_id"), F.col("n")) < 2 * per_lang)
-    picked = mine.select("lang", F.xxhash64("doc_id", F.lit(1)).alias("h"), "doc_id", "text").collect()
+    h = F.xxhash64("doc_id", F.lit(1))
+    start = F.pmod(h, F.greatest(F.length("text") - (LEARN_CHARS - 1), F.lit(1))) + 1
+    picked = mine.select("lang", h.alias("h"), "doc_id", F.substring("text", start.cast("int"), F.lit(LEARN_CHARS)).alias("text")).collect()
+    pieces = sorted((r.lang, at, r.h, r.doc_id, r.text[at:at + PIECE_CHARS]) for r in picked for at in range(0, len(r.text), PIECE_CHARS))
     out: dict[str, str] = {}
-    for lang, _, _, text in sorted(tuple(r) for r in picked):
-        if len(out.get(lang, "")) + len(text) <= LEARN_CHARS:
-            out[lang] = out.get(lang, "") + words_of(text)
-    out = {k: v for k, v in out.items() if v.strip()}
-    least = min((len(v) for v in out.values()), default=0)
-    return CrossParser({k: v[:least] for k, v in out.items()})
+    for lang, _, _, _, text in pieces:
+        if len(out.get(lang, "")) < LEARN_CHARS:
+            out[lang] = (out.get(lang, "") + words_of(text))[:LEARN_CHARS]
+    return CrossParser({k: v for k, v in out.items() if v.strip()})
 
 
 def identify(docs: DataFrame, model: CrossParser, mod: int = 4, held: int = 2) -> DataFrame:

@@ -186,6 +186,21 @@ def test_automaton():
     assert langid.phrases("abraxcad", step) == 3
 
 
+def test_language_id_little_and_long_text(spark):
+    rng = np.random.default_rng(2)
+    vocab = {lang: ["".join(rng.choice(list(abc), rng.integers(3, 9))) for _ in range(300)] for lang, abc in (("aa", "abcdefghij"), ("bb", "efghijklmn"), ("cc", "ijklmnopqr"), ("dd", "mnopqrstuv"))}
+    text = lambda lang, n: " ".join(rng.choice(vocab[lang], n))
+    rows = [(i, lang, text(lang, 60)) for i, lang in enumerate(["aa", "bb"] * 150)]
+    rows += [(1000, "cc", text("cc", 20_000)), (1001, "cc", text("cc", 20_000)), (2001, "ok", "ok"), (2002, "dd", text("dd", 250))]
+    mine = {zlib.crc32(str(i).encode()) % 4 for i in (1000, 1001)}
+    df = spark.createDataFrame([(i, lang, t) for i, lang, t in rows], "doc_id long, lang string, text string")
+    model = langid.fit(df, held=next(k for k in range(4) if k not in mine | {zlib.crc32(str(i).encode()) % 4 for i in (2001, 2002)}))
+    assert len(model.texts["cc"]) == langid.LEARN_CHARS and min(len(model.texts[k]) for k in ("aa", "bb")) > 40_000
+    assert model.texts["ok"] == " ok " and len(model.texts["dd"]) < 2_500
+    asked = [(lang, text(lang, 15)) for lang in vocab for _ in range(50)]
+    assert [p for p, _ in model.predict([t for _, t in asked])] == [lang for lang, _ in asked]
+
+
 # ------------------------------------------------------------------------------------------ 4
 
 def test_chat_round_trip(spark):
