@@ -1,15 +1,15 @@
 """Chat formatting by incremental black-box rendering.
 
-A template is any function from a list of (role, text) turns to a string.  Each turn's prefix of the
-conversation is rendered and compared with the rendering before it: what is new is the turn's span,
-and a rendering that doesn't start with the one before rewrites history, which is reported.  The span
-alone says where a turn is; the loss mask is the assistant's text inside its span, found by reading
-the span back.
+A template is any function from a list of (role, text) turns to a string.  Every prefix of a
+conversation is rendered whole and compared with the rendering before it: the turn's span is what
+follows their common prefix, and a rendering that doesn't start with the one before rewrites history,
+which is reported.  The span alone says where a turn is; the loss mask is the assistant's text inside
+its span, found by reading the span back.  A conversation that was rewritten is read back from its
+last rendering.
 
-A conversation is streamed turn by turn from a sorted partition: a task holds the turns that are
-rendered (``HEAD`` first ones and the last ``TAIL``) and running digests, however many turns a
-conversation has.  For conversations of up to ``HEAD + TAIL`` turns every prefix is rendered whole;
-further on the middle is left out, so a template that rewrites turns further back goes unseen there.
+Rendering every prefix takes time with the square of a conversation's turns, so the prefixes of one
+with more than ``PART`` turns are dealt to several tasks, ``PARTS`` at most; a task holds the turns of
+one conversation up to its last prefix, and two renderings.
 
 Defined results: null texts and roles count as empty; turns go by (turn, role, text), nulls first;
 repeated rows are turns of their own; a null conv_id is a conversation; an empty table gives an
@@ -23,12 +23,12 @@ import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 Turn = tuple[str, str]
 Template = Callable[[list[Turn]], str]
-#: Turns of a long conversation that are rendered again with each new turn.
-HEAD, TAIL = 2, 14
+#: Prefixes of a conversation that one task renders, and the most tasks for a conversation.
+PART, PARTS = 256, 64
 
 # control strings of the instruct template, and how their first character is written inside texts
 _CONTROL = re.compile(r"\\|<(?=/?s>)|\[(?=/?(?:INST|ROLE)\b)")
@@ -68,76 +68,72 @@ def read_instruct(span: str) -> list[tuple[str, str, int, int]]:
     return out
 
 
-class Conversation:
-    """Running state of one conversation: what was rendered last, its spans so far and the digests."""
+def common(a: str, b: str) -> int:
+    """Length of the common prefix of two strings."""
+    if b.startswith(a):
+        return len(a)
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        mid = (low + high + 1) // 2
+        if a[low:mid] == b[low:mid]:
+            low = mid
+        else:
+            high = mid - 1
+    return low
 
-    def __init__(self, render: Template, read):
-        self.render, self.read = render, read
-        self.head: list[Turn] = []
-        self.tail: list[Turn] = []
-        self.n = self.chars = self.loss_chars = 0
-        self.rewrites = False
-        self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
 
-    def add(self, role: str, text: str) -> tuple[int, str]:
-        """Render with one more turn; where its span starts, and the span."""
-        before = self.render(self.head + self.tail) if self.n else ""
-        if len(self.head) < HEAD:
-            self.head.append((role, text))
-        else:
-            self.tail.append((role, text))
-        after = self.render(self.head + self.tail)
-        self.rewrites |= not after.startswith(before)
-        span = after[len(before):] if after.startswith(before) else self.render([(role, text)])
-        start, self.n, self.chars = self.chars, self.n + 1, self.chars + len(span)
-        if len(self.tail) > TAIL - 1:
-            self.tail.pop(0)
-        for r, t, a, b in self.read(span):
-            self.turns.update(f"{r}\n{t}\n".encode("utf-8", "surrogatepass"))
-            if r == "assistant":
-                self.loss.update(t.encode("utf-8", "surrogatepass"))
-                self.loss_chars += len(t)
-        return start, span
-
-
-def _ordered(conversations: DataFrame) -> DataFrame:
+def _parts(conversations: DataFrame) -> DataFrame:
+    """The turns of each conversation in order (``nth`` from 0, ``n`` in all), once for each part of its
+    prefixes that needs them; part k has the prefixes that end in turns from ``k * size`` on."""
     rows = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-
-
-def _walk(batches: Iterator[pd.DataFrame], render: Template, read) -> Iterator[tuple]:
-    """(conv_id, conversation, row, start, span) for every turn, and (conv_id, conversation, None, ...) at a conversation's end."""
-    now, key = None, None
-    for pdf in batches:
-        ids = pdf["conv_id"]
-        for cid, null, turn, role, text in zip(ids, ids.isna(), pdf["turn"], pdf["role"], pdf["text"]):
-            this = None if null else int(cid)
-            if now is None or this != key:
-                if now is not None:
-                    yield key, now, None, 0, ""
-                now, key = Conversation(render, read), this
-            start, span = now.add(role, text)
-            yield key, now, turn, start, span
-    if now is not None:
-        yield key, now, None, 0, ""
+    one = Window.partitionBy("conv_id")
+    rows = (rows.withColumn("nth", F.row_number().over(one.orderBy("turn", "role", "text")) - 1).withColumn("n", F.count(F.lit(1)).over(one))
+            .withColumn("size", F.greatest(F.lit(PART), F.ceil(F.col("n") / PARTS)).cast("int")))
+    part = F.sequence(F.floor(F.col("nth") / F.col("size")), F.floor((F.col("n") - 1) / F.col("size")))
+    return rows.withColumn("part", F.explode(part)).repartition("conv_id", "part").sortWithinPartitions("conv_id", "part", "nth")
+
+
+def _rendered(render: Template):
+    """conv_id, nth, turn, start, span and whether the span rewrites, of the prefixes of each part."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, turns, before, size, rows = None, [], "", 0, []
+        for pdf in batches:
+            ids = pdf["conv_id"]
+            for cid, null, turn, role, text, nth, part, per in zip(ids, ids.isna(), pdf["turn"], pdf["role"], pdf["text"], pdf["nth"], pdf["part"], pdf["size"]):
+                this = (None if null else int(cid), part)
+                if this != key:
+                    key, turns, before = this, [], ""
+                first = part * per
+                turns.append((role, text))
+                if nth < first - 1:
+                    continue
+                after = render(list(turns))
+                if nth >= first:
+                    start = common(before, after)
+                    span = after[start:]
+                    rows.append((this[0], nth, None if pd.isna(turn) else int(turn), start, span, start < len(before)))
+                    size += len(span)
+                    if len(rows) >= 2000 or size > 1 << 22:
+                        yield pd.DataFrame(rows, columns=_SPANS)
+                        rows, size = [], 0
+                before = after
+        yield pd.DataFrame(rows, columns=_SPANS)
+
+    return run
+
+
+_SPANS = ["conv_id", "nth", "turn", "span_start", "span", "rewrites"]
+
+
+def _spans(conversations: DataFrame, render: Template) -> DataFrame:
+    return _parts(conversations).mapInPandas(_rendered(render), "conv_id long, nth long, turn long, span_start long, span string, rewrites boolean")
 
 
 def format_turns(conversations: DataFrame, render: Template = instruct, read=read_instruct) -> DataFrame:
-    """One row per turn: conv_id, turn, span_start, span, rewrites (so far).  The spans of a
-    conversation, in order, are its formatted text."""
-    def run(batches):
-        rows = []
-        for cid, conv, turn, start, span in _walk(batches, render, read):
-            if turn is not None:
-                rows.append((cid, None if pd.isna(turn) else int(turn), start, span, conv.rewrites))
-                if len(rows) >= 2000:
-                    yield pd.DataFrame(rows, columns=names)
-                    rows = []
-        yield pd.DataFrame(rows, columns=names)
-
-    names = ["conv_id", "turn", "span_start", "span", "rewrites"]
-    schema = "conv_id long, turn long, span_start long, span string, rewrites boolean"
-    return _ordered(conversations).mapInPandas(run, schema)
+    """One row per turn: conv_id, turn, span_start, span, rewrites (so far).  Each span in order, put at its
+    start in place of all that stands from there on, gives the conversation's formatted text."""
+    so_far = Window.partitionBy("conv_id").orderBy("nth")
+    return _spans(conversations, render).withColumn("rewrites", F.max("rewrites").over(so_far)).select("conv_id", "turn", "span_start", "span", "rewrites")
 
 
 def format_conversations(conversations: DataFrame, render: Template = instruct, read=read_instruct) -> DataFrame:
@@ -145,15 +141,38 @@ def format_conversations(conversations: DataFrame, render: Template = instruct,
     template rewrites history."""
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "rewrites"]
 
+    def whole(key, n: int, spans: list[str], rewrites: bool) -> tuple:
+        turns, loss, loss_chars = hashlib.sha256(), hashlib.sha256(), 0
+        for span in spans:
+            for r, t, _, _ in read(span):
+                turns.update(f"{r}\n{t}\n".encode("utf-8", "surrogatepass"))
+                if r == "assistant":
+                    loss.update(t.encode("utf-8", "surrogatepass"))
+                    loss_chars += len(t)
+        return key, n, turns.hexdigest(), loss_chars, loss.hexdigest(), sum(map(len, spans)), rewrites
+
     def run(batches):
-        rows = []
-        for cid, conv, turn, _, _ in _walk(batches, render, read):
-            if turn is None:
-                rows.append((cid, conv.n, conv.turns.hexdigest(), conv.loss_chars, conv.loss.hexdigest(), conv.chars, bool(conv.rewrites)))
-                if len(rows) >= 2000:
-                    yield pd.DataFrame(rows, columns=names)
-                    rows = []
+        rows, key, n, spans, rewrites = [], None, 0, [], False
+        for pdf in batches:
+            ids = pdf["conv_id"]
+            for cid, null, start, span, again in zip(ids, ids.isna(), pdf["span_start"], pdf["span"], pdf["rewrites"]):
+                this = None if null else int(cid)
+                if n and this != key:
+                    rows.append(whole(key, n, spans, rewrites))
+                    n, spans, rewrites = 0, [], False
+                    if len(rows) >= 2000:
+                        yield pd.DataFrame(rows, columns=names)
+                        rows = []
+                key, n = this, n + 1
+                if again:  # the text so far is one piece from here on
+                    rewrites = True
+                if rewrites:
+                    spans = ["".join(spans)[:start] + span]
+                else:
+                    spans.append(span)
+        if n:
+            rows.append(whole(key, n, spans, rewrites))
         yield pd.DataFrame(rows, columns=names)
 
     schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, rewrites boolean"
-    return _ordered(conversations).mapInPandas(run, schema)
+    return _spans(conversations, render).repartition("conv_id").sortWithinPartitions("conv_id", "nth").mapInPandas(run, schema)

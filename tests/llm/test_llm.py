@@ -227,6 +227,30 @@ def test_chat_rewriting_template(spark):
     assert {r.conv_id: r.rewrites for r in chat_format.format_conversations(df, forgets).collect()} == {1: True, 2: False}
 
 
+def test_chat_every_prefix_is_rendered(spark, monkeypatch):
+    monkeypatch.setattr(chat_format, "PART", 7)  # several tasks a conversation
+
+    def numbered(turns):  # a number before each turn
+        return "".join(chat_format.instruct([(r, f"{i} {t}")]) for i, (r, t) in enumerate(turns))
+
+    def last_20(turns):
+        return chat_format.instruct(turns[-20:])
+
+    rows = [(c, i, "user" if i % 2 == 0 else "assistant", f"text {i * c}") for c, n in ((1, 45), (2, 20), (3, 21)) for i in range(n)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    for render, rewritten in ((numbered, set()), (last_20, {1, 3})):
+        got = {r.conv_id: r for r in chat_format.format_conversations(df, render).collect()}
+        spans = chat_format.format_turns(df, render).orderBy("conv_id", "turn").collect()
+        for c in (1, 2, 3):
+            turns, text = [(r, t) for k, _, r, t in rows if k == c], ""
+            for i, s in enumerate(s for s in spans if s.conv_id == c):
+                text = text[:s.span_start] + s.span
+                assert text == render(turns[:i + 1]) and s.rewrites == (c in rewritten and i >= 20)
+            read = chat_format.read_instruct(text)
+            assert got[c].n_turns == len(turns) and got[c].formatted_chars == len(text) and got[c].rewrites == (c in rewritten)
+            assert got[c].turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t, _, _ in read).encode()).hexdigest()
+
+
 # ------------------------------------------------------------------------------------------ 6
 
 def test_packing_is_whole(spark, odd):
