@@ -9,7 +9,8 @@
 3. Multi-index.  The 64 bits are cut into ``BLOCKS``; fingerprints within ``radius`` bits differ in at
    most ``radius // BLOCKS`` bits of some block.  All values that near to an item's block are indexed and
    joined with the windows' blocks by equality, then the whole distance is checked: no pair within the
-   radius is missed.
+   radius is missed.  Similar windows can lie outside the radius (cut items at up to 24 bits), so windows
+   over it from an item that anchored them go to the verification too.
 4. Verification.  The shingle bags of window and item are compared exactly: the weighted Jaccard
    similarity, sum of smaller counts over sum of larger counts, is at least ``similarity``.
 
@@ -98,9 +99,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     least = max(1, -int(-(similarity * n_shingles(facts["least"] or 1)) // 1))
     stride = safe_stride(least, similarity)
 
-    # 1. anchors: (shingle, offset, size of the item), whichever items have it
+    # 1. anchors: (shingle, offset, size of the item, item)
     at = F.explode(starts(F.col("n"))).alias("i")
-    offsets = stored(items.select("ws", "n", at).select(shingle(F.col("ws"), F.col("i")).alias("sh"), (F.col("i") - 1).alias("off"), "n").distinct(), "decontam-anchors")
+    offsets = stored(items.select("item", "ws", "n", at).select(shingle(F.col("ws"), F.col("i")).alias("sh"), (F.col("i") - 1).alias("off"), "n", "item").distinct(), "decontam-anchors")
     keys = offsets.select("sh").distinct()
     small = keys.count() <= BROADCAST_SHINGLES
     docs_w = docs.select("doc_id", row_key("doc_id", F.col("text")).alias("row"), words(F.col("text")).alias("ws"))
@@ -113,9 +114,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     shift = (per - F.ceil(per * (2 * similarity / (1 + similarity)) - 1e-9)).cast("int")
     length = F.least("n", "size")
     place = F.greatest(F.lit(1), F.least(F.col("i") - F.col("off") + F.col("d"), F.col("size") - length + 1))
-    windows = (hits.select("row", "size", "i", "off", "n", F.explode(F.sequence(-shift, shift)).alias("d"))
-               .select("row", place.cast("int").alias("at"), length.alias("len"), F.col("n")).distinct())
-    windows = stored(windows, "decontam-windows")
+    windows = (hits.select("row", "size", "i", "off", "n", "item", F.explode(F.sequence(-shift, shift)).alias("d"))
+               .select("row", place.cast("int").alias("at"), length.alias("len"), F.col("n"), F.col("item")).distinct())
+    anchored = stored(windows, "decontam-windows")
+    windows = anchored.select("row", "at", "len", "n").distinct()
 
     # 2. fingerprints
     mine = matching(docs_w, windows.select("row").distinct(), "row").dropDuplicates(["row"]).select("row", "ws")
@@ -134,6 +136,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     probes = prints.select("row", "at", "len", "n", "bits", cut("p")).select("row", "at", "len", "n", "bits", F.col("p.b").alias("b"), F.col("p.v").alias("v"))
     found = (probes.join(near, ["b", "v", "n"]).where(F.bit_count(F.col("bits").bitwiseXOR(F.col("item_bits"))) <= radius)
              .select("row", "at", "len", "item").distinct())
+    over = (anchored.join(prints, ["row", "at", "len", "n"]).join(item_prints.select("item", F.col("bits").alias("item_bits")), "item")
+            .where(F.bit_count(F.col("bits").bitwiseXOR(F.col("item_bits"))) > radius).select("row", "at", "len", "item"))
+    found = found.unionByName(over)
 
     # 4. exact weighted-shingle similarity
     both = F.size(F.array_intersect("w_bag", "i_bag"))

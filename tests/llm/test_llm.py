@@ -348,6 +348,19 @@ def test_decontamination_brute_force(spark, odd, empty):
     assert decontam.contaminated(df, bench.limit(0)).count() == 0
 
 
+def test_decontamination_cuts_at_the_limit(spark):
+    rng = np.random.default_rng(8)
+    items = [(k, " ".join(f"v{x}" for x in rng.choice(5000, 16 + k % 44, replace=False))) for k in range(150)]
+    texts = []
+    for k, t in items:  # as many words of an end replaced as the similarity allows
+        w = t.split()
+        n = decontam.lost(len(w) - 4, 0.75)
+        texts += [(2 * k, " ".join([*w[:len(w) - n], *[f"z{i}" for i in range(n)]])), (2 * k + 1, " ".join([*[f"z{i}" for i in range(n)], *w[n:]]))]
+    df, bench = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = {x for k in range(150) for x in brute_leaks(texts[2 * k:2 * k + 2], items[k:k + 1])}
+    assert len(want) == 300 and {(r.doc_id, r.item_id) for r in decontam.contaminated(df, bench).collect()} == want
+
+
 def test_no_python_in_native_plans(spark):
     for name in ("op8_url_filter", "op9_decontamination"):
         plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
