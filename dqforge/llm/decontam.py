@@ -15,7 +15,7 @@
    similarity, sum of smaller counts over sum of larger counts, is at least ``similarity``.
 
 Words are runs of letters and digits, lower case; shingles have five words, a shorter item is one
-shingle.  A document shorter than an item is one window of its own size.
+shingle, anchored at every place of a document that has its words.  A document shorter than an item is one window of its own size.
 
 Defined results: null and empty texts and items without a word match nothing; equal items are
 compared once and all reported; repeated rows match alike; a null id is kept as null; an empty table
@@ -37,9 +37,9 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
-def shingle(ws: Column, at: Column) -> Column:
-    """64-bit hash of the five words from 1-based ``at``."""
-    return F.xxhash64(*[F.get(ws, at + (k - 1)) for k in range(WORDS)])
+def shingle(ws: Column, at: Column, size: int = WORDS) -> Column:
+    """64-bit hash of the ``size`` words from 1-based ``at``."""
+    return F.xxhash64(*[F.get(ws, at + (k - 1)) for k in range(size)])
 
 
 def starts(n_words: Column, stride: int = 1) -> Column:
@@ -94,9 +94,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     """One row per document and item: doc_id, item_id, similarity, word_start, n_words of the most similar
     window (the first of equals), and ``row``, the 64-bit key of the document row."""
     items = stored(_items(benchmark), "decontam-items")
-    facts = items.agg(F.count(F.lit(1)).alias("items"), F.min("n").alias("least"), F.max("n").alias("most")).first()
+    facts = items.agg(F.count(F.lit(1)).alias("items"), F.min(F.when(F.col("n") >= WORDS, F.col("n"))).alias("least"), F.max("n").alias("most"),
+                      F.array_sort(F.collect_set(F.when(F.col("n") < WORDS, F.col("n")))).alias("short")).first()
     n_shingles = lambda n: max(1, n - WORDS + 1)
-    least = max(1, -int(-(similarity * n_shingles(facts["least"] or 1)) // 1))
+    least = max(1, -int(-(similarity * n_shingles(facts["least"] or WORDS)) // 1))
     stride = safe_stride(least, similarity)
 
     # 1. anchors: (shingle, offset, size of the item, item)
@@ -105,7 +106,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     keys = offsets.select("sh").distinct()
     small = keys.count() <= BROADCAST_SHINGLES
     docs_w = docs.select("doc_id", row_key("doc_id", F.col("text")).alias("row"), words(F.col("text")).alias("ws"))
-    at = F.explode(F.transform(starts(F.size("ws"), stride), lambda i: F.struct(i.alias("i"), shingle(F.col("ws"), i).alias("sh")))).alias("a")
+    hashed = lambda places, size: F.transform(places, lambda i: F.struct(i.alias("i"), shingle(F.col("ws"), i, size).alias("sh")))
+    # shorter items: all runs of as many words (of each length there is)
+    runs = lambda size: F.when(F.size("ws") >= size, F.sequence(F.lit(1), F.size("ws") - (size - 1))).otherwise(F.array().cast("array<int>"))
+    at = F.explode(F.concat(hashed(starts(F.size("ws"), stride), WORDS), *[hashed(runs(size), size) for size in facts["short"]])).alias("a")
     seen = docs_w.select("row", F.size("ws").alias("size"), at).select("row", "size", F.col("a.i").alias("i"), F.col("a.sh").alias("sh"))
     hits = seen.join(F.broadcast(keys) if small else keys, "sh", "left_semi")
     hits = hits.join(F.broadcast(offsets) if small else offsets, "sh")

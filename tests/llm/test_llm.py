@@ -361,6 +361,15 @@ def test_decontamination_cuts_at_the_limit(spark):
     assert len(want) == 300 and {(r.doc_id, r.item_id) for r in decontam.contaminated(df, bench).collect()} == want
 
 
+def test_decontamination_short_items(spark):
+    items = [(1, "Xylophone"), (2, "one two three"), (3, "a b c d"), (4, "a b c d e"), (5, "absent")]
+    texts = [(1, "long before the xylophone and words after it"), (2, "so one two, three is counted here"), (3, "a b c d e f"), (4, "one two"), (5, "xylophone"),
+             (6, "one two tree three four five"), (7, "a b c d")]
+    df, bench = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.contaminated(df, bench).collect()}
+    assert got == brute_leaks(texts, items) == {(1, 1), (5, 1), (2, 2), (3, 3), (7, 3), (3, 4)}
+
+
 def test_no_python_in_native_plans(spark):
     for name in ("op8_url_filter", "op9_decontamination"):
         plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
