@@ -16,6 +16,9 @@ positions; a block pair is skipped when its components are equal or when the ran
 Inside, pairs are ruled out by sizes, positions, 256-bit parity bitmaps (differing bits bound differing
 shingles from below) and the count of common prefix shingles.
 
+``link_counts`` and ``all_links`` give every linked pair, those inside components too: only the pivots'
+bounds skip there, refusing or accepting pairs, and the pairs left open are compared.
+
 All skipping is lossless: links inside a component don't change it, and every pair across components
 that isn't ruled out exactly is compared by its whole sets.
 
@@ -252,6 +255,26 @@ class _Join:
             edges.append(self.linking(self.overlaps(pairs)))
         return self.union(edges)
 
+    def all_links(self) -> DataFrame:
+        """All linked pairs (a, b) of sets, each once; as many rows as there are links."""
+        index = self.index()
+        _, tested = self.pivots(index)
+        pairs, sure = stored(self.candidates(index, None), "ngram-candidates"), []
+        if tested:
+            pairs, proved = self.derived(pairs, self.union(tested))
+            sure.append(proved)
+        return stored(self.union([*sure, self.linking(self.overlaps(pairs))]), "ngram-all-links")
+
+    def counts(self) -> DataFrame:
+        """doc_id, n_shingles, n_links, row of every document row."""
+        copies = stored(self.info.where("n > 0").groupBy("id").agg(F.count(F.lit(1)).alias("copies")), "ngram-copies")
+        links = self.all_links()
+        ends = links.select(F.col("a").alias("id"), F.col("b").alias("other")).unionByName(links.select(F.col("b").alias("id"), F.col("a").alias("other")))
+        others = ends.join(copies.withColumnRenamed("id", "other"), "other").groupBy("id").agg(F.sum("copies").alias("others"))
+        sets = stored(copies.join(others, "id", "left").select("id", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "ngram-link-counts")
+        return (self.info.withColumn("id", F.when(F.col("n") > 0, F.col("id"))).join(sets, "id", "left")
+                .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "row"))
+
     def pivots(self, index: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
         """Links with pivots, round by round, and all overlaps with pivots."""
         size = index.groupBy("token").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > LONG_LIST)
@@ -365,6 +388,20 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     return _Join(docs, percent).classes()
 
 
+def link_counts(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """One row per document: doc_id, n_shingles, n_links (the other document rows that it links with,
+    copies of its text among them), and ``row``, the 64-bit key of its row."""
+    return _Join(docs, percent).counts()
+
+
+def all_links(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Every linked pair of documents with different sets, in either order: row, other (keys of their rows)."""
+    join = _Join(docs, percent)
+    links, ids = join.all_links(), join.info.where("n > 0").select("id", "row")
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    return (both.join(ids.select(F.col("id").alias("a"), "row"), "a").join(ids.select(F.col("id").alias("b"), F.col("row").alias("other")), "b").select("row", "other"))
+
+
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that stand for their component (smallest id), with all their columns; rows
     without a shingle stay."""

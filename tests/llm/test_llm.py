@@ -109,6 +109,20 @@ def test_ngram_join_brute_force(spark):
     assert got == brute_components(rows)
 
 
+def test_ngram_join_all_links(spark):
+    rows = near_copies()
+    rows += [(1000 + i, t) for i, (_, t) in enumerate(rows[:30])] + [(2000, None)]
+    sets = {}
+    for d, t in rows:
+        w = (t or "").encode().lower().split()
+        sets[d] = frozenset(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
+    linked = lambda a, b: bool(a) and bool(b) and 100 * len(a & b) >= 75 * len(a | b)
+    want = {d: (len(s), sum(linked(s, t) for e, t in sets.items() if e != d)) for d, s in sets.items()}
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    counts = ngram_join.link_counts(df).collect()
+    assert {r.doc_id: (r.n_shingles, r.n_links) for r in counts} == want and max(n for _, n in want.values()) > 50
+
+
 def test_ngram_join_odd(odd, empty):
     got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in ngram_join.near_duplicates(odd).collect())
     assert got == sorted([("1", 4, "1"), ("2", 4, "1"), ("2", 4, "1"), ("6", 4, "1"), ("3", 0, "3"), ("4", 0, "4"), ("None", 1, "None"), ("None", 0, "None"), ("5", 1, "5")])
