@@ -1,10 +1,11 @@
 """Secret scans: fixed key patterns, and a token-efficiency test for random strings.
 
 Text that people write costs a tokenizer few tokens; random strings cost one token for every one or
-two characters.  Each long run of key characters that mixes letters and digits is encoded under a
-public tiktoken vocabulary; a run with fewer than ``ratio`` characters a token is a secret of kind
-``random``, unless it is a known digest (hex of a usual digest length), a UUID or an identifier
-(words and numbers joined by ``_``, ``-``, ``.`` or ``/``), or overlaps a span of the fixed kinds.
+two characters.  Each long run of key characters with a letter, or what spans of the fixed kinds leave
+of it, is encoded under a public tiktoken vocabulary; a run with fewer than ``ratio`` characters a token
+is a secret of kind ``random``, unless it is a known digest (hex of a usual digest length), a UUID or an
+identifier (readable words and numbers joined by ``_``, ``-``, ``.`` or ``/``).  Of a run that passes as
+a whole, the stretches between its readable parts are tested in the same way.
 
 Defined results: null and empty texts have no spans; texts are scanned whole; one row in, one row
 out; spans are in code points, end exclusive; other columns are ignored.
@@ -14,7 +15,7 @@ from __future__ import annotations
 
 import base64
 import re
-from bisect import bisect_left
+from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -31,6 +32,7 @@ _HEX = re.compile(r"[0-9a-f]{16,}")  # shorter runs fail anyway
 _RUN = re.compile(r"(?<![A-Za-z0-9+/_=.-])[A-Za-z0-9+/_=.-]{16,}")
 _UUID = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 _DIGEST = re.compile(r"(?:[0-9A-Fa-f]{32}|[0-9A-Fa-f]{40}|[0-9A-Fa-f]{56}|[0-9A-Fa-f]{64}|[0-9A-Fa-f]{96}|[0-9A-Fa-f]{128})")
+_SPLIT = re.compile(r"[^_./=+-]+")
 _PART = re.compile(r"[A-Za-z]{2,}|[0-9]{1,10}")
 
 
@@ -45,11 +47,6 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def identifier(run: str) -> bool:
-    """Words and numbers joined by separators: paths, file and host names, dates, versions."""
-    return all(_PART.fullmatch(p) for p in re.split(r"[_./=+-]+", run) if p)
-
-
 class TokenTest:
     """Characters per token under a tiktoken vocabulary file."""
 
@@ -69,14 +66,45 @@ class TokenTest:
             self.encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         return len(run) / max(1, len(self.encoding.encode_ordinary(run)))
 
+    def readable(self, parts: list[str]) -> bool:
+        """Words and numbers.  Letters, 16 or more in all, are words if the vocabulary knows them as they
+        are or in lower case."""
+        if not all(map(_PART.fullmatch, parts)):
+            return False
+        letters = [p for p in parts if p[0].isalpha()]
+        n = sum(map(len, letters))
+        if n < 16:
+            return True
+        return any(n >= self.ratio * sum(len(w) / self.per_token(w) for w in words) for words in (letters, [w.lower() for w in letters]))
+
     def secret(self, run: str) -> bool:
         core = run.strip("=.-_/+")
-        if len(core) < 16 or not any(c.isdigit() for c in core) or not any(c.isalpha() for c in core):
+        if len(core) < 16 or not any(c.isalpha() for c in core):
             return False
-        if _UUID.fullmatch(core) or _DIGEST.fullmatch(core) or identifier(core):
+        if _UUID.fullmatch(core) or _DIGEST.fullmatch(core) or self.readable(_SPLIT.findall(core)):
             return False
         return self.per_token(run) < self.ratio
 
+    def secrets(self, run: str) -> Iterator[tuple[int, int]]:
+        """Where secrets stand in a run: all of it, or stretches between its readable parts."""
+        if self.secret(run):
+            yield 0, len(run)
+            return
+        core = run.strip("=.-_/+")
+        if len(core) < 16 or _UUID.fullmatch(core) or _DIGEST.fullmatch(core):
+            return
+        stretch: list[re.Match] = []
+        for m in [*_SPLIT.finditer(run), None]:
+            if m and not (_PART.fullmatch(m[0]) and self.readable([m[0]])) and (stretch or len(m[0]) > 3):
+                stretch.append(m)
+            elif stretch:
+                a, b = stretch[0].start(), stretch[-1].end()
+                if b - a < len(run) and self.secret(run[a:b]):
+                    yield a, b
+                else:
+                    yield from ((x.start(), x.end()) for x in stretch if len(stretch) > 1 and self.secret(x[0]))
+                stretch = []
+
 
 def spans(text: str | None, test: TokenTest) -> list[tuple[int, int, int]]:
     """All spans of a text as (start, kind, end), by start and then kind."""
@@ -86,9 +114,14 @@ def spans(text: str | None, test: TokenTest) -> list[tuple[int, int, int]]:
     starts, reach = [a for a, _, _ in found], list(accumulate((e for _, _, e in found), max))
     for m in _RUN.finditer(text):
         a, b = m.span()
-        before = bisect_left(starts, b)  # spans that start before this run ends
-        if (not before or reach[before - 1] <= a) and test.secret(m[0]):
-            found.append((a, 3, b))
+        rest, k = [], max(0, bisect_right(reach, a))  # fixed spans that end behind the run's start
+        while k < len(starts) and starts[k] < b:
+            if starts[k] > a:
+                rest.append((a, starts[k]))
+            a, k = max(a, reach[k]), k + 1
+        if a < b:
+            rest.append((a, b))
+        found += [(x + i, 3, x + j) for x, y in rest if y - x >= 16 for i, j in test.secrets(text[x:y])]
     return sorted(found)
 
 

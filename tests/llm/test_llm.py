@@ -307,6 +307,21 @@ def test_secret_spans(spark, odd, empty):
     assert secret_scan.scan(empty).count() == 0
 
 
+def test_secrets_in_paths_and_of_letters():
+    import string
+
+    rng, test = np.random.default_rng(4), secret_scan.TokenTest("byte_bpe_50k.tiktoken", 2.2)
+    draw = lambda abc: "".join(rng.choice(list(abc), 24))
+    for abc in (string.ascii_letters + string.digits, string.ascii_letters):
+        for before in ("", "www.example.org/articles/2024/information/", "hooks.example.com/services/workflow/incoming/notifications/", "0123456789abcdef_"):
+            keys = [draw(abc) for _ in range(60)]
+            got = [{b for _, k, b in secret_scan.spans(f"see {before}{key} now", test) if k == 3} for key in keys]
+            assert sum(4 + len(before) + 24 in g for g in got) >= 57, (abc, before)
+    for plain in ("www.example.org/articles/2024/information/index.html", "internationalization-of-the-documentation", "INTERNATIONAL_STANDARD_2024", "2024-01-02/12345678901/3",
+                  "getElementsByClassName", "123e4567-e89b-12d3-a456-426614174000"):
+        assert not secret_scan.spans(plain, test)
+
+
 # ------------------------------------------------------------------------------------------ 8
 
 def test_url_rules(spark):
