@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat_format, decontam, exact_dedup, langid, ngram_join, packing, quality, secret_scan, toxicity, url_filter
+from . import chat_format, decontam, exact_dedup, langid, ngram_join, packing, quality, secret_scan, suffix_dedup, toxicity, url_filter
 from .common import table
 
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -58,8 +58,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_ngram_jaccard_join, op3_toxicity, op4_chat_format, op5_language_id, op6_packing, op7_secret_scan,
-                                   op8_url_filter, op9_decontamination, op10_quality)}
+                                   op8_url_filter, op9_decontamination, op10_quality, op11_suffix_dedup)}
 
 _OP1 = """
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
