@@ -34,7 +34,7 @@ from .common import stored
 #: Bytes whose hash names a window; bits of that hash that are dealt out (a chance equality costs work only).
 ANCHOR, NAME_BITS = 20, 42
 #: Text of a slice of documents, of a scan's parcels, of a block of windows and of one index, in bytes.
-SLICE_BYTES, PARCEL_BYTES, BLOCK, INDEX_BYTES = 8 << 20, 24 << 20, 1 << 18, 1_500_000
+SLICE_BYTES, PARCEL_BYTES, BLOCK, INDEX_BYTES = 8 << 20, 24 << 20, 1 << 16, 1_500_000
 #: Names found in more slices than this are dealt by whole windows, so no share holds all pieces of a frequent name.
 HOT_SLICES = 1024
 #: Sorts after every id.
@@ -47,6 +47,7 @@ _ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(32))) * _MIX
+    x = (x ^ (x >> np.uint64(29))) * _ODD
     return x ^ (x >> np.uint64(32))
 
 
@@ -87,7 +88,7 @@ def named_runs(a: np.ndarray, bounds: np.ndarray, length: int):
     w = length - k + 1
     for lo in range(0, len(a) - length + 1, BLOCK):
         part = a[lo:lo + BLOCK + length - 1]
-        low = _smallest(_string_hashes(part, k), w) >> np.uint64(64 - NAME_BITS)
+        low = _mix(_smallest(_string_hashes(part, k), w) ^ _ODD) >> np.uint64(64 - NAME_BITS)  # smallest values are all low: mixed again
         near = bounds[np.searchsorted(bounds, lo, "right"):np.searchsorted(bounds, lo + len(part), "right")] - lo
         ok = np.ones(len(low), bool)
         for e in near.tolist():
@@ -193,6 +194,11 @@ def _slice_documents(table: pa.Table) -> list[tuple[int, bytes, int]]:
 _SLICE_BITS = 21
 
 
+def _distinct(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)  # np.unique hashes integers, which is slower
+    return x[np.append(True, x[1:] != x[:-1])] if len(x) else x
+
+
 def _planes(x: np.ndarray) -> bytes:
     """Differences of ascending numbers, byte planes one after another: most are zero."""
     d = np.diff(x, prepend=np.uint64(0))
@@ -216,7 +222,7 @@ def _name_lists(length: int, shares: int):
             order = np.argsort(place, kind="stable")
             rank = np.empty(len(order), np.uint64)
             rank[order] = np.arange(len(order), dtype=np.uint64)
-            x = np.unique(np.concatenate(names) << np.uint64(64 - NAME_BITS) | rank[np.concatenate(docs)])
+            x = _distinct(np.concatenate(names) << np.uint64(64 - NAME_BITS) | rank[np.concatenate(docs)])
             name, own = x >> np.uint64(64 - NAME_BITS), place[order][(x & np.uint64((1 << 64 - NAME_BITS) - 1)).astype(np.int64)]
             new = np.ones(len(x), bool)
             new[1:] = (name[1:] != name[:-1]) | (own[1:] != own[:-1])
@@ -252,7 +258,7 @@ def _shared_names(hot: int):
         frequent = np.repeat(size > hot, size)[keep].astype(np.uint64)
         x, name = x[keep], name[keep]
         own = x >> np.uint64(1) & np.uint64((1 << _SLICE_BITS) - 1)
-        y = np.unique(own << np.uint64(NAME_BITS + 1) | name << np.uint64(1) | frequent)
+        y = _distinct(own << np.uint64(NAME_BITS + 1) | name << np.uint64(1) | frequent)
         own = y >> np.uint64(NAME_BITS + 1)
         cuts = np.append(np.flatnonzero(np.append(True, own[1:] != own[:-1])), len(y)) if len(y) else np.zeros(1, int)
         low = y & np.uint64((1 << NAME_BITS + 1) - 1)
@@ -271,35 +277,43 @@ def _pieces(length: int, shares: int):
         known = np.sort(np.concatenate([_unplanes(b) for b in names.column("blob").to_pylist()]))
         known, frequent = known >> np.uint64(1), (known & np.uint64(1)).astype(bool)
         raw = b"".join(t for _, t, _ in docs)
-        bounds = np.concatenate([[0], np.cumsum([len(t) for _, t, _ in docs])]).astype(np.int64)
-        found: dict[tuple[int, bytes], list] = {}
-        for name, first, size in named_runs(np.frombuffer(raw, np.uint8), bounds, length):
+        a, bounds = np.frombuffer(raw, np.uint8), np.concatenate([[0], np.cumsum([len(t) for _, t, _ in docs])]).astype(np.int64)
+        runs = []
+        for name, first, size in named_runs(a, bounds, length):
             at = np.minimum(np.searchsorted(known, name), len(known) - 1)
-            keep = known[at] == name
-            name, first, size, often = name[keep], first[keep], size[keep], frequent[at[keep]]
-            doc = np.searchsorted(bounds, first, "right") - 1
-            for g, s, n, d, windows in zip(name.tolist(), first.tolist(), size.tolist(), doc.tolist(), often.tolist()):
-                if not windows:
-                    found.setdefault((g, raw[s:s + n + length - 1]), []).append((d, s))
-                else:  # each window for itself, dealt by its own hash
-                    for p in range(s, s + n):
-                        text = raw[p:p + length]
-                        own = int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little") >> 64 - NAME_BITS
-                        found.setdefault((own, text), []).append((d, p))
-        keys = sorted(found)
-        share = [g * shares >> NAME_BITS for g, _ in keys]
-        rows, lo = [], 0
-        for hi in range(1, len(keys) + 1):
-            if hi == len(keys) or share[hi] != share[lo]:
-                part = [found[k] for k in keys[lo:hi]]
-                rows.append((share[lo], _packed(
-                    names=np.array([g for g, _ in keys[lo:hi]], np.int64), sizes=np.array([len(t) for _, t in keys[lo:hi]], np.uint16),
-                    text=b"".join(t for _, t in keys[lo:hi]), places=np.array([len(p) for p in part], np.int64),
-                    ids=np.array([docs[d][0] for p in part for d, _ in p], np.int64),
-                    rows=np.array([d for p in part for d, _ in p], np.int64),
-                    starts=np.array([s - bounds[d] for p in part for d, s in p], np.int64),
-                    slice=np.array([texts.column("slice")[0].as_py()], np.int64))))
-                lo = hi
+            keep = np.flatnonzero(known[at] == name)
+            runs.append((name[keep].astype(np.int64), first[keep], size[keep], frequent[at[keep]]))
+        if not sum(len(r[0]) for r in runs):
+            return _blob_table([], "share")
+        name, first, size, often = (np.concatenate(x) for x in zip(*runs))
+        if often.any():  # each window for itself, dealt by its own hash
+            of = np.flatnonzero(often)
+            start = np.repeat(first[of] - np.cumsum(size[of]) + size[of], size[of]) + np.arange(size[of].sum())
+            own = np.array([int.from_bytes(hashlib.blake2b(raw[p:p + length], digest_size=8).digest(), "little") >> 64 - NAME_BITS for p in start.tolist()], np.int64)
+            name, first, size = (np.concatenate([x[~often], y]) for x, y in ((name, own), (first, start), (size, np.ones(len(start), np.int64))))
+        # equal pieces, looked for among those with one name only
+        order = np.argsort(name, kind="stable")
+        name, first, size = name[order], first[order], size[order] + length - 1
+        alike = np.append(False, name[1:] == name[:-1])
+        piece = np.arange(len(name))
+        known_text: dict[tuple[int, bytes], int] = {}
+        for i in np.flatnonzero(alike | np.append(alike[1:], False)).tolist():
+            piece[i] = known_text.setdefault((int(name[i]), raw[first[i]:first[i] + size[i]]), i)
+        order = np.argsort(piece, kind="stable")
+        name, first, size, piece = name[order], first[order], size[order], piece[order]
+        doc = np.searchsorted(bounds, first, "right") - 1
+        ids, starts = np.array([i for i, _, _ in docs], np.int64)[doc], first - bounds[doc]
+        lead = np.flatnonzero(np.append(True, piece[1:] != piece[:-1]))
+        places = np.diff(np.append(lead, len(piece)))
+        share = name[lead] * shares >> NAME_BITS
+        own, rows = np.array([texts.column("slice")[0].as_py()], np.int64), []
+        cuts = np.append(np.flatnonzero(np.append(True, share[1:] != share[:-1])), len(lead))
+        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            k, one = lead[lo:hi], slice(int(lead[lo]), int(lead[hi]) if hi < len(lead) else len(piece))
+            width = size[k]
+            text = a[np.repeat(first[k] - np.cumsum(width) + width, width) + np.arange(width.sum())]
+            rows.append((int(share[lo]), _packed(names=name[k], sizes=width.astype(np.uint16), text=text.tobytes(), places=places[lo:hi],
+                                                 ids=ids[one], rows=doc[one], starts=starts[one], slice=own)))
         return _blob_table(rows, "share")
     return pieces
 
@@ -347,15 +361,19 @@ class RunIndex:
         """The suffixes in order (end marks by their place), and which agree with the one before on ``length`` bytes."""
         n, bits = len(t), self.BITS
         mask = np.int64((1 << bits) - 1)
-        key, alive = np.zeros(n, np.int64), np.ones(n, np.int64)
         padded = np.concatenate([t, np.zeros(self.FIRST, np.uint8)]).astype(np.int64)
-        for i in range(self.FIRST):
-            c = padded[i:i + n] * alive
-            key = key << 8 | c
-            alive &= c != 0
+        key = padded[:n].copy()
+        for i in range(1, self.FIRST):
+            key <<= 8
+            key |= padded[i:i + n]
+        marks, alive = np.flatnonzero(t == 0), np.ones(n, bool)
+        for i in range(self.FIRST):  # what follows an end mark doesn't count
+            at = marks[marks >= i] - i
+            key[at] &= ~((1 << 8 * (self.FIRST - i)) - 1)
+            alive[at] = False
         x = np.sort(key << bits | np.arange(n))
         order = x & mask
-        ended = alive[order] == 0
+        ended = ~alive[order]
         new = (x[1:] >> bits != x[:-1] >> bits) | ended[1:]
         known, step, of_length = self.FIRST, self.FIRST, None
         while True:
@@ -429,16 +447,16 @@ class RunIndex:
             yield back, m, size[:m], self.owner_of[q[:m]]
 
 
-def _first_owners(pieces: list[bytes], owners: np.ndarray, length: int) -> list[np.ndarray]:
-    """For each piece (longest first) the smallest owner of a piece with each of its windows, by matching statistics."""
+def _first_owners(pieces: list[bytes], owners: np.ndarray, length: int) -> np.ndarray:
+    """For each piece (longest first) the smallest owner of a piece with each of its windows, by matching statistics; a row a
+    piece, -1 after its last window."""
     index = RunIndex(pieces, owners, length)
-    out = np.full((len(pieces), len(pieces[0]) - length + 1), NO_ID)
+    out = np.full((len(pieces), len(pieces[0]) - length + 1), -1)
     sizes = np.array([len(p) for p in pieces])
     for back, m, size, owner in index.stream(pieces):
         if back >= length:
-            hit = np.flatnonzero(size >= length)
-            out[hit, sizes[hit] - back] = owner[hit]
-    return [row[:s - length + 1] for row, s in zip(out, sizes.tolist())]
+            out[np.arange(m), sizes[:m] - back] = np.where(size >= length, owner, NO_ID)
+    return out
 
 
 def _marked(length: int, index_bytes: int):
@@ -459,13 +477,13 @@ def _marked(length: int, index_bytes: int):
         del places
         owners = np.full(len(number), NO_ID)
         np.minimum.at(owners, of, ids)
-        firsts = _firsts(list(number), owners, length, index_bytes)
-        low, high = np.array([f.min() for f in firsts]), np.array([f.max() for f in firsts])
+        low, high, firsts = _firsts(list(number), owners, length, index_bytes)
         sizes = np.array([len(t) for _, t in number], np.int64)
         whole = np.flatnonzero(ids > high[of])
         found = [(own[whole], rows[whole], starts[whole], starts[whole] + sizes[of[whole]])]
         for i in np.flatnonzero((ids > low[of]) & (ids <= high[of])).tolist():
-            at = starts[i] + np.flatnonzero(firsts[of[i]] < ids[i])
+            first = firsts[int(of[i])]
+            at = starts[i] + np.flatnonzero((first < ids[i]) & (first >= 0))
             found.append((np.full(len(at), own[i]), np.full(len(at), rows[i]), at, at + length))
         own, rows, starts, stops = (np.concatenate(x) for x in zip(*found))
         order = np.argsort(own, kind="stable")
@@ -475,16 +493,20 @@ def _marked(length: int, index_bytes: int):
     return marked
 
 
-def _firsts(keys: list[tuple[int, bytes]], owners: np.ndarray, length: int, index_bytes: int) -> list[np.ndarray]:
-    """The first owner of each window of each (name, piece).  Pieces of one name share an index; names are put together to
-    about ``index_bytes``, and a name with more text than that is cut to its windows, which fill as many indexes as they need."""
-    out: list = [None] * len(keys)
+def _firsts(keys: list[tuple[int, bytes]], owners: np.ndarray, length: int, index_bytes: int) -> tuple[np.ndarray, np.ndarray, dict[int, np.ndarray]]:
+    """The least and the largest first owner of the windows of each (name, piece), and all of them where they differ.  Pieces of
+    one name share an index; names are put together to about ``index_bytes``, and a name with more text than that is cut to its
+    windows, which fill as many indexes as they need."""
+    low, high, firsts = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64), {}
     batch, size = [], 0
 
     def index():
-        order = sorted(batch, key=lambda i: -len(keys[i][1]))
-        for i, f in zip(order, _first_owners([keys[i][1] for i in order], owners[order], length)):
-            out[i] = f
+        order = np.array(sorted(batch, key=lambda i: -len(keys[i][1])))
+        first = _first_owners([keys[i][1] for i in order.tolist()], owners[order], length)
+        high[order] = first.max(axis=1)
+        low[order] = np.where(first < 0, NO_ID, first).min(axis=1)
+        for j in np.flatnonzero(low[order] < high[order]).tolist():
+            firsts[int(order[j])] = first[j].copy()
         batch.clear()
 
     for _, group in itertools.groupby(sorted(range(len(keys)), key=keys.__getitem__), key=lambda i: keys[i][0]):
@@ -500,11 +522,11 @@ def _firsts(keys: list[tuple[int, bytes]], owners: np.ndarray, length: int, inde
             texts, step = list(windows), max(1, index_bytes // (length + 1))
             for lo in range(0, len(texts), step):
                 part = texts[lo:lo + step]
-                for w, f in zip(part, _first_owners(part, np.array([windows[w] for w in part], np.int64), length)):
-                    windows[w] = int(f[0])
+                windows.update(zip(part, _first_owners(part, np.array([windows[w] for w in part], np.int64), length)[:, 0].tolist()))
             for i in group:
                 text = keys[i][1]
-                out[i] = np.array([windows[text[o:o + length]] for o in range(len(text) - length + 1)], np.int64)
+                firsts[i] = np.array([windows[text[o:o + length]] for o in range(len(text) - length + 1)], np.int64)
+                low[i], high[i] = firsts[i].min(), firsts[i].max()
             continue
         if batch and size + own > index_bytes:
             index()
@@ -513,7 +535,7 @@ def _firsts(keys: list[tuple[int, bytes]], owners: np.ndarray, length: int, inde
         size += own
     if batch:
         index()
-    return out
+    return low, high, firsts
 
 
 # -- documents --------------------------------------------------------------------------------------
