@@ -1,62 +1,112 @@
-"""Distributed running sums over an ordered column, without a single-partition window.
+"""Distributed running totals in a given order, without a window over all rows or over one key.
 
-``Window.orderBy(...)`` with no partition moves every row into one task.  Instead rows are
-cut into contiguous ranges of the order column (boundaries from ``approxQuantile``, collected
-once as a literal list so every use agrees; their number grows with the data), each range is
-summed in parallel, range offsets come from a window over the small per-range totals, and the
-in-range running sum is a window partitioned by range.
+``Window.orderBy(...)`` with no partition moves every row into one task, and one with a hot key moves
+that key's rows there.  Instead the rows are sorted into range partitions (one shuffle; a hot key is
+spread over as many of them as its rows fill), each task adds up its own part as it writes it, and what
+the parts before hold of a part's first key comes from one summary row a part.
 """
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import BooleanType, IntegerType, LongType, StructField, StructType
 
+from ..session import scratch_path
 
-# Rows per range bucket the running sum aims for (one window task sorts about this many rows).
-ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 100_000
+#: How the totals of a key are put together: numpy's accumulation, its inverse for a start, SQL's aggregate.
+_KINDS = {"sum": (np.add, np.subtract, F.sum), "xor": (np.bitwise_xor, np.bitwise_xor, F.bit_xor)}
 
 
-def _with_range_bucket(df: DataFrame, order_col: str, bounds: Sequence[float], descending: bool) -> DataFrame:
-    """Add ``_rb``: the index of the contiguous value range of ``order_col``, numbered in the
-    running direction.  Spark ML's ``Bucketizer`` finds the range by binary search (JVM side),
-    so thousands of bounds cost O(log n) per row."""
-    from pyspark.ml.feature import Bucketizer
+def _accumulate(kinds: Mapping[str, str], schema: pa.Schema):
+    """mapInArrow function over sorted rows: totals since the key's first row in this part."""
+    def run(batches):
+        from pyspark import TaskContext
 
-    xs = sorted({float(x) for x in bounds})
-    if not xs:
-        return df.withColumn("_rb", F.lit(0))
-    splits = [float("-inf")] + xs + [float("inf")]
-    b = Bucketizer(splits=splits, inputCol="_rb_in", outputCol="_rb_raw", handleInvalid="keep")
-    out = b.transform(df.withColumn("_rb_in", F.col(order_col).cast("double")))
-    idx = F.col("_rb_raw").cast("int")
-    if descending:
-        idx = F.lit(len(xs)) - idx
-    return out.withColumn("_rb", idx).drop("_rb_in", "_rb_raw")
+        part = TaskContext.get().partitionId()
+        last, carry, at, opened = None, dict.fromkeys(kinds, np.int64(0)), 0, True
+        for b in batches:
+            n = b.num_rows
+            if not n:
+                continue
+            key = b.column("_key")
+            new = np.ones(n, bool)
+            new[0] = last is None or key[0].as_py() != last
+            new[1:] = pc.not_equal(key.slice(1), key.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+            opened = opened and (last is None or not new[0])
+            if last is None:
+                new[0] = False  # goes on from the parts before, as far as this part can tell
+            segment = np.cumsum(new)
+            starts = np.append(0, np.flatnonzero(new))[segment]
+            columns = {f.name: b.column(f.name) for f in b.schema}
+            for name, kind in kinds.items():
+                add, less, _ = _KINDS[kind]
+                v = b.column(name).to_numpy(zero_copy_only=False).astype(np.int64)
+                with np.errstate(over="ignore"):
+                    c = add.accumulate(v)
+                    own = less(c, less(c[starts], v[starts]))
+                    if not new[0]:
+                        own = np.where(segment == 0, add(own, carry[name]), own)
+                carry[name] = own[-1]
+                columns[name] = pa.array(own)
+            open_rows = (segment == 0) & opened
+            opened = bool(open_rows[-1])
+            columns["_part"] = pa.array(np.full(n, part, np.int32))
+            columns["_row"] = pa.array(np.arange(at, at + n))
+            columns["_open"] = pa.array(open_rows)
+            last, at = key[n - 1].as_py(), at + n
+            yield pa.RecordBatch.from_arrays([columns[f.name] for f in schema], schema=schema)
+    return run
 
 
-def running_sums(df: DataFrame, order_col: str, value_cols: Sequence[str], descending: bool = False,
-                 n_buckets: int | None = None, rel_error: float = 0.001) -> DataFrame:
+def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[Column], values: Mapping[str, tuple[Column, str]],
+                   parts: int | None = None) -> DataFrame:
+    """Add a column per entry of ``values`` (``name: (long column, "sum" or "xor")``): the total over the rows of the same
+    ``keys`` up to and including this one, in ``order``.
+
+    Rows that tie in ``order`` come in any order; make it total where that matters.  NULL values count as 0, NULL keys are
+    a key.  ``parts`` is the number of range partitions, ``spark.sql.shuffle.partitions`` if not given.  The sorted rows
+    are written once to the shared checkpoint folder, so lineage ends there and the totals refer to one fixed layout.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    spark = df.sparkSession
+    key = F.to_json(F.struct(*keys)) if keys else F.lit("")
+    rows = df.select("*", key.alias("_key"), *[F.coalesce(c.cast("long"), F.lit(0)).alias(n) for n, (c, _) in values.items()])
+    by = [*[F.col(k).asc_nulls_first() for k in keys], *order]
+    ranged = (rows.repartitionByRange(parts, *by) if parts else rows.repartitionByRange(*by)).sortWithinPartitions(*by)
+    out = StructType([*ranged.schema.fields, StructField("_part", IntegerType()), StructField("_row", LongType()), StructField("_open", BooleanType())])
+    path = scratch_path(spark, "running")
+    ranged.mapInArrow(_accumulate({n: k for n, (_, k) in values.items()}, to_arrow_schema(out)), out).write.parquet(path)
+    done = spark.read.schema(out).parquet(path)
+
+    # one row a part: its last key and what it holds of it (a part's first key is the last key of all parts before that have it)
+    names = list(values)
+    edge = F.max_by(F.struct("_key", *names), "_row")
+    first = F.min_by("_key", "_row")
+    summary = done.groupBy("_part").agg(edge.alias("e"), first.alias("_first")).select("_part", "_first", "e.*")
+    by_key, by_part = Window.partitionBy("_key").orderBy("_part"), Window.orderBy("_part")
+    held = summary.select("_part", "_first", "_key", *[_KINDS[k][2](n).over(by_key).alias(n) for n, (_, k) in values.items()])
+    before = held.select("_part", (F.lag("_key").over(by_part) == F.col("_first")).alias("_goes_on"), *[F.lag(n).over(by_part).alias(f"_before_{n}") for n in names])
+    out_rows = done.join(F.broadcast(before), "_part")  # a row for each range partition
+    goes_on = F.col("_open") & F.coalesce("_goes_on", F.lit(False))
+
+    def total(n: str, kind: str) -> Column:
+        whole = F.col(n) + F.col(f"_before_{n}") if kind == "sum" else F.col(n).bitwiseXOR(F.col(f"_before_{n}"))
+        return F.when(goes_on, whole).otherwise(F.col(n)).alias(n)
+
+    return out_rows.select(*df.columns, *[total(n, k) for n, (_, k) in values.items()])
+
+
+def running_sums(df: DataFrame, order_col: str, value_cols: Sequence[str], descending: bool = False, n_buckets: int | None = None) -> DataFrame:
     """Add ``cum_<v>`` = sum of ``v`` over all rows up to and including this one in order.
 
-    ``order_col`` must be unique per row (group by it first); ties would make the order partial.
-    ``n_buckets`` defaults to one range per ``ROWS_PER_BUCKET`` rows (at least 64).
+    ``order_col`` must be unique per row (group by it first); ties would make the order partial.  ``n_buckets`` is the
+    number of range partitions.
     """
-    if n_buckets is None:
-        n_buckets = min(MAX_BUCKETS, max(64, -(-df.count() // ROWS_PER_BUCKET)))
-    bounds = df.stat.approxQuantile(order_col, [i / n_buckets for i in range(1, n_buckets)], rel_error) if n_buckets > 1 else []
     c = F.col(order_col)
-    r = _with_range_bucket(df, order_col, bounds, descending)
-    tot = r.groupBy("_rb").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
-    w_off = Window.orderBy("_rb").rowsBetween(Window.unboundedPreceding, -1)
-    offs = tot.select("_rb", *[F.coalesce(F.sum(f"_t_{v}").over(w_off), F.lit(0)).alias(f"_o_{v}") for v in value_cols])
-    order = c.desc() if descending else c.asc()
-    w_in = Window.partitionBy("_rb").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    within = r.select("*", *[F.sum(v).over(w_in).alias(f"_w_{v}") for v in value_cols])
-    # offsets: one row per range (n_buckets rows at most) — a bounded broadcast
-    out = within.join(F.broadcast(offs), "_rb")
-    return out.select(
-        *[F.col(x) for x in df.columns], *[(F.col(f"_w_{v}") + F.col(f"_o_{v}")).alias(f"cum_{v}") for v in value_cols]
-    )
+    return running_totals(df, [], [c.desc() if descending else c.asc()], {f"cum_{v}": (F.col(v), "sum") for v in value_cols}, n_buckets)
