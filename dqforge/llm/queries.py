@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat_format, decontam, exact_dedup, langid, ngram_join, packing, quality, secret_scan, suffix_dedup, toxicity, url_filter
+from . import chat_format, decontam, exact_dedup, langid, ngram_join, packing, prefix_trie, quality, secret_scan, suffix_dedup, toxicity, url_filter
 from .common import table
 
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -62,8 +62,12 @@ def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeats(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(*prefix_trie.forked(prefix_trie.ordered_turns(table(spark, sf_dir, "conversations"))))
+
+
 QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_ngram_jaccard_join, op3_toxicity, op4_chat_format, op5_language_id, op6_packing, op7_secret_scan,
-                                   op8_url_filter, op9_decontamination, op10_quality, op11_suffix_dedup)}
+                                   op8_url_filter, op9_decontamination, op10_quality, op11_suffix_dedup, op12_prefix_trie)}
 
 _OP1 = """
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
@@ -107,4 +111,44 @@ SELECT u.page_id, u.host, u.path, best.rule, coalesce(best.verdict, 'allow') AS
 FROM u LEFT JOIN best ON u.host = best.host AND u.path = best.path
 """
 
-ORACLE_SQL = {"op1_exact_dedup": _OP1, "op4_chat_format": _OP4, "op8_url_filter": _OP8}
+_OP12 = """
+WITH crc_table AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM range(256) r(i))),
+own AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+sizes AS (SELECT conv_id, count(*) AS n FROM own GROUP BY conv_id),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, xor(list_reduce(
+           list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+           lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) % 9 AS h
+  FROM sizes, crc_table),
+turns AS (
+  SELECT c.conv_id, o.place - c.h + least(c.h, coalesce(b.n, 0)) + 1 AS depth, o.role, o.text
+  FROM own o JOIN convs c ON o.conv_id = c.conv_id AND o.place >= c.h LEFT JOIN sizes b ON b.conv_id = c.base
+  UNION ALL
+  SELECT c.conv_id, o.place + 1, o.role, o.text FROM own o JOIN convs c ON o.conv_id = c.base AND o.place < c.h),
+paths AS (
+  SELECT conv_id, depth, strlen(text) AS bytes, string_agg(md5(role || chr(10) || text), '') OVER w AS k
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY depth)
+  UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+nodes AS (
+  SELECT depth, k, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(bytes) AS saved, substr(k, 1, length(k) - 32) AS parent
+  FROM paths GROUP BY depth, k),
+kids AS (SELECT parent AS k, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY parent),
+sums AS (
+  SELECT a.k, sum((kids.k IS NULL)::INT)::BIGINT AS n_leaves, sum(v.saved)::BIGINT AS saved_tokens
+  FROM nodes v JOIN paths a ON a.conv_id = v.conv_id AND a.depth <= v.depth LEFT JOIN kids ON kids.k = v.k GROUP BY a.k),
+ends AS (
+  SELECT k, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS h
+  FROM paths WHERE (conv_id, depth) IN (SELECT conv_id, max(depth) FROM paths GROUP BY conv_id) GROUP BY k)
+SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, coalesce(kids.n, 0) AS n_children, sums.n_leaves, sums.saved_tokens,
+       coalesce(ends.h, sha256('')) AS ends_sha256
+FROM nodes v JOIN sums ON sums.k = v.k LEFT JOIN kids ON kids.k = v.k LEFT JOIN ends ON ends.k = v.k
+LEFT JOIN nodes p ON v.depth > 0 AND p.k = v.parent
+"""
+
+ORACLE_SQL = {"op1_exact_dedup": _OP1, "op4_chat_format": _OP4, "op8_url_filter": _OP8, "op12_prefix_trie": _OP12}
