@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat_format, decontam, exact_dedup, langid, ngram_join, packing, prefix_trie, quality, secret_scan, suffix_dedup, toxicity, url_filter
+from . import chat_format, decontam, exact_dedup, hard_negatives, langid, ngram_join, packing, prefix_trie, quality, secret_scan, suffix_dedup, toxicity, url_filter
 from .common import table
 
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -66,8 +66,14 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(*prefix_trie.forked(prefix_trie.ordered_turns(table(spark, sf_dir, "conversations"))))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = hard_negatives.whole_vectors(table(spark, sf_dir, "embeddings"), label=label)
+    return hard_negatives.hard_negatives(vectors, F.col("id") % 100 == 0)
+
+
 QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_ngram_jaccard_join, op3_toxicity, op4_chat_format, op5_language_id, op6_packing, op7_secret_scan,
-                                   op8_url_filter, op9_decontamination, op10_quality, op11_suffix_dedup, op12_prefix_trie)}
+                                   op8_url_filter, op9_decontamination, op10_quality, op11_suffix_dedup, op12_prefix_trie, op13_hard_negatives)}
 
 _OP1 = """
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
@@ -151,4 +157,24 @@ FROM nodes v JOIN sums ON sums.k = v.k LEFT JOIN kids ON kids.k = v.k LEFT JOIN
 LEFT JOIN nodes p ON v.depth > 0 AND p.k = v.parent
 """
 
-ORACLE_SQL = {"op1_exact_dedup": _OP1, "op4_chat_format": _OP4, "op8_url_filter": _OP8, "op12_prefix_trie": _OP12}
+_OP13 = """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v, row_number() OVER () AS n
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = len(embedding)),
+p AS (
+  SELECT a.vec_id AS anchor_id, a.n AS anchor, a.label, a.v, r.vec_id AS positive_id, list_dot_product(a.v, r.v)::BIGINT AS positive_score, r.n AS positive
+  FROM r a JOIN r ON r.label = a.label AND r.n <> a.n WHERE a.vec_id % 100 = 0
+  QUALIFY row_number() OVER (PARTITION BY a.n ORDER BY list_dot_product(a.v, r.v) DESC, r.vec_id NULLS LAST) <= 5),
+c AS (
+  SELECT p.*, r.vec_id AS negative_id, list_dot_product(p.v, r.v)::BIGINT AS negative_score
+  FROM p JOIN r ON r.label <> p.label
+  WHERE 100 * list_dot_product(p.v, r.v) BETWEEN 30 * p.positive_score AND 90 * p.positive_score)
+SELECT anchor_id, positive_id, (row_number() OVER w)::INTEGER AS rank, negative_id, positive_score, negative_score
+FROM c WINDOW w AS (PARTITION BY anchor, positive ORDER BY negative_score DESC, negative_id NULLS LAST)
+QUALIFY row_number() OVER w <= 10
+"""
+
+ORACLE_SQL = {"op1_exact_dedup": _OP1, "op4_chat_format": _OP4, "op8_url_filter": _OP8, "op12_prefix_trie": _OP12,
+              "op13_hard_negatives": _OP13}
