@@ -449,9 +449,9 @@ class RunIndex:
 
 def _first_owners(pieces: list[bytes], owners: np.ndarray, length: int) -> np.ndarray:
     """For each piece (longest first) the smallest owner of a piece with each of its windows, by matching statistics; a row a
-    piece, -1 after its last window."""
+    piece, as wide as the first one's windows."""
     index = RunIndex(pieces, owners, length)
-    out = np.full((len(pieces), len(pieces[0]) - length + 1), -1)
+    out = np.full((len(pieces), len(pieces[0]) - length + 1), NO_ID)
     sizes = np.array([len(p) for p in pieces])
     for back, m, size, owner in index.stream(pieces):
         if back >= length:
@@ -482,8 +482,7 @@ def _marked(length: int, index_bytes: int):
         whole = np.flatnonzero(ids > high[of])
         found = [(own[whole], rows[whole], starts[whole], starts[whole] + sizes[of[whole]])]
         for i in np.flatnonzero((ids > low[of]) & (ids <= high[of])).tolist():
-            first = firsts[int(of[i])]
-            at = starts[i] + np.flatnonzero((first < ids[i]) & (first >= 0))
+            at = starts[i] + np.flatnonzero(firsts[int(of[i])] < ids[i])
             found.append((np.full(len(at), own[i]), np.full(len(at), rows[i]), at, at + length))
         own, rows, starts, stops = (np.concatenate(x) for x in zip(*found))
         order = np.argsort(own, kind="stable")
@@ -503,10 +502,12 @@ def _firsts(keys: list[tuple[int, bytes]], owners: np.ndarray, length: int, inde
     def index():
         order = np.array(sorted(batch, key=lambda i: -len(keys[i][1])))
         first = _first_owners([keys[i][1] for i in order.tolist()], owners[order], length)
-        high[order] = first.max(axis=1)
-        low[order] = np.where(first < 0, NO_ID, first).min(axis=1)
+        widths = np.array([len(keys[i][1]) - length + 1 for i in order.tolist()])
+        own = np.arange(first.shape[1])[None, :] < widths[:, None]
+        low[order] = np.where(own, first, NO_ID).min(axis=1)
+        high[order] = np.where(own, first, np.iinfo(np.int64).min).max(axis=1)
         for j in np.flatnonzero(low[order] < high[order]).tolist():
-            firsts[int(order[j])] = first[j].copy()
+            firsts[int(order[j])] = first[j, :widths[j]].copy()
         batch.clear()
 
     for _, group in itertools.groupby(sorted(range(len(keys)), key=keys.__getitem__), key=lambda i: keys[i][0]):
@@ -596,4 +597,4 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``doc_id`` and ``text`` of every document without the bytes that repeat an earlier one; a character whose bytes are
     cut becomes U+FFFD."""
     cut = repeats(docs, id_col, text_col, length, with_text=True)
-    return cut.select(F.col("doc_id").alias(id_col), F.decode("kept", F.lit("UTF-8")).alias(text_col))
+    return cut.select(F.col("doc_id").alias(id_col), F.make_valid_utf8(F.col("kept").cast("string")).alias(text_col))
