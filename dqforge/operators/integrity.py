@@ -14,39 +14,31 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..results import result_struct
 from ..session import ensure_checkpoint_dir
+from ..sources.byte_ranges import multipart_checksums
 
 
 # --------------------------------------------------------------------------- file checksums
 
 
-def multipart_etag(content: Column, part_bytes: int) -> Column:
-    """``<md5>-<parts>``: the md5 of the joined binary md5s of the parts of a binary column."""
-    parts = F.greatest(F.lit(1), F.ceil(F.octet_length(content) / F.lit(part_bytes))).cast("int")
-    sums = F.transform(F.sequence(F.lit(1), parts),
-                       lambda i: F.md5(F.substr(content, (i - 1) * part_bytes + 1, F.lit(part_bytes))))
-    return F.concat(F.md5(F.unhex(F.array_join(sums, ""))), F.lit("-"), parts.cast("string"))
-
-
 def file_checksums(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = False,
-                   part_bytes: int | None = None) -> DataFrame:
-    """``file_name, path, length, md5`` of every file under ``path``; one task reads one file.
+                   part_bytes: int | None = None, name_pattern: str = r"([^/]+)$") -> DataFrame:
+    """``file_name, path, length, md5`` of every file under ``path`` (``file_name`` is the first group of ``name_pattern``).
 
-    Byte-exact (the content is hashed as bytes, never decoded as text).  ``part_bytes`` adds
-    ``etag``, the multipart ETag of an upload in parts of that size.
+    Byte-exact (the content is hashed as bytes, never decoded as text).  Without ``part_bytes`` Spark's own reader
+    is used: any file system it knows, one task a file, files up to 2 GiB.  With it, files of any size are read in
+    byte ranges (``sources.byte_ranges``) and ``etag`` is added, the multipart ETag of an upload in parts of that size.
     """
-    r = spark.read.format("binaryFile")
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    if recursive:
-        r = r.option("recursiveFileLookup", "true")
-    df = r.load(path)
-    return df.select(
-        F.regexp_extract(F.col("path"), r"([^/]+)$", 1).alias("file_name"),
-        F.col("path"),
-        F.col("length"),
-        F.md5(F.col("content")).alias("md5"),
-        *([multipart_etag(F.col("content"), part_bytes).alias("etag")] if part_bytes else []),
-    )
+    if part_bytes:
+        df = multipart_checksums(spark, path, part_bytes, glob, recursive)
+    else:
+        r = spark.read.format("binaryFile")
+        if glob:
+            r = r.option("pathGlobFilter", glob)
+        if recursive:
+            r = r.option("recursiveFileLookup", "true")
+        df = r.load(path).select("path", "length", F.md5(F.col("content")).alias("md5"))
+    name = F.regexp_extract(F.col("path"), name_pattern, 1).alias("file_name")
+    return df.select(name, "path", "length", "md5", *(["etag"] if part_bytes else []))
 
 
 def verify_manifest(files: DataFrame, manifest: DataFrame, key: str = "file_name", hash_col: str = "md5") -> DataFrame:
@@ -233,7 +225,6 @@ __all__ = [
     "file_checksums",
     "hash_halves",
     "load_errors",
-    "multipart_etag",
     "no_load_errors",
     "row_hash",
     "table_fingerprint",

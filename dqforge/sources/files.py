@@ -10,9 +10,11 @@ from dataclasses import dataclass, field
 from functools import reduce
 from typing import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from .rejects import parsed_fields, typed
+
 CORRUPT = "_corrupt_record"
 
 
@@ -46,24 +48,16 @@ class Stage:
         return r.load(self.path)
 
 
-def _field_count(text: Column, sep: str = ",", quote: str = '"') -> Column:
-    """Fields in one CSV line, separators inside quotes not counted: quoted parts are taken out, the
-    rest is split (linear in the line, no UDF)."""
-    import re
-
-    s, q = re.escape(sep), re.escape(quote)
-    return F.size(F.split(F.regexp_replace(text, f"{q}[^{q}]*{q}", ""), s, -1))
-
-
 def load_csv_checked(spark: SparkSession, path: str, schema: StructType | str, header: bool = False,
                      allow_jagged: bool = True, ts_format: str | None = None, sep: str = ",",
                      **options) -> DataFrame:
     """Read CSV as text columns, cast to ``schema``, and keep diagnostics per row.
 
-    Added columns: ``_file`` (file name), ``_n_fields``, ``_too_many`` (more fields than the
-    schema: always an error), ``_short`` (fewer fields: accepted when ``allow_jagged``), and
-    ``_bad_<col>`` (non-empty text that does not cast).  ``_error`` is true for rejected rows.
-    The field count is only computed for rows the parser flagged (short or long).
+    Added columns: ``_file`` (file name), ``_n_fields`` (exact up to one more than the schema has; -1
+    where a quote isn't closed: always an error), ``_too_many`` (more fields than the schema: always an
+    error), ``_short`` (fewer fields: accepted when ``allow_jagged``), and ``_bad_<col>`` (non-empty text
+    that does not cast).  ``_error`` is true for rejected rows; ``rejects.rejected_rows`` has their lines.
+    The fields are only counted for rows the parser flagged (short or long).
     """
     target = _schema(spark, schema)
     text_schema = StructType([StructField(f.name, StringType(), True) for f in target.fields])
@@ -73,24 +67,22 @@ def load_csv_checked(spark: SparkSession, path: str, schema: StructType | str, h
          .option("columnPruning", False))  # the flags of a row don't depend on the columns a query keeps
     raw = r.options(**options).csv(path).withColumn("_file", F.col("_metadata.file_name"))
     n = len(target.fields)
-    nf = F.when(F.col(CORRUPT).isNull(), F.lit(n)).otherwise(_field_count(F.col(CORRUPT), sep))
+    counted = parsed_fields(F.col(CORRUPT), n, {"sep": sep, **options})[1]  # by the parser, quotes and escapes as it reads them
+    nf = F.when(F.col(CORRUPT).isNull(), F.lit(n)).otherwise(counted)
     # a scan of the corrupt record alone is refused: the count names a data column too
     nf = nf + F.coalesce(F.length(F.col(target.fields[0].name)) * 0, F.lit(0))
     cols = []
     bad = []
     for f in target.fields:
         src = F.col(f.name)
-        if ts_format and f.dataType.typeName() in ("timestamp", "timestamp_ntz"):
-            typed = F.try_to_timestamp(src, F.lit(ts_format)).cast(f.dataType)
-        else:
-            typed = src.try_cast(f.dataType)
-        cols.append(typed.alias(f.name))
-        bad.append((src.isNotNull() & (F.trim(src) != "") & typed.isNull()).alias(f"_bad_{f.name}"))
+        value = typed(src, f.dataType, ts_format)
+        cols.append(value.alias(f.name))
+        bad.append((src.isNotNull() & (F.trim(src) != "") & value.isNull()).alias(f"_bad_{f.name}"))
     names = {f.name for f in target.fields}
     extra = [F.col(c) for c in raw.columns if c not in names and c not in (CORRUPT, "_file")]  # partition columns
     out = raw.select(*cols, *extra, *bad, F.col("_file"), nf.alias("_n_fields"))
-    out = out.withColumn("_too_many", F.col("_n_fields") > n).withColumn("_short", F.col("_n_fields") < n)
-    err = F.col("_too_many") | reduce(lambda a, b: a | b, [F.col(f"_bad_{f.name}") for f in target.fields])
+    out = out.withColumn("_too_many", F.col("_n_fields") > n).withColumn("_short", F.col("_n_fields").between(0, n - 1))
+    err = F.col("_too_many") | (F.col("_n_fields") < 0) | reduce(lambda a, b: a | b, [F.col(f"_bad_{f.name}") for f in target.fields])
     if not allow_jagged:
         err = err | F.col("_short")
     return out.withColumn("_error", err)
