@@ -268,27 +268,29 @@ def table_checks(df: DataFrame, checks, suite: str | None = None) -> DataFrame:
     return _with_exact_fallback(lambda exact: evaluate(df, compile_table_checks(df, checks, exact=exact), suite))
 
 
-def row_rules(df: DataFrame, rules: Mapping[str, str | Column], suite: str | None = None) -> DataFrame:
-    """One verdict per per-row rule over all rows (template form ``MIN(CASE WHEN rule ...)``).
-    A rule that tests only literals gets a warning."""
+def compile_row_rules(df: DataFrame, rules: Mapping[str, str | Column]) -> list[Check]:
+    """``{name: per-row SQL rule}`` → compiled checks.  A rule that tests only literals gets a warning."""
     lint_rules(df, dict(rules))
-    compiled = []
-    for name, rule in rules.items():
-        compiled.append(
-            Check(
-                name=name,
-                level="row",
-                column=None,
-                metric="row_rule",
-                comparator=None,
-                expected=rule if isinstance(rule, str) else None,
-                value=all_true(rule),
-                failed=count_failed(rule),
-                observed=lambda raw: raw.cast("double"),
-                verdict=lambda raw, failed, n: raw == 1,
-            )
+    return [
+        Check(
+            name=name,
+            level="row",
+            column=None,
+            metric="row_rule",
+            comparator=None,
+            expected=rule if isinstance(rule, str) else None,
+            value=all_true(rule),
+            failed=count_failed(rule),
+            observed=lambda raw: raw.cast("double"),
+            verdict=lambda raw, failed, n: raw == 1,
         )
-    return evaluate(df, compiled, suite)
+        for name, rule in rules.items()
+    ]
+
+
+def row_rules(df: DataFrame, rules: Mapping[str, str | Column], suite: str | None = None) -> DataFrame:
+    """One verdict per per-row rule over all rows (template form ``MIN(CASE WHEN rule ...)``)."""
+    return evaluate(df, compile_row_rules(df, rules), suite)
 
 
 def run_checks(
@@ -480,10 +482,8 @@ def interval_check(
         raise ValueError(f"interval check needs date column {date_filter_column!r}; frame has {df.columns}")
     today = _as_date(run_date)
     ref = today + _dt.timedelta(days=-abs(int(days_back)))
-    dcol = F.col(date_filter_column)
-
     names = list(metrics_thresholds)
-    scoped = on_dates(df, date_filter_column, [today, ref]).withColumn("_day", F.to_date(dcol))
+    scoped = on_dates(df, date_filter_column, [today, ref]).withColumn("_day", day_of(df, date_filter_column))
     per_day = scoped.groupBy("_day").agg(*[F.expr(m).cast("double").alias(f"_m{i}") for i, m in enumerate(names)])
     folded = per_day.agg(
         *[F.max(F.when(F.col("_day") == F.lit(today), F.col(f"_m{i}"))).alias(f"_t{i}") for i in range(len(names))],
@@ -521,18 +521,28 @@ def interval_check(
     return folded.select(F.inline(F.array(*structs)))
 
 
+def _is_text(df: DataFrame, column: str) -> bool:
+    return df.schema[column].dataType.typeName() in ("string", "varchar", "char")
+
+
+def day_of(df: DataFrame, date_col: str) -> Column:
+    """The day of a date, timestamp or text column; text that isn't a date is on no day (NULL)."""
+    return F.col(date_col).try_cast("date") if _is_text(df, date_col) else F.to_date(F.col(date_col))
+
+
 def on_dates(df: DataFrame, date_col: str, dates: Iterable) -> DataFrame:
     """Rows on the given days: a range predicate per day on the raw column, so the filter is
     pushed to the file scan (row groups / partitions of other days are skipped).  Text dates must
-    begin with ``yyyy-MM-dd``; a time may follow."""
+    begin with ``yyyy-MM-dd``; a time may follow.  Text that isn't a date is on no day: such rows
+    are left out and never stop a check."""
     c = F.col(date_col)
     dtype = df.schema[date_col].dataType
     conds = []
     for d in (_as_date(x) for x in dates):
         if dtype.typeName() == "date":
             conds.append(c == F.lit(d))
-        elif dtype.typeName() in ("string", "varchar", "char"):  # ISO text sorts as its dates do
-            conds.append((c >= F.lit(d.isoformat())) & (c < F.lit((d + _dt.timedelta(days=1)).isoformat())))
+        elif _is_text(df, date_col):  # ISO text sorts as its dates do; what else sorts there is no date
+            conds.append((c >= F.lit(d.isoformat())) & (c < F.lit((d + _dt.timedelta(days=1)).isoformat())) & (day_of(df, date_col) == F.lit(d)))
         else:
             # text literals cast to the column's own type: a timestamp_ntz bound never meets a zone
             lo = F.lit(f"{d.isoformat()} 00:00:00").cast(dtype)
@@ -545,7 +555,7 @@ def metric_by_date(df: DataFrame, metrics: Mapping[str, str], date_col: str, dat
     """Metrics on several dates side by side: one scan (days pushed down), grouped by day."""
     return (
         on_dates(df, date_col, dates)
-        .groupBy(F.to_date(F.col(date_col)).alias(date_col))
+        .groupBy(day_of(df, date_col).alias(date_col))
         .agg(*[F.expr(expr).alias(alias) for alias, expr in metrics.items()])
     )
 
@@ -676,7 +686,9 @@ __all__ = [
     "RuleError",
     "check_row",
     "column_checks",
+    "day_of",
     "compile_column_checks",
+    "compile_row_rules",
     "compile_table_checks",
     "compile_threshold_check",
     "compile_value_check",

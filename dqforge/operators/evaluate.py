@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.running import running_sums
 from ..session import ensure_checkpoint_dir
+from ..sources.tables import materialize
 
 # Hash buckets for the split histogram: 16^5 ≈ 1M buckets per label bound the boundary bucket
 # (the only rows ranked individually) to about n / 1M rows.
@@ -25,7 +26,11 @@ MAX_LABELS_BROADCAST = 100_000
 
 
 def _key_hash(key_cols: Sequence[str], seed: Any) -> Column:
-    return F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in key_cols], F.lit(str(seed))))
+    """md5 of the key as text: a single key and the seed as they are; of several keys each with its length, NULL marked."""
+    text = [F.col(k).cast("string") for k in key_cols]
+    if len(text) > 1:
+        text = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("N")) for t in text]
+    return F.md5(F.concat_ws("|", *text, F.lit(str(seed))))
 
 
 def stratified_split(df: DataFrame, label: str, key_cols: Sequence[str] | str, test_fraction: float = 0.2,
@@ -215,10 +220,14 @@ def best_run(runs: DataFrame, auc_col: str = "auc", acc_col: str = "accuracy", o
 
 # --------------------------------------------------------------------------- grid search (Spark ML)
 
-DEFAULT_GRIDS = {
-    "log_reg": {"regParam": [0.01, 0.1], "elasticNetParam": [0.0, 0.5]},
-    "gbt": {"maxIter": [20], "maxDepth": [3, 5], "stepSize": [0.1]},
-}
+# The documented grids (fixed values), in Spark's terms.
+PENALTIES = ("l1", "l2", "elasticnet")
+INVERSE_STRENGTHS = (0.001, 0.01, 0.1, 1, 10, 100)
+LEARNING_RATES = (0.01, 0.05, 0.1)
+BOOSTING_ROUNDS = (50, 100, 150)
+#: Depths 16, 24, 31 and 40 and leaves 31, 40 and 80 have no equivalent as they are: Spark grows whole levels, to a depth
+#: of 30 at most.  A tree of 31, 40 or 80 leaves needs a depth of 5, 6 or 7.
+TREE_DEPTHS = (5, 6, 7)
 
 
 def penalty_c_grid(penalties: Sequence[str], Cs: Sequence[float], n_train: int) -> dict:
@@ -227,21 +236,65 @@ def penalty_c_grid(penalties: Sequence[str], Cs: Sequence[float], n_train: int)
     return {"regParam": sorted({1.0 / (c * n_train) for c in Cs}), "elasticNetParam": sorted({en[p] for p in penalties})}
 
 
+def default_grid(model: str, n_train: int) -> dict:
+    """The documented grid of a model: 18 combinations of the logistic regression, 27 of the boosted trees."""
+    if model == "log_reg":
+        return penalty_c_grid(PENALTIES, INVERSE_STRENGTHS, max(n_train, 1))
+    if model == "gbt":
+        return {"stepSize": list(LEARNING_RATES), "maxIter": list(BOOSTING_ROUNDS), "maxDepth": list(TREE_DEPTHS)}
+    raise ValueError(f"unknown model {model!r}")
+
+
+def with_folds(df: DataFrame, key: str | Sequence[str], folds: int, seed: Any = 55, name: str = "fold") -> DataFrame:
+    """A fold (0 to ``folds`` - 1) from the hash of the row's key: the same at any partitioning, engine and run."""
+    keys = [key] if isinstance(key, str) else list(key)
+    return df.withColumn(name, F.pmod(F.conv(F.substring(_key_hash(keys, seed), 1, 8), 16, 10).cast("long"), F.lit(folds)).cast("int"))
+
+
 def _estimator(model: str, features: str, label: str, seed: int):
     from pyspark.ml.classification import GBTClassifier, LogisticRegression
 
     if model == "log_reg":
-        return LogisticRegression(featuresCol=features, labelCol=label, maxIter=100)
+        return LogisticRegression(featuresCol=features, labelCol=label, maxIter=500)
     if model == "gbt":
         return GBTClassifier(featuresCol=features, labelCol=label, seed=seed)
     raise ValueError(f"unknown model {model!r}")
 
 
+def _fit_by_folds(cv, rows: DataFrame):
+    """What ``cv.fit`` does, with the folds of the column ``_fold`` (``foldCol`` would ask a Python function for every row).
+    The rows are written once; folds are plain filters on them."""
+    from multiprocessing.pool import ThreadPool
+
+    from pyspark import inheritable_thread_target
+    from pyspark.ml.tuning import CrossValidatorModel
+
+    est, maps, evaluator = cv.getEstimator(), cv.getEstimatorParamMaps(), cv.getEvaluator()
+    rows = materialize(rows, name="folds")
+    scores = [[0.0] * cv.getNumFolds() for _ in maps]
+    tasks = [(i, j) for j in range(cv.getNumFolds()) for i in range(len(maps))]
+
+    def one(task):
+        i, j = task
+        fitted = est.fit(rows.where(F.col("_fold") != j), maps[i])
+        scores[i][j] = evaluator.evaluate(fitted.transform(rows.where(F.col("_fold") == j)))
+
+    with ThreadPool(min(cv.getParallelism(), len(tasks))) as pool:
+        pool.map(inheritable_thread_target(rows.sparkSession)(one), tasks)
+    means = [sum(s) / len(s) for s in scores]
+    best = est.fit(rows, maps[max(range(len(maps)), key=means.__getitem__)])
+    spread = [(sum((x - m) ** 2 for x in s) / len(s)) ** 0.5 for s, m in zip(scores, means)]
+    return cv._copyValues(CrossValidatorModel(best, means, None, spread))
+
+
 def grid_search(df: DataFrame, feature_cols: Sequence[str], label: str, model: str = "log_reg",
-                grid: Mapping[str, Sequence] | None = None, folds: int = 5, seed: int = 55, parallelism: int = 4):
+                grid: Mapping[str, Sequence] | None = None, folds: int = 5, seed: int = 55, parallelism: int = 4,
+                key: str | Sequence[str] | None = None):
     """K-fold cross-validated grid search; returns ``(cv_model, results_frame)``.
 
-    ``results_frame`` has one row per parameter combination: params as text and mean AUC.
+    ``results_frame`` has one row per parameter combination: params as text and mean AUC.  ``grid`` defaults to
+    :func:`default_grid`.  With ``key`` the folds come from the key (:func:`with_folds`), so the search doesn't
+    depend on how the rows are partitioned; without it Spark deals the rows at random.
     """
     from pyspark.ml import Pipeline
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -251,13 +304,13 @@ def grid_search(df: DataFrame, feature_cols: Sequence[str], label: str, model: s
     est = _estimator(model, "_features", label, seed)
     pipe = Pipeline(stages=[VectorAssembler(inputCols=list(feature_cols), outputCol="_features"), est])
     builder = ParamGridBuilder()
-    for name, values in (grid or DEFAULT_GRIDS[model]).items():
+    for name, values in (grid or default_grid(model, df.count())).items():
         builder = builder.addGrid(est.getParam(name), list(values))
     maps = builder.build()
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps,
-                        evaluator=BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC"),
-                        numFolds=folds, seed=seed, parallelism=parallelism)
-    cvm = cv.fit(df.withColumn(label, F.col(label).cast("double")))
+    evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
+    cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=evaluator, numFolds=folds, seed=seed, parallelism=parallelism)
+    rows = df.withColumn(label, F.col(label).cast("double"))
+    cvm = cv.fit(rows) if key is None else _fit_by_folds(cv, with_folds(rows, key, folds, seed, "_fold"))
     rows = [
         (model, ",".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda kv: kv[0].name)), float(metric))
         for m, metric in zip(maps, cvm.avgMetrics)

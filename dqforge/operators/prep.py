@@ -11,6 +11,9 @@ from typing import Any, Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
+from ..functions.running import running_totals
+from ..sources.tables import materialize
+
 
 def drop_null_rows(df: DataFrame, subset: Iterable[str] | None = None) -> DataFrame:
     """Rows with no NULL (in ``subset`` when given)."""
@@ -130,6 +133,29 @@ def one_hot(df: DataFrame, cols: Sequence[str], cats: Mapping[str, Sequence] | N
     return df.select(*keep, *enc)
 
 
+def category_index(df: DataFrame, col: str) -> DataFrame:
+    """``value, index``: the distinct non-NULL values of a column and their places in sorted order, from 0.  Any number of
+    values: they are numbered by running totals over range partitions and never come to the driver."""
+    values = df.select(F.col(col).alias("value")).where("value IS NOT NULL").distinct()
+    return running_totals(values, [], [F.col("value")], {"index": (F.lit(1), "sum")}).withColumn("index", F.col("index") - 1)
+
+
+def one_hot_vector(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
+    """A sparse one-hot vector beside the other columns (the wide form of :func:`one_hot` for many values): one place per
+    distinct value in sorted order, no place set where the column is NULL."""
+    from pyspark.ml.feature import OneHotEncoder
+
+    index = materialize(category_index(df, col), name="categories")
+    n = index.count()
+    place = F.coalesce(F.col("index"), F.lit(n)).cast("double")
+    # the number of categories is told, not looked for; the one after the last stands for NULL and is dropped
+    meta = {"ml_attr": {"type": "nominal", "num_vals": n + 1}}
+    named = index.select(F.col("value").alias("_category"), "index")
+    rows = df.join(named, df[col] == F.col("_category"), "left").select(*df.columns, place.alias("_place", metadata=meta))
+    out = name or f"{col}_vector"
+    return OneHotEncoder(inputCols=["_place"], outputCols=[out], dropLast=True).fit(rows.limit(0)).transform(rows).drop("_place")
+
+
 def with_load_date(df: DataFrame, run_date, offset: int = 0, name: str = "upload_date") -> DataFrame:
     """Constant load-date column: ``run_date - offset`` days (a date, never shifted by zone)."""
     import datetime as dt

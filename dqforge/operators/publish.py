@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import scratch_path
 from ..sources.tables import materialize
-from .checks import gate, run_checks
+from .checks import gate
 
 # The staged keys are broadcast (to pre-filter the destination keys) only below this measured size.
 BROADCAST_KEY_BYTES = 256 * 1024 * 1024
@@ -158,18 +158,22 @@ def write_audit_publish(df: DataFrame, dest_path: str, keys: list[str], column:
                         audit_path: str | None = None) -> WapResult:
     """Stage ``df`` to an audit table, check it (fused), gate, and publish new rows on success.
 
-    The audit copy is written once so checks and publish see the same rows; it is kept for
-    inspection when the gate fails.  With ``on_fail='warn'`` a failed gate publishes nothing.
+    The audit copy is written once so checks and publish see the same rows; column and table checks
+    ride along with that write (``audit.audited_write``).  It is kept for inspection when the gate
+    fails.  With ``on_fail='warn'`` a failed gate publishes nothing.  The append is Spark's own (a
+    reader may see a part of it while it runs); ``commit.write_audit_commit`` makes it one change.
     """
+    from .audit import audited_write
+
     spark = df.sparkSession
     audit_path = audit_path or scratch_path(spark, "audit")
-    audit = materialize(df, audit_path)
     if suite is not None:
         from .expectations import validate
 
+        audit = materialize(df, audit_path)
         results = validate(audit, suite)
     else:
-        results = run_checks(audit, column=column, table=table, suite="audit")
+        audit, results = audited_write(df, audit_path, column=column, table=table, suite="audit", mode="overwrite")
     results = materialize(results, name="audit-results")
     ok = gate(results, on_fail=on_fail)
     published = publish(audit, dest_path, keys, defaults) if ok else 0

@@ -8,11 +8,12 @@ runs on the driver over the schema and yields one ``select``; no data passes thr
 from __future__ import annotations
 
 import json
+import re
 from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Any, Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import (
     BooleanType,
     DataType,
@@ -31,6 +32,43 @@ from pyspark.sql.types import (
 SKIP_ON_LOAD = ("insert_timestamp", "hash_diff")
 
 
+#: Words of registry types, looked for in this order, and what they are in Spark (fixed values).
+TYPE_WORDS: list[tuple[str, DataType]] = [
+    ("char|text|string", StringType()),
+    ("bigint|^long$", LongType()),
+    ("int", IntegerType()),
+    ("number|numeric|decimal", DecimalType(38, 0)),
+    ("float|double|real", DoubleType()),
+    ("timestamp|datetime", TimestampNTZType()),
+    ("date", DateType()),
+    ("bool", BooleanType()),
+]
+
+
+@dataclass(frozen=True)
+class RegistryColumn:
+    """A property of a registry entry; ``order`` is its place in the source (from 1) or None, ``kind`` its Spark type or
+    None where the type word says nothing."""
+
+    name: str
+    order: int | None
+    source: str
+    kind: DataType | None
+    default: Any = None
+
+    @property
+    def type(self) -> DataType:
+        return self.kind or StringType()
+
+    def filler(self) -> Column:
+        """What a frame without this column gets: the default, False for a flag, empty text for an unknown type, else NULL."""
+        if self.default is not None:
+            return F.lit(self.default).cast(self.type)
+        if self.kind is None:
+            return F.lit("")
+        return F.lit(False) if isinstance(self.kind, BooleanType) else F.lit(None).cast(self.kind)
+
+
 @dataclass
 class Registry:
     table: str
@@ -39,6 +77,33 @@ class Registry:
     metrics: list = field(default_factory=list)
     cluster_keys: list = field(default_factory=list)
 
+    def columns(self) -> list[RegistryColumn]:
+        """The properties that have a place in the source, in that order."""
+        found = [_column(name, prop) for name, prop in self.properties.items()]
+        return sorted((c for c in found if c.order is not None), key=lambda c: c.order)
+
+
+def settings(text: Any) -> dict[str, str]:
+    """``"key = value, other = value"`` as a dict with lower-case keys; text without ``=`` has no setting."""
+    pairs = (part.partition("=") for part in re.split("[,;]", str(text or "")))
+    return {key.strip().lower(): value.strip() for key, eq, value in pairs if eq and key.strip()}
+
+
+def _column(name: str, prop: Mapping[str, Any]) -> RegistryColumn:
+    order = settings(prop.get("description")).get("source_order", "")
+    renamed = list(settings(prop.get("default_source")).values())
+    return RegistryColumn(name.lower(), int(order) if re.fullmatch(r"\d+", order) else None, (renamed or [name])[0].lower(), _kind(prop.get("type")), prop.get("default"))
+
+
+def _kind(word: Any) -> DataType | None:
+    word = str(word or "").strip().lower()
+    return next((kind for words, kind in TYPE_WORDS if re.search(words, word)), None)
+
+
+def registry_type(word: str | None) -> DataType:
+    """Registry type word → Spark type (text if it says nothing)."""
+    return _kind(word) or StringType()
+
 
 def load_registry(source: str | Path | Mapping[str, Any], table: str) -> Registry:
     """Registry entry of ``table`` from a JSON file or dict (either top-level or under ``definitions``)."""
@@ -59,56 +124,19 @@ def load_registry(source: str | Path | Mapping[str, Any], table: str) -> Registr
     )
 
 
-def source_order(prop: Mapping[str, Any]) -> int:
-    """``description: "source_order=N"`` → N; -1 when absent."""
-    desc = prop.get("description")
-    return int(str(desc).split("=")[1]) if desc else -1
-
-
-def source_column(name: str, prop: Mapping[str, Any]) -> str:
-    """Source column a registry column is renamed from (``default_source: "x=<col>"``), else itself."""
-    ds = prop.get("default_source")
-    return str(ds).split("=")[1] if ds else name
-
-
-def registry_type(word: str | None) -> DataType:
-    """Registry type word → Spark type."""
-    w = (word or "").lower()
-    if "varchar" in w or "text" in w or "string" in w or "char" in w:
-        return StringType()
-    if "bigint" in w or w == "long":
-        return LongType()
-    if "int" in w:
-        return IntegerType()
-    if "number" in w or "numeric" in w or "decimal" in w:
-        return DecimalType(38, 0)
-    if "float" in w or "double" in w or "real" in w:
-        return DoubleType()
-    if "timestamp" in w or "datetime" in w:
-        return TimestampNTZType()
-    if "date" in w:
-        return DateType()
-    if "bool" in w:
-        return BooleanType()
-    return StringType()
-
-
 def registry_columns(reg: Registry) -> list[str]:
     """Raw columns (those with a source order), lower case, in source order."""
-    cols = [(source_order(p), k.lower()) for k, p in reg.properties.items() if source_order(p) != -1]
-    return [c for _, c in sorted(cols)]
+    return [c.name for c in reg.columns()]
 
 
 def registry_schema(reg: Registry) -> StructType:
     """``StructType`` in source order; metadata keeps source order, default and source column."""
     fields = []
-    for k, p in sorted(reg.properties.items(), key=lambda kv: source_order(kv[1])):
-        if source_order(p) == -1:
-            continue
-        meta = {"source_order": source_order(p), "source_column": source_column(k, p).lower()}
-        if p.get("default") is not None:
-            meta["default"] = str(p["default"])
-        fields.append(StructField(k.lower(), registry_type(p.get("type")), True, meta))
+    for c in reg.columns():
+        meta = {"source_order": c.order, "source_column": c.source}
+        if c.default is not None:
+            meta["default"] = str(c.default)
+        fields.append(StructField(c.name, c.type, True, meta))
     return StructType(fields)
 
 
@@ -118,29 +146,9 @@ def select_by_position(df: DataFrame, reg: Registry, cast: bool = True) -> DataF
     Columns named in ``SKIP_ON_LOAD`` are never selected; with ``cast`` values are ``try_cast``
     to the registry types (text that does not cast becomes NULL).
     """
-    out = []
-    for k, p in sorted(reg.properties.items(), key=lambda kv: source_order(kv[1])):
-        if k.lower() in SKIP_ON_LOAD or source_order(p) == -1:
-            continue
-        src = F.col(f"_c{source_order(p) - 1}")
-        out.append((src.try_cast(registry_type(p.get("type"))) if cast else src).alias(k.lower()))
-    return df.select(*out)
-
-
-def _fill(prop: Mapping[str, Any]):
-    """Value for a registry column missing from the frame: default, else a typed NULL
-    (booleans get False, unknown types an empty string)."""
-    t = registry_type(prop.get("type"))
-    if prop.get("default") is not None:
-        return F.lit(prop["default"]).cast(t)
-    w = (prop.get("type") or "").lower()
-    known = any(x in w for x in ("varchar", "text", "string", "char", "number", "numeric", "decimal", "timestamp",
-                                  "datetime", "date", "float", "double", "real", "int"))
-    if "bool" in w:
-        return F.lit(False)
-    if not known:
-        return F.lit("")
-    return F.lit(None).cast(t)
+    wanted = [c for c in reg.columns() if c.name not in SKIP_ON_LOAD]
+    at = {c.name: F.col(f"_c{c.order - 1}") for c in wanted}
+    return df.select(*[(at[c.name].try_cast(c.type) if cast else at[c.name]).alias(c.name) for c in wanted])
 
 
 def resolve_schema(df: DataFrame, reg: Registry) -> DataFrame:
@@ -149,26 +157,9 @@ def resolve_schema(df: DataFrame, reg: Registry) -> DataFrame:
 
     Raises ``ValueError`` when no registry column is present.
     """
-    lower = {c.lower(): c for c in df.columns}
-    ordered = sorted(((source_order(p), k, p) for k, p in reg.properties.items() if source_order(p) != -1),
-                     key=lambda t: t[0])
-    present = []
-    for _, k, p in ordered:
-        src = source_column(k, p).lower()
-        if src in lower:
-            present.append(k.lower())
-        elif k.lower() in lower:
-            present.append(k.lower())
-    if not present:
+    there = {name.lower(): F.col(f"`{name}`") for name in df.columns}
+    columns = reg.columns()
+    found = {c.name: there.get(c.source, there.get(c.name)) for c in columns}
+    if all(x is None for x in found.values()):
         raise ValueError(f"no registry column of {reg.table!r} in frame columns {df.columns}")
-    out = []
-    for _, k, p in ordered:
-        name = k.lower()
-        src = source_column(k, p).lower()
-        if src in lower:
-            out.append(F.col(f"`{lower[src]}`").alias(name))
-        elif name in lower:
-            out.append(F.col(f"`{lower[name]}`").alias(name))
-        else:
-            out.append(_fill(p).alias(name))
-    return df.select(*out)
+    return df.select(*[(c.filler() if found[c.name] is None else found[c.name]).alias(c.name) for c in columns])

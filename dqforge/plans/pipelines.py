@@ -7,7 +7,7 @@ whole input; only verdict tables are collected (by the gate).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 from typing import Any, Mapping, Sequence
 
@@ -103,21 +103,23 @@ def dated_files_checks(spark: SparkSession, files: Mapping[str, str], schema: An
                        threshold: tuple[str, Any, Any] | None = None, ts_format: str | None = None,
                        date_col: str = "upload_date", header: bool = True) -> PipelineResult:
     """Files listed newest first get load dates ``run_date - i``; all are read in one union,
-    then row rules, a value check, an interval check and a threshold check run over the table.
+    then row rules, a value check and a threshold check run over the table in one pass, an interval check over
+    the rows of its two days.
     """
     parts = []
     for i, (name, path) in enumerate(files.items()):
         df = FS.read_csv(spark, path, schema, header=header, ts_format=ts_format)
         parts.append(PR.with_load_date(df, run_date, offset=i, name=date_col))
     table = reduce(lambda a, b: a.unionByName(b), parts)
-    res = [C.row_rules(table, row_rules, suite="rows")]
+    checks = C.compile_row_rules(table, row_rules)
     if value:
-        res.append(C.value_check(table, value[0], value[1], name="value_check", suite="value"))
+        checks.append(replace(C.compile_value_check("value_check", value[0], value[1]), suite="value"))
+    if threshold:
+        checks.append(replace(C.compile_threshold_check(spark, "threshold_check", *threshold), suite="threshold"))
+    res = [C.evaluate(table, checks, "rows")]
     if interval:
         res.append(C.interval_check(table, interval, run_date, date_filter_column=date_col, days_back=-1, suite="interval"))
-    if threshold:
-        res.append(C.threshold_check(table, threshold[0], threshold[1], threshold[2], suite="threshold"))
-    results = reduce(lambda a, b: a.unionByName(b), res)
+    results = materialize(reduce(lambda a, b: a.unionByName(b), res), name="dated-results")
     return PipelineResult(C.gate(results, on_fail="warn"), results, table)
 
 
@@ -127,10 +129,10 @@ def dated_files_checks(spark: SparkSession, files: Mapping[str, str], schema: An
 def load_with_integrity(spark: SparkSession, path: str, manifest: DataFrame, schema: Any,
                         expected: Mapping[Any, Mapping[str, Any]], key: str, file_hint: str) -> PipelineResult:
     """File checksums vs. manifest → checked load → no load errors → ground truth rows."""
-    sums = I.verify_manifest(I.file_checksums(spark, path), manifest)
+    sums = materialize(I.verify_manifest(I.file_checksums(spark, path), manifest), name="checksums")
     checked = FS.load_csv_checked(spark, path, schema)
-    load_ok = I.no_load_errors(checked, file_hint)
-    truth = C.ground_truth_check(FS.clean_rows(checked), expected, key)
+    load_ok = materialize(I.no_load_errors(checked, file_hint), name="load-results")
+    truth = materialize(C.ground_truth_check(FS.clean_rows(checked), expected, key), name="truth-results")
     integrity_ok = sums.filter(F.col("status") != "ok").limit(1).count() == 0
     ok = integrity_ok and C.gate(load_ok, on_fail="warn") and truth.filter(~F.col("passed")).limit(1).count() == 0
     return PipelineResult(ok, load_ok, truth, {"checksums": sums})
@@ -150,7 +152,7 @@ def load_and_validate(spark: SparkSession, path: str, schema: Any, suite: Any, t
     if target:
         FS.load(data, target)
         data = spark.read.parquet(target) if "/" in target else spark.table(target)
-    results = E.validate(data, suite)
+    results = materialize(E.validate(data, suite), name="load-suite")
     return PipelineResult(C.gate(results, on_fail="warn"), results, data)
 
 
@@ -162,14 +164,14 @@ def feature_pipeline(raw: DataFrame, preprocess_suite: Any, feature_suite: Any,
                      target: tuple[str, Any, str], drop_after: Sequence[str], on_fail: str = "raise") -> PipelineResult:
     """L8 data path: clean → suite → one-hot, bins, target flag → suite (each gated)."""
     clean = PR.clean(raw, sentinel_cols=sentinel_cols, drop=drop_cols)
-    r1 = E.validate(clean, preprocess_suite)
+    r1 = materialize(E.validate(clean, preprocess_suite), name="clean-suite")
     C.gate(r1, on_fail=on_fail)
     feats = PR.one_hot(clean, list(onehot_cols))
     col, edges, labels, name = bin_spec
     feats = PR.bin_column(feats, col, edges, labels, name)
     tcol, tval, tname = target
     feats = PR.flag_equals(feats, tcol, tval, tname).drop(*drop_after)
-    r2 = E.validate(feats, feature_suite)
+    r2 = materialize(E.validate(feats, feature_suite), name="feature-suite")
     ok = C.gate(r2, on_fail=on_fail)
     return PipelineResult(ok, r1.unionByName(r2), feats)
 
@@ -184,7 +186,7 @@ def train_and_select(features: DataFrame, feature_cols: Sequence[str], label: st
     runs = []
     fitted = {}
     for name, grid in models.items():
-        cvm, res = EV.grid_search(train, feature_cols, label, name, grid, folds=folds, seed=seed)
+        cvm, res = EV.grid_search(train, feature_cols, label, name, grid, folds=folds, seed=seed, key=key)
         pred = EV.positive_probability(cvm.bestModel.transform(test))
         pred = pred.withColumn("yhat", EV.predict_class("score"))
         m = EV.hard_label_metrics(pred, label, "yhat").withColumn("run_id", F.lit(name))
@@ -214,7 +216,7 @@ def simple_load_checks(spark: SparkSession, rows: list, schema: Any, column: Any
         res.append(C.value_check(df, value[0], value[1], suite=name))
     if first_row_sql:
         res.append(C.check_row(TB.run_sql(spark, first_row_sql.replace("{table}", view)), suite=name))
-    results = reduce(lambda a, b: a.unionByName(b), res)
+    results = materialize(reduce(lambda a, b: a.unionByName(b), res), name="simple-results")
     ok = C.gate(results, on_fail="warn")
     spark.catalog.dropTempView(view)
     return PipelineResult(ok, results)

@@ -606,8 +606,7 @@ GRID_FEATURES = ["n_chars", "is_en"]
 def q_grid_search(spark, sf_dir):
     s = _scored(spark, sf_dir).withColumn("is_en", (F.col("lang") == "en").cast("double")).withColumn(
         "n_chars", F.col("n_chars").cast("double"))
-    _, res = EV.grid_search(s, GRID_FEATURES, "quality", "log_reg",
-                            grid={"regParam": [0.01, 0.1], "elasticNetParam": [0.0]}, folds=3, parallelism=2)
+    _, res = EV.grid_search(s, GRID_FEATURES, "quality", "log_reg", folds=5, parallelism=8, key="doc_id")
     return res
 
 

@@ -13,7 +13,7 @@ from typing import Iterable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .rejects import parsed_fields, typed
+from .rejects import typed, with_fields
 
 CORRUPT = "_corrupt_record"
 
@@ -57,6 +57,8 @@ def load_csv_checked(spark: SparkSession, path: str, schema: StructType | str, h
     where a quote isn't closed: always an error), ``_too_many`` (more fields than the schema: always an
     error), ``_short`` (fewer fields: accepted when ``allow_jagged``), and ``_bad_<col>`` (non-empty text
     that does not cast).  ``_error`` is true for rejected rows; ``rejects.rejected_rows`` has their lines.
+    A quote that is left open in the last field is read as the parser reads it, to the end of the line;
+    only ``rejected_rows``, which sees every line, reports it.
     The fields are only counted for rows the parser flagged (short or long).
     """
     target = _schema(spark, schema)
@@ -67,8 +69,8 @@ def load_csv_checked(spark: SparkSession, path: str, schema: StructType | str, h
          .option("columnPruning", False))  # the flags of a row don't depend on the columns a query keeps
     raw = r.options(**options).csv(path).withColumn("_file", F.col("_metadata.file_name"))
     n = len(target.fields)
-    counted = parsed_fields(F.col(CORRUPT), n, {"sep": sep, **options})[1]  # by the parser, quotes and escapes as it reads them
-    nf = F.when(F.col(CORRUPT).isNull(), F.lit(n)).otherwise(counted)
+    raw = with_fields(raw, F.col(CORRUPT), n, {"sep": sep, **options})  # counted by the parser, quotes and escapes as it reads them
+    nf = F.when(F.col(CORRUPT).isNull(), F.lit(n)).otherwise(F.col("_fields.count"))
     # a scan of the corrupt record alone is refused: the count names a data column too
     nf = nf + F.coalesce(F.length(F.col(target.fields[0].name)) * 0, F.lit(0))
     cols = []
@@ -79,7 +81,7 @@ def load_csv_checked(spark: SparkSession, path: str, schema: StructType | str, h
         cols.append(value.alias(f.name))
         bad.append((src.isNotNull() & (F.trim(src) != "") & value.isNull()).alias(f"_bad_{f.name}"))
     names = {f.name for f in target.fields}
-    extra = [F.col(c) for c in raw.columns if c not in names and c not in (CORRUPT, "_file")]  # partition columns
+    extra = [F.col(c) for c in raw.columns if c not in names and c not in (CORRUPT, "_file", "_fields")]  # partition columns
     out = raw.select(*cols, *extra, *bad, F.col("_file"), nf.alias("_n_fields"))
     out = out.withColumn("_too_many", F.col("_n_fields") > n).withColumn("_short", F.col("_n_fields").between(0, n - 1))
     err = F.col("_too_many") | (F.col("_n_fields") < 0) | reduce(lambda a, b: a | b, [F.col(f"_bad_{f.name}") for f in target.fields])
@@ -104,15 +106,25 @@ def load(df: DataFrame, target: str, mode: str = "overwrite", required: Iterable
     """Write a frame to a table (catalog name) or path, then check required columns for NULLs.
 
     Spark does not enforce ``nullable=False`` on write, so REQUIRED columns become a null check
-    on the written data.  ``cluster_by`` sorts rows within partitions (the cluster-key layout).
-    Returns the check results (lazy, over the written copy).
+    on the written data.  ``cluster_by`` (by default the clustering columns of an existing table) lays
+    the rows out by range: each file holds one stretch of the keys, sorted, so a filter on a leading
+    key skips the other files and row groups.  Returns the check results (lazy, over the written copy).
     """
     from ..operators.checks import column_checks
+    from .tables import cluster_columns
 
     spark = df.sparkSession
-    out = df.sortWithinPartitions(*cluster_by) if cluster_by else df
-    w = out.write.mode(mode).partitionBy(*partition_by).format("parquet")
     is_path = "/" in target or ":" in target
+    keys = list(cluster_by)
+    if not keys and not is_path and spark.catalog.tableExists(target):
+        keys = cluster_columns(spark, target)
+    by = [*partition_by, *keys]
+    out = df.repartitionByRange(*by).sortWithinPartitions(*by) if keys else df
+    w = out.write.mode(mode).format("parquet")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    elif keys and not is_path:
+        w = w.clusterBy(*keys)
     if is_path:
         w.save(target)
         written = spark.read.parquet(target)

@@ -24,18 +24,25 @@ TOO_MANY, SHORT, OPEN_QUOTE, NOT_CAST, NULL_REQUIRED = "too_many_fields", "short
 _PROBLEM = "array<struct<column_name: string, reason: string, token: string>>"
 
 
-def parsed_fields(line: Column, n: int, options: Mapping[str, str] | None = None) -> tuple[Column, Column]:
-    """The first ``n`` fields of a CSV line as text (an array), and the number of its fields: exact up to ``n + 1``, then
-    ``n + 2``; -1 where a quote isn't closed."""
+def with_fields(df: DataFrame, line: Column, n: int, options: Mapping[str, str] | None = None) -> DataFrame:
+    """Add ``_fields``: the first ``n`` fields of a CSV line as text (``tokens``) and the ``count`` of its fields, exact up to
+    ``n + 1``, then ``n + 2``; -1 where a quote isn't closed.  A NULL line has none.
+
+    Each step is a generator of one row, so a line is parsed once however often its fields are used (as a plain expression
+    every use would get a parser, with its buffers, of its own)."""
     opts = {k: str(v) for k, v in (options or {}).items()}
     sep = opts.get("sep", opts.get("delimiter", ","))
-    row = F.from_csv(F.concat(line, F.lit(sep + MARK)), ", ".join(f"c{i} string" for i in range(n + 2)), {**opts, "mode": "PERMISSIVE"})
-    tokens = F.array(*[row[f"c{i}"] for i in range(n + 2)])
+    names = [f"c{i}" for i in range(n + 2)]
+    row = F.from_csv(F.concat(line, F.lit(sep + MARK)), ", ".join(f"{c} string" for c in names), {**opts, "mode": "PERMISSIVE"})
+    parsed = df.select("*", F.explode(F.array(row)).alias("_csv"))
+    listed = parsed.select("*", F.explode(F.array(F.array(*[F.col(f"_csv.{c}") for c in names]))).alias("_all")).drop("_csv")
+    tokens = F.col("_all")
     at = F.array_position(tokens, F.lit(MARK))
     swallowed = F.exists(tokens, lambda t: F.coalesce(F.contains(t, F.lit(MARK)), F.lit(False)))
     count = F.when(at > 0, at - 1).when(swallowed, F.lit(-1)).otherwise(F.lit(n + 2)).cast("int")
     # the marker isn't a value of a short line's next column
-    return F.transform(F.slice(tokens, 1, n), lambda t: F.when(~F.contains(t, F.lit(MARK)), t)), count
+    first = F.transform(F.slice(tokens, 1, n), lambda t: F.when(~F.contains(t, F.lit(MARK)), t))
+    return listed.select("*", F.explode(F.array(F.struct(first.alias("tokens"), count.alias("count")))).alias("_fields")).drop("_all")
 
 
 def typed(token: Column, data_type, ts_format: str | None) -> Column:
@@ -114,10 +121,10 @@ def rejected_rows(spark: SparkSession, path: str | list[str], schema: StructType
     target = _schema(spark, schema)
     sep = {"lineSep": options["lineSep"]} if "lineSep" in options else {}
     lines = spark.read.options(**sep).text(path).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"))
-    tokens, count = parsed_fields(F.col("value"), len(target.fields), {k: v for k, v in options.items() if k != "lineSep"})
-    found = problems(tokens, count, target, allow_jagged, required, ts_format)
+    parsed = with_fields(lines, F.col("value"), len(target.fields), {k: v for k, v in options.items() if k != "lineSep"})
+    found = problems(F.col("_fields.tokens"), F.col("_fields.count"), target, allow_jagged, required, ts_format)
     rejected = (F.trim("value") != "") & (F.size("found") > 0)
-    flagged = lines.withColumn("found", found).select("path", "block", F.when(rejected, F.col("value")).alias("raw"), F.when(rejected, F.col("found")).alias("problems"))
+    flagged = parsed.select("*", F.explode(F.array(found)).alias("found")).select("path", "block", F.when(rejected, F.col("value")).alias("raw"), F.when(rejected, F.col("found")).alias("problems"))
     out = scratch_path(spark, "rejects")
     kind = f"path string, block long, line long, raw string, problems {_PROBLEM}, n_lines long"
     flagged.mapInArrow(_numbered, kind).write.parquet(out)

@@ -21,24 +21,44 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: Iterable[st
 
 def create_table(spark: SparkSession, name: str, schema: StructType | str, replace: bool = False,
                  location: str | None = None, cluster_by: Iterable[str] | None = None) -> None:
-    """``CREATE TABLE IF NOT EXISTS`` (or drop + create for replace) as a parquet table."""
+    """``CREATE TABLE IF NOT EXISTS`` (or drop + create for replace) as a parquet table.
+
+    Names and the location are bound parameters, never part of the statement.  ``cluster_by`` is kept as the table's
+    clustering columns; ``files.load`` lays rows out by them (:func:`cluster_columns`).
+    """
     if replace:
         drop_table(spark, name)
-    ddl = schema if isinstance(schema, str) else ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    loc = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet{loc}")
+    fields = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    quoted = lambda c: "`" + c.replace("`", "``") + "`"
+    ddl = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in fields.fields)
+    keys = list(cluster_by or [])
+    clause = f" CLUSTER BY ({', '.join(map(quoted, keys))})" if keys else ""
+    place = " LOCATION :location" if location else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS IDENTIFIER(:name) ({ddl}) USING parquet{clause}{place}",
+              args={"name": name, **({"location": location} if location else {})})
+
+
+def cluster_columns(spark: SparkSession, name: str) -> list[str]:
+    """The clustering columns of a catalog table."""
+    import json
+    import re
+
+    rows = spark.sql("DESCRIBE TABLE EXTENDED IDENTIFIER(:name)", args={"name": name}).collect()
+    value = next((r["data_type"] for r in rows if r["col_name"] == "Table Properties"), "")
+    found = re.search(r"clusteringColumns=(\[(?:\[[^\]]*\],?)*\])", value)
+    return [".".join(c) for c in json.loads(found[1])] if found else []
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", args={"name": name})
 
 
 def create_db(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+    spark.sql("CREATE DATABASE IF NOT EXISTS IDENTIFIER(:name)", args={"name": name})
 
 
 def drop_db(spark: SparkSession, name: str, cascade: bool = True) -> None:
-    spark.sql(f"DROP DATABASE IF EXISTS {name}{' CASCADE' if cascade else ''}")
+    spark.sql("DROP DATABASE IF EXISTS IDENTIFIER(:name)" + " CASCADE" * cascade, args={"name": name})
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:

@@ -34,7 +34,7 @@ for name, fn in qs.items():
             ok = True
     except Exception as e:  # noqa: BLE001
         traceback.print_exc()
-        r = {"error": str(e)[:300]}
+        r = {"error": str(e)[:1500]}
         ok = False
     bad += not ok
     print(("OK  " if ok else "FAIL"), name, f"{time.time() - t:.2f}s",
