@@ -36,14 +36,13 @@ COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id"
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, task long, ids binary"
 
 
-_SIMPLE = re.compile(r"([a-z]+)([.,]?)").fullmatch
+#: Lines of letters with a mark at most, or any other line.
+_LINES = re.compile(r"^([A-Za-z]+)([.,]?)$|^(.*)$", re.M)
 
 
 def plain(run: str) -> tuple[str, str]:
     """A run without its case and without one full stop or comma behind a letter, where that can't
     change the tokens; and that mark."""
-    if m := _SIMPLE(run):
-        return m[1], m[2]
     if "<|" in run:  # control strings count as written
         return run, ""
     mark = run[-1:] if len(run) > 1 and run[-1] in ".," and run[-2].isalpha() and run[-2] != "\u0130" else ""
@@ -51,6 +50,11 @@ def plain(run: str) -> tuple[str, str]:
     return (core.lower() if core.isascii() or (max(core) < "\u0250" and "\u0130" not in core) else core), mark
 
 
+def plain_runs(runs: list[str]) -> list[tuple[str, str]]:
+    """:func:`plain` of many runs (which have no line break), those of ASCII letters told by one search over all."""
+    return [(letters.lower(), mark) if letters else plain(other) for letters, mark, other in _LINES.findall("\n".join(runs))] if runs else []
+
+
 class Encoder:
     """Token ids of texts, as little-endian unsigned 32-bit bytes."""
 
@@ -75,7 +79,7 @@ class Encoder:
         def words(cores: list[str]) -> None:
             for k in range(0, len(cores), 4096):
                 part = cores[k:k + 4096]
-                ids = np.array(letters.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+                ids = np.array(letters.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")  # without offsets
                 ends = ((np.flatnonzero(closes[ids]) + 1) * 4).tolist()
                 raw = ids.tobytes()
                 values.update(zip(part, [raw[a:b] for a, b in zip([0, *ends], ends)], strict=True))
@@ -88,14 +92,14 @@ class Encoder:
         def ids(runs: list[str]) -> list[bytes]:
             """Ids of runs.  The vocabulary is lower case and cuts between a letter and a mark, so case and
             one mark at the end are taken off first: such runs share one call."""
-            parts = [plain(w) for w in runs]
+            parts = plain_runs(runs)
             if len(values) > MARKED:
                 values.clear()
             new = {c for c, _ in parts}.difference(values)
             simple = [c for c in new if c.isalpha() and c.islower() and (c.isascii() or max(c) < "\u0250")]
             words(simple)
             others(list(new.difference(simple)))
-            return [values[c] + marks[m] for c, m in parts]
+            return [values[c] + marks[m] if m else values[c] for c, m in parts]
 
         return Memo(ids, 200_000)
 
