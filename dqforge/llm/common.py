@@ -107,6 +107,11 @@ def per_process(key: tuple, make):
     return kept[key]
 
 
+def release() -> None:
+    """Drop what :func:`per_process` keeps: an operator without such values doesn't work beside those of an earlier one."""
+    sys.modules.pop("_worker_values", None)
+
+
 class Memo:
     """Values of words, computed once while they are in use: two generations of at most ``limit``
     words each, so common words stay and the memory of a task is bounded."""

@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .common import id_bucket, labelled_sample
+from .common import id_bucket, labelled_sample, release, slices
 
 FEATURES = ("log_chars", "upper", "digits", "symbols", "stops", "spaces", "non_ascii", "word_length", "distinct_words",
             "top_word", "repeated_lines", "symbol_words", "upper_words", "repeated_pairs", "line_words", "short_words")
@@ -161,6 +161,11 @@ def _matrix(texts) -> np.ndarray:
     return np.array([features(t) for t in texts], float).reshape(-1, len(FEATURES))
 
 
+def _scores(model: AdditiveModel, texts) -> np.ndarray:
+    """Scores of a batch's texts, a bounded number of characters at a time."""
+    return np.concatenate([np.zeros(0), *(model.score(_matrix(part)) for part in slices(texts))])
+
+
 def fit(docs: DataFrame, labels: DataFrame, mod: int = 5, held: int = 0, per_class: int = 3000) -> AdditiveModel:
     """Learn from at most ``2 * per_class`` labelled documents (a documented bound).  Features are
     computed where the texts are; only they reach the driver."""
@@ -168,6 +173,7 @@ def fit(docs: DataFrame, labels: DataFrame, mod: int = 5, held: int = 0, per_cla
 
     @F.pandas_udf("array<double>")
     def measured(texts: pd.Series) -> pd.Series:
+        release()
         return pd.Series([features(t) for t in texts])
 
     got = sorted((r["_id"], r["y"], r["x"]) for r in rows.select("_id", "y", measured(F.col("text")).alias("x")).collect())
@@ -180,8 +186,9 @@ def scored(docs: DataFrame, model: AdditiveModel, name: str = "score") -> DataFr
     """``docs`` with the score of each text in column ``name``."""
     @F.pandas_udf("double")
     def quality(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        release()
         for s in texts:
-            yield pd.Series(model.score(_matrix(s)) if len(s) else np.zeros(0))
+            yield pd.Series(_scores(model, s))
 
     return docs.withColumn(name, quality(F.col("text")))
 
