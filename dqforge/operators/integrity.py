@@ -8,7 +8,7 @@ shuffle, handles duplicate rows as a multiset and spreads a hot key over many ha
 
 from __future__ import annotations
 
-from typing import Iterable
+from typing import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -136,6 +136,29 @@ def table_fingerprint(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"), _hash_sum(high).alias("fingerprint"), _hash_sum(low).alias("fingerprint_low"))
 
 
+def row_digests(cols: Mapping[str, bool]) -> tuple[Column, Column]:
+    """Two seeded 64-bit hashes of a row, for comparisons inside Spark: each column with a mark for NULL (the hash skips
+    NULLs), as text where the flag says so (its type differs between the sides).  No text is built for the others."""
+    marked: list[Column] = []
+    for c, as_text in cols.items():
+        marked += [F.col(c).isNull(), _text(F.col(c)) if as_text else F.col(c)]
+    return F.xxhash64(F.lit(1), *marked), F.xxhash64(F.lit(2), *marked)
+
+
+def _as_text(one: DataFrame, other: DataFrame, cols: Iterable[str]) -> dict[str, bool]:
+    return {c: one.schema[c].dataType != other.schema[c].dataType or one.schema[c].dataType.typeName() in ("map", "variant") for c in cols}
+
+
+#: Bits of the parts that a hash is summed in: a sum of 10^12 of them is a long.
+SUM_BITS = 22
+
+
+def _digest_sums(digests: Iterable[Column]) -> list[Column]:
+    """Order-free sums of all bits of hashes, as longs: three for each."""
+    parts = [F.shiftrightunsigned(h, at).bitwiseAND(F.lit((1 << SUM_BITS) - 1)) for h in digests for at in range(0, 64, SUM_BITS)]
+    return [F.coalesce(F.sum(x), F.lit(0)) for x in parts]
+
+
 # Buckets whose ids are broadcast to prefilter a diff are at most this many.
 MAX_PREFILTER_BUCKETS = 4_000_000
 
@@ -144,19 +167,15 @@ def _bucket(key_cols: list[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in key_cols]), F.lit(buckets))
 
 
-def bucket_fingerprints(df: DataFrame, key_cols: list[str], compare_cols: list[str], buckets: int) -> DataFrame:
-    """Per hash-of-key bucket: row count and order-free sums of both halves of the content hash."""
-    high, low = hash_halves(key_cols + compare_cols)
-    return df.groupBy(_bucket(key_cols, buckets).alias("_bkt")).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.sum(high).alias("_h1"),
-        F.sum(low).alias("_h2"),
-    )
+def bucket_fingerprints(df: DataFrame, key_cols: list[str], cols: Mapping[str, bool], buckets: int) -> DataFrame:
+    """Per hash-of-key bucket: row count and order-free sums of the row hashes of ``cols``."""
+    sums = _digest_sums(row_digests(cols))
+    return df.groupBy(_bucket(key_cols, buckets).alias("_bkt")).agg(F.count(F.lit(1)).alias("_n"), F.array(*sums).alias("_h"))
 
 
 def diff_tables(source: DataFrame, target: DataFrame, key_cols: list[str], compare_cols: list[str],
                 prefilter_buckets: int | None = None) -> DataFrame:
-    """Rows that differ between two tables, as a multiset per key and content hash.
+    """Rows that differ between two tables, as a multiset per key and content hash (128 bits).
 
     Output: key columns, ``n_source``, ``n_target``, ``status`` (``missing_in_target``,
     ``missing_in_source`` or ``count_differs``) — only for groups whose counts differ.
@@ -166,11 +185,11 @@ def diff_tables(source: DataFrame, target: DataFrame, key_cols: list[str], compa
     summaries differ enter the grouped diff, through a broadcast semi join of the bad bucket
     ids.  The result is the same; the full shuffle is skipped when few buckets differ.
     """
+    text = _as_text(source, target, key_cols + compare_cols)
     if prefilter_buckets:
-        sf = bucket_fingerprints(source, key_cols, compare_cols, prefilter_buckets)
-        tf = bucket_fingerprints(target, key_cols, compare_cols, prefilter_buckets).select(
-            "_bkt", F.col("_n").alias("_tn"), F.col("_h1").alias("_t1"), F.col("_h2").alias("_t2"))
-        same = (F.col("_n") == F.col("_tn")) & (F.col("_h1") == F.col("_t1")) & (F.col("_h2") == F.col("_t2"))
+        sf = bucket_fingerprints(source, key_cols, text, prefilter_buckets)
+        tf = bucket_fingerprints(target, key_cols, text, prefilter_buckets).select("_bkt", F.col("_n").alias("_tn"), F.col("_h").alias("_th"))
+        same = (F.col("_n") == F.col("_tn")) & (F.col("_h") == F.col("_th"))
         bad = sf.join(tf, "_bkt", "full_outer").filter(~F.coalesce(same, F.lit(False))).select("_bkt")
         ensure_checkpoint_dir(source.sparkSession)
         bad = bad.checkpoint(eager=True)  # computed once: counted here, joined below
@@ -179,10 +198,11 @@ def diff_tables(source: DataFrame, target: DataFrame, key_cols: list[str], compa
             keep = F.broadcast(bad)
             source = source.withColumn("_bkt", _bucket(key_cols, prefilter_buckets)).join(keep, "_bkt", "left_semi")
             target = target.withColumn("_bkt", _bucket(key_cols, prefilter_buckets)).join(keep, "_bkt", "left_semi")
-    h = row_hash(compare_cols).alias("_h")
-    s = source.select(*key_cols, h, F.lit(1).alias("_s"), F.lit(0).alias("_t"))
-    t = target.select(*key_cols, row_hash(compare_cols).alias("_h"), F.lit(0).alias("_s"), F.lit(1).alias("_t"))
-    g = s.unionByName(t).groupBy(*key_cols, "_h").agg(F.sum("_s").alias("n_source"), F.sum("_t").alias("n_target"))
+    one, two = row_digests({c: text[c] for c in compare_cols})
+    side = [one.alias("_h1"), two.alias("_h2")]
+    s = source.select(*key_cols, *side, F.lit(1).alias("_s"), F.lit(0).alias("_t"))
+    t = target.select(*key_cols, *side, F.lit(0).alias("_s"), F.lit(1).alias("_t"))
+    g = s.unionByName(t).groupBy(*key_cols, "_h1", "_h2").agg(F.sum("_s").alias("n_source"), F.sum("_t").alias("n_target"))
     status = (
         F.when(F.col("n_target") == 0, F.lit("missing_in_target"))
         .when(F.col("n_source") == 0, F.lit("missing_in_source"))
@@ -194,28 +214,28 @@ def diff_tables(source: DataFrame, target: DataFrame, key_cols: list[str], compa
     )
 
 
-def compare_fingerprints(a: DataFrame, b: DataFrame, cols: Iterable[str], name: str = "source_vs_target") -> DataFrame:
-    """Verdict row: the two tables have equal row counts and fingerprints (two aggregations)."""
-    cols = list(cols)
-    fa = table_fingerprint(a, cols).select(F.col("n_rows").alias("_na"), F.struct("fingerprint", "fingerprint_low").alias("_fa"))
-    fb = table_fingerprint(b, cols).select(F.col("n_rows").alias("_nb"), F.struct("fingerprint", "fingerprint_low").alias("_fb"))
-    # both sides are single-row aggregates: a scalar subquery each, no join
-    one = a.sparkSession.range(1)
-    row = one.select(
-        fa.select(F.struct("_na", "_fa")).scalar().alias("a"), fb.select(F.struct("_nb", "_fb")).scalar().alias("b")
-    )
-    same = (F.col("a._na") == F.col("b._nb")) & (F.col("a._fa") == F.col("b._fb"))
-    return row.select(
-        F.inline(
-            F.array(
-                result_struct(
-                    suite=None, check_name=name, level="integrity", column_name=None, metric="fingerprint",
-                    comparator="equal_to", expected=None, observed=F.col("b._nb"), n_rows=F.col("a._na"),
-                    n_failed=F.abs(F.col("a._na") - F.col("b._nb")), passed=same,
-                )
-            )
-        )
-    )
+def compare_fingerprints(a: DataFrame, b: DataFrame | Mapping[str, DataFrame], cols: Iterable[str], name: str = "source_vs_target") -> DataFrame:
+    """Verdict row: the two tables have equal row counts and fingerprints (one aggregation a table).
+
+    ``b`` may be several tables by check name; ``a`` is read once for all of them.  The fingerprints are sums of two seeded
+    hashes a row (128 bits), which Spark computes without building text; ``table_fingerprint`` is the form that other
+    engines can compute too.
+    """
+    cols, others = list(cols), dict(b) if isinstance(b, Mapping) else {name: b}
+    text = {c: any(_as_text(a, x, [c])[c] for x in others.values()) for c in cols}
+
+    def summary(df: DataFrame):
+        row = df.agg(F.struct(F.count(F.lit(1)).alias("n"), F.array(*_digest_sums(row_digests(text))).alias("h")).alias("s"))
+        return row.scalar()  # a single-row aggregate: a scalar subquery, no join
+
+    row = a.sparkSession.range(1).select(summary(a).alias("_a"), *[summary(x).alias(f"_{i}") for i, x in enumerate(others.values())])
+    verdicts = []
+    for i, check in enumerate(others):
+        n, m = F.col("_a.n"), F.col(f"_{i}.n")
+        verdicts.append(result_struct(
+            suite=None, check_name=check, level="integrity", column_name=None, metric="fingerprint", comparator="equal_to", expected=None,
+            observed=m, n_rows=n, n_failed=F.abs(n - m), passed=(n == m) & (F.col("_a.h") == F.col(f"_{i}.h"))))
+    return row.select(F.explode(F.array(*verdicts)).alias("v")).select("v.*")
 
 
 __all__ = [
@@ -226,6 +246,7 @@ __all__ = [
     "hash_halves",
     "load_errors",
     "no_load_errors",
+    "row_digests",
     "row_hash",
     "table_fingerprint",
     "verify_manifest",
