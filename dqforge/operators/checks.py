@@ -128,6 +128,18 @@ def evaluate(df: DataFrame, checks: list[Check], suite: str | None = None, by: I
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def with_missing_batches(results: DataFrame, of_empty: DataFrame, df: DataFrame, expected: DataFrame, by: Iterable[str]) -> DataFrame:
+    """Add, for every key of ``expected`` without a row in ``df``, the verdicts ``of_empty`` of a batch without rows (one row a
+    check, attached as literals, so no batch is asked for on its own)."""
+    by = list(by)
+    there = df.select(*[F.col(b).alias(f"_there_{b}") for b in by]).distinct()
+    match = reduce(lambda a, b: a & b, [F.col(b).eqNullSafe(F.col(f"_there_{b}")) for b in by])
+    missing = expected.select(*by).distinct().join(there, match, "left_anti")
+    columns = [f for f in results.schema.fields if f.name not in by]
+    rows = [F.struct(*[F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in columns]) for r in of_empty.collect()]
+    return results.unionByName(missing.select(*by, F.inline(F.array(*rows))))
+
+
 # --------------------------------------------------------------------------- column checks
 
 _COLUMN_METRICS = ("null_check", "distinct_check", "unique_check", "min", "max")
@@ -300,8 +312,10 @@ def run_checks(
     suite: str | None = None,
     by: Iterable[str] | None = None,
     approx_distinct: bool = False,
+    expected: DataFrame | None = None,
 ) -> DataFrame:
-    """Mapped suite (C13): all column and table rules of a config fused into one pass."""
+    """Mapped suite (C13): all column and table rules of a config fused into one pass.  With ``by``, ``expected`` holds the
+    keys of the batches there should be: one without rows gets the verdicts of an empty batch."""
     def build(exact: bool) -> DataFrame:
         compiled = []
         if column:
@@ -310,7 +324,10 @@ def run_checks(
             compiled += compile_table_checks(df, table, exact=exact)
         return evaluate(df, compiled, suite, by)
 
-    return _with_exact_fallback(build)
+    results = _with_exact_fallback(build)
+    if by and expected is not None:
+        results = with_missing_batches(results, run_checks(df.limit(0), column, table, suite, None, approx_distinct), df, expected, by)
+    return results
 
 
 # --------------------------------------------------------------------------- row flags

@@ -30,7 +30,7 @@ from pyspark.sql.types import (
 )
 
 from ..results import RESULT_COLUMNS, RESULT_DDL, result_struct
-from .checks import Check, evaluate, not_passed
+from .checks import Check, evaluate, not_passed, with_missing_batches
 
 # Expectation types of the suite format that we evaluate (fixed vocabulary).
 ROW_COUNT_BETWEEN = "expect_table_row_count_to_be_between"
@@ -234,14 +234,19 @@ def _validate_many(df: DataFrame, suites: list[tuple[Suite, dict | None]], by: l
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def validate(df: DataFrame, suite: Suite | Mapping | str, by: Iterable[str] | None = None) -> DataFrame:
+def validate(df: DataFrame, suite: Suite | Mapping | str, by: Iterable[str] | None = None, expected: DataFrame | None = None) -> DataFrame:
     """Run a suite over a batch (or over each batch of ``by``) → result rows; lazy.
 
     All data expectations share one aggregation; schema expectations are literal rows (repeated
-    for every batch when grouped).  An empty suite passes with one summary row.
+    for every batch when grouped).  An empty suite passes with one summary row.  ``expected`` holds the
+    keys of the batches there should be: one without rows gets the verdicts of an empty batch.
     """
     suite = suite if isinstance(suite, Suite) else load_suite(suite)
-    return _validate_many(df, [(suite, None)], list(by or []))
+    by = list(by or [])
+    results = _validate_many(df, [(suite, None)], by)
+    if by and expected is not None:
+        results = with_missing_batches(results, _validate_many(df.limit(0).drop(*by), [(suite, None)], []), df, expected, by)
+    return results
 
 
 def _attach_keys(keys: DataFrame, rows: list[tuple], by: list[str], extra_keys: list[str] = ()) -> DataFrame:
@@ -321,12 +326,9 @@ class Checkpoint:
             # same schema: one union tagged by batch, validated in ONE grouped aggregation
             tagged = reduce(lambda a, b: a.unionByName(b),
                             [b.df.withColumn("batch_id", F.lit(b.batch_id)) for b in self.batches])
-            res = validate(tagged, self.suite, by=["batch_id"])
+            ids = tagged.sparkSession.createDataFrame([(b.batch_id,) for b in self.batches], "batch_id string")
+            res = validate(tagged, self.suite, by=["batch_id"], expected=ids)
             res = res.select(*[c for c in res.columns if c != "batch_id"], "batch_id")
-            # a batch without rows has no group: its verdicts come from a run of its own
-            for b in self.batches:
-                if b.df.isEmpty():
-                    res = res.unionByName(validate(b.df, self.suite).withColumn("batch_id", F.lit(b.batch_id)))
         else:
             parts = [validate(b.df, self.suite).withColumn("batch_id", F.lit(b.batch_id)) for b in self.batches]
             res = reduce(lambda a, b: a.unionByName(b), parts)
@@ -339,9 +341,9 @@ class Checkpoint:
         return res
 
 
-def run_checkpoint(df: DataFrame, suite, batch_cols: Iterable[str], name: str = "checkpoint") -> DataFrame:
-    """All batches of one frame (batch columns from ``list_batches`` or a derived day) in one pass."""
-    return validate(df, suite, by=batch_cols).withColumn("checkpoint", F.lit(name))
+def run_checkpoint(df: DataFrame, suite, batch_cols: Iterable[str], name: str = "checkpoint", expected: DataFrame | None = None) -> DataFrame:
+    """All batches of one frame (batch columns from ``list_batches`` or a derived day) in one pass; ``expected`` as in ``validate``."""
+    return validate(df, suite, by=batch_cols, expected=expected).withColumn("checkpoint", F.lit(name))
 
 
 __all__ = [

@@ -100,3 +100,18 @@ def test_malformed_text_dates_are_on_no_day(spark):
     got = C.metric_by_date(df, {"s": "SUM(v)"}, "ds", ["2024-01-08", "2024-01-01"]).collect()
     assert {r.ds: r.s for r in got} == {dt.date(2024, 1, 8): 5, dt.date(2024, 1, 1): 8}
     assert C.interval_check(df, {"SUM(v)": 2.0}, "2024-01-08").collect()[0]["observed"] == 1.6
+
+
+def test_expected_batches_without_rows(spark):
+    from dqforge.operators import expectations as E
+
+    df = spark.createDataFrame([("a", 1), ("a", None), (None, 3)], "b string, v int")
+    expected = spark.createDataFrame([("a",), ("z",), (None,)], "b string")
+    got = {(r.b, r.check_name): (r.n_rows, r.passed) for r in
+           C.run_checks(df, column={"v": {"null_check": {"equal_to": 0}}}, table={"rows": "COUNT(*) > 0"}, by=["b"], expected=expected).collect()}
+    assert got == {("a", "v_null_check"): (2, False), ("a", "rows"): (2, True), (None, "v_null_check"): (1, True), (None, "rows"): (1, True),
+                   ("z", "v_null_check"): (0, True), ("z", "rows"): (0, False)}
+    suite = {"expectations": [{"expectation_type": E.ROW_COUNT_BETWEEN, "kwargs": {"min_value": 1, "max_value": 9}},
+                              {"expectation_type": E.NOT_NULL, "kwargs": {"column": "v"}}]}
+    rows = E.run_checkpoint(df, suite, ["b"], expected=expected).where("b = 'z'").collect()
+    assert sorted((r.n_rows, r.passed) for r in rows) == [(0, False), (0, True)]
