@@ -1,4 +1,5 @@
-"""Small test inputs copied as literals (fixed values: they must equal the original files)."""
+"""Small test inputs as literals.  Everything here is a fixed value that must equal the original: the CSV texts and the cost
+file, their checksums, the check configuration and the expected rows and verdicts."""
 
 # --- fixed values: forest-fire sample files (good, corrupt, invalid) and the cost file ---
 FIRES_GOOD = """1,2,aug,fri,91,166.9,752.6,7.1,25.9,41,3.6,0,100
