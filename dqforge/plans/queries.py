@@ -277,8 +277,7 @@ def q_batch_validate(spark, sf_dir):
 
 
 def q_latest_batch(spark, sf_dir):
-    ev = B.with_batch_day(T(spark, sf_dir, "events"), "ts")
-    return B.latest_batch(ev, "batch_date").select("event_id", "user_id", "event_type", "value", "batch_date")
+    return B.latest_day(T(spark, sf_dir, "events"), "ts").select("event_id", "user_id", "event_type", "value", "batch_date")
 
 
 def q_checkpoint_summary(spark, sf_dir):

@@ -62,6 +62,16 @@ def latest_batch(df: DataFrame, order_col: str) -> DataFrame:
     return df.filter(F.col(order_col) == df.agg(F.max(order_col)).scalar())
 
 
+def latest_day(df: DataFrame, ts_col: str, name: str = "batch_date") -> DataFrame:
+    """Rows of the last day of a timestamp column, with the day as batch key.  The largest timestamp is asked for first (one
+    column, one value); the day is then a range on the raw column, which the file scan skips row groups by."""
+    from ..operators.checks import on_dates
+
+    last = df.agg(F.max(ts_col)).first()[0]
+    rows = df.limit(0) if last is None else on_dates(df, ts_col, [last.date() if hasattr(last, "date") else last])
+    return with_batch_day(rows, ts_col, name)
+
+
 def with_batch_day(df: DataFrame, ts_col: str, name: str = "batch_date") -> DataFrame:
     """Batch key from a timestamp: its day as ``yyyy-MM-dd`` text (no zone shift for NTZ)."""
     return df.withColumn(name, F.date_format(F.col(ts_col), "yyyy-MM-dd"))

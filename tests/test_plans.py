@@ -64,3 +64,10 @@ def test_ground_truth_broadcasts_only_the_literal_side(plans):
 
 def test_best_run_is_top_1(plans):
     assert "TakeOrderedAndProject" in plans["best_run"]
+
+
+def test_latest_day_is_a_pushed_range(spark):
+    from dqforge.plans.queries import q_latest_batch
+
+    plan = q_latest_batch(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts," in plan and "LessThan(ts," in plan and plan.count("FileScan parquet") == 1
