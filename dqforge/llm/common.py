@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import sys
 import types
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
@@ -70,7 +73,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, mod: int, he
     Only ids whose ``crc32 mod`` isn't ``held`` take part.  Of each class the ``per_class`` ids with
     the smallest id hash are taken, so the sample is bounded (``2 * per_class`` ids) and the same on
     every run.  Null labels and null ids are left out; an id with several label rows counts once,
-    with its largest label."""
+    with its largest label, and an id with several document rows with the smallest of their texts."""
     known = (labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_y"))
              .where("_id IS NOT NULL AND _y IN (0, 1)").where(id_bucket("_id", mod) != held)
              .groupBy("_id").agg(F.max("_y").alias("_y")))
@@ -80,7 +83,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, mod: int, he
         part = known.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(per_class)
         picked = part if picked is None else picked.unionByName(part)
     rows = (docs.select(F.col("doc_id").alias("_id"), F.coalesce("text", F.lit("")).alias("text"))
-            .join(F.broadcast(picked), "_id").select("_id", "text", F.col("_y").alias("y")))
+            .join(F.broadcast(picked), "_id").groupBy("_id").agg(F.min("text").alias("text"), F.first("_y").alias("y")))
     return rows, counts
 
 
@@ -109,7 +112,13 @@ def per_process(key: tuple, make):
 
 def release() -> None:
     """Drop what :func:`per_process` keeps: an operator without such values doesn't work beside those of an earlier one."""
-    sys.modules.pop("_worker_values", None)
+    if sys.modules.pop("_worker_values", None) is None:
+        return
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # what was freed goes back to the machine, where its C library can
+    if trim is not None:
+        trim(0)
 
 
 class Memo:
