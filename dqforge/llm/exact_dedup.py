@@ -5,8 +5,9 @@ different bytes end in different classes.  Partial aggregation leaves one row pe
 task before the shuffle: a text that fills a third of the table is one row per task.
 
 Defined results: a null text counts as empty and an empty text is a text like any other; a null id
-sorts below every other; of repeated rows (same id, same text) one stays; an empty table gives an
-empty result; other columns are ignored by ``duplicates`` and carried by ``deduplicate``.
+stays only where its whole group has none; of repeated rows (same id, same text) one stays; an empty table gives an
+empty result; other columns are ignored by ``duplicates`` and carried by ``deduplicate``.  Of rows of one id
+and text that differ elsewhere, ``deduplicate`` keeps the one with the smallest hash of its columns.
 """
 
 from __future__ import annotations
@@ -60,6 +61,15 @@ def duplicates(docs: DataFrame, keep: str = "min", hash_of: Hash = content_hash)
                     (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("nth") == 1)).alias("kept"), "text_sha256"))
 
 
+def _row_hash(docs: DataFrame, columns: list[str]) -> Column:
+    """A hash that orders rows of equal id and text; nulls have their place, maps count as JSON text."""
+    parts = []
+    for f in docs.select(*[F.col(f"`{c}`") for c in columns]).schema.fields:
+        c = F.col(f"`{f.name}`")
+        parts += [c.isNull(), F.to_json(F.struct(c)) if "map<" in f.dataType.simpleString() else c]
+    return F.xxhash64(F.lit(0), *parts)
+
+
 def deduplicate(docs: DataFrame, keep: str = "min", hash_of: Hash = content_hash) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: one per distinct text.
 
@@ -69,11 +79,11 @@ def deduplicate(docs: DataFrame, keep: str = "min", hash_of: Hash = content_hash
     h1, h2 = hash_of(text)
     rest = [c for c in docs.columns if c != "text"]
     row = F.struct(F.col("doc_id").isNotNull().alias("known"), F.col("doc_id").alias("id"),
-                   F.col("text").isNull().alias("absent"),
+                   F.col("text").isNull().alias("absent"), _row_hash(docs, rest).alias("tie"),
                    F.struct(*[F.col(f"`{c}`").alias(c) for c in rest]).alias("row"))
     # nulls sort first in Spark's order: with `min` a known id must win over a null one
-    pick = (F.max_by("one", F.struct("one.known", "one.id")) if keep == "max"
-            else F.min_by("one", F.struct(~F.col("one.known"), F.col("one.id"))))
+    pick = (F.max_by("one", F.struct("one.known", "one.id", ~F.col("one.absent"), F.bitwise_not("one.tie"))) if keep == "max"
+            else F.min_by("one", F.struct(~F.col("one.known"), F.col("one.id"), F.col("one.absent"), F.col("one.tie"))))
     got = (docs.select(h1.alias("h1"), h2.alias("h2"), text.alias("t"), row.alias("one"))
            .groupBy("h1", "h2", "t").agg(pick.alias("one")))
     back = {c: F.col("one.row").getField(c).alias(c) for c in rest}

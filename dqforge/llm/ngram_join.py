@@ -374,18 +374,18 @@ class _Join:
         return rows.where(~sure & ~never).drop("most", "least"), rows.where(sure).select("a", "b")
 
     def classes(self) -> DataFrame:
-        """doc_id, n_shingles, component_id, row of every document row."""
+        """doc_id, n_shingles, component_id, row, class of every document row."""
         comp = stored(components(self.links()), "ngram-components")
         sets = stored(self.info.where("n > 0").groupBy("id").agg(F.min("doc_id").alias("least")).join(comp, "id", "left"), "ngram-set-classes")
         whole = sets.where("comp IS NOT NULL").groupBy("comp").agg(F.min("least").alias("whole"))
-        sets = stored(sets.join(stored(whole, "ngram-comp-classes"), "comp", "left").select("id", F.coalesce("whole", "least").alias("component_id")), "ngram-classes")
+        sets = stored(sets.join(stored(whole, "ngram-comp-classes"), "comp", "left").select("id", F.coalesce("whole", "least").alias("component_id"), F.coalesce("comp", "id").alias("class")), "ngram-classes")
         return (self.info.withColumn("id", F.when(F.col("n") > 0, F.col("id"))).join(sets, "id", "left")
-                .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "row"))
+                .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "row", "class"))
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, and ``row``, the 64-bit key of its row."""
-    return _Join(docs, percent).classes()
+    return _Join(docs, percent).classes().drop("class")
 
 
 def link_counts(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -403,8 +403,20 @@ def all_links(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` that stand for their component (smallest id), with all their columns; rows
-    without a shingle stay."""
-    found = stored(near_duplicates(docs, percent), "ngram-documents")
-    gone = found.where("NOT doc_id <=> component_id").select(F.col("row").alias("_row_key")).distinct()
-    return matching(docs.withColumn("_row_key", row_key("doc_id", F.col("text"))), stored(gone, "ngram-gone"), "_row_key", "left_anti").drop("_row_key")
+    """One row of each component of ``docs``, with all its columns; rows without a shingle stay.
+
+    The row with the smallest id stays (a null id only where no row of the component has one); of several
+    texts under that id, the one with the smallest row key; of rows repeated under it, the first by their
+    columns as JSON text."""
+    found = stored(_Join(docs, percent).classes(), "ngram-documents").where("class IS NOT NULL")
+    first, columns = found.where("doc_id <=> component_id"), [F.col(f"`{c}`") for c in docs.columns]  # one row a class, but for repeated or null ids
+    several = stored(first.groupBy("class").agg(F.min("row").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "ngram-several")
+    gone = found.where("NOT doc_id <=> component_id").select("row").unionByName(first.join(several, "class").where("row <> least").select("row"))
+    keyed = docs.withColumn("_row_key", row_key("doc_id", F.col("text")))
+    left = matching(keyed, stored(gone.select(F.col("row").alias("_row_key")).distinct(), "ngram-gone"), "_row_key", "left_anti")
+    if several.take(1):  # rows repeated under the id and text that stay: the first of them
+        keys = stored(several.select(F.col("least").alias("_row_key")).distinct(), "ngram-repeated")
+        row = F.struct(*columns)
+        once = matching(left, keys, "_row_key").groupBy("_row_key").agg(F.min_by(row, F.to_json(row)).alias("one"))
+        left = matching(left, keys, "_row_key", "left_anti").select(*columns).unionByName(once.select(*[F.col("one").getField(c).alias(c) for c in docs.columns]))
+    return left.select(*columns)
