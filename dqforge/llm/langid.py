@@ -8,7 +8,8 @@ over its words, so a task memoises them per word.  Phrases are normalised by the
 the logarithm of the length learned (a match grows with it), so a language with little text neither
 cuts what the others learn nor loses to them for its shortness; see ``FLOOR_CHARS``.
 
-Defined results: ``und`` with score 0 for a null text, a text without a letter, or when no labelled
+Defined results: ``und`` with score 0 for a null text, a text without a letter (a character of
+Unicode's letter categories), or when no labelled
 text exists; ties go to the language first in alphabetical order; one row in, one row out; texts are
 parsed whole; other columns are ignored.
 """
@@ -32,7 +33,12 @@ PIECE_CHARS = 6_000
 #: nothing of other words, and a full correction would give every document to its language.
 FLOOR_CHARS = 1_000
 _OUTER = re.compile(r"^[\W\d_]+|[\W\d_]+$")
-_LETTER = re.compile(r"[^\W\d_]")
+_WORDLIKE = re.compile(r"[^\W\d_]+")
+
+
+def has_letter(text: str) -> bool:
+    """Whether a character of ``text`` is a letter; superscripts, fractions and number signs aren't."""
+    return any(map(str.isalpha, (c for m in _WORDLIKE.finditer(text) for c in m.group())))
 
 
 def automaton(text: str) -> list[dict[str, int]]:
@@ -125,7 +131,7 @@ class CrossParser:
         for text, words in zip(texts, lists):
             total = sum(map(count, words))
             length = total & 0xFFFFFFFF
-            if not length or not _LETTER.search(text):
+            if not length or not has_letter(text):
                 yield "und", 0.0
                 continue
             rate = np.array([total >> (32 * k) & 0xFFFFFFFF for k in range(1, len(self.langs) + 1)]) / length * self.weight  # phrases a character
