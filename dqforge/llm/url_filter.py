@@ -4,13 +4,16 @@ Every URL is expanded into its (host suffix, path prefix) expressions, the expre
 with the rules on a 32-bit hash prefix, the full 128-bit digest confirms each hit, and the longest
 rule wins (ties: the rule with the longer host, then block).  A host suffix starts at a label; a
 path prefix is cut at every length that some rule path has, so a rule path need not end in a slash.
+Only suffixes of as many labels as the longest rule host has are built, so a host's work doesn't
+grow with the square of its labels.
 
 Each distinct (host, path) is judged once (copies collapse before the shuffle), so a host or URL
 that fills a third of the table is one row per task.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path and fits no rule;
 a URL that no rule fits gets the default verdict and a null rule; rules with a null part are ignored;
-of equal rules block wins; repeated rows give repeated results; other columns are ignored.
+of equal rules block wins; repeated rows give repeated results; other columns are ignored,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -50,17 +53,17 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
              .agg(F.max("verdict").alias("r_verdict")))  # of equal rules, block wins
     expr = F.concat(F.length("r_host").cast("string"), F.lit(":"), "r_host", "r_path")
     rules = stored(rules.withColumn("r_digest", _digest(expr)).withColumn("short", _short(F.col("r_digest"))), "url-rules")
-    stats = rules.agg(F.count(F.lit(1)).alias("n"), F.collect_set(F.length("r_path")).alias("cuts")).first()
+    stats = rules.agg(F.count(F.lit(1)).alias("n"), F.collect_set(F.length("r_path")).alias("cuts"),
+                      F.max(F.size(F.split("r_host", r"\.", -1))).alias("labels")).first()
     host, path = url_parts(F.col("url"))
     rows = pages.select("page_id", host.alias("host"), path.alias("path"))
     cuts = F.array(*[F.lit(x) for x in sorted(stats["cuts"])]) if stats["cuts"] else F.array().cast("array<int>")
 
-    labels = F.split("host", r"\.", -1)
-    suffixes = F.transform(F.sequence(F.lit(1), F.size("labels")),
-                           lambda i: F.array_join(F.slice("labels", i, F.size("labels") - i + 1), "."))
+    # the last 1, 2, ... labels of the host, as many as a rule has
+    labels = F.length("host") - F.length(F.replace(F.col("host"), F.lit("."))) + 1
+    suffixes = F.transform(F.sequence(F.lit(1), F.least(labels, F.lit(stats["labels"] or 1))), lambda i: F.call_function("substring_index", F.col("host"), F.lit("."), -i))
     distinct = rows.where("host <> ''").groupBy("host", "path").agg(F.lit(1).alias("one")).drop("one")
-    expressions = (distinct.withColumn("labels", labels)
-                   .withColumn("suffix", F.explode(F.array_distinct(suffixes)))
+    expressions = (distinct.withColumn("suffix", F.explode(F.array_distinct(suffixes)))
                    .withColumn("cut", F.explode(F.filter(cuts, lambda c: c <= F.length("path"))))
                    .withColumn("digest", _digest(F.concat(F.length("suffix").cast("string"), F.lit(":"), "suffix", F.expr("substring(path, 1, cut)"))))
                    .select("host", "path", "digest", _short(F.col("digest")).alias("short")))
