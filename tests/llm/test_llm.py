@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from dqforge.llm import chat_format, components, decontam, exact_dedup, langid, ngram_join, packing, quality, secret_scan, toxicity, url_filter
+from dqforge.llm import chat_format, common, components, decontam, exact_dedup, langid, ngram_join, packing, quality, secret_scan, toxicity, url_filter
 from dqforge.llm.queries import ORACLE_SQL, QUERIES
 from oracle_harness import compare, duck
 
@@ -128,7 +128,36 @@ def test_ngram_join_odd(odd, empty):
     assert got == sorted([("1", 4, "1"), ("2", 4, "1"), ("2", 4, "1"), ("6", 4, "1"), ("3", 0, "3"), ("4", 0, "4"), ("None", 1, "None"), ("None", 0, "None"), ("5", 1, "5")])
     kept = ngram_join.keep_one(odd)
     assert kept.columns == odd.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "4", "5", "None", "None"]
-    assert ngram_join.near_duplicates(empty).count() == 0
+    assert ngram_join.near_duplicates(empty).count() == 0 and ngram_join.keep_one(empty).count() == 0
+
+
+def test_one_row_of_each_component_stays(spark):
+    t = "a b c d e f g h i j k l m n o p q r s t"
+    rows = [(1, t, "y"), (1, t, "x"), (7, t, "x"), (7, t + " u", "x"), (1, t + " u", "z"), (None, t, "x"), (2, "v w x y z 1", "a"), (2, "v w x y z 1", "a"),
+            (None, "5 6 7 8 9 0", "a"), (None, "5 6 7 8 9 0", "b"), (None, None, "a"), (None, None, "a"), (3, "", "a"), (3, "", "a"), (1, "another text of seven words is here", "a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, class string").repartition(4)
+    got = sorted((tuple(r) for r in ngram_join.keep_one(df).collect()), key=str)
+    (stays,) = [r for r in got if r[0] == 1 and r[1].startswith("a b")]  # of the texts under id 1, the smallest row key
+    assert stays in [(1, t, "x"), (1, t + " u", "z")]
+    assert got == sorted([stays, (2, "v w x y z 1", "a"), (None, "5 6 7 8 9 0", "a"), (None, None, "a"), (None, None, "a"), (3, "", "a"), (3, "", "a"), rows[-1]], key=str)
+    assert all(sorted((tuple(r) for r in ngram_join.keep_one(df.repartition(n)).collect()), key=str) == got for n in (1, 7))
+
+
+def test_exact_dedup_ties_of_an_id(spark):
+    rows = [(1, "t", "a", {"k": 1}), (1, "t", "b", None), (1, "t", None, {"k": 2}), (None, "t", "a", None), (2, "t", "a", None), (3, None, "a", None), (3, "", "b", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, tie string, one map<string, int>")
+    for keep, first in (("min", 1), ("max", 2)):
+        got = {tuple((r.doc_id, r.text, r.tie) for r in sorted(exact_dedup.deduplicate(df.repartition(n), keep).collect(), key=lambda r: r.doc_id)) for n in (1, 2, 5)}
+        assert len(got) == 1
+        (kept,) = got
+        assert [r[0] for r in kept] == [first, 3] and kept[1][1] == ""
+
+
+def test_labelled_sample_is_bounded(spark):
+    df = spark.createDataFrame([(1, f"text {i}") for i in range(500)] + [(4, "other"), (4, None)], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(1, 1), (1, 0), (4, 0), (None, 1), (9, None)], "doc_id long, toxic int")
+    got, counts = common.labelled_sample(df, labels, "toxic", 4, 9, 10)
+    assert sorted(tuple(r) for r in got.collect()) == [(1, "text 0", 1), (4, "", 0)] and counts == {0: 1, 1: 1}
 
 
 def test_shingler_chunks_agree():
@@ -184,6 +213,15 @@ def test_classifiers_odd(spark, odd, empty):
     assert quality.keep_good(odd, quality.fit(odd, labels.limit(0)), 0.0).columns == odd.columns
 
 
+def test_no_letter_is_no_language(spark):
+    df = spark.createDataFrame([(1, "the cat sat here", "en"), (5, "die Katze saß", "de"), (6, "² ½ ③", None), (7, "Ⅳ 12 ___", None), (8, "1² é", None), (9, "字", None)],
+                               "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in langid.identify(df, langid.fit(df, held=9)).collect()}
+    assert got[6] == got[7] == "und" and "und" not in (got[1], got[5], got[8], got[9])
+    for text in ("² ½ ③", "Ⅳ", "__", "", "a", "²b", "ª", "字"):
+        assert langid.has_letter(text) == any(c.isalpha() for c in text)
+
+
 def test_automaton():
     text = "abracadabra"
     step = langid.automaton(text)
@@ -336,6 +374,17 @@ def test_url_rules(spark):
     assert url_filter.judge(df.limit(0), rules).count() == 0
 
 
+def test_urls_of_many_labels_and_odd_rows(spark):
+    rules = spark.createDataFrame([("block", "b.c.d.org", "/"), ("allow", "org", "/p"), ("block", "", "/q"), ("block", "org", "/p")], "verdict string, host string, path string")
+    deep, path = "a." * 40_000 + "b.c.d.org", "/p" + "x" * 200_000
+    urls = [f"h://{deep}/z", f"h://{deep}{path}", "h://d.org/p", "h://org./q", "h://xb.c.d.org/", "h://B.C.D.ORG/", "h://./q", "h:///q", None, "h://d.org/p"]
+    df = spark.createDataFrame([(i, u, "h", "p", "r", "v") for i, u in enumerate(urls)] + [(2, urls[2], None, None, None, None)],
+                               "page_id long, url string, host string, path string, rule string, verdict string").repartition(3)
+    got = sorted((r.page_id, r.rule, r.verdict) for r in url_filter.judge(df, rules).fillna("").collect())
+    assert got == sorted([(0, "b.c.d.org/", "block"), (1, "b.c.d.org/", "block"), (2, "org/p", "block"), (2, "org/p", "block"), (3, "/q", "block"), (4, "", "allow"),
+                          (5, "b.c.d.org/", "block"), (6, "/q", "block"), (7, "", "allow"), (8, "", "allow"), (9, "org/p", "block")])
+
+
 # ------------------------------------------------------------------------------------------ 9
 
 def brute_leaks(texts, items, similarity=0.75):
