@@ -17,8 +17,8 @@ from ..session import scratch_path
 BROADCAST_IDS = 1_000_000
 
 
-#: Rows that a Python worker gets at once while an intermediate is written.
-BATCH_ROWS = 1000
+#: What a Python worker gets at once while an intermediate is written: rows, and bytes unless one row has more.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "4194304"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,12 +30,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     lost executor costs a re-read and never the work before it."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    size, old = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
-    spark.conf.set(size, str(BATCH_ROWS))  # rows carry whole texts: few of them at once in a Python worker
+    old = {k: spark.conf.get(k, None) for k in BATCH}
+    for k, v in BATCH.items():
+        spark.conf.set(k, v)  # rows carry whole texts: few of them at once in a Python worker
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(size, old)
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -112,8 +114,12 @@ def per_process(key: tuple, make):
 
 def release() -> None:
     """Drop what :func:`per_process` keeps: an operator without such values doesn't work beside those of an earlier one."""
-    if sys.modules.pop("_worker_values", None) is None:
-        return
+    if sys.modules.pop("_worker_values", None) is not None:
+        give_back()
+
+
+def give_back() -> None:
+    """Return what a task has freed to the machine: an idle Python worker lives on beside later stages."""
     gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # what was freed goes back to the machine, where its C library can
@@ -121,6 +127,15 @@ def release() -> None:
         trim(0)
 
 
+def tidy(run):
+    """``run``, a function from batches to batches, that returns its memory when its task ends."""
+    def tidied(batches):
+        yield from run(batches)
+        give_back()
+
+    return tidied
+
+
 class Memo:
     """Values of words, computed once while they are in use: two generations of at most ``limit``
     words each, so common words stay and the memory of a task is bounded."""

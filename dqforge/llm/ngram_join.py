@@ -38,7 +38,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import matching, row_key, slices, stored
+from .common import matching, row_key, slices, stored, tidy
 from .components import components
 
 WORDS, PERCENT = 5, 75
@@ -194,7 +194,7 @@ class _Join:
         self.percent = percent
         text = F.coalesce("text", F.lit(""))
         self.docs = docs.select(row_key("doc_id", text).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-        scan = stored(self.docs.mapInPandas(_scan, "row long, doc_id long, n long, key long, b0 long, b1 long, b2 long, b3 long"), "ngram-sets")
+        scan = stored(self.docs.mapInPandas(tidy(_scan), "row long, doc_id long, n long, key long, b0 long, b1 long, b2 long, b3 long"), "ngram-sets")
         self.info = scan.where("row IS NOT NULL").select("row", "doc_id", "n", F.col("key").alias("id"))
         often = (scan.where("row IS NULL").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT)
                  .orderBy(F.desc("n"), "key").limit(MOST_FREQUENT).toPandas())  # at most MOST_FREQUENT rows
@@ -209,7 +209,7 @@ class _Join:
 
     def index(self) -> DataFrame:
         """Postings of the shingles that several sets have in their prefixes."""
-        found = self.docs.mapInPandas(_postings(*self.often, self.percent), "token long, id long, n long, pos long, hot boolean")
+        found = self.docs.mapInPandas(tidy(_postings(*self.often, self.percent)), "token long, id long, n long, pos long, hot boolean")
         found = found.select("token", "id", F.col("n").cast("int"), F.col("pos").cast("int"), "hot")
         # frequent shingles are in many sets anyway; the others' lists are short
         of = Window.partitionBy("token", "hot_part")
@@ -226,7 +226,7 @@ class _Join:
         texts = stored(texts.dropDuplicates(["id"]).select("id", "text"), "ngram-texts")
         got = (pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
                .join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a"))
-        return stored(got.select("a", "b", "ta", "tb").mapInPandas(_overlaps, "a long, b long, o long, na long, nb long"), "ngram-overlaps")
+        return stored(got.select("a", "b", "ta", "tb").mapInPandas(tidy(_overlaps), "a long, b long, o long, na long, nb long"), "ngram-overlaps")
 
     def linking(self, overlaps: DataFrame) -> DataFrame:
         return overlaps.where(self.linked(F.col("o"), F.col("na"), F.col("nb"))).select("a", "b")

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Memo, per_process, slices, stored, vocabulary
+from .common import Memo, per_process, slices, stored, tidy, vocabulary
 
 WINDOW, OPEN, FAN_IN = 2048, 64, 512
 #: Plain runs whose ids a task remembers.
@@ -240,7 +240,7 @@ def pack(docs: DataFrame, vocab: str = "word_bpe_49k.json", end: int = 1, with_i
 
         yield from _frames(_pack(pieces(), task << 32), task, with_ids)
 
-    done = stored(docs.select("doc_id", "text").mapInPandas(first, SCHEMA), "packed")
+    done = stored(docs.select("doc_id", "text").mapInPandas(tidy(first), SCHEMA), "packed")
     parts = [done.where("sequence_id IS NOT NULL")]
     level = 1
     while True:

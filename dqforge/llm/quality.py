@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .common import id_bucket, labelled_sample, release, slices
+from .common import give_back, id_bucket, labelled_sample, release, slices, stored
 
 FEATURES = ("log_chars", "upper", "digits", "symbols", "stops", "spaces", "non_ascii", "word_length", "distinct_words",
             "top_word", "repeated_lines", "symbol_words", "upper_words", "repeated_pairs", "line_words", "short_words")
@@ -189,6 +189,7 @@ def scored(docs: DataFrame, model: AdditiveModel, name: str = "score") -> DataFr
         release()
         for s in texts:
             yield pd.Series(_scores(model, s))
+        give_back()
 
     return docs.withColumn(name, quality(F.col("text")))
 
@@ -201,4 +202,5 @@ def score(docs: DataFrame, model: AdditiveModel, threshold: float = 0.3, mod: in
 
 def keep_good(docs: DataFrame, model: AdditiveModel, threshold: float = 0.3) -> DataFrame:
     """The rows of ``docs`` that the model doesn't reject, with all their columns."""
-    return scored(docs, model, "_quality_score").where(F.col("_quality_score") >= threshold).drop("_quality_score")
+    # written here, where the batches of whole texts in a Python worker are bounded
+    return stored(scored(docs, model, "_quality_score").where(F.col("_quality_score") >= threshold).drop("_quality_score"), "quality-kept")
