@@ -439,6 +439,53 @@ def test_decontamination_cuts_at_the_limit(spark):
     assert len(want) == 300 and {(r.doc_id, r.item_id) for r in decontam.contaminated(df, bench).collect()} == want
 
 
+def test_fingerprints_within_the_radius(spark):
+    rng = np.random.default_rng(4)
+    items = [(k, 5 + k % 2, int(b)) for k, b in enumerate(rng.integers(-2**63, 2**63, 6))]
+    items += [(6, 5, -1), (7, 5, 0)]
+    rows = []
+    for k, n, b in items:
+        for far in range(0, 40):
+            mask = sum(1 << int(i) for i in rng.choice(64, far, replace=False))
+            rows.append((len(rows), n, int(np.array((b ^ mask) & (2**64 - 1), np.uint64).view(np.int64))))
+    prints, of = spark.createDataFrame(rows, "row long, n int, bits long"), spark.createDataFrame(items, "item long, n int, bits long")
+    for radius in (0, 1, 7, decontam.RADIUS):
+        cuts = decontam.blocks(radius)
+        assert sum(w for _, w, _ in cuts) == 64 and sum(t + 1 for _, _, t in cuts) == radius + 1
+        want = sorted((r, k) for r, n, b in rows for k, m, c in items if n == m and ((b ^ c) & (2**64 - 1)).bit_count() <= radius)
+        got = sorted((r.row, r.item) for r in decontam.within(prints, of, radius).collect())
+        assert got == want and len(want) >= 8 * (radius + 1)
+
+
+def test_decontamination_radius_decides(spark):
+    item = " ".join(f"v{x}" for x in range(30))
+    edited = " ".join([f"v{x}" for x in range(28)] + ["y", "z"])
+    df = spark.createDataFrame([(1, item), (2, edited)], "doc_id long, text string")
+    bench = spark.createDataFrame([(9, item)], "item_id long, text string")
+    found = lambda **k: {r.doc_id for r in decontam.contaminated(df, bench, **k).collect()}
+    assert found() == {1, 2} and found(radius=0) == {1}
+
+
+def test_decontamination_recall_on_edited_items(spark):
+    """Against brute force: items cut at both ends, with words replaced, put in or left out."""
+    rng = np.random.default_rng(11)
+    items = [(k, " ".join(f"v{x}" for x in rng.choice(400, 14 + k % 46))) for k in range(120)]
+    items.append((500, " ".join(f"u{x}" for x in range(700))))
+    texts = []
+    for k, t in items:
+        w = t.split()
+        n = decontam.lost(len(w) - 4, 0.75)
+        at = int(rng.integers(1, len(w) - 1))
+        for kind in ([*w[n // 2:len(w) - (n - n // 2)]], [*w[:at], "zz", *w[at + 1:]], [*w[:at], "zz", *w[at:]], [*w[:at], *w[at + 1:]], ["q1", "q2", *w[n:], "q3"]):
+            texts.append((len(texts), " ".join(kind)))
+    df, bench = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = {x for k in range(len(items)) for x in brute_leaks(texts[5 * k:5 * k + 5], items[k:k + 1])}
+    got = {(r.doc_id, r.item_id) for r in decontam.contaminated(df, bench).collect()}
+    assert len(want) > 300 and len(got & want) >= 0.99 * len(want)
+    own = {(r, k) for r, k in got if r // 5 == [i for i, _ in items].index(k)}
+    assert own <= want
+
+
 def test_decontamination_short_items(spark):
     items = [(1, "Xylophone"), (2, "one two three"), (3, "a b c d"), (4, "a b c d e"), (5, "absent")]
     texts = [(1, "long before the xylophone and words after it"), (2, "so one two, three is counted here"), (3, "a b c d e f"), (4, "one two"), (5, "xylophone"),
