@@ -112,8 +112,8 @@ def bag(ws: Column) -> Column:
     """The shingles of words as a set of strings: the k-th occurrence of one is an element of its own,
     so that set intersection counts the smaller multiplicities."""
     plain = F.transform(starts(F.size(ws)), lambda i: F.array_join(F.slice(ws, i, WORDS), " "))
-    ordered = F.array_sort(plain)
-    return F.transform(ordered, lambda x, i: F.concat(x, F.lit("\t"), (i - F.array_position(ordered, x)).cast("string")))
+    number = lambda s: F.transform(s, lambda x, i: F.concat(x, F.lit("\t"), (i - F.array_position(s, x)).cast("string")))
+    return F.get(F.transform(F.array(F.sort_array(plain)), number), F.lit(0))  # sorted once, not for each element
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
@@ -163,8 +163,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
 
     # 4. exact weighted-shingle similarity
     both = F.size(F.array_intersect("w_bag", "i_bag"))
-    bags = texts.select("row", "at", "len", bag(F.col("ws")).alias("w_bag"))
-    sure = (found.join(bags, ["row", "at", "len"]).join(items.select("item", bag(F.col("ws")).alias("i_bag")), "item")
+    found = stored(found, "decontam-pairs")
+    pairs = found.join(texts, ["row", "at", "len"]).select("row", "at", "len", "item", bag(F.col("ws")).alias("w_bag"))
+    sure = (pairs.join(items.select("item", bag(F.col("ws")).alias("i_bag")), "item")
             .select("row", "at", "len", "item", (both / (F.size("w_bag") + F.size("i_bag") - both)).alias("similarity"))
             .where(F.col("similarity") >= similarity))
     best = sure.groupBy("row", "item").agg(F.min(F.struct((-F.col("similarity")).alias("s"), "at", "len")).alias("best"))
