@@ -16,7 +16,7 @@ from typing import Any, Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.running import running_sums
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, scratch_path
 from ..sources.tables import materialize
 
 # Hash buckets for the split histogram: 16^5 ≈ 1M buckets per label bound the boundary bucket
@@ -261,16 +261,33 @@ def _estimator(model: str, features: str, label: str, seed: int):
     raise ValueError(f"unknown model {model!r}")
 
 
+def _to_fit(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The rows, written once and read in a session of their own with the settings of the frame's.
+
+    A fitted logistic regression holds its training summary, which names the session of its rows and goes to the
+    tasks with the model; a session that has observed metrics (``DataFrame.observe``) can't be sent there.
+    """
+    spark = rows.sparkSession
+    path = scratch_path(spark, "fit")
+    if set(columns) <= set(rows.columns):  # a feature may also name a nested field
+        rows = rows.select(*[F.col(f"`{c}`") for c in dict.fromkeys(columns)])
+    schema = materialize(rows, path).schema
+    own = spark.newSession()
+    for k, v in spark.conf.getAll.items():
+        if own.conf.isModifiable(k):
+            own.conf.set(k, v)
+    return own.read.schema(schema).parquet(path)
+
+
 def _fit_by_folds(cv, rows: DataFrame):
-    """What ``cv.fit`` does, with the folds of the column ``_fold`` (``foldCol`` would ask a Python function for every row).
-    The rows are written once; folds are plain filters on them."""
+    """What ``cv.fit`` does, with the folds of the column ``_fold`` (``foldCol`` would ask a Python function for every row):
+    folds are plain filters on the rows."""
     from multiprocessing.pool import ThreadPool
 
     from pyspark import inheritable_thread_target
     from pyspark.ml.tuning import CrossValidatorModel
 
     est, maps, evaluator = cv.getEstimator(), cv.getEstimatorParamMaps(), cv.getEvaluator()
-    rows = materialize(rows, name="folds")
     scores = [[0.0] * cv.getNumFolds() for _ in maps]
     tasks = [(i, j) for j in range(cv.getNumFolds()) for i in range(len(maps))]
 
@@ -310,7 +327,10 @@ def grid_search(df: DataFrame, feature_cols: Sequence[str], label: str, model: s
     evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=evaluator, numFolds=folds, seed=seed, parallelism=parallelism)
     rows = df.withColumn(label, F.col(label).cast("double"))
-    cvm = cv.fit(rows) if key is None else _fit_by_folds(cv, with_folds(rows, key, folds, seed, "_fold"))
+    if key is None:
+        cvm = cv.fit(_to_fit(rows, [*feature_cols, label]))
+    else:
+        cvm = _fit_by_folds(cv, _to_fit(with_folds(rows, key, folds, seed, "_fold"), [*feature_cols, label, "_fold"]))
     rows = [
         (model, ",".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda kv: kv[0].name)), float(metric))
         for m, metric in zip(maps, cvm.avgMetrics)
@@ -328,7 +348,7 @@ def refit(df: DataFrame, feature_cols: Sequence[str], label: str, model: str, pa
     for k, v in params.items():
         est.set(est.getParam(k), v)
     pipe = Pipeline(stages=[VectorAssembler(inputCols=list(feature_cols), outputCol="_features"), est])
-    return pipe.fit(df.withColumn(label, F.col(label).cast("double")))
+    return pipe.fit(_to_fit(df.withColumn(label, F.col(label).cast("double")), [*feature_cols, label]))
 
 
 def positive_probability(pred: DataFrame, name: str = "score") -> DataFrame:

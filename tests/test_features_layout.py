@@ -83,6 +83,22 @@ def test_folds_come_from_the_key(spark):
     assert sizes == [18, 27]
 
 
+def test_models_fit_after_an_observation(spark):
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    df = spark.range(200).select(F.col("id").alias("k"), (F.col("id") % 7).cast("double").alias("x"), (F.col("id") % 7 > 3).cast("int").alias("y"))
+    df.observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 200}
+    for key in ("k", None):
+        cvm, res = EV.grid_search(df, ["x"], "y", "log_reg", {"regParam": [0.01]}, folds=2, key=key)
+        assert [round(r.mean_auc, 6) for r in res.collect()] == [1.0]
+        assert cvm.bestModel.transform(df).count() == 200
+    model = EV.refit(df, ["x"], "y", "log_reg", {"regParam": 0.01})
+    pred = EV.positive_probability(model.transform(df)).select("y", EV.predict_class("score").alias("p"))
+    assert pred.where("y <> p").count() == 0
+
+
 def test_registry_texts(spark):
     reg = RG.load_registry({"t": {"properties": {
         "A": {"type": "int", "description": "source_order = 2, kept"}, "B": {"type": "number(10)", "description": "no place"},
