@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..results import result_struct
 from ..session import ensure_checkpoint_dir
-from ..sources.byte_ranges import multipart_checksums
+from ..sources import byte_ranges as BR
 
 
 # --------------------------------------------------------------------------- file checksums
@@ -24,19 +24,26 @@ def file_checksums(spark: SparkSession, path: str, glob: str | None = None, recu
                    part_bytes: int | None = None, name_pattern: str = r"([^/]+)$") -> DataFrame:
     """``file_name, path, length, md5`` of every file under ``path`` (``file_name`` is the first group of ``name_pattern``).
 
-    Byte-exact (the content is hashed as bytes, never decoded as text).  Without ``part_bytes`` Spark's own reader
-    is used: any file system it knows, one task a file, files up to 2 GiB.  With it, files of any size are read in
-    byte ranges (``sources.byte_ranges``) and ``etag`` is added, the multipart ETag of an upload in parts of that size.
+    Byte-exact (the content is hashed as bytes, never decoded as text).  Without ``part_bytes`` files of up to
+    ``byte_ranges.STEP_BYTES`` go through Spark's own reader (any file system it knows), longer ones of any size are
+    read in steps of that many bytes.  With it, all are read in byte ranges (``sources.byte_ranges``) and ``etag`` is
+    added, the multipart ETag of an upload in parts of that size.
     """
     if part_bytes:
-        df = multipart_checksums(spark, path, part_bytes, glob, recursive)
+        df = BR.multipart_checksums(spark, path, part_bytes, glob, recursive)
     else:
         r = spark.read.format("binaryFile")
         if glob:
             r = r.option("pathGlobFilter", glob)
         if recursive:
             r = r.option("recursiveFileLookup", "true")
-        df = r.load(path).select("path", "length", F.md5(F.col("content")).alias("md5"))
+        files = r.load(path)
+        short = F.col("length") <= BR.STEP_BYTES
+        df = files.where(short).select("path", "length", F.md5(F.col("content")).alias("md5"))
+        listed = files.where(~short).select("path", "length")
+        if not listed.isEmpty():
+            whole = listed.select("path", "length", F.lit(BR.WHOLE).cast("long").alias("part"), F.lit(0).cast("long").alias("start"), F.col("length").alias("size"))
+            df = df.unionByName(BR.range_checksums(whole).select("path", "length", "md5"))
     name = F.regexp_extract(F.col("path"), name_pattern, 1).alias("file_name")
     return df.select(name, "path", "length", "md5", *(["etag"] if part_bytes else []))
 

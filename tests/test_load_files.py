@@ -34,6 +34,44 @@ def test_etags_of_many_parts_and_no_task_holds_one(spark, tmp_path, monkeypatch)
     assert without["a.bin"] is None and without["e.bin"] == hashlib.md5(data["e.bin"]).hexdigest()
 
 
+def test_no_task_reads_a_long_file_whole(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(B, "STEP_BYTES", 700)
+    monkeypatch.setattr(B, "STEPS_A_JOB", 4)
+    data = {"a.bin": bytes(range(256)) * 40, "b.bin": b"x" * 699, "c.bin": b"y" * 700, "d.bin": b"z" * 1401}
+    (tmp_path / "files").mkdir()
+    for name, content in data.items():
+        (tmp_path / "files" / name).write_bytes(content)
+    sums = {n: hashlib.md5(c).hexdigest() for n, c in data.items()}
+    got = I.file_checksums(spark, str(tmp_path / "files"))
+    assert {r.file_name: (r.length, r.md5) for r in got.collect()} == {n: (len(data[n]), m) for n, m in sums.items()}
+    log = str(tmp_path / "reads")
+
+    class Counted:
+        def __init__(self, path):
+            self.f, self.n = B.open_range(path), 0
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            self.f.close()
+            with open(log, "a") as out:
+                out.write(f"{self.n}\n")
+
+        def seek(self, at):
+            self.f.seek(at)
+
+        def read(self, n):
+            got = self.f.read(n)
+            self.n += len(got)
+            return got
+
+    found = B.multipart_checksums(spark, str(tmp_path / "files"), 1000, opener=Counted).collect()
+    assert {r.path.rsplit("/", 1)[1]: (r.md5, r.etag) for r in found} == {n: (m, _etag(data[n], 1000)) for n, m in sums.items()}
+    reads = [int(n) for n in open(log)]
+    assert max(reads) <= 700 and sum(reads) == sum(len(c) * (2 if len(c) > 1000 else 1) for c in data.values())
+
+
 def test_a_file_that_shrinks_is_an_error(spark, tmp_path):
     (tmp_path / "a.bin").write_bytes(b"x" * 50)
     files = spark.createDataFrame([(str(tmp_path / "a.bin"), 80)], "path string, length long")
