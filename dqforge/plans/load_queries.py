@@ -46,6 +46,12 @@ def query(sql: str | None):
 FILES, PART = 8, 65_536
 
 
+def _write_files(lines: DataFrame, n: int, order: list[str], out: str) -> None:
+    """``value`` in that order as ``n`` text files by ``g``, each by a task of its own (by a hash of ``g`` some tasks get several)."""
+    dealt = lines.repartitionById(n, F.pmod(F.col("g"), F.lit(n)).cast("int"))
+    dealt.sortWithinPartitions("g", *order).select("g", "value").write.partitionBy("g").text(out)
+
+
 @query(f"""
 WITH c AS (
   SELECT doc_id % {FILES} AS g, string_agg(coalesce(text, '') || chr(10), '' ORDER BY doc_id, text) AS body FROM documents GROUP BY 1),
@@ -64,7 +70,7 @@ def q_manifest_check(spark, sf_dir):
     """All texts of the documents as files; a manifest with multipart entries (even files), a wrong, a missing and an unknown one."""
     out = scratch_path(spark, "manifest")
     docs = T(spark, sf_dir, "documents").select((F.col("doc_id") % FILES).alias("g"), "doc_id", F.coalesce("text", F.lit("")).alias("value"))
-    docs.repartition(FILES, "g").sortWithinPartitions("g", "doc_id", "value").select("g", "value").write.partitionBy("g").text(out)
+    _write_files(docs, FILES, ["doc_id", "value"], out)
     sums = materialize(I.file_checksums(spark, out, glob="*.txt", recursive=True, part_bytes=PART, name_pattern=r"g=(\d+)/"), name="sums")
     g = F.col("file_name").cast("int")
     stored = sums.select("file_name", F.when(g % 2 == 0, F.concat(F.lit('"'), "etag", F.lit('"'))).when(g == 3, F.reverse("md5")).otherwise(F.col("md5")).alias("md5"))
@@ -119,7 +125,7 @@ def q_rejected_rows(spark, sf_dir):
     """Reject records of all line items as CSV files: short, long and unclosed lines, bad numbers and dates, missing required dates."""
     out = scratch_path(spark, "rejected")
     lines = _faulty_lines(T(spark, sf_dir, "lineitem"))
-    lines.repartition(REJECT_FILES, "g").sortWithinPartitions("g", "l_orderkey", "l_linenumber", "value").select("g", "value").write.partitionBy("g").text(out)
+    _write_files(lines, REJECT_FILES, ["l_orderkey", "l_linenumber", "value"], out)
     found = rejected_rows(spark, out, REJECT_SCHEMA, allow_jagged=False, required=["l_shipdate"])
     g = F.regexp_extract("path", r"g=(\d+)/", 1).cast("int")
     return found.select(g.alias("g"), "line_number", "column_name", "reason", "token", "raw_line")

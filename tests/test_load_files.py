@@ -132,3 +132,14 @@ def test_lines_are_numbered_over_splits(spark, tmp_path):
         assert {(r.path.rsplit("/", 1)[1], r.line_number) for r in got.collect()} == {(n, i + 1) for n in ("a.csv", "b.csv") for i in range(0, 20_000, 97)}
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_a_file_a_task(spark, tmp_path):
+    from dqforge.plans.load_queries import _write_files
+
+    rows = [(None if i == 16 else i, i, f"{i}") for i in range(17)]
+    _write_files(spark.createDataFrame(rows, "g int, k int, value string"), 16, ["k"], str(tmp_path / "out"))
+    files = sorted((tmp_path / "out").glob("g=*/part-*.txt"))
+    tasks = [f.name.split("-")[1] for f in files if "__HIVE" not in str(f)]
+    assert len(files) == 17 and len(tasks) == len(set(tasks)) == 16
+    assert {f.parent.name: f.read_text() for f in files} == {f"g={'__HIVE_DEFAULT_PARTITION__' if g is None else g}": f"{v}\n" for g, _, v in rows}
