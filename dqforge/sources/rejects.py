@@ -19,6 +19,8 @@ from ..session import scratch_path
 
 #: A private character, appended to a line as its last field.
 MARK = ""
+#: Splits whose line counts every task gets.
+MAX_SPLITS_BROADCAST = 100_000
 #: Reasons of reject records.
 TOO_MANY, SHORT, OPEN_QUOTE, NOT_CAST, NULL_REQUIRED = "too_many_fields", "short_row", "unterminated_quote", "not_castable", "null_in_required"
 _PROBLEM = "array<struct<column_name: string, reason: string, token: string>>"
@@ -131,6 +133,8 @@ def rejected_rows(spark: SparkSession, path: str | list[str], schema: StructType
     kept = spark.read.schema(kind).parquet(out)
     before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # a row a split
     starts = kept.where("n_lines IS NOT NULL").select("path", "block", F.coalesce(F.sum("n_lines").over(before), F.lit(0)).alias("_before"))
+    if starts.count() <= MAX_SPLITS_BROADCAST:  # the rejected lines stay where they are: by split, a task would get all of one's
+        starts = F.broadcast(starts)
     numbered = kept.where("line IS NOT NULL").join(starts, ["path", "block"]).withColumn("line_number", F.col("line") + F.col("_before"))
     if header:
         numbered = numbered.where("line_number > 1")

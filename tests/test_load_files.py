@@ -143,3 +143,16 @@ def test_a_file_a_task(spark, tmp_path):
     tasks = [f.name.split("-")[1] for f in files if "__HIVE" not in str(f)]
     assert len(files) == 17 and len(tasks) == len(set(tasks)) == 16
     assert {f.parent.name: f.read_text() for f in files} == {f"g={'__HIVE_DEFAULT_PARTITION__' if g is None else g}": f"{v}\n" for g, _, v in rows}
+
+
+def test_rejected_lines_are_not_shuffled(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("1,x,2024-01-01\nq,x,2024-01-01\n")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = rejected_rows(spark, str(tmp_path), SCHEMA)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert [(r.line_number, r.column_name) for r in found.collect()] == [(2, "id")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
