@@ -21,6 +21,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -109,9 +110,10 @@ class Encoder:
         for part in slices(texts, 1 << 22):
             # only these three: other white space stays inside a run, where the tokenizer deals with it
             lists = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in part]
-            ids = self.memo.lookup(lists)
-            for runs in lists:
-                yield b"".join(map(ids, runs)) + self.end
+            self.memo.lookup(lists)
+            values = self.memo.values
+            for runs in lists:  # all runs of a text are fetched by one call
+                yield (b"".join(itemgetter(*runs)(values)) if len(runs) > 1 else values[runs[0]]) + self.end
 
 
 class Packer:
