@@ -6,7 +6,8 @@ smaller id is a repeat.  Three steps, none of which holds more than a slice of t
 1. *Anchors.*  The smallest hash of the ``ANCHOR``-byte strings inside a ``length``-byte window names the
    window, so equal windows have equal names.  Names that occur only once in the corpus are left out.
 2. *Index.*  Windows with a shared name, joined to pieces of up to ``2 * length - ANCHOR`` bytes, are dealt
-   by that name.  Each share is indexed: suffix order, run-length Burrows-Wheeler transform, suffix array
+   by that name; a name found very often is first split by longer anchors, which deal its windows by more of what
+   stands around them.  Each share is indexed: suffix order, run-length Burrows-Wheeler transform, suffix array
    samples at both ends of every run, and the first document of each group of suffixes that agree on
    ``length`` bytes.  All pieces are streamed through the index at once, from right to left; where the
    transform doesn't continue with a piece's next byte, the nearer of the two neighbouring run ends with
@@ -34,9 +35,13 @@ from .common import stored
 #: Bytes whose hash names a window; bits of that hash that are dealt out (a chance equality costs work only).
 ANCHOR, NAME_BITS = 20, 42
 #: Text of a slice of documents, of a scan's parcels, of a block of windows and of one index, in bytes.
-SLICE_BYTES, PARCEL_BYTES, BLOCK, INDEX_BYTES = 8 << 20, 24 << 20, 1 << 16, 1_500_000
-#: Names found in more slices than this are dealt by whole windows, so no share holds all pieces of a frequent name.
-HOT_SLICES = 1024
+SLICE_BYTES, PARCEL_BYTES, BLOCK, INDEX_BYTES = 8 << 20, 24 << 20, 1 << 16, 400_000
+#: Runs of frequent names that are split at once.
+SPLIT = 1 << 14
+#: Up to so much times ``SLICE_BYTES`` (from ``GROWING`` bytes of text on): there is a value for each slice and share.
+SLICE_GROWTH, GROWING = 2, 1 << 30
+#: Names found in more slices than this, counted in each task's list, are split by longer anchors before they are dealt.
+HOT_SLICES = 1 << 16
 #: Sorts after every id.
 NO_ID = np.iinfo(np.int64).max
 
@@ -80,11 +85,16 @@ def _smallest(h: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(h[:n], h[w - size:w - size + n])
 
 
-def named_runs(a: np.ndarray, bounds: np.ndarray, length: int):
+def _longer(anchor: int, length: int) -> int:
+    """The anchor that splits the windows of one with ``anchor`` bytes: half of what it leaves of a window is added."""
+    return anchor + (length - anchor + 1) // 2
+
+
+def named_runs(a: np.ndarray, bounds: np.ndarray, length: int, anchor: int = ANCHOR):
     """Blocks of runs of windows with one name: name, first window, number of windows (of the bytes ``a`` of
     texts that begin and end at ``bounds``).  No window crosses a text's end; runs are cut at ``length -
-    ANCHOR + 1`` windows."""
-    k = min(ANCHOR, length)
+    anchor + 1`` windows."""
+    k = min(anchor, length)
     w = length - k + 1
     for lo in range(0, len(a) - length + 1, BLOCK):
         part = a[lo:lo + BLOCK + length - 1]
@@ -268,6 +278,12 @@ def _shared_names(hot: int):
 
 # -- pieces -----------------------------------------------------------------------------------------
 
+def _laid_out(first: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of strings that begin at ``first``, one after another, and where each begins and ends there."""
+    ends = np.append(0, np.cumsum(width))
+    return np.repeat(first - ends[:-1], width) + np.arange(ends[-1]), ends
+
+
 def _pieces(length: int, shares: int):
     """cogroup function on a slice's documents and its shared names: rows (share, pieces).  Equal pieces of a slice are one."""
     def pieces(texts, names):
@@ -286,11 +302,13 @@ def _pieces(length: int, shares: int):
         if not sum(len(r[0]) for r in runs):
             return _blob_table([], "share")
         name, first, size, often = (np.concatenate(x) for x in zip(*runs))
-        if often.any():  # each window for itself, dealt by its own hash
-            of = np.flatnonzero(often)
-            start = np.repeat(first[of] - np.cumsum(size[of]) + size[of], size[of]) + np.arange(size[of].sum())
-            own = np.array([int.from_bytes(hashlib.blake2b(raw[p:p + length], digest_size=8).digest(), "little") >> 64 - NAME_BITS for p in start.tolist()], np.int64)
-            name, first, size = (np.concatenate([x[~often], y]) for x, y in ((name, own), (first, start), (size, np.ones(len(start), np.int64))))
+        if often.any():
+            split, of = [(name[~often], first[~often], size[~often])], np.flatnonzero(often)
+            for lo in range(0, len(of), SPLIT):
+                own = of[lo:lo + SPLIT]
+                at, ends = _laid_out(first[own], size[own] + length - 1)
+                split.extend((n.astype(np.int64), at[f], k) for n, f, k in named_runs(a[at], ends, length, _longer(min(ANCHOR, length), length)))
+            name, first, size = (np.concatenate(x) for x in zip(*split))
         # equal pieces, looked for among those with one name only
         order = np.argsort(name, kind="stable")
         name, first, size = name[order], first[order], size[order] + length - 1
@@ -311,7 +329,7 @@ def _pieces(length: int, shares: int):
         for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
             k, one = lead[lo:hi], slice(int(lead[lo]), int(lead[hi]) if hi < len(lead) else len(piece))
             width = size[k]
-            text = a[np.repeat(first[k] - np.cumsum(width) + width, width) + np.arange(width.sum())]
+            text = a[_laid_out(first[k], width)[0]]
             rows.append((int(share[lo]), _packed(names=name[k], sizes=width.astype(np.uint16), text=text.tobytes(), places=places[lo:hi],
                                                  ids=ids[one], rows=doc[one], starts=starts[one], slice=own)))
         return _blob_table(rows, "share")
@@ -320,6 +338,13 @@ def _pieces(length: int, shares: int):
 
 # -- the index --------------------------------------------------------------------------------------
 
+def _bytes(pieces: list[bytes]) -> np.ndarray:
+    """The bytes of all pieces; 255, which UTF-8 doesn't have, in place of 0."""
+    t = np.frombuffer(b"".join(pieces), np.uint8).copy()
+    t[t == 0] = 255
+    return t
+
+
 class RunIndex:
     """A run-length compressed Burrows-Wheeler index of pieces of text, each ended by a mark of its own.
 
@@ -330,7 +355,7 @@ class RunIndex:
     BITS, FIRST = 21, 5
 
     def __init__(self, pieces: list[bytes], owners: np.ndarray, length: int):
-        t = np.frombuffer(b"\0".join(p.replace(b"\0", b"\xff") for p in pieces) + b"\0", np.uint8)  # UTF-8 has no byte 255
+        t = np.insert(_bytes(pieces), np.cumsum([len(p) for p in pieces]), 0)
         n = len(t)
         if n >= 1 << self.BITS:
             raise ValueError("too much text for one index")
@@ -351,43 +376,55 @@ class RunIndex:
         owner = np.repeat(owners, np.diff(np.flatnonzero(np.append(0, t) == 0)))[order]
         groups = np.flatnonzero(~np.append(False, same))
         self.owner_of = np.repeat(np.minimum.reduceat(owner, groups), np.diff(np.append(groups, n)))
-        padded = np.concatenate([t, np.zeros(8, np.uint8)])
-        words = np.zeros(n, np.uint64)
-        for i in range(8):
-            words |= padded[i:i + n].astype(np.uint64) << np.uint64(8 * i)
-        self.words = words
+        self.words = self._words(t, "<u8").astype(np.uint64)
+
+    @staticmethod
+    def _words(t: np.ndarray, kind: str) -> np.ndarray:
+        """The eight bytes from each place on, as one number (zeros after the end)."""
+        return np.ndarray(len(t), kind, np.append(t, np.zeros(8, np.uint8)), strides=(1,))
 
     def _suffix_order(self, t: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
         """The suffixes in order (end marks by their place), and which agree with the one before on ``length`` bytes."""
         n, bits = len(t), self.BITS
         mask = np.int64((1 << bits) - 1)
-        padded = np.concatenate([t, np.zeros(self.FIRST, np.uint8)]).astype(np.int64)
-        key = padded[:n].copy()
-        for i in range(1, self.FIRST):
-            key <<= 8
-            key |= padded[i:i + n]
+        key = (self._words(t, ">u8") >> np.uint64(64 - 8 * self.FIRST)).astype(np.int64)
         marks, alive = np.flatnonzero(t == 0), np.ones(n, bool)
         for i in range(self.FIRST):  # what follows an end mark doesn't count
             at = marks[marks >= i] - i
             key[at] &= ~((1 << 8 * (self.FIRST - i)) - 1)
             alive[at] = False
-        x = np.sort(key << bits | np.arange(n))
-        order = x & mask
-        ended = ~alive[order]
-        new = (x[1:] >> bits != x[:-1] >> bits) | ended[1:]
-        known, step, of_length = self.FIRST, self.FIRST, None
+        key <<= bits
+        key |= np.arange(n)
+        key.sort()
+        order = key & mask
+        key >>= bits
+        new = np.append(True, (key[1:] != key[:-1]) | ~alive[order[1:]])
+        rank = np.zeros(n + length, np.int64)  # where the suffixes begin that agree with a suffix on `known` bytes
+        first = np.flatnonzero(new)
+        rank[order] = np.repeat(first, np.diff(np.append(first, n)))
+        known, of_length = self.FIRST, None
         while True:
-            rank = np.empty(n, np.int64)
-            rank[order] = np.concatenate([[0], np.cumsum(new)])
-            if of_length is None and (known * 2 > length or new.all()):
-                of_length, reach = rank, min(known, length)
-            if new.all():
+            open_ = ~new
+            open_[:-1] |= open_[1:]
+            places = np.flatnonzero(open_)
+            if of_length is None and (known * 2 > length or not len(places)):
+                of_length, reach = rank[:n].copy(), min(known, length)
+            if not len(places):
                 break
-            later = np.append(rank[step:], np.zeros(min(step, n), np.int64))
-            x = np.sort(rank << 2 * bits | later << bits | np.arange(n))
-            order = x & mask
-            new = x[1:] >> bits != x[:-1] >> bits
-            known, step = known * 2, step * 2
+            at = np.zeros(n, bool)
+            at[order[places]] = True
+            at = np.flatnonzero(at)
+            x = rank[at] << 2 * bits
+            x |= rank[np.minimum(at + known, n)] << bits
+            x |= at
+            x.sort()
+            order[places] = at = x & mask
+            x >>= bits
+            apart = np.append(True, x[1:] != x[:-1])
+            new[places] = apart
+            first = np.flatnonzero(apart)
+            rank[at] = np.repeat(places[first], np.diff(np.append(first, len(at))))
+            known *= 2
         tail = np.append(of_length[length - reach:], np.full(min(length - reach, n), -1))
         same = (of_length[order[1:]] == of_length[order[:-1]]) & (tail[order[1:]] == tail[order[:-1]])
         return order, same
@@ -408,12 +445,13 @@ class RunIndex:
 
     def stream(self, pieces: list[bytes]):
         """Matching statistics of all pieces at once, right to left: for each byte from the last, which pieces have it (the
-        first of those given, longest first), how long the match is that begins there, and its first owner."""
+        first of those given, longest first), how long the match is that begins there, and its first owner (``NO_ID`` where no
+        match can have ``length`` bytes)."""
         sizes = np.array([len(p) for p in pieces], np.int64)
         if (np.diff(sizes) > 0).any():
             raise ValueError("pieces must come longest first")
         ends = np.cumsum(sizes)
-        chars = np.frombuffer(b"".join(p.replace(b"\0", b"\xff") for p in pieces), np.uint8).astype(np.int64)
+        chars = _bytes(pieces).astype(np.int64)
         runs = len(self.starts)
         q, pos, size = np.zeros(len(pieces), np.int64), np.full(len(pieces), self.first_sample[0]), np.zeros(len(pieces), np.int64)
         for back in range(1, int(sizes[0]) + 1 if len(sizes) else 0):
@@ -444,46 +482,54 @@ class RunIndex:
                 q[:m] += self.shift[j]
                 pos[:m] -= 1
                 size[:m] += 1
-            yield back, m, size[:m], self.owner_of[q[:m]]
+            yield back, m, size[:m], self.owner_of[q[:m]] if back >= self.length else np.full(m, NO_ID)
 
 
 def _first_owners(pieces: list[bytes], owners: np.ndarray, length: int) -> np.ndarray:
-    """For each piece (longest first) the smallest owner of a piece with each of its windows, by matching statistics; a row a
-    piece, as wide as the first one's windows."""
+    """The smallest owner of a piece with each window of each piece (longest first), by matching statistics: a column a piece,
+    its last window first; ``NO_ID`` where nothing else is known."""
     index = RunIndex(pieces, owners, length)
-    out = np.full((len(pieces), len(pieces[0]) - length + 1), NO_ID)
-    sizes = np.array([len(p) for p in pieces])
+    out = np.full((len(pieces[0]) - length + 1, len(pieces)), NO_ID)
     for back, m, size, owner in index.stream(pieces):
         if back >= length:
-            out[np.arange(m), sizes[:m] - back] = np.where(size >= length, owner, NO_ID)
+            out[back - length, :m] = np.where(size >= length, owner, NO_ID)
     return out
 
 
 def _marked(length: int, index_bytes: int):
     """applyInArrow function on a share's pieces: rows (slice, removed byte ranges of its documents)."""
     def marked(table):
-        number: dict[tuple[int, bytes], int] = {}
-        places: list[tuple] = []
+        names, sizes, places, texts = [], [], [], []
         for blob in table.column("blob").to_pylist():
             p = _unpacked(blob)
-            raw, lo, of = bytes(p["text"]), 0, []
-            for g, hi in zip(p["names"].tolist(), np.cumsum(p["sizes"].astype(np.int64)).tolist()):
-                of.append(number.setdefault((g, raw[lo:hi]), len(number)))
-                lo = hi
-            places.append((np.repeat(np.array(of, np.int64), p["places"]), p["ids"], p["rows"], p["starts"], np.full(len(p["ids"]), p["slice"][0])))
-        if not number:
+            names.append(p["names"])
+            sizes.append(p["sizes"])
+            texts.append(p["text"])
+            places.append((p["places"], p["ids"], p["rows"], p["starts"], np.full(len(p["ids"]), p["slice"][0])))
+        if not names:
             return _blob_table([], "slice")
-        of, ids, rows, starts, own = (np.concatenate(x) for x in zip(*places))
-        del places
-        owners = np.full(len(number), NO_ID)
+        of, name, pieces = _each_once(np.concatenate(names), b"".join(texts), np.concatenate(sizes).astype(np.int64))
+        count, ids, rows, starts, own = (np.concatenate(x) for x in zip(*places))
+        del places, texts
+        of = np.repeat(of, count)
+        owners = np.full(len(pieces), NO_ID)
         np.minimum.at(owners, of, ids)
-        low, high, firsts = _firsts(list(number), owners, length, index_bytes)
-        sizes = np.array([len(t) for _, t in number], np.int64)
+        low, high, at, firsts = _firsts(name, pieces, owners, length, index_bytes)
+        width = np.array([len(t) for t in pieces], np.int64)[of]
         whole = np.flatnonzero(ids > high[of])
-        found = [(own[whole], rows[whole], starts[whole], starts[whole] + sizes[of[whole]])]
-        for i in np.flatnonzero((ids > low[of]) & (ids <= high[of])).tolist():
-            at = starts[i] + np.flatnonzero(firsts[int(of[i])] < ids[i])
-            found.append((np.full(len(at), own[i]), np.full(len(at), rows[i]), at, at + length))
+        found = [(own[whole], rows[whole], starts[whole], starts[whole] + width[whole])]
+        part = np.flatnonzero((ids > low[of]) & (ids <= high[of]))
+        for lo in range(0, len(part), SPLIT):  # runs of windows that a document with a smaller id has
+            i = part[lo:lo + SPLIT]
+            at_, ends = _laid_out(at[of[i]], width[i] - length + 1)
+            of_ = np.repeat(np.arange(len(i)), np.diff(ends))
+            gone = firsts[at_] < ids[i][of_]
+            new, last = gone.copy(), gone.copy()
+            new[1:] &= ~gone[:-1] | (of_[1:] != of_[:-1])
+            last[:-1] &= ~gone[1:] | (of_[1:] != of_[:-1])
+            new, last = np.flatnonzero(new), np.flatnonzero(last)
+            k = of_[new]
+            found.append((own[i][k], rows[i][k], starts[i][k] + new - ends[k], starts[i][k] + last - ends[k] + length))
         own, rows, starts, stops = (np.concatenate(x) for x in zip(*found))
         order = np.argsort(own, kind="stable")
         own, rows, starts, stops = own[order], rows[order], starts[order], stops[order]
@@ -492,51 +538,66 @@ def _marked(length: int, index_bytes: int):
     return marked
 
 
-def _firsts(keys: list[tuple[int, bytes]], owners: np.ndarray, length: int, index_bytes: int) -> tuple[np.ndarray, np.ndarray, dict[int, np.ndarray]]:
-    """The least and the largest first owner of the windows of each (name, piece), and all of them where they differ.  Pieces of
-    one name share an index; names are put together to about ``index_bytes``, and a name with more text than that is cut to its
-    windows, which fill as many indexes as they need."""
-    low, high, firsts = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64), {}
-    batch, size = [], 0
-
-    def index():
-        order = np.array(sorted(batch, key=lambda i: -len(keys[i][1])))
-        first = _first_owners([keys[i][1] for i in order.tolist()], owners[order], length)
-        widths = np.array([len(keys[i][1]) - length + 1 for i in order.tolist()])
-        own = np.arange(first.shape[1])[None, :] < widths[:, None]
-        low[order] = np.where(own, first, NO_ID).min(axis=1)
-        high[order] = np.where(own, first, np.iinfo(np.int64).min).max(axis=1)
-        for j in np.flatnonzero(low[order] < high[order]).tolist():
-            firsts[int(order[j])] = first[j, :widths[j]].copy()
-        batch.clear()
-
-    for _, group in itertools.groupby(sorted(range(len(keys)), key=keys.__getitem__), key=lambda i: keys[i][0]):
-        group = list(group)
-        own = sum(len(keys[i][1]) + 1 for i in group)
-        if own > index_bytes:
-            windows: dict[bytes, int] = {}
-            for i in group:
-                text = keys[i][1]
-                for o in range(len(text) - length + 1):
-                    w = text[o:o + length]
-                    windows[w] = min(windows.get(w, NO_ID), int(owners[i]))
-            texts, step = list(windows), max(1, index_bytes // (length + 1))
-            for lo in range(0, len(texts), step):
-                part = texts[lo:lo + step]
-                windows.update(zip(part, _first_owners(part, np.array([windows[w] for w in part], np.int64), length)[:, 0].tolist()))
-            for i in group:
-                text = keys[i][1]
-                firsts[i] = np.array([windows[text[o:o + length]] for o in range(len(text) - length + 1)], np.int64)
-                low[i], high[i] = firsts[i].min(), firsts[i].max()
-            continue
-        if batch and size + own > index_bytes:
-            index()
-            size = 0
-        batch.extend(group)
-        size += own
-    if batch:
-        index()
-    return low, high, firsts
+def _each_once(names: np.ndarray, text: bytes, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Which of the different pieces each piece is, their names and texts (equal texts have equal names)."""
+    ends = np.append(0, np.cumsum(sizes))
+    found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(text)]).dictionary_encode()
+    of = found.indices.to_numpy().astype(np.int64)
+    name = np.empty(len(found.dictionary), np.int64)
+    name[of] = names
+    return of, name, found.dictionary.to_pylist()
+
+
+def _firsts(names: np.ndarray, pieces: list[bytes], owners: np.ndarray, length: int, index_bytes: int, anchor: int = ANCHOR) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The least and the largest first owner of the windows of each piece; where they differ, the place of the first owners of
+    its windows in the last array.  Pieces of one name (of ``anchor`` bytes) share an index; names are put together to about
+    ``index_bytes``, and a name with more text than that is split by a longer anchor."""
+    low, high, place, firsts, end = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64), [], 0
+    sizes = np.array([len(t) for t in pieces], np.int64)
+    order = np.argsort(names, kind="stable")
+    cuts = np.append(np.flatnonzero(np.append(True, names[order][1:] != names[order][:-1])), len(order))
+    ends = np.append(0, np.cumsum(sizes[order] + 1))[cuts]
+
+    def keep(of: np.ndarray, first: np.ndarray, widths: np.ndarray):  # first owners, one piece after another
+        nonlocal end
+        at = np.append(0, np.cumsum(widths))
+        low[of], high[of] = np.minimum.reduceat(first, at[:-1]), np.maximum.reduceat(first, at[:-1])
+        apart = np.flatnonzero(low[of] < high[of])
+        firsts.append(first[_laid_out(at[apart], widths[apart])[0]])
+        place[of[apart]] = end + np.cumsum(widths[apart]) - widths[apart]
+        end += len(firsts[-1])
+
+    def index(of: np.ndarray):
+        of = of[np.argsort(-sizes[of], kind="stable")]
+        widths = sizes[of] - length + 1
+        first = _first_owners([pieces[i] for i in of.tolist()], owners[of], length)
+        keep(of, first.T[:, ::-1][np.arange(len(first))[::-1] < widths[:, None]], widths)
+
+    lo = 0
+    while lo < len(cuts) - 1:
+        hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + index_bytes, "right")) - 1)
+        of = order[cuts[lo]:cuts[hi]]
+        if ends[hi] - ends[lo] > index_bytes and anchor < length:
+            keep(of, _split_firsts([pieces[i] for i in of.tolist()], owners[of], length, index_bytes, _longer(anchor, length)), sizes[of] - length + 1)
+        else:
+            index(of)
+        lo = hi
+    return low, high, place, np.concatenate([*firsts, np.zeros(0, np.int64)])
+
+
+def _split_firsts(pieces: list[bytes], owners: np.ndarray, length: int, index_bytes: int, anchor: int) -> np.ndarray:
+    """The first owners of the windows of each piece, found among windows with the same name of ``anchor`` bytes."""
+    raw, bounds = b"".join(pieces), np.append(0, np.cumsum([len(p) for p in pieces]))
+    a = np.frombuffer(raw, np.uint8)
+    name, first, size = (np.concatenate(x) for x in zip(*named_runs(a, bounds, length, anchor)))
+    of, name, texts = _each_once(name.astype(np.int64), a[_laid_out(first, size + length - 1)[0]].tobytes(), size + length - 1)
+    least = np.full(len(texts), NO_ID)
+    np.minimum.at(least, of, owners[np.searchsorted(bounds, first, "right") - 1])
+    low, high, place, firsts = _firsts(name, texts, least, length, index_bytes, anchor)
+    out = np.repeat(low[of], size)  # runs come in the order of their windows, of which each is in one run
+    apart = (low < high)[of]
+    out[np.repeat(apart, size)] = firsts[_laid_out(place[of[apart]], size[apart])[0]]
+    return out
 
 
 # -- documents --------------------------------------------------------------------------------------
@@ -573,6 +634,12 @@ def _cut(with_text: bool):
     return cut
 
 
+def _slices(total: int, slice_bytes: int) -> int:
+    """How many slices ``total`` bytes of text are dealt to, and as many shares."""
+    grown = slice_bytes * min(max(math.sqrt(total / GROWING), 1), SLICE_GROWTH)
+    return max(1, min(math.ceil(total / grown), 1 << _SLICE_BITS))
+
+
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50, with_text: bool = False,
             slice_bytes: int = SLICE_BYTES, hot_slices: int = HOT_SLICES, index_bytes: int = INDEX_BYTES) -> DataFrame:
     """A row per document: ``doc_id, n_bytes, n_removed, n_spans, spans`` (byte ranges, end exclusive), ``kept_sha256``
@@ -582,7 +649,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shares = max(1, min(math.ceil(total / slice_bytes), 1 << _SLICE_BITS))
+    shares = _slices(total, slice_bytes)
     rows = rows.select(F.pmod(F.xxhash64("id", "text"), F.lit(shares)).alias("slice"), "id", "text")
     parcels = rows.mapInArrow(_parcels, "slice long, blob binary").repartition(shares, "slice").groupBy("slice")
 

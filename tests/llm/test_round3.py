@@ -58,6 +58,46 @@ def test_repeats_equal_brute_force(spark, passages, kw):
     assert _repeats(docs, **kw) == _brute_repeats(passages, 50)
 
 
+def test_repeats_of_frequent_names(spark, passages):
+    docs = spark.createDataFrame(passages, "doc_id long, text string").repartition(3)
+    for length, index_bytes in ((5, 300), (23, 300), (90, 2000)):
+        assert _repeats(docs, length=length, slice_bytes=9000, hot_slices=1, index_bytes=index_bytes) == _brute_repeats(passages, length)
+
+
+def test_frequent_names_take_little_more_text():
+    rnd = random.Random(2)
+    docs = [bytes(rnd.choice(b"abcdefgh ") for _ in range(3000)) for _ in range(30)]
+    texts = S._blob_table([(0, S._packed(ids=np.arange(30), counts=np.ones(30, np.int64), sizes=np.full(30, 3000), text=b"".join(docs)))], "slice")
+    runs = S.named_runs(np.frombuffer(b"".join(docs), np.uint8), np.arange(31) * 3000, 50)
+    names = np.unique(np.concatenate([r[0] for r in runs]))
+    sent, windows = [], []
+    for frequent in (0, 1):
+        known = S._blob_table([(0, S._planes(names << np.uint64(1) | np.uint64(frequent)))], "slice")
+        parts = [S._unpacked(b) for b in S._pieces(50, 4)(texts, known).column("blob").to_pylist()]
+        sent.append(sum(int(p["sizes"].sum(dtype=np.int64)) for p in parts))
+        windows.append(sorted((d, s + k) for p in parts for n, d, s in zip(np.repeat(p["sizes"], p["places"]).tolist(), p["rows"].tolist(), p["starts"].tolist()) for k in range(n - 49)))
+    assert windows[0] == windows[1] == [(d, s) for d in range(30) for s in range(2951)]
+    assert sent[1] < 2.5 * sent[0]
+
+
+def test_a_name_with_much_text_takes_few_indexes(monkeypatch):
+    rnd = random.Random(3)
+    word = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n))
+    texts = list(dict.fromkeys([word(30) + "x" * 20 + word(30) for _ in range(150)] * 2 + ["a" * 25 + "x" * 25 + word(10) for _ in range(40)]))
+    indexed, index = [], S.RunIndex
+    monkeypatch.setattr(S, "RunIndex", lambda pieces, *a: indexed.append(sum(map(len, pieces))) or index(pieces, *a))
+    n, ids = len(texts), np.arange(len(texts))
+    blob = S._packed(names=np.full(n, 7), sizes=np.array([len(t) for t in texts], np.uint16), text="".join(texts).encode(), places=np.ones(n, np.int64), ids=ids, rows=ids, starts=np.zeros(n, np.int64), slice=np.zeros(1, np.int64))
+    got = [S._unpacked(b) for b in S._marked(50, 3000)(S._blob_table([(0, blob)], "share")).column("blob").to_pylist()]
+    assert sum(indexed) < 4 * sum(map(len, texts))
+    want = {(int(i), k) for i, t in enumerate(texts) for p in range(len(t) - 49) if any(t[p:p + 50] in x for x in texts[:i]) for k in range(p, p + 50)}
+    assert {(d, k) for p in got for d, a, b in zip(p["rows"].tolist(), p["starts"].tolist(), p["stops"].tolist()) for k in range(a, b)} == want and want
+
+
+def test_slices_grow_with_the_corpus():
+    assert [S._slices(int(gb * 2**30), 8 << 20) for gb in (0, 0.5, 1, 4, 10)] == [1, 64, 128, 256, 640]
+
+
 def test_repeats_other_lengths_and_names(spark, passages):
     docs = spark.createDataFrame(passages, "blob long, ids string")
     for length in (5, 23, 90):
